@@ -1,0 +1 @@
+"""Tables of slides, tiles, coverage, folds, vectors and predictions as Spark jobs."""
