@@ -241,13 +241,87 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return summed.filter(f"100 * shared >= {percent} * (na + nb - shared)").select("a", "b")
 
 
+def _centred(lists: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of a list's centre and each of its other documents.
+
+    A list's centre is the document that meets most others over all lists (ties: the smallest id). The
+    original of a group of near copies meets each of them more often than they meet each other,
+    so few documents are centres, and most links are links with a centre.
+    """
+    member = lists.select("key", F.explode("docs").alias("doc"), (F.size("docs") - 1).cast("long").alias("meets"))
+    fame = member.groupBy("doc").agg(F.sum("meets").alias("fame"))
+    ranked = member.select("key", "doc").join(fame, "doc").select("key", F.struct((-F.col("fame")).alias("fame"), "doc").alias("x"))
+    centre = ranked.groupBy("key").agg(F.min("x").alias("x")).select("key", F.col("x.doc").alias("a"))
+    return lists.join(centre, "key").select("a", F.explode("docs").alias("b")).filter("a <> b").distinct()
+
+
+def _late_links(pairs: DataFrame, sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` between components that the links with centres have left apart.
+
+    Two documents of one list share its centre, so the documents around each centre hold all
+    candidate pairs. Where they are in several components they are compared in blocks of about
+    ``GROUP``; each pair of blocks counts overlaps fragment by fragment, sums them, and sends on a spanning
+    forest of its links.
+    """
+    member = pairs.select("a", F.col("b").alias("doc")).unionByName(pairs.select("a", F.col("a").alias("doc")).distinct())
+    member = member.join(found, F.col("doc") == F.col("id"), "left").select("a", "doc", F.coalesce("component", "doc").alias("component"))
+    around = member.groupBy("a").agg(F.count("*").alias("m"), F.min("component").alias("x"), F.max("component").alias("y")).filter("m > 2 AND x <> y")
+    member = member.join(around.select("a", F.ceil(F.col("m") / GROUP).alias("blocks")), "a").withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")))
+    member = member.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    member = member.select("a", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc", "component")
+
+    def compare(table: pa.Table) -> pa.Table:
+        doc, component, own, n, piece = (table.column(c).to_numpy() for c in ("doc", "component", "own", "n", "piece"))
+        parts = table.column("part").to_pylist()
+        ids, first, number = np.unique(doc, return_index=True, return_inverse=True)
+        component, own, n = component[first], own[first], n[first]
+        low, high = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        x, y = np.flatnonzero(own == low), np.flatnonzero(own == high)
+        shared = np.zeros((len(x), len(y)), np.float32)
+        for p in range(FRAGMENTS):
+            rows = dict(zip(number[piece == p].tolist(), np.flatnonzero(piece == p).tolist(), strict=True))
+            flat = np.frombuffer(b"".join([parts[r] for r in rows.values()]), "<u8")
+            who = np.repeat(np.array(list(rows), np.int64), [len(parts[r]) // 8 for r in rows.values()])
+            _, which, times = np.unique(flat, return_inverse=True, return_counts=True)
+            several = times[which] > 1
+            which, who = which[several], who[several]
+            column = np.cumsum(times > 1) - 1
+            which = column[which]
+            order = np.argsort(which, kind="stable")
+            which, who = which[order], who[order]
+            for s in range(0, int(which[-1]) + 1 if len(which) else 0, 4096):
+                here = slice(*np.searchsorted(which, (s, s + 4096)))
+                has = np.zeros((len(ids), 4096), np.float32)
+                has[who[here], which[here] - s] = 1
+                shared += has[x] @ has[y].T
+        total = n[x][:, None] + n[y]
+        linked = (100 * shared >= percent * (total - shared)) & (component[x][:, None] != component[y])
+        root = {c: c for c in component.tolist()}
+
+        def find(k: int) -> int:
+            while root[k] != k:
+                root[k] = root[root[k]]
+                k = root[k]
+            return k
+
+        out = []
+        for s, t in zip(*(k.tolist() for k in np.nonzero(linked)), strict=True):
+            p, q = find(int(component[x[s]])), find(int(component[y[t]]))
+            if p != q:
+                root[max(p, q)] = min(p, q)
+                out.append((int(ids[x[s]]), int(ids[y[t]])))
+        return pa.table({"a": pa.array([k[0] for k in out], pa.int64()), "b": pa.array([k[1] for k in out], pa.int64())})
+
+    return member.join(sets, F.col("doc") == F.col("id")).select("a", "i", "j", "own", "doc", "component", "n", "piece", "part").groupBy("a", "i", "j").applyInArrow(compare, "a long, b long")
+
+
 def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_shingles, component_id)`` for every row: the smallest id that links reach, the document's own included.
 
     Two documents link where ``100 * |A and B| >= percent * |A or B|`` of their distinct word n-grams.
-    Each list of documents that share a fragment is first compared with its smallest member.
-    Pairs of a list that are in different components after that are compared too, so
-    that no link between components is lost; a group of thousands of near copies needs no pairs.
+    Each list of documents that share a fragment is first compared with its centre. Where
+    that leaves several components, the documents around a centre are compared in blocks, so that
+    no link between components is lost.
     A null id links with nothing and has no component; empty and null texts link with
     nothing; rows that repeat an id count as one document; other columns play no part.
     """
@@ -257,23 +331,12 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: st
     equal = described.filter("digest IS NOT NULL AND doc_id IS NOT NULL")
     equal = equal.join(equal.groupBy("digest").agg(F.min("doc_id").alias("b"), F.count("*").alias("m")).filter("m > 1"), "digest").select(F.col("doc_id").alias("a"), "b")
 
-    pairs = written(lists.select(F.element_at("docs", 1).alias("a"), F.explode(F.slice("docs", 2, F.size("docs"))).alias("b")).distinct(), "pairs")
+    pairs = written(_centred(lists), "pairs")
     needed = lists.select(F.explode("docs").alias("id")).distinct()
     sets = written(_sets(docs, needed, words), "sets")
     links = written(equal.unionByName(verified(pairs, sets, percent)), "links")
     found = written(components(links), "found")
-
-    member = lists.filter("size(docs) > 2").select("key", F.explode("docs").alias("doc")).join(found, F.col("doc") == F.col("id"), "left")
-    member = member.select("key", "doc", F.coalesce("component", "doc").alias("component"))
-    open_lists = member.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key")
-    member = member.join(open_lists, "key")
-    sizes = sets.filter("piece = 0").select(F.col("id").alias("doc"), "n").distinct()
-    member = written(member.join(sizes, "doc"), "member")
-    other = member.select("key", F.col("doc").alias("doc2"), F.col("component").alias("component2"), F.col("n").alias("n2"))
-    fits = f"doc < doc2 AND component <> component2 AND 100 * least(n, n2) >= {percent} * greatest(n, n2)"
-    rest = member.join(other, "key").filter(fits).select(F.col("doc").alias("a"), F.col("doc2").alias("b")).distinct()
-    rest = written(rest.join(pairs, ["a", "b"], "left_anti"), "rest")
-    late = written(verified(rest, sets, percent), "late")
+    late = written(_late_links(pairs, sets, found, percent), "late")
     if not late.isEmpty():
         found = written(components(links.unionByName(late)), "found")
     out = described.join(found, F.col("doc_id") == F.col("id"), "left")
