@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import components, mixed, pack_ranges, range_bits, runs, small_batches, unpack, utf8, written
+from ._shared import broadcast_if_small, components, mixed, pack_ranges, range_bits, runs, small_batches, unpack, utf8, written
 
 #: Fragments in which the overlaps of candidate pairs are counted, and pairs of a document that one task group holds.
 FRAGMENTS, GROUP = 4, 500
@@ -189,6 +189,20 @@ def _candidate_lists(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return packed.groupBy("range").applyInArrow(meet, "key binary, docs array<long>").dropDuplicates(["key"])
 
 
+_BYTES = 6
+
+
+def _short(h: np.ndarray) -> bytes:
+    """The hashes of a fragment without their two lowest bytes; with the fragment, 50 bits stay, in order."""
+    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 8 - _BYTES :].tobytes()
+
+
+def _long(parts: list[bytes]) -> np.ndarray:
+    out = np.zeros((sum(map(len, parts)) // _BYTES, 8), np.uint8)
+    out[:, :_BYTES] = np.frombuffer(b"".join(parts), np.uint8).reshape(-1, _BYTES)
+    return out.view("<u8").ravel()
+
+
 def _sets(docs: DataFrame, needed: DataFrame, words: int) -> DataFrame:
     """``(id, n, piece, part)``: the sets of the documents that some pair needs, cut into fragments of the global order."""
 
@@ -201,11 +215,11 @@ def _sets(docs: DataFrame, needed: DataFrame, words: int) -> DataFrame:
                 own = h[cut[i] : cut[i + 1]]
                 piece = np.searchsorted(own >> np.uint64(62), np.arange(FRAGMENTS + 1, dtype=np.uint64))
                 for p in range(FRAGMENTS):
-                    for column, x in zip(rows, (doc, len(own), p, own[piece[p] : piece[p + 1]].tobytes()), strict=True):
+                    for column, x in zip(rows, (doc, len(own), p, _short(own[piece[p] : piece[p + 1]])), strict=True):
                         column.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(r, t) for r, t in zip(rows, (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], ["id", "n", "piece", "part"])
 
-    wanted = docs.join(needed.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+    wanted = docs.join(broadcast_if_small(needed.select(F.col("id").alias("doc_id"))), "doc_id", "left_semi")
     return wanted.mapInArrow(run, "id long, n long, piece int, part binary")
 
 
@@ -215,19 +229,19 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     A document's pairs are dealt out in groups of about ``GROUP``, each fragment for itself.
     """
     salted = pairs.join(pairs.groupBy("a").agg(F.count("*").alias("m")), "a")
-    salted = salted.select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("m") / GROUP)).alias("salt"))
+    salted = broadcast_if_small(salted.select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("m") / GROUP)).alias("salt")))
     columns = ["a", "salt", "piece", "b", "n", "part"]
     members = salted.join(sets, F.col("b") == F.col("id")).select(*columns)
-    centres = salted.select("a", "salt").distinct().join(sets, F.col("a") == F.col("id")).withColumn("b", F.lit(None).cast("long")).select(*columns)
+    centres = broadcast_if_small(salted.select("a", "salt").distinct()).join(sets, F.col("a") == F.col("id")).withColumn("b", F.lit(None).cast("long")).select(*columns)
 
     def overlaps(table: pa.Table) -> pa.Table:
         b = table.column("b").to_pylist()
         parts, n = table.column("part").to_pylist(), table.column("n").to_pylist()
         at = b.index(None)
-        centre = np.frombuffer(parts[at], "<u8")
+        centre = _long([parts[at]])
         rows = list({x: i for i, x in enumerate(b) if x is not None}.values())
-        lengths = np.array([len(parts[i]) // 8 for i in rows])
-        flat = np.frombuffer(b"".join([parts[i] for i in rows]), "<u8")
+        lengths = np.array([len(parts[i]) // _BYTES for i in rows])
+        flat = _long([parts[i] for i in rows])
         place = np.searchsorted(centre, flat)
         hit = np.zeros(len(flat) + 1, np.int64)
         if len(centre):
@@ -280,8 +294,8 @@ def _late_links(pairs: DataFrame, sets: DataFrame, found: DataFrame, percent: in
         shared = np.zeros((len(x), len(y)), np.float32)
         for p in range(FRAGMENTS):
             rows = dict(zip(number[piece == p].tolist(), np.flatnonzero(piece == p).tolist(), strict=True))
-            flat = np.frombuffer(b"".join([parts[r] for r in rows.values()]), "<u8")
-            who = np.repeat(np.array(list(rows), np.int64), [len(parts[r]) // 8 for r in rows.values()])
+            flat = _long([parts[r] for r in rows.values()])
+            who = np.repeat(np.array(list(rows), np.int64), [len(parts[r]) // _BYTES for r in rows.values()])
             _, which, times = np.unique(flat, return_inverse=True, return_counts=True)
             several = times[which] > 1
             which, who = which[several], who[several]
@@ -312,7 +326,7 @@ def _late_links(pairs: DataFrame, sets: DataFrame, found: DataFrame, percent: in
                 out.append((int(ids[x[s]]), int(ids[y[t]])))
         return pa.table({"a": pa.array([k[0] for k in out], pa.int64()), "b": pa.array([k[1] for k in out], pa.int64())})
 
-    return member.join(sets, F.col("doc") == F.col("id")).select("a", "i", "j", "own", "doc", "component", "n", "piece", "part").groupBy("a", "i", "j").applyInArrow(compare, "a long, b long")
+    return broadcast_if_small(member).join(sets, F.col("doc") == F.col("id")).select("a", "i", "j", "own", "doc", "component", "n", "piece", "part").groupBy("a", "i", "j").applyInArrow(compare, "a long, b long")
 
 
 def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
