@@ -125,7 +125,7 @@ def pack_ranges(bits: int, keys: np.ndarray, **columns: np.ndarray) -> pa.Record
     order = np.argsort(owner, kind="stable")
     owner, rest = owner[order], ((keys[order] << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
     cuts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else np.zeros(0, np.int64)
-    ends = np.r_[cuts[1:], len(owner)]
+    ends = np.r_[cuts[1:], len(owner)][: len(cuts)]
     packed = {"keys": rest, **{k: v[order] for k, v in columns.items()}}
     arrays = [pa.array([v[s:e].tobytes() for s, e in zip(cuts.tolist(), ends.tolist(), strict=True)], pa.binary()) for v in packed.values()]
     return pa.RecordBatch.from_arrays([pa.array(owner[cuts]), *arrays], ["range", *packed])

@@ -134,7 +134,7 @@ def fragment_keys(owner: np.ndarray, h: np.ndarray, percent: int) -> tuple[np.nd
 def set_digests(owner: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Set numbers that occur, sizes, and a 128-bit digest of each set."""
     start = runs(owner)
-    ends = np.r_[start[1:], len(owner)].tolist()
+    ends = np.r_[start[1:], len(owner)][: len(start)].tolist()
     return owner[start], np.diff(np.r_[start, len(owner)]), [hashlib.blake2b(h[s:e].tobytes(), digest_size=16).digest() for s, e in zip(start.tolist(), ends, strict=True)]
 
 
@@ -180,7 +180,7 @@ def _candidate_lists(docs: DataFrame, words: int, percent: int) -> DataFrame:
         keep = runs(keys, ids)
         keys, ids = keys[keep], ids[keep]
         start = runs(keys)
-        end = np.r_[start[1:], len(keys)]
+        end = np.r_[start[1:], len(keys)][: len(start)]
         several = end - start > 1
         lists = {ids[s:e].tobytes() for s, e in zip(start[several].tolist(), end[several].tolist(), strict=True)}
         return pa.table({"key": pa.array([hashlib.blake2b(x, digest_size=16).digest() for x in lists], pa.binary()), "docs": pa.array([np.frombuffer(x, "<i8") for x in lists], pa.list_(pa.int64()))})

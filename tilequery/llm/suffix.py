@@ -155,7 +155,9 @@ def drop_repeats(df: DataFrame, length: int = 50, id_col: str = "doc_id", text_c
     if length < 2 * SHORT:
         raise ValueError(f"length must be at least {2 * SHORT}")
     bits, width = range_bits(df), length - SHORT + 1
-    chunks = 1 << bits
+    # Windows go from every chunk to every range: both are fewer and larger than the ranges of the first step.
+    later_bits = max(1, bits - 1)
+    chunks = 1 << later_bits
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     named = docs.filter("doc_id IS NOT NULL")
 
@@ -219,7 +221,7 @@ def drop_repeats(df: DataFrame, length: int = 50, id_col: str = "doc_id", text_c
             owners.append(np.full(len(windows), d))
             places.append(windows.astype(np.int32))
         key = np.concatenate(keys)
-        packed = pack_ranges(bits, key, full=key, docs=np.concatenate(owners), places=np.concatenate(places))
+        packed = pack_ranges(later_bits, key, full=key, docs=np.concatenate(owners), places=np.concatenate(places))
         return pa.Table.from_batches([_with_planes(packed)]).drop_columns("keys")
 
     def later(table: pa.Table) -> pa.Table:
