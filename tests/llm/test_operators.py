@@ -1,0 +1,277 @@
+"""Operators against brute force, round trips and held-out accuracy; edge rows included."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+import tiktoken
+
+import corpus_pipeline
+from tilequery.llm import bpe, covertree, jaccard, langid, lm, mixing, pii, quotes, suffix, webp
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, keys string"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    """Documents of the smallest table, edge rows, and columns whose names clash with the operators' own."""
+    own = [(r.doc_id, r.text, r.lang, r.source, r.n_chars, 1.0, "k") for r in spark.read.parquet(f"{SF}/documents.parquet").limit(80).collect()]
+    long = " ".join(f"w{i}" for i in range(30000))
+    edge = [(9001, None, None, None, None, None, None), (9002, "", "en", "s", 0, None, None), (9003, long, "en", "s", 9, None, None), (9004, long, "en", "s", 9, None, None), (9005, "... 12 !", None, "s", 8, None, None), (9006, "one two", None, None, 7, None, None), (9006, "one two", None, None, 7, None, None)]
+    return spark.createDataFrame(own + edge, DOCS).repartition(3).cache()
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def components(nodes, links):
+    up = {n: n for n in nodes}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        up[b] = a
+    return {n: find(n) for n in nodes}
+
+
+def luhn(d):
+    return sum(x if i % 2 == 0 else (2 * x if x < 5 else 2 * x - 9) for i, x in enumerate(map(int, reversed(d)))) % 10 == 0
+
+
+def base_spans(t):
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(p) <= 255 for p in m[0].split("."))]
+    out += [("card", *m.span()) for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t) if 14 <= len(d := re.sub("[^0-9]", "", m[0])) <= 19 and luhn(d)]
+    out += [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 10 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
+    return sorted(out, key=lambda x: (x[1], pii.KINDS.index(x[0])))
+
+
+def test_pii(spark, docs):
+    random.seed(5)
+    odd = ["".join(random.choice("a1.@+-( )9 4%_") for _ in range(random.randint(0, 60))) for _ in range(4000)] + ["card 4111 1111 1111 1111 x@y.z@w.v 1.2.3.4.5.6.7.8", "+1 (555) 010-9999 é a@b.co"]
+    for t in odd:
+        assert [s[:3] for s in pii.find_spans(t) if s[0] in pii.BASE] == base_spans(t), t
+    assert [s[0] for s in pii.find_spans("IBAN DE89 3704 0044 0532 0130 00 now")] == ["iban"]
+    assert not pii.find_spans("DE89 3704 0044 0532 0130 01")
+    assert [s[0] for s in pii.find_spans("SSN 123-45-6789")] == ["ssn"] and not pii.find_spans("123-45-6789")
+    out = pii.find_pii(docs).collect()
+    assert len(out) == docs.count()
+    assert pii.redact_text("mail a@b.co now", pii.find_spans("mail a@b.co now")) == "mail <EMAIL> now"
+    assert pii.find_pii(docs.limit(0)).count() == 0
+
+
+def test_webp_round_trip_and_transforms(spark, docs):
+    for p in (b"\0" * 64, bytes(range(256)) * 300, b"ab" * 320, b"one long line that comes again and again\n" * 64, b"x" * 64 * 1030):
+        assert webp.decode_payload(webp.encode_payload(p)) == p
+    out = webp.media_digests(webp.store_texts(docs)).collect()
+    text = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+    for r in out:
+        want = text[r.doc_id].ljust(max(64, -(-len(text[r.doc_id]) // 64) * 64), b"\0")
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256) == (len(text[r.doc_id]), len(want), hashlib.sha256(want).hexdigest())
+    with pytest.raises(ValueError):
+        webp.decode(b"RIFF")
+
+
+def vp8l(fields):
+    out = webp._Writer()
+    out.put((0x2F, 8), *fields)
+    body = out.bytes()
+    chunk = b"VP8L" + len(body).to_bytes(4, "little") + body + b"\0" * (len(body) % 2)
+    return b"RIFF" + (4 + len(chunk)).to_bytes(4, "little") + b"WEBP" + chunk
+
+
+def one(symbol):
+    return [(1, 1), (0, 1), (1, 1), (symbol, 8)]
+
+
+def test_webp_predictor_cross_colour_and_cache():
+    still = [*one(5), *one(7), *one(9), *one(255), *one(0)]
+    head = [(2, 14), (1, 14), (0, 1), (0, 3)]  # 3 by 2 pixels
+    for mode, want in ((1, 15), (2, 10), (0, None)):
+        image = webp.decode(vp8l([*head, (1, 1), (0, 2), (0, 3), (0, 1), *one(mode), *one(0), *one(0), *one(255), *one(0), (0, 1), (0, 1), (0, 1), *still]))
+        if want:
+            assert image[0, 2, 1] == 15 and image[1, 0, 1] == 10 and image[1, 1, 1] == (15 if mode == 1 else 15)
+    cross = webp.decode(vp8l([*head, (1, 1), (1, 2), (0, 3), (0, 1), *one(0), *one(0), *one(32), *one(255), *one(0), (0, 1), (0, 1), (0, 1), *still]))
+    assert cross[0, 0].tolist() == [7 + (32 * 5 >> 5), 5, 9, 255]
+    # Green is 3 or the first entry of a colour cache of 2; red, blue and alpha are fixed.
+    wide = np.zeros(282, np.int64)
+    wide[[3, 280, 281]] = [1, 2, 2]
+    out = webp._Writer()
+    out.put((0x2F, 8), *head, (0, 1), (1, 1), (1, 4), (0, 1))
+    codes, sizes = out.prefix(wide)
+    out.put(*one(0), *one(0), *one(255), *one(0))
+    slot = 280 + ((0x1E35A7BD * 0xFF000300 & 0xFFFFFFFF) >> 31)
+    out.put(*[(int(codes[s]), int(sizes[s])) for s in (3, slot, 3, slot, slot, 3)])
+    body = out.bytes()
+    chunk = b"VP8L" + len(body).to_bytes(4, "little") + body + b"\0" * (len(body) % 2)
+    assert (webp.decode(b"RIFF" + (4 + len(chunk)).to_bytes(4, "little") + b"WEBP" + chunk)[..., 1] == 3).all()
+
+
+def test_language(spark, docs):
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    langs, model = langid.fit(table.filter(~langid.held_out()))
+    out = langid.predict(table, langs, model).filter(langid.held_out())
+    assert out.filter("lang = lang_pred").count() >= 0.9 * out.count()
+    edge = {r.doc_id: r for r in langid.predict(docs, langs, model).filter("doc_id > 9000").collect()}
+    assert [edge[i].lang_pred for i in (9001, 9002, 9005)] == ["und"] * 3
+    mixed = (" ".join(r.text for r in table.filter("lang = 'de'").limit(3).collect()) + " " + " ".join(r.text for r in table.filter("lang = 'es'").limit(3).collect())).encode()
+    assert {langs[i] for i in np.flatnonzero(langid.infer(mixed, model) > 0.1)} == {"de", "es"}
+    none = langid.fit(table.limit(0))
+    assert none[0] == [] and langid.predict(table.limit(1), *none).first().lang_pred == "und"
+
+
+def test_language_model(spark, docs):
+    train = docs.filter(lm.crc32_mod("doc_id", 5) != 1)
+    counts, own, tokens = lm.train(train)
+    got = {r.doc_id: r for r in lm.score(docs, counts, own, tokens).collect()}
+    seen = Counter(w for r in train.collect() for w in [*words(r.text), ""])
+    assert tokens == sum(seen.values())
+    z = tokens + 0.5 * (len(seen) + 1)
+    for r in docs.collect():
+        split = [*words(r.text), ""]
+        assert (got[r.doc_id].n_tokens, got[r.doc_id].n_known) == (len(split), sum(w in seen for w in split))
+        assert got[r.doc_id].base_score == pytest.approx(sum(np.log10((seen[w] + 0.5) / z) for w in split), rel=1e-9)
+    # Every state's probabilities sum to one, the unknown word included.
+    for state in range(0, len(own.fail), max(1, len(own.fail) // 20)):
+        left, s = 1.0, state
+        while s:
+            left, s = left * 10 ** own.fail_log[s], own.fail[s]
+        tail = sum(n + 0.5 for w, n in seen.items() if w.encode() not in own.head) + 0.5
+        assert sum(10 ** own.log_p(state, w)[0] for w in range(own.width)) + left * tail / z == pytest.approx(1, abs=1e-6)
+    empty = lm.train(docs.limit(0))
+    assert lm.score(docs, *empty).count() == docs.count()
+
+
+def test_cover_tree(spark):
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(40, 8))
+    v = [(centres[i % 40] + rng.normal(scale=0.2, size=8)).astype(np.float32).tolist() for i in range(400)]
+    rows = [(i, x, i % 3) for i, x in enumerate(v)] + [(500, v[0], 0), (501, [0.0] * 8, 0), (502, None, 0), (503, [float("nan")] * 8, 0), (504, v[1], None), (505, [1.0, None], 0)]
+    block, covertree.BLOCK = covertree.BLOCK, 50
+    try:
+        got = {r.vec_id: tuple(r)[1:] for r in covertree.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+    finally:
+        covertree.BLOCK = block
+    sound = [(i, np.array(x, float), k) for i, x, k in rows if i not in (501, 502, 503, 504, 505)]
+    links = [(a, b) for a, x, k in sound for b, y, m in sound if a != b and k == m and x @ y / np.sqrt((x @ x) * (y @ y)) >= 0.93]
+    comp, n = components([r[0] for r in rows], links), Counter(a for a, _ in links)
+    assert got == {i: (n[i], comp[i], comp[i] == i) for i, _, _ in rows}
+
+
+def test_quotes(spark):
+    rows = [
+        (1, 0, "user", "Hello there\n\nSecond part"), (1, 1, "assistant", "> hello  THERE\nHi!"), (1, 2, "user", "> > Hello there\n> Hi!\nBye"),
+        (1, 3, "user", "> never said\nok"), (2, 0, "user", "> Second part\nelsewhere"), (None, 0, "user", "> Hi!"), (3, 0, None, None), (3, 1, "user", ""),
+    ]
+    out = {(r.conv_id, r.turn): r for r in quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert out[1, 1].body == "Hi!" and (out[1, 1].parent_conv, out[1, 1].parent_turn) == (1, 0)
+    assert (out[1, 2].n_quotes, out[1, 2].n_linked, out[1, 2].parent_turn, out[1, 2].thread_turn) == (2, 2, 1, 0)
+    assert (out[1, 3].n_quotes, out[1, 3].n_linked, out[1, 3].body) == (1, 0, "ok")
+    assert (out[2, 0].parent_conv, out[2, 0].thread_conv) == (1, 1)
+    assert out[3, 0].body is None and out[3, 1].body == "" and len(out) == len(rows)
+
+
+def test_repeats(spark, docs):
+    rows = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+    first = {}
+    for d in sorted(rows):
+        for i in range(len(rows[d]) - 49):
+            first.setdefault(rows[d][i : i + 50], d)
+    for r in suffix.drop_repeats(docs).collect():
+        b = rows[r.doc_id]
+        gone = np.zeros(len(b), bool)
+        for i in range(len(b) - 49):
+            if first[b[i : i + 50]] < r.doc_id:
+                gone[i : i + 50] = True
+        assert bytes(r.kept) == np.frombuffer(b, np.uint8)[~gone].tobytes() and r.n_removed == gone.sum()
+    periodic = spark.createDataFrame([(1, "ab" * 60), (2, "x" + "ab" * 40), (None, "ab" * 60), (3, "a" * 49)], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in suffix.drop_repeats(periodic).collect()} == {1: 0, 2: 80, None: 0, 3: 0}
+
+
+@pytest.mark.parametrize(("k", "percent"), [(4, 85), (5, 80)])
+def test_jaccard(spark, docs, k, percent):
+    random.seed(k)
+    base = [f"v{i}" for i in range(200)]
+    near = [(20000 + i, " ".join(w if random.random() > 0.004 * (i % 9) else "z" + str(random.random()) for w in base)) for i in range(60)]
+    short = [(30000 + i, " ".join(base[: 3 + i % 9])) for i in range(20)]
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + near + short
+    sets = {}
+    for d, t in rows:
+        w = words(t)
+        sets[d] = {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} or ({tuple(w)} if w else set())
+    holders = defaultdict(list)
+    for d in sorted(sets):
+        for s in sets[d]:
+            holders[s].append(d)
+    shared = Counter((a, b) for h in holders.values() for j, b in enumerate(h) for a in h[:j])
+    comp = components(sets, [(a, b) for (a, b), o in shared.items() if 100 * o >= percent * (len(sets[a]) + len(sets[b]) - o)])
+    out = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k, percent).collect()
+    assert len(out) == len(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == {d: (len(sets[d]), comp[d]) for d in sets}
+
+
+def test_mix(spark, docs):
+    plan = mixing.plan_mix(docs).collect()
+    assert len(plan) == docs.count() and all(r.copies <= 2 for r in plan)
+    total = sum(r.size for r in plan)
+    targets = {r.source: r for r in plan}
+    assert sum(r.target for r in targets.values()) == pytest.approx(1.5 * total)
+    assert all(r.target <= 2 * r.source_size for r in plan)
+    assert mixing.mix(docs).count() == sum(r.copies for r in plan) and mixing.mix(docs).columns == docs.columns
+    assert mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_bpe(spark, docs):
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    own = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    out = bpe.encode(docs, path, P.PATTERN, offsets=True)
+    text = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in out.collect():
+        assert r.ids == own.encode_ordinary(text[r.doc_id])
+        assert all(text[r.doc_id][s.start : s.end] for s in r.offsets)
+    assert {r.doc_id: r.text for r in bpe.decode(out, path, P.PATTERN).collect()} == text
+    codec = bpe.codec(path, P.PATTERN)
+    odd = ["🙂\u0085　 ​ x'S'll  \n\n a", "é" * 300, " " * 70 + "a", "aaaa" * 50]
+    assert [np.frombuffer(i, "<u4").tolist() for i in codec.encode(odd)] == [own.encode_ordinary(t) for t in odd]
+    half = np.frombuffer(codec.encode(["🙂"])[0], "<u4")[:1].tobytes()
+    assert codec.decode(half) in "🙂".encode()
+
+
+def test_pipeline(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    text = {r.doc_id: r.text for r in docs.collect()}
+    now = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, SF)
+        assert now.columns == corpus_pipeline.COLUMNS, name
+    out = corpus_pipeline.run(spark, SF)
+    sets = {d: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set()) for d, t in text.items() for w in [words(t)]}
+    holders = defaultdict(list)
+    for d in sorted(sets):
+        if langid._LETTER.search(text[d] or ""):
+            for s in sets[d]:
+                holders[s].append(d)
+    shared = Counter((a, b) for h in holders.values() for j, b in enumerate(h) for a in h[:j])
+    kept = {d for d in text if langid._LETTER.search(text[d] or "")}
+    comp = components(kept, [(a, b) for (a, b), o in shared.items() if 5 * o >= 4 * (len(sets[a]) + len(sets[b]) - o)])
+    kept = {d for d in kept if comp[d] == d}
+    plan = {r.doc_id: r.copies for r in mixing.plan_mix(stage_input(spark, docs, kept)).collect()}
+    assert Counter(r.doc_id for r in out.collect()) == Counter({d: n for d, n in plan.items() if n})
+
+
+def stage_input(spark, docs, kept):
+    return corpus_pipeline.personal_data(spark, docs.filter(docs.doc_id.isin(list(kept))), SF)
