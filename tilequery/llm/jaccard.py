@@ -23,6 +23,9 @@ from ._shared import broadcast_if_small, components, mixed, pack_ranges, range_b
 
 #: Fragments in which the overlaps of candidate pairs are counted, and pairs of a document that one task group holds.
 FRAGMENTS, GROUP = 4, 500
+#: Two bytes of each hash of the first fragment. Where hashes look alike by chance they only add to an
+#: overlap: sets that differ too much here cannot be linked, and their fragments need not be moved.
+SKETCH = FRAGMENTS
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * _STEP)
 
@@ -203,6 +206,10 @@ def _long(parts: list[bytes]) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def _two(parts: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(parts), "<u2")
+
+
 def _sets(docs: DataFrame, needed: DataFrame, words: int) -> DataFrame:
     """``(id, n, piece, part)``: the sets of the documents that some pair needs, cut into fragments of the global order."""
 
@@ -214,8 +221,10 @@ def _sets(docs: DataFrame, needed: DataFrame, words: int) -> DataFrame:
             for i, doc in enumerate(batch.column("doc_id").to_pylist()):
                 own = h[cut[i] : cut[i + 1]]
                 piece = np.searchsorted(own >> np.uint64(62), np.arange(FRAGMENTS + 1, dtype=np.uint64))
-                for p in range(FRAGMENTS):
-                    for column, x in zip(rows, (doc, len(own), p, _short(own[piece[p] : piece[p + 1]])), strict=True):
+                parts = [_short(own[piece[p] : piece[p + 1]]) for p in range(FRAGMENTS)]
+                parts.append((own[: piece[1]] >> np.uint64(16)).astype("<u2").tobytes())
+                for p, part in enumerate(parts):
+                    for column, x in zip(rows, (doc, len(own), p, part), strict=True):
                         column.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(r, t) for r, t in zip(rows, (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], ["id", "n", "piece", "part"])
 
@@ -223,40 +232,49 @@ def _sets(docs: DataFrame, needed: DataFrame, words: int) -> DataFrame:
     return wanted.mapInArrow(run, "id long, n long, piece int, part binary")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs ``(a, b)`` whose sets reach the similarity.
+def _overlaps(pairs: DataFrame, sets: DataFrame, sketch: bool) -> DataFrame:
+    """``(a, b, na, nb, shared, here)``: for each pair sizes, elements shared in the fragments, and elements there of both.
 
     A document's pairs are dealt out in groups of about ``GROUP``, each fragment for itself.
     """
+    sets = sets.filter(F.col("piece") == SKETCH if sketch else F.col("piece") < SKETCH)
     salted = pairs.join(pairs.groupBy("a").agg(F.count("*").alias("m")), "a")
     salted = broadcast_if_small(salted.select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("m") / GROUP)).alias("salt")))
     columns = ["a", "salt", "piece", "b", "n", "part"]
     members = salted.join(sets, F.col("b") == F.col("id")).select(*columns)
     centres = broadcast_if_small(salted.select("a", "salt").distinct()).join(sets, F.col("a") == F.col("id")).withColumn("b", F.lit(None).cast("long")).select(*columns)
+    read, width = (_two, 2) if sketch else (_long, _BYTES)
 
     def overlaps(table: pa.Table) -> pa.Table:
         b = table.column("b").to_pylist()
         parts, n = table.column("part").to_pylist(), table.column("n").to_pylist()
         at = b.index(None)
-        centre = _long([parts[at]])
+        centre = np.sort(read([parts[at]]))
         rows = list({x: i for i, x in enumerate(b) if x is not None}.values())
-        lengths = np.array([len(parts[i]) // _BYTES for i in rows])
-        flat = _long([parts[i] for i in rows])
+        lengths = np.array([len(parts[i]) // width for i in rows], np.int64)
+        flat = read([parts[i] for i in rows])
         place = np.searchsorted(centre, flat)
         hit = np.zeros(len(flat) + 1, np.int64)
         if len(centre):
             np.cumsum(centre[np.minimum(place, len(centre) - 1)] == flat, out=hit[1:])
         ends = np.cumsum(lengths)
         a = table.column("a")[0].as_py()
-        return pa.table({"a": pa.array([a] * len(rows), pa.int64()), "b": pa.array([b[i] for i in rows], pa.int64()), "na": pa.array([n[at]] * len(rows), pa.int64()), "nb": pa.array([n[i] for i in rows], pa.int64()), "shared": pa.array(hit[ends] - hit[ends - lengths], pa.int64())})
+        values = ([a] * len(rows), [b[i] for i in rows], [n[at]] * len(rows), [n[i] for i in rows], hit[ends] - hit[ends - lengths], lengths + len(centre))
+        return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(("a", "b", "na", "nb", "shared", "here"), values, strict=True)})
 
-    counted = members.unionByName(centres).groupBy("a", "salt", "piece").applyInArrow(overlaps, "a long, b long, na long, nb long, shared long")
-    summed = counted.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max("na").alias("na"), F.max("nb").alias("nb"))
-    return summed.filter(f"100 * shared >= {percent} * (na + nb - shared)").select("a", "b")
+    counted = members.unionByName(centres).groupBy("a", "salt", "piece").applyInArrow(overlaps, "a long, b long, na long, nb long, shared long, here long")
+    return counted.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.sum("here").alias("here"), F.max("na").alias("na"), F.max("nb").alias("nb"))
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs ``(a, b)`` whose sets reach the similarity: first by sketch, the rest by all fragments."""
+    near = _overlaps(pairs, sets, True).filter(f"{100 + percent} * (here - 2 * shared) <= {100 - percent} * (na + nb)").select("a", "b")
+    near = written(near, "near")
+    return _overlaps(near, sets, False).filter(f"100 * shared >= {percent} * (na + nb - shared)").select("a", "b")
 
 
 def _centred(lists: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)`` of a list's centre and each of its other documents.
+    """``(key, a, docs)``: lists with their centre.
 
     A list's centre is the document that meets most others over all lists (ties: the smallest id). The
     original of a group of near copies meets each of them more often than they meet each other,
@@ -266,23 +284,34 @@ def _centred(lists: DataFrame) -> DataFrame:
     fame = member.groupBy("doc").agg(F.sum("meets").alias("fame"))
     ranked = member.select("key", "doc").join(fame, "doc").select("key", F.struct((-F.col("fame")).alias("fame"), "doc").alias("x"))
     centre = ranked.groupBy("key").agg(F.min("x").alias("x")).select("key", F.col("x.doc").alias("a"))
-    return lists.join(centre, "key").select("a", F.explode("docs").alias("b")).filter("a <> b").distinct()
+    return lists.join(centre, "key").select("key", "a", "docs")
 
 
-def _late_links(pairs: DataFrame, sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+def _late_links(lists: DataFrame, sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """Links ``(a, b)`` between components that the links with centres have left apart.
 
-    Two documents of one list share its centre, so the documents around each centre hold all
-    candidate pairs. Where they are in several components they are compared in blocks of about
-    ``GROUP``; each pair of blocks counts overlaps fragment by fragment, sums them, and sends on a spanning
-    forest of its links.
+    A list is open if its documents, the centre aside, are in several components. Only the documents of open
+    lists can have such links, and two of one list share its centre: around each
+    centre they are compared in blocks of about ``GROUP``; each pair of blocks counts overlaps
+    fragment by fragment, sums them, and sends on a spanning forest of its links.
     """
-    member = pairs.select("a", F.col("b").alias("doc")).unionByName(pairs.select("a", F.col("a").alias("doc")).distinct())
-    member = member.join(found, F.col("doc") == F.col("id"), "left").select("a", "doc", F.coalesce("component", "doc").alias("component"))
-    around = member.groupBy("a").agg(F.count("*").alias("m"), F.min("component").alias("x"), F.max("component").alias("y")).filter("m > 2 AND x <> y")
+    member = lists.filter("size(docs) > 2").select("key", "a", F.explode("docs").alias("doc")).filter("a <> doc")
+    member = member.join(found, F.col("doc") == F.col("id"), "left").select("key", "a", "doc", F.coalesce("component", "doc").alias("component"))
+    still_open = member.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key")
+    member = written(member.join(still_open, "key", "left_semi").select("a", "doc", "component").distinct(), "member")
+    alive = written(_in_blocks(member, sets, percent, True).select("a", F.col("b").alias("doc")).distinct(), "alive")
+    return _in_blocks(member.join(alive, ["a", "doc"], "left_semi"), sets, percent, False)
+
+
+def _in_blocks(member: DataFrame, sets: DataFrame, percent: int, sketch: bool) -> DataFrame:
+    """Compare ``(a, doc, component)`` around each ``a``: a spanning forest of the links between components
+    as ``(a, b)``; by sketch, the documents that may have such a link as ``(a, doc)``, named a and b."""
+    around = member.groupBy("a").agg(F.count("*").alias("m"))
     member = member.join(around.select("a", F.ceil(F.col("m") / GROUP).alias("blocks")), "a").withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")))
     member = member.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     member = member.select("a", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc", "component")
+    sets = sets.filter(F.col("piece") == SKETCH if sketch else F.col("piece") < SKETCH)
+    read, width = (_two, 2) if sketch else (_long, _BYTES)
 
     def compare(table: pa.Table) -> pa.Table:
         doc, component, own, n, piece = (table.column(c).to_numpy() for c in ("doc", "component", "own", "n", "piece"))
@@ -292,10 +321,14 @@ def _late_links(pairs: DataFrame, sets: DataFrame, found: DataFrame, percent: in
         low, high = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         x, y = np.flatnonzero(own == low), np.flatnonzero(own == high)
         shared = np.zeros((len(x), len(y)), np.float32)
-        for p in range(FRAGMENTS):
+        here, twice = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+        for p in np.unique(piece).tolist():
             rows = dict(zip(number[piece == p].tolist(), np.flatnonzero(piece == p).tolist(), strict=True))
-            flat = _long([parts[r] for r in rows.values()])
-            who = np.repeat(np.array(list(rows), np.int64), [len(parts[r]) // _BYTES for r in rows.values()])
+            flat = read([parts[r] for r in rows.values()])
+            who = np.repeat(np.array(list(rows), np.int64), [len(parts[r]) // width for r in rows.values()])
+            here += np.bincount(who, minlength=len(ids))
+            if sketch:
+                twice = here - np.bincount(np.unique(who << 16 | flat.astype(np.int64)) >> 16, minlength=len(ids))
             _, which, times = np.unique(flat, return_inverse=True, return_counts=True)
             several = times[which] > 1
             which, who = which[several], who[several]
@@ -304,12 +337,18 @@ def _late_links(pairs: DataFrame, sets: DataFrame, found: DataFrame, percent: in
             order = np.argsort(which, kind="stable")
             which, who = which[order], who[order]
             for s in range(0, int(which[-1]) + 1 if len(which) else 0, 4096):
-                here = slice(*np.searchsorted(which, (s, s + 4096)))
+                span = slice(*np.searchsorted(which, (s, s + 4096)))
                 has = np.zeros((len(ids), 4096), np.float32)
-                has[who[here], which[here] - s] = 1
+                has[who[span], which[span] - s] = 1
                 shared += has[x] @ has[y].T
         total = n[x][:, None] + n[y]
-        linked = (100 * shared >= percent * (total - shared)) & (component[x][:, None] != component[y])
+        apart = component[x][:, None] != component[y]
+        if sketch:
+            least = here[x][:, None] + here[y] - 2 * (shared + np.minimum(twice[x][:, None], twice[y]))
+            may = apart & ((100 + percent) * least <= (100 - percent) * total)
+            alive = np.union1d(ids[x[may.any(1)]], ids[y[may.any(0)]])
+            return pa.table({"a": pa.array([table.column("a")[0].as_py()] * len(alive), pa.int64()), "b": pa.array(alive, pa.int64())})
+        linked = (100 * shared >= percent * (total - shared)) & apart
         root = {c: c for c in component.tolist()}
 
         def find(k: int) -> int:
@@ -345,12 +384,13 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: st
     equal = described.filter("digest IS NOT NULL AND doc_id IS NOT NULL")
     equal = equal.join(equal.groupBy("digest").agg(F.min("doc_id").alias("b"), F.count("*").alias("m")).filter("m > 1"), "digest").select(F.col("doc_id").alias("a"), "b")
 
-    pairs = written(_centred(lists), "pairs")
+    lists = written(_centred(lists), "centred")
+    pairs = written(lists.select("a", F.explode("docs").alias("b")).filter("a <> b").distinct(), "pairs")
     needed = lists.select(F.explode("docs").alias("id")).distinct()
     sets = written(_sets(docs, needed, words), "sets")
     links = written(equal.unionByName(verified(pairs, sets, percent)), "links")
     found = written(components(links), "found")
-    late = written(_late_links(pairs, sets, found, percent), "late")
+    late = written(_late_links(lists, sets, found, percent), "late")
     if not late.isEmpty():
         found = written(components(links.unionByName(late)), "found")
     out = described.join(found, F.col("doc_id") == F.col("id"), "left")
