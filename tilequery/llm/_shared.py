@@ -37,9 +37,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
-    """Write ``df`` and hint a broadcast only where its counted rows are few; else joins shuffle, and AQE splits hot keys."""
-    df = written(df, "small")
+def broadcast_if_small(df: DataFrame, most_rows: int = 1_000_000, stored: bool = False) -> DataFrame:
+    """Write ``df`` (unless it is ``stored``) and hint a broadcast only where its counted rows are few; else joins shuffle, and AQE splits hot keys."""
+    df = df if stored else written(df, "small")
     return F.broadcast(df) if df.count() <= most_rows else df
 
 

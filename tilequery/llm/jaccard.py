@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import broadcast_if_small, components, mixed, pack_ranges, range_bits, runs, small_batches, unpack, utf8, written
+from ._shared import broadcast_if_small, components, from_planes, mixed, pack_ranges, planes, range_bits, runs, small_batches, unpack, utf8, written
 
 #: Fragments in which the overlaps of candidate pairs are counted, and pairs of a document that one task group holds.
 FRAGMENTS, GROUP = 4, 500
@@ -174,10 +174,12 @@ def _candidate_lists(docs: DataFrame, words: int, percent: int) -> DataFrame:
             one[list(first.values())] = True
             owner, h = owner[one[owner]], h[one[owner]]
             own, keys = fragment_keys(owner, h, percent)
-            yield pack_ranges(bits, keys, docs=ids[own])
+            rows = pack_ranges(bits, keys, docs=ids[own])
+            docs = [planes(np.frombuffer(x, "<i8")) for x in rows.column("docs").to_pylist()]
+            yield rows.set_column(rows.schema.get_field_index("docs"), "docs", pa.array(docs, pa.binary()))
 
     def meet(table: pa.Table) -> pa.Table:
-        keys, ids = unpack(table.column("keys"), "<u4"), unpack(table.column("docs"), "<i8")
+        keys, ids = unpack(table.column("keys"), "<u4"), from_planes(table.column("docs"), "<i8")
         order = np.lexsort((ids, keys))
         keys, ids = keys[order], ids[order]
         keep = runs(keys, ids)
@@ -281,7 +283,7 @@ def _centred(lists: DataFrame) -> DataFrame:
     so few documents are centres, and most links are links with a centre.
     """
     member = lists.select("key", F.explode("docs").alias("doc"), (F.size("docs") - 1).cast("long").alias("meets"))
-    fame = member.groupBy("doc").agg(F.sum("meets").alias("fame"))
+    fame = broadcast_if_small(member.groupBy("doc").agg(F.sum("meets").alias("fame")))
     ranked = member.select("key", "doc").join(fame, "doc").select("key", F.struct((-F.col("fame")).alias("fame"), "doc").alias("x"))
     centre = ranked.groupBy("key").agg(F.min("x").alias("x")).select("key", F.col("x.doc").alias("a"))
     return lists.join(centre, "key").select("key", "a", "docs")
@@ -296,8 +298,8 @@ def _late_links(lists: DataFrame, sets: DataFrame, found: DataFrame, percent: in
     fragment by fragment, sums them, and sends on a spanning forest of its links.
     """
     member = lists.filter("size(docs) > 2").select("key", "a", F.explode("docs").alias("doc")).filter("a <> doc")
-    member = member.join(found, F.col("doc") == F.col("id"), "left").select("key", "a", "doc", F.coalesce("component", "doc").alias("component"))
-    still_open = member.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key")
+    member = member.join(broadcast_if_small(found, stored=True), F.col("doc") == F.col("id"), "left").select("key", "a", "doc", F.coalesce("component", "doc").alias("component"))
+    still_open = broadcast_if_small(member.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key"))
     member = written(member.join(still_open, "key", "left_semi").select("a", "doc", "component").distinct(), "member")
     alive = written(_in_blocks(member, sets, percent, True).select("a", F.col("b").alias("doc")).distinct(), "alive")
     return _in_blocks(member.join(alive, ["a", "doc"], "left_semi"), sets, percent, False)
