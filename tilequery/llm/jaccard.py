@@ -212,8 +212,8 @@ def _two(parts: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(parts), "<u2")
 
 
-def _sets(docs: DataFrame, needed: DataFrame, words: int) -> DataFrame:
-    """``(id, n, piece, part)``: the sets of the documents that some pair needs, cut into fragments of the global order."""
+def _sets(docs: DataFrame, needed: DataFrame, words: int, sketch: bool) -> DataFrame:
+    """``(id, n, piece, part)``: the sets of the documents that some pair needs, cut into fragments of the global order; or their sketches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
@@ -223,14 +223,16 @@ def _sets(docs: DataFrame, needed: DataFrame, words: int) -> DataFrame:
             for i, doc in enumerate(batch.column("doc_id").to_pylist()):
                 own = h[cut[i] : cut[i + 1]]
                 piece = np.searchsorted(own >> np.uint64(62), np.arange(FRAGMENTS + 1, dtype=np.uint64))
-                parts = [_short(own[piece[p] : piece[p + 1]]) for p in range(FRAGMENTS)]
-                parts.append((own[: piece[1]] >> np.uint64(16)).astype("<u2").tobytes())
-                for p, part in enumerate(parts):
+                if sketch:
+                    parts = {SKETCH: (own[: piece[1]] >> np.uint64(16)).astype("<u2").tobytes()}
+                else:
+                    parts = {p: _short(own[piece[p] : piece[p + 1]]) for p in range(FRAGMENTS)}
+                for p, part in parts.items():
                     for column, x in zip(rows, (doc, len(own), p, part), strict=True):
                         column.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(r, t) for r, t in zip(rows, (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], ["id", "n", "piece", "part"])
 
-    wanted = docs.join(broadcast_if_small(needed.select(F.col("id").alias("doc_id"))), "doc_id", "left_semi")
+    wanted = docs.join(broadcast_if_small(needed.select(F.col("id").alias("doc_id")).distinct()), "doc_id", "left_semi")
     return wanted.mapInArrow(run, "id long, n long, piece int, part binary")
 
 
@@ -239,7 +241,6 @@ def _overlaps(pairs: DataFrame, sets: DataFrame, sketch: bool) -> DataFrame:
 
     A document's pairs are dealt out in groups of about ``GROUP``, each fragment for itself.
     """
-    sets = sets.filter(F.col("piece") == SKETCH if sketch else F.col("piece") < SKETCH)
     salted = pairs.join(pairs.groupBy("a").agg(F.count("*").alias("m")), "a")
     salted = broadcast_if_small(salted.select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("m") / GROUP)).alias("salt")))
     columns = ["a", "salt", "piece", "b", "n", "part"]
@@ -268,11 +269,12 @@ def _overlaps(pairs: DataFrame, sets: DataFrame, sketch: bool) -> DataFrame:
     return counted.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.sum("here").alias("here"), F.max("na").alias("na"), F.max("nb").alias("nb"))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, sketches: DataFrame, words: int, percent: int) -> DataFrame:
     """Those of the pairs ``(a, b)`` whose sets reach the similarity: first by sketch, the rest by all fragments."""
-    near = _overlaps(pairs, sets, True).filter(f"{100 + percent} * (here - 2 * shared) <= {100 - percent} * (na + nb)").select("a", "b")
+    near = _overlaps(pairs, sketches, True).filter(f"{100 + percent} * (here - 2 * shared) <= {100 - percent} * (na + nb)").select("a", "b")
     near = written(near, "near")
-    return _overlaps(near, sets, False).filter(f"100 * shared >= {percent} * (na + nb - shared)").select("a", "b")
+    needed = near.select(F.explode(F.array("a", "b")).alias("id"))
+    return _overlaps(near, written(_sets(docs, needed, words, False), "sets"), False).filter(f"100 * shared >= {percent} * (na + nb - shared)").select("a", "b")
 
 
 def _centred(lists: DataFrame) -> DataFrame:
@@ -289,7 +291,7 @@ def _centred(lists: DataFrame) -> DataFrame:
     return lists.join(centre, "key").select("key", "a", "docs")
 
 
-def _late_links(lists: DataFrame, sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+def _late_links(lists: DataFrame, docs: DataFrame, sketches: DataFrame, found: DataFrame, words: int, percent: int) -> DataFrame:
     """Links ``(a, b)`` between components that the links with centres have left apart.
 
     A list is open if its documents, the centre aside, are in several components. Only the documents of open
@@ -301,7 +303,8 @@ def _late_links(lists: DataFrame, sets: DataFrame, found: DataFrame, percent: in
     member = member.join(broadcast_if_small(found, stored=True), F.col("doc") == F.col("id"), "left").select("key", "a", "doc", F.coalesce("component", "doc").alias("component"))
     still_open = broadcast_if_small(member.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key"))
     member = written(member.join(still_open, "key", "left_semi").select("a", "doc", "component").distinct(), "member")
-    alive = written(_in_blocks(member, sets, percent, True).select("a", F.col("b").alias("doc")).distinct(), "alive")
+    alive = written(_in_blocks(member, sketches, percent, True).select("a", F.col("b").alias("doc")).distinct(), "alive")
+    sets = _sets(docs, alive.select(F.col("doc").alias("id")), words, False)
     return _in_blocks(member.join(alive, ["a", "doc"], "left_semi"), sets, percent, False)
 
 
@@ -312,7 +315,6 @@ def _in_blocks(member: DataFrame, sets: DataFrame, percent: int, sketch: bool) -
     member = member.join(around.select("a", F.ceil(F.col("m") / GROUP).alias("blocks")), "a").withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")))
     member = member.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     member = member.select("a", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc", "component")
-    sets = sets.filter(F.col("piece") == SKETCH if sketch else F.col("piece") < SKETCH)
     read, width = (_two, 2) if sketch else (_long, _BYTES)
 
     def compare(table: pa.Table) -> pa.Table:
@@ -382,17 +384,21 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: st
     """
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     described = written(_described(docs, words), "described")
-    lists = written(_candidate_lists(docs, words, percent), "lists")
     equal = described.filter("digest IS NOT NULL AND doc_id IS NOT NULL")
     equal = equal.join(equal.groupBy("digest").agg(F.min("doc_id").alias("b"), F.count("*").alias("m")).filter("m > 1"), "digest").select(F.col("doc_id").alias("a"), "b")
+    equal = written(equal.filter("a <> b").distinct(), "equal")
+    # Of equal sets the smallest id stands for all. An id that several rows carry is left in: they may differ.
+    several = described.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("a"))
+    docs = docs.join(broadcast_if_small(equal.join(several, "a", "left_anti").select(F.col("a").alias("doc_id"))), "doc_id", "left_anti")
 
+    lists = written(_candidate_lists(docs, words, percent), "lists")
     lists = written(_centred(lists), "centred")
     pairs = written(lists.select("a", F.explode("docs").alias("b")).filter("a <> b").distinct(), "pairs")
-    needed = lists.select(F.explode("docs").alias("id")).distinct()
-    sets = written(_sets(docs, needed, words), "sets")
-    links = written(equal.unionByName(verified(pairs, sets, percent)), "links")
+    needed = lists.select(F.explode("docs").alias("id"))
+    sketches = written(_sets(docs, needed, words, True), "sketches")
+    links = written(equal.unionByName(verified(pairs, docs, sketches, words, percent)), "links")
     found = written(components(links), "found")
-    late = written(_late_links(lists, sets, found, percent), "late")
+    late = written(_late_links(lists, docs, sketches, found, words, percent), "late")
     if not late.isEmpty():
         found = written(components(links.unionByName(late)), "found")
     out = described.join(found, F.col("doc_id") == F.col("id"), "left")
