@@ -155,6 +155,34 @@ def test_language_model(spark, docs):
     assert lm.score(docs, *empty).count() == docs.count()
 
 
+def test_language_model_keeps_rare_ngrams(spark, docs, monkeypatch):
+    monkeypatch.setattr(lm, "ARC", 0.01)  # nearly every n-gram is rare, as on large tables
+    monkeypatch.setattr(lm, "HEAD", 0.001)
+    train = docs.filter(lm.crc32_mod("doc_id", 5) != 1)
+    got = {r.doc_id: r.score for r in lm.score(docs, *lm.train(train)).collect()}
+    c = Counter()
+    for r in train.collect():
+        w = ["", *words(r.text), ""]
+        for i in range(1, len(w)):
+            c.update([(w[i],), (w[i - 1], w[i])] + ([tuple(w[i - 2 : i + 1])] if i > 1 else []))
+    tokens = sum(n for g, n in c.items() if len(g) == 1)
+    z = tokens + 0.5 * (sum(len(g) == 1 for g in c) + 1)
+    follow, total = Counter(g[:-1] for g in c), Counter()
+    for g, n in c.items():
+        total[g[:-1]] += n
+
+    def p(history, word):
+        if not history:
+            return (c[(word,)] + 0.5) / z
+        if not total[history]:
+            return p(history[1:], word)
+        return max(c[(*history, word)] - 0.7, 0) / total[history] + 0.7 * follow[history] / total[history] * p(history[1:], word)
+
+    for r in docs.collect():
+        w = ["", *words(r.text), ""]
+        assert got[r.doc_id] == pytest.approx(sum(np.log10(p(tuple(w[max(0, i - 2) : i]), w[i])) for i in range(1, len(w))), rel=1e-9)
+
+
 def test_cover_tree(spark):
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(40, 8))

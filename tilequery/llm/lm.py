@@ -1,21 +1,22 @@
 """Language-model scores from a weighted backoff automaton.
 
-Smoothed n-grams become states with failure arcs. A text is read once from left to right: at each
-word the automaton follows the state's arc, or adds the failure weight and falls back to a
-shorter history until an arc exists.
-
-The model has no cap that depends on the corpus. Words are counted exactly. Words that make up at least
-``HEAD`` of all tokens (at most 1 / HEAD of them, a proven bound) and n-grams that make up at least ``ARC``
-(at most 1 / ARC of each order) travel in the automaton, which is broadcast; all other words take
-their exact counts from a join. Dropped n-grams leave their mass to the failure arc, so
-probabilities of each state still sum to one.
+Smoothed n-grams become states with failure arcs: at each word the automaton follows the state's
+arc, or adds the failure weight and falls back to a shorter history until an arc exists.
+
+All n-grams of the training rows are in the model, at any input size. Arcs ``(n-gram, p)`` and failure
+weights ``(history, weight)`` are Spark tables, keyed by 64-bit hashes of words and of word sequences
+(two of a billion sequences share a hash with a chance of 3 %), and each text's n-grams are joined to them.
+Only what is frequent is broadcast, to spare that join: words of at least ``HEAD`` of all tokens (at most
+1 / HEAD of them, a proven bound) and n-grams of at least ``ARC`` (at most 1 / ARC of each order).
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import crc32_mod, small_batches, utf8, written
+from ._shared import crc32_mod, mixed, small_batches, utf8, written
 
 HEAD, ARC, ORDER, DISCOUNT = 2e-6, 1e-5, 3, 0.7
 #: Distinct keys that a task counts before it passes partial counts on.
@@ -59,25 +60,69 @@ def count_words(df: DataFrame, text_col: str = "text") -> DataFrame:
     return df.select(text_col).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+class Keys:
+    """64-bit keys of words and of word sequences; a worker remembers the words it has met."""
+
+    def __init__(self) -> None:
+        self.seen: dict[bytes, int] = {}
+
+    def word(self, word: bytes) -> int:
+        key = self.seen.get(word)
+        if key is None:
+            if len(self.seen) > _FLUSH:
+                self.seen.clear()
+            key = self.seen[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little", signed=True)
+        return key
+
+    def places(self, texts: list[bytes], order: int = ORDER) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray], np.ndarray]:
+        """(text, keys of the n-grams that end here by order, keys of their histories by order, words before) of each place, end tokens included.
+
+        A history starts with one end token. An n-gram of ``n`` words exists from ``n - 2`` words before.
+        """
+        split = [[*words(t), END] for t in texts]
+        sizes = np.array([len(w) for w in split], np.int64)
+        text = np.repeat(np.arange(len(split)), sizes)
+        before = np.arange(len(text)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        word = np.fromiter((self.word(w) for ws in split for w in ws), np.int64, len(text)).view(np.uint64)
+        grams, histories = [word], []
+        for length in range(1, order):
+            history = np.roll(grams[-1], 1)
+            if length == 1:
+                history[before == 0] = np.int64(self.word(END)).astype(np.uint64)
+            histories.append(history)
+            grams.append(pair(history, word))
+        return text, [g.view(np.int64) for g in grams], [h.view(np.int64) for h in histories], before
+
+
+def pair(history: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mixed(mixed(history) + word)
+
+
 class Automaton:
-    """States 0 (no history) and up; ``arcs[state * words + word] = (log10 probability, next state)``."""
+    """The frequent part of the model: states 0 (no history) and up; ``arcs[state * words + word] = (log10 probability, next state)``.
+
+    ``often`` holds the keys of the frequent n-grams of the last order, sorted, and ``often_log`` their log10 probabilities.
+    """
 
     def __init__(self, head: dict[bytes, int], counts: list[int], tokens: int, types: int) -> None:
         self.head, self.width = head, len(counts)
         self.log_z = math.log10(tokens + 0.5 * (types + 1)) if tokens else 0.0
         self.base = [math.log10(n + 0.5) - self.log_z for n in counts]
-        self.fail, self.fail_log, self.length, self.total = [ROOT], [0.0], [0], [tokens]
+        self.fail, self.fail_log = [ROOT], [0.0]
         self.arcs: dict[int, tuple[float, int]] = {w: (p, ROOT) for w, p in enumerate(self.base)}
-        for w, n in enumerate(counts):
+        keys = Keys()
+        self.states: dict[int, int] = {}
+        self.last: dict[int, int] = {keys.word(word): w for word, w in head.items()}
+        self.often, self.often_log = np.zeros(0, np.int64), np.zeros(0)
+        for (key, w), n in zip(self.last.items(), counts, strict=True):
             if n >= ARC * tokens:
-                self.arcs[w] = (self.base[w], self._state(ROOT, 1, n))
+                self.states[key] = self._state(ROOT)
+                self.arcs[w] = (self.base[w], self.states[key])
         self.start = self.arcs[head[END]][1] if END in head else ROOT
 
-    def _state(self, fail: int, length: int, total: int) -> int:
+    def _state(self, fail: int) -> int:
         self.fail.append(fail)
         self.fail_log.append(0.0)
-        self.length.append(length)
-        self.total.append(total)
         return len(self.fail) - 1
 
     def log_p(self, state: int, word: int) -> tuple[float, int]:
@@ -90,133 +135,167 @@ class Automaton:
             p += self.fail_log[state]
             state = self.fail[state]
 
-    def grow(self, grams: list[tuple[int, int, int]], last: bool) -> None:
-        """Add n-grams (state of the history, word, count) of one order, interpolated with the order below."""
-        by_state: dict[int, list[tuple[int, int]]] = {}
-        for s, w, n in sorted(grams):
-            by_state.setdefault(s, []).append((w, n))
-        new = {}
-        for s, own in by_state.items():
-            total = max(self.total[s], sum(n for _, n in own))
-            left = max(1e-12, 1 - sum(n - DISCOUNT for _, n in own) / total)
-            for w, n in own:
-                below, after = self.log_p(self.fail[s], w)
-                deeper = after if last or w == self.head.get(END) else self._state(after, self.length[s] + 1, n)
-                new[s * self.width + w] = (math.log10((n - DISCOUNT) / total + left * 10**below), deeper)
-            self.fail_log[s] = math.log10(left)
+    def grow(self, grams: list[tuple[int, int, int, float, float]], last: bool) -> None:
+        """Add n-grams (key, key of the history, key without the first word, log10 p, failure weight of the history) of one order."""
+        new, states, ends = {}, {}, {}
+        for key, history, below, p, weight in grams:
+            s, w = self.states[history], self.last[below]
+            after = self.log_p(self.fail[s], w)[1]
+            if not last and w != self.head.get(END):
+                after = states[key] = self._state(after)
+            self.fail_log[s] = weight
+            new[s * self.width + w], ends[key] = (p, after), w
         self.arcs.update(new)
+        self.states, self.last = states, ends
+        if last and grams:
+            keys, logs = np.array([g[0] for g in grams], np.int64), np.array([g[3] for g in grams])
+            by_key = np.argsort(keys)
+            self.often, self.often_log = keys[by_key], logs[by_key]
+
+
+class Model(NamedTuple):
+    """The whole model: ``words (word, key, n)``, and by order from 2 up ``arcs (gram, log_p)`` and ``fails (history, weight)``."""
 
-    def read(self, ids: list[int]) -> tuple[float, float, int]:
-        """(score, base score, words of the head) of a text; -1 is a word outside the head, whose own count is still to be added."""
-        arcs, fail, fail_log, width, base, missing = self.arcs, self.fail, self.fail_log, self.width, self.base, -self.log_z
-        state, score, plain, known = self.start, 0.0, 0.0, 0
-        for w in ids:
-            if w < 0:
-                while state:
-                    score += fail_log[state]
-                    state = fail[state]
-                score += missing
-                plain += missing
-                continue
-            known += 1
-            plain += base[w]
-            hit = arcs.get(state * width + w)
-            while hit is None:
-                score += fail_log[state]
-                state = fail[state]
-                hit = arcs.get(state * width + w)
-            score += hit[0]
-            state = hit[1]
-        return score, plain, known
-
-
-def _count_grams(df: DataFrame, automaton, length: int, text_col: str) -> DataFrame:
-    """``(state, word, n)``: how often each head word follows each state whose history has ``length`` words."""
+    words: DataFrame
+    arcs: list[DataFrame]
+    fails: list[DataFrame]
 
+
+def _with_keys(counts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = automaton.value
-        head, width, arcs, fail = own.head, own.width, own.arcs, own.fail
-        wanted = [n == length for n in own.length]
-        often = [arcs[w][1] != ROOT or own.base[w] + own.log_z >= math.log10(ARC * own.total[0]) for w in range(width)]
-        seen: Counter = Counter()
+        keys = Keys()
+        for batch in batches:
+            own = pa.array([keys.word(w) for w in batch.column("word").to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("word"), own, batch.column("n")], ["word", "key", "n"])
 
-        def flush() -> pa.RecordBatch:
-            keys = np.fromiter(seen.keys(), np.int64, len(seen))
-            out = pa.RecordBatch.from_arrays([pa.array(keys // width), pa.array(keys % width), pa.array(seen.values(), pa.int64())], ["state", "word", "n"])
-            seen.clear()
-            return out
+    return counts.mapInArrow(run, "word binary, key long, n long")
+
+
+def _count_grams(df: DataFrame, length: int, text_col: str) -> DataFrame:
+    """``(gram, history, below, n)`` of all n-grams whose history has ``length`` words."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = Keys()
         for batch in small_batches(batches, text_col):
-            for text in utf8(batch.column(text_col)):
-                state, keys = own.start, []
-                for word in (*words(text), END):
-                    w = head.get(word, -1)
-                    if w < 0:
-                        state = ROOT
-                        continue
-                    if wanted[state] and often[w]:
-                        keys.append(state * width + w)
-                    hit = arcs.get(state * width + w)
-                    while hit is None:
-                        state = fail[state]
-                        hit = arcs.get(state * width + w)
-                    state = hit[1]
-                seen.update(keys)
-            if len(seen) > _FLUSH:
-                yield flush()
-        if seen:
-            yield flush()
+            _, grams, histories, before = keys.places(utf8(batch.column(text_col)), length + 1)
+            real = before >= length - 1
+            gram, at, n = np.unique(grams[length][real], return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (gram, histories[length - 1][real][at], grams[length - 1][real][at], n.astype(np.int64))], ["gram", "history", "below", "n"])
 
-    return df.select(text_col).mapInArrow(run, "state long, word long, n long").groupBy("state", "word").agg(F.sum("n").alias("n"))
+    found = df.select(text_col).mapInArrow(run, "gram long, history long, below long, n long")
+    return found.groupBy("gram").agg(F.max("history").alias("history"), F.max("below").alias("below"), F.sum("n").alias("n"))
 
 
-def train(df: DataFrame, text_col: str = "text", order: int = ORDER) -> tuple[DataFrame, Automaton, int]:
-    """Counts of all words, the automaton, and the number of tokens. An empty table gives a model without words."""
-    counts = written(count_words(df, text_col), "words")
+def train(df: DataFrame, text_col: str = "text", order: int = ORDER) -> tuple[Model, Automaton, int]:
+    """The whole model, its frequent part, and the number of tokens. An empty table gives a model without words."""
+    counts = written(_with_keys(count_words(df, text_col)), "words")
     tokens, types = (x or 0 for x in counts.agg(F.sum("n"), F.count("*")).first())
     rows = counts.filter(F.col("n") >= HEAD * tokens).orderBy("word").toArrow()
     head = {w: i for i, w in enumerate(rows.column("word").to_pylist())}
     own = Automaton(head, rows.column("n").to_pylist(), tokens, types)
+    z = tokens + 0.5 * (types + 1)
+    below = counts.select(F.col("key").alias("below"), ((F.col("n") + 0.5) / z).alias("p"))
+    arcs, fails = [], []
     for length in range(1, order):
-        shared = df.sparkSession.sparkContext.broadcast(own)
-        grams = _count_grams(df, shared, length, text_col).filter(F.col("n") >= ARC * max(tokens, 1)).toArrow()
-        own.grow(list(zip(*[grams.column(c).to_pylist() for c in ("state", "word", "n")], strict=True)), length == order - 1)
-    return counts, own, tokens
-
+        grams = written(_count_grams(df, length, text_col), "grams")
+        # Every history is followed by a word or the end, so its total is the sum of its n-grams.
+        state = grams.groupBy("history").agg(F.sum("n").alias("total"), (DISCOUNT * F.count("*") / F.sum("n")).alias("left"))
+        state = written(state, "states")
+        p = (F.col("n") - DISCOUNT) / F.col("total") + F.col("left") * F.col("p")
+        whole = written(grams.join(state, "history").join(below, "below").select("gram", "history", "below", "n", p.alias("p"), F.log10(p).alias("log_p"), F.log10("left").alias("weight")), "arcs")
+        often = whole.filter(F.col("n") >= ARC * max(tokens, 1)).orderBy("gram").toArrow()
+        own.grow(list(zip(*[often.column(c).to_pylist() for c in ("gram", "history", "below", "log_p", "weight")], strict=True)), length == order - 1)
+        arcs.append(whole.select("gram", "log_p"))
+        fails.append(state.select("history", F.log10("left").alias("weight")))
+        below = whole.select(F.col("gram").alias("below"), "p")
+    return Model(counts, arcs, fails), own, tokens
+
+
+def _asks(numbered: DataFrame, shared, order: int, text_col: str) -> DataFrame:
+    """``(row, done, gram1, history1, .., gram of the last order)``: one row for each place of a text.
+
+    ``gram1`` is the word. Places that a frequent n-gram of the last order answers are summed up in
+    one row of each text, whose keys are null.
+    """
+    names = [f"gram{i + 1}" for i in range(order)] + [f"history{i + 1}" for i in range(1, order)]
 
-def score(df: DataFrame, counts: DataFrame, automaton: Automaton, tokens: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, often, logs = Keys(), shared.value.often, shared.value.often_log
+        for batch in small_batches(batches, text_col):
+            rows = np.asarray(batch.column("row"))
+            text, grams, histories, before = keys.places(utf8(batch.column(text_col)), order)
+            hit = np.zeros(len(text), bool)
+            done = np.zeros(len(rows))
+            if len(often):
+                at = np.minimum(np.searchsorted(often, grams[-1]), len(often) - 1)
+                hit = (often[at] == grams[-1]) & (before >= order - 2)
+                done = np.bincount(text[hit], logs[at[hit]], len(rows))
+            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(done), *[pa.nulls(len(rows), pa.int64()) for _ in names]], ["row", "done", *names])
+            ask = ~hit
+            early = [before[ask] < max(i - 1, 0) for i in range(order)]
+            columns = [pa.array(g[ask], mask=m) for g, m in zip(grams, early, strict=True)] + [pa.array(h[ask], mask=m) for h, m in zip(histories, early[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(rows[text[ask]]), pa.nulls(int(ask.sum()), pa.float64()), *columns], ["row", "done", *names])
+
+    return numbered.select("row", text_col).mapInArrow(run, "row long, done double, " + ", ".join(f"{n} long" for n in names))
+
+
+def _sums(numbered: DataFrame, model: Model, shared, tokens: int, text_col: str) -> DataFrame:
+    """``(row, score)``: from the longest history down, each place takes its arc, or the failure weight and asks the next order."""
+    order = len(model.arcs) + 1
+    asks = _asks(numbered, shared, order, text_col)
+    parts = []
+    for n in range(order, 1, -1):
+        rest = [f"gram{i}" for i in range(1, n)] + [f"history{i}" for i in range(2, n)]
+        arcs = model.arcs[n - 2].withColumnRenamed("gram", f"gram{n}")
+        found = asks.join(arcs, f"gram{n}", "left")
+        done = F.coalesce("log_p", "done")
+        miss = F.col("log_p").isNull() & F.col("gram1").isNotNull()
+        found = written(found.select("row", done.alias("done"), *[F.when(miss, F.col(c)).alias(c) for c in [*rest, f"history{n}"]]), "found")
+        parts.append(found.filter("done IS NOT NULL").groupBy("row").agg(F.sum("done").alias("score")))
+        asks = found.filter("gram1 IS NOT NULL")
+        fails = model.fails[n - 2].select(F.col("history").alias(f"history{n}"), "weight")
+        parts.append(asks.join(fails, f"history{n}").groupBy("row").agg(F.sum("weight").alias("score")))
+        asks = asks.select("row", F.lit(None).cast("double").alias("done"), *rest)
+    known = model.words.select(F.col("key").alias("gram1"), F.log10(F.col("n") + 0.5).alias("logs"))
+    left = asks.join(known, "gram1", "left").groupBy("row").agg(F.sum(F.coalesce("logs", F.lit(math.log10(0.5))) - F.lit(shared.value.log_z)).alias("score"))
+    for part in parts:
+        left = left.unionByName(part)
+    return left.groupBy("row").agg(F.sum("score").alias("score"))
+
+
+def score(df: DataFrame, model: Model, automaton: Automaton, tokens: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_tokens, n_known, train_tokens, base_score, score)`` for every row; null and empty texts are one end token.
 
     Rows are told apart by their place, so repeated ids stay repeated. Other columns play no part.
     """
     shared = df.sparkSession.sparkContext.broadcast(automaton)
+    numbered = written(df.select(id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "numbered")
     tail_type = T.ArrayType(T.StructType([T.StructField("word", T.BinaryType()), T.StructField("times", T.LongType())]))
-    schema = T.StructType([df.schema[id_col], T.StructField("n_tokens", T.LongType()), T.StructField("known", T.LongType()), T.StructField("base", T.DoubleType()), T.StructField("part", T.DoubleType()), T.StructField("tail", tail_type)])
+    schema = T.StructType([T.StructField("row", T.LongType()), df.schema[id_col], T.StructField("n_tokens", T.LongType()), T.StructField("known", T.LongType()), T.StructField("base", T.DoubleType()), T.StructField("tail", tail_type)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        get = own.head.get
+        get, base, missing = own.head.get, own.base, -own.log_z
         for batch in small_batches(batches, text_col):
             rows, tails, ends = [], [], [0]
             for text in utf8(batch.column(text_col)):
                 split = [*words(text), END]
                 ids = [get(w, -1) for w in split]
-                rows.append((len(ids), *own.read(ids)))
                 tail = Counter([w for w, i in zip(split, ids, strict=True) if i < 0])
+                rows.append((len(ids), sum([base[i] if i >= 0 else missing for i in ids]), len(ids) - tail.total()))
                 tails.append(tail)
                 ends.append(ends[-1] + len(tail))
             flat = pa.StructArray.from_arrays([pa.array([w for t in tails for w in t], pa.binary()), pa.array([n for t in tails for n in t.values()], pa.int64())], ["word", "times"])
-            n, total, plain, known = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(plain, pa.float64()), pa.array(total, pa.float64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], schema.names)
+            n, plain, known = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column(id_col), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(plain, pa.float64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], schema.names)
 
-    read = df.select(id_col, text_col).mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id())
-    read = written(read, "read")
-    rare = counts.filter(F.col("n") < HEAD * tokens).select("word", F.col("n").alias("c"))
+    read = written(numbered.select("row", id_col, text_col).mapInArrow(run, schema), "read")
+    rare = model.words.filter(F.col("n") < HEAD * tokens).select("word", F.col("n").alias("c"))
     tail = read.select("row", F.inline("tail")).join(rare, "word", "left")
     tail = tail.groupBy("row").agg(F.sum(F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("logs"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("found"))
-    whole = read.drop("tail").join(tail, "row", "left")
+    whole = read.drop("tail").join(tail, "row", "left").join(_sums(numbered, model, shared, tokens, text_col), "row")
     logs, found = F.coalesce("logs", F.lit(0.0)), F.coalesce("found", F.lit(0))
-    return whole.select(F.col(id_col), "n_tokens", (F.col("known") + found).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"), (F.col("base") + logs).alias("base_score"), (F.col("part") + logs).alias("score"))
+    return whole.select(F.col(id_col), "n_tokens", (F.col("known") + found).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"), (F.col("base") + logs).alias("base_score"), "score")
 
 
 def op2_lm_score(spark, sf_dir: str) -> DataFrame:
