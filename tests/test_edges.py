@@ -34,6 +34,25 @@ def test_histogram_edges(spark):
     assert [r.n for r in tiles.coverage_histogram(df).orderBy("bin").collect()] == want.tolist()
 
 
+def test_threshold_curves(spark):
+    t = [("s", 0, 0, 0.6, 0.2), ("s", 1, 0, 0.0, 0.5), ("s", 2, 0, 1.0, 0.0), ("s", 3, 0, 0.3, 0.4)]
+    v = {0: 0.5, 1: 0.25, 2: 1.0, 3: 0.75}
+    df = spark.createDataFrame(t, "slide_id string, x int, y int, roi_coverage_A double, roi_coverage_B double")
+    tissue = spark.createDataFrame([("s", x, 0, c) for x, c in v.items()], "slide_id string, x int, y int, roi_tissue_coverage double")
+    got = {tuple(r)[:4]: r.value for r in tiles.threshold_curves(df, tissue, ["A", "B"]).collect()}
+    at = np.linspace(0, 1, 1000)
+    groups = {("roi_coverage_A", "all"): [r[3] for r in t], ("roi_coverage_B", "all"): [r[4] for r in t], ("roi_tissue_coverage", "A"): [0.5, 1.0], ("roi_tissue_coverage", "B"): [0.25, 0.75]}
+    for g, values in groups.items():
+        assert got[(*g, "stat", "n")] == len(values) and got[(*g, "stat", "mean")] == pytest.approx(np.mean(values))
+        assert [got[(*g, "sweep", str(i))] for i in range(1000)] == [sum(x > a for x in values) for a in at]
+        assert sum(got[(*g, "histogram", str(i))] for i in range(20)) == len(values)
+    assert got["roi_tissue_coverage", "all", "stat", "n"] == 4
+    assert sum(n for k, n in got.items() if k[1:3] == ("annotated", "histogram_binary")) == 4
+    # Tiles of class B alone, counted as background where only A is a class.
+    one = {tuple(r)[:4]: r.value for r in tiles.threshold_curves(df, tissue, ["A"]).collect()}
+    assert one["roi_tissue_coverage", "background", "histogram_binary", "5"] == 1 and one["roi_coverage_A", "all", "stat", "n"] == 4
+
+
 def test_stems(spark):
     df = spark.createDataFrame([("/a/b.GEO.json",), ("/a/b.c.svs",), ("/a/.x",), ("plain",)], "path string")
     assert [r[0] for r in df.select(C.path_stem(F.col("path"))).collect()] == ["b", "b.c", ".x", "plain"]

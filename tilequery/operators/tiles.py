@@ -119,8 +119,8 @@ def coverage_histogram(df: DataFrame, *keys: str, value: str = "value", bins: in
     return grid.join(counted, [*keys, "bin"], "left").fillna(0, ["n"])
 
 
-def threshold_sweep(df: DataFrame, n: int = 1000, value: str = "value") -> DataFrame:
-    """``(i, threshold, above)``: rows strictly above each of ``n`` evenly spaced thresholds on [0, 1].
+def threshold_sweep(df: DataFrame, n: int = 1000, value: str = "value", keys: tuple[str, ...] = ()) -> DataFrame:
+    """``(*keys, i, threshold, above)``: rows of each group strictly above each of ``n`` evenly spaced thresholds on [0, 1].
 
     Values are put into buckets once; a reverse running sum over at most ``n + 1`` buckets gives all counts.
     """
@@ -128,12 +128,17 @@ def threshold_sweep(df: DataFrame, n: int = 1000, value: str = "value") -> DataF
     v = F.col(value)
     guess = F.greatest(F.lit(0), F.least(F.ceil(v * (n - 1)).cast("int"), F.lit(n)))  # thresholds 0 .. guess - 1 are below v
     fixed = F.when((guess > 0) & ((guess - 1) * step >= v), guess - 1).when((guess < n) & (guess * step < v), guess + 1).otherwise(guess)
-    counts = df.filter(v.isNotNull() & ~F.isnan(v)).groupBy(fixed.cast("int").alias("bucket")).agg(F.count("*").alias("c"))
+    counts = df.filter(v.isNotNull() & ~F.isnan(v)).groupBy(*keys, fixed.cast("int").alias("bucket")).agg(F.count("*").alias("c"))
     grid = df.sparkSession.range(0, n + 1, 1, 1).select(F.col("id").cast("int").alias("bucket"))
-    filled = grid.join(F.broadcast(counts), "bucket", "left").fillna(0, ["c"])
-    above = F.sum("c").over(W.orderBy(F.col("bucket").desc())) - F.col("c")
-    out = filled.select("bucket", (above + F.col("c")).alias("at_least"))
-    return out.filter("bucket > 0").select((F.col("bucket") - 1).alias("i"), ((F.col("bucket") - 1) * step).alias("threshold"), F.col("at_least").alias("above"))
+    if keys:
+        # Groups are not counted beforehand, so they are not broadcast; one window holds the buckets of one group.
+        grid = counts.select(*keys).distinct().join(F.broadcast(grid))
+        filled = grid.join(counts, [*keys, "bucket"], "left").fillna(0, ["c"])
+    else:
+        filled = grid.join(F.broadcast(counts), "bucket", "left").fillna(0, ["c"])
+    above = F.sum("c").over(W.partitionBy(*keys).orderBy(F.col("bucket").desc())) - F.col("c")
+    out = filled.select(*keys, "bucket", (above + F.col("c")).alias("at_least"))
+    return out.filter("bucket > 0").select(*keys, (F.col("bucket") - 1).alias("i"), ((F.col("bucket") - 1) * step).alias("threshold"), F.col("at_least").alias("above"))
 
 
 def threshold_report(tiles: DataFrame, tissue: DataFrame, classes: list[str], prefix: str = "roi_coverage_", tissue_column: str = "roi_tissue_coverage") -> DataFrame:
@@ -144,6 +149,30 @@ def threshold_report(tiles: DataFrame, tissue: DataFrame, classes: list[str], pr
     return scalar_stats(own.unionByName(tissue_rows), "column", "stratum")
 
 
+def threshold_curves(tiles: DataFrame, tissue: DataFrame, classes: list[str], prefix: str = "roi_coverage_", tissue_column: str = "roi_tissue_coverage", n: int = 1000) -> DataFrame:
+    """The whole threshold analysis of the joined tiles, as ``(column, stratum, kind, key, value)``.
+
+    Each class column over all rows, and tissue by dominant class (groups without rows are absent): ``stat``, ``sweep`` of ``n``
+    thresholds, ``histogram`` of 20 bins. Tissue over all rows: ``stat``. Tissue of annotated and of background rows: ``histogram_binary``.
+    """
+    rows = dominant_class(join_tissue(tiles, tissue), classes, prefix)
+    own = long_form(rows, [prefix + c for c in classes]).select("column", F.lit("all").alias("stratum"), "value")
+    tissue_rows = long_form(rows, [tissue_column], "stratum").select("column", "stratum", "value")
+    both = own.unionByName(tissue_rows)
+    group = ("column", "stratum")
+    stats = scalar_stats(both.unionByName(tissue_rows.withColumn("stratum", F.lit("all"))), *group)
+    names = [c for c in stats.columns if c not in group]
+    stats = stats.select(*group, *[F.col(c).cast("double") for c in names]).unpivot(list(group), names, "key", "value")
+    binary = tissue_rows.withColumn("stratum", F.when(F.col("stratum") == BACKGROUND, BACKGROUND).otherwise("annotated"))
+    parts = [
+        stats.select(*group, F.lit("stat").alias("kind"), "key", "value"),
+        threshold_sweep(both, n, keys=group).select(*group, F.lit("sweep").alias("kind"), F.col("i").cast("string").alias("key"), F.col("above").cast("double").alias("value")),
+        coverage_histogram(both, *group).select(*group, F.lit("histogram").alias("kind"), F.col("bin").cast("string").alias("key"), F.col("n").cast("double").alias("value")),
+        coverage_histogram(binary, *group).select(*group, F.lit("histogram_binary").alias("kind"), F.col("bin").cast("string").alias("key"), F.col("n").cast("double").alias("value")),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
 def metrics_table(df: DataFrame, split: str, metric: str) -> DataFrame:
     """A one-row table of numbers as ``(split, metric, key, value)``."""
     wide = df.select(*[F.col(c).cast("double") for c in df.columns])

@@ -350,6 +350,22 @@ def threshold_report(spark, sf):
     return tiles.threshold_report(*_t(spark, sf, "tiles", "tissue"), CLASSES)
 
 
+CURVES = f"""WITH s AS ({STRATA}),
+g AS ({" UNION ALL ".join(f"SELECT 'roi_coverage_{c}' AS \"column\", 'all' AS stratum, roi_coverage_{c} AS value FROM s" for c in CLASSES)} UNION ALL SELECT 'roi_tissue_coverage', stratum, roi_tissue_coverage FROM s),
+b AS (SELECT 'roi_tissue_coverage' AS "column", CASE stratum WHEN 'background' THEN stratum ELSE 'annotated' END AS stratum, roi_tissue_coverage AS value FROM s),
+w AS ({_stats_sql('"column", stratum, ', "SELECT * FROM g UNION ALL SELECT 'roi_tissue_coverage', 'all', roi_tissue_coverage FROM s")}),
+e AS (SELECT range AS bin, range * (1.0::DOUBLE / 20) AS low, CASE WHEN range = 19 THEN 2.0::DOUBLE ELSE (range + 1) * (1.0::DOUBLE / 20) END AS high FROM range(20))
+{" UNION ALL ".join(f"SELECT \"column\", stratum, 'stat' AS kind, '{k}' AS key, CAST({k} AS DOUBLE) AS value FROM w" for k in ["n", "mean", "std", "min", "max", *(f"q{int(p * 100):02d}" for p in tiles.QUANTILES)])}
+UNION ALL SELECT "column", stratum, 'sweep', CAST(range AS VARCHAR), CAST(count(*) FILTER (value > range * (1.0::DOUBLE / 999)) AS DOUBLE) FROM g, range(1000) GROUP BY "column", stratum, range
+UNION ALL SELECT "column", stratum, 'histogram', CAST(bin AS VARCHAR), CAST(count(*) FILTER (value >= low AND value < high AND value <= 1) AS DOUBLE) FROM g, e GROUP BY "column", stratum, bin
+UNION ALL SELECT "column", stratum, 'histogram_binary', CAST(bin AS VARCHAR), CAST(count(*) FILTER (value >= low AND value < high AND value <= 1) AS DOUBLE) FROM b, e GROUP BY "column", stratum, bin"""
+
+
+@query(CURVES, "tiles", "tissue")
+def threshold_curves(spark, sf):
+    return tiles.threshold_curves(*_t(spark, sf, "tiles", "tissue"), CLASSES)
+
+
 @query("""WITH e AS (SELECT range AS bin, range * (1.0::DOUBLE / 20) AS low, CASE WHEN range = 19 THEN 2.0::DOUBLE ELSE (range + 1) * (1.0::DOUBLE / 20) END AS high FROM range(20))
 SELECT CAST(bin AS INT) AS bin, count(t.v) AS n FROM e LEFT JOIN (SELECT roi_tissue_coverage AS v FROM tissue WHERE roi_tissue_coverage BETWEEN 0 AND 1) t ON v >= low AND v < high GROUP BY bin""", "tissue")
 def coverage_histogram(spark, sf):
