@@ -212,6 +212,17 @@ def test_quotes(spark):
     assert out[3, 0].body is None and out[3, 1].body == "" and len(out) == len(rows)
 
 
+def test_quotes_of_several_lines(spark):
+    rows = [
+        (1, 0, "user", "one\ntwo\nthree\nfour\n\nfive\nsix"), (1, 1, "assistant", "> two\n>  THREE\nyes"), (1, 2, "user", "> two\n> four\nno"), (1, 3, "user", "> four\n> five\nno"),
+        (1, 4, "user", "> one\nfirst answer\nsecond answer\n> six\nthird"), (2, 0, "user", "> first answer\n> second answer\nok"), (2, 1, "user", "> second answer\n> third\nno"),
+    ]
+    out = {(r.conv_id, r.turn): r for r in quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert (out[1, 1].parent_conv, out[1, 1].parent_turn, out[1, 1].n_linked) == (1, 0, 1)
+    assert [out[k].n_linked for k in ((1, 2), (1, 3), (2, 1))] == [0, 0, 0]
+    assert (out[2, 0].parent_conv, out[2, 0].parent_turn, out[2, 0].thread_turn) == (1, 4, 0)
+
+
 def test_repeats(spark, docs):
     rows = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
     first = {}

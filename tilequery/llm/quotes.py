@@ -25,22 +25,33 @@ def _lines(messages: DataFrame) -> DataFrame:
 
 
 def _passages(lines: DataFrame) -> DataFrame:
-    """Neighbouring lines of one level and message, cut at blank lines -> ``(row, conv_id, turn, at, level, hash)``."""
+    """Neighbouring lines of one level and message, cut at blank lines -> ``(row, conv_id, turn, at, level, lines, hash)``."""
     order = W.partitionBy("row").orderBy("at")
     blank = F.trim("line") == ""
     before = F.lag(F.struct(F.col("level"), blank.alias("blank"))).over(order)
     starts = F.when(before.isNull() | (before["level"] != F.col("level")) | (before["blank"] != blank), 1).otherwise(0)
     blocks = lines.withColumn("starts", starts).withColumn("block", F.sum("starts").over(order)).filter(~blank)
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "line"))), lambda x: x["line"]), " ")
-    blocks = blocks.groupBy("row", "conv_id", "turn", "block", "level").agg(F.min("at").alias("at"), text.alias("text"))
-    return blocks.select("row", "conv_id", "turn", "at", "level", F.md5(normalised(F.col("text"))).alias("hash"))
+    own = F.transform(F.array_sort(F.collect_list(F.struct("at", "line"))), lambda x: normalised(x["line"]))
+    blocks = blocks.groupBy("row", "conv_id", "turn", "block", "level").agg(F.min("at").alias("at"), own.alias("lines"))
+    return blocks.select("row", "conv_id", "turn", "at", "level", "lines", F.md5(normalised(F.array_join("lines", " "))).alias("hash"))
+
+
+def _excerpts(runs: DataFrame, quoted: DataFrame) -> DataFrame:
+    """``(conv_id, turn, hash)`` of neighbouring lines of ``runs (conv_id, turn, lines)`` that may be a quoted passage of several lines.
+
+    A passage asks by its first two lines and its number of lines; of an original, only as many lines from such a pair on are hashed.
+    """
+    asked = quoted.filter(F.size("lines") > 1).select(F.xxhash64(F.col("lines")[0], F.col("lines")[1]).alias("pair"), F.size("lines").alias("k")).distinct()
+    pairs = F.transform(F.sequence(F.lit(0), F.size("lines") - 2), lambda i: F.xxhash64(F.get("lines", i), F.get("lines", i + 1)))
+    found = runs.filter(F.size("lines") > 1).select("conv_id", "turn", "lines", F.posexplode(pairs).alias("i", "pair")).join(asked, "pair").filter(F.col("i") + F.col("k") <= F.size("lines"))
+    return found.select("conv_id", "turn", F.md5(normalised(F.array_join(F.slice("lines", F.col("i") + 1, F.col("k")), " "))).alias("hash"))
 
 
 def link_quotes(df: DataFrame) -> DataFrame:
     """Messages ``(conv_id, turn, role, text)`` with their thread and without quotes.
 
     A quoted passage (neighbouring lines of one quote level up to a blank line) is looked up by
-    the hash of its normalised text among whole bodies, blocks and lines of unquoted text: first
+    the hash of its normalised text among whole bodies, blocks, lines and neighbouring lines of unquoted text: first
     in earlier turns of the same conversation (the latest wins), else in other
     conversations (the smallest id and turn win). A message's parent is what its first linked
     passage of level 1 comes from. ``thread_conv, thread_turn`` is the end of the chain of parents; within a
@@ -56,15 +67,20 @@ def link_quotes(df: DataFrame) -> DataFrame:
     named = messages.filter("conv_id IS NOT NULL AND turn IS NOT NULL AND text IS NOT NULL")
     quoting = named.filter(F.col("text").rlike(_HAS_QUOTE))
     lines = _lines(quoting)
-    quoted = written(_passages(lines).filter("level > 0"), "quoted")
+    passages = written(_passages(lines), "passages")
+    quoted, answers = passages.filter("level > 0"), passages.filter("level = 0")
 
     # What can be quoted: only hashes that some passage asks for go on, so the join back is small.
-    own = named.filter(~F.col("text").rlike(_HAS_QUOTE)).select("conv_id", "turn", "text").unionByName(
+    plain = named.filter(~F.col("text").rlike(_HAS_QUOTE)).select("conv_id", "turn", "text")
+    own = plain.unionByName(
         lines.filter("level = 0").groupBy("row", "conv_id", "turn").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "line"))), lambda x: x["line"]), "\n").alias("text")).select("conv_id", "turn", "text")
     )
     units = F.array_distinct(F.concat(F.array(F.col("text")), F.split("text", r"\n[ \t]*\n"), F.split("text", "\n")))
     originals = own.select("conv_id", "turn", F.explode(units).alias("unit")).select("conv_id", "turn", normalised(F.col("unit")).alias("unit")).filter("unit <> ''")
-    originals = originals.select("conv_id", "turn", F.md5("unit").alias("hash")).join(quoted.select("hash").distinct(), "hash", "left_semi").distinct()
+    runs = plain.select("conv_id", "turn", F.explode(F.split("text", r"\n[ \t]*\n")).alias("run")).select("conv_id", "turn", F.transform(F.split("run", "\n"), normalised).alias("lines"))
+    originals = originals.select("conv_id", "turn", F.md5("unit").alias("hash")).unionByName(answers.select("conv_id", "turn", "hash"))
+    originals = originals.unionByName(_excerpts(runs.unionByName(answers.select("conv_id", "turn", "lines")), quoted))
+    originals = originals.join(quoted.select("hash").distinct(), "hash", "left_semi").distinct()
     originals = written(originals, "originals")
 
     q = quoted.alias("q")
