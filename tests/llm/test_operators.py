@@ -223,6 +223,22 @@ def test_quotes_of_several_lines(spark):
     assert (out[2, 0].parent_conv, out[2, 0].parent_turn, out[2, 0].thread_turn) == (1, 4, 0)
 
 
+def test_reply_order(spark):
+    rows = [
+        (9, 0, "user", "root of all"), (3, 7, "user", "> root of all\nmiddle part"), (3, 8, "user", "> middle part\nlater part"), (1, 1, "user", "> later part\nlast"), (9, 1, "user", "> root of all\nother"),
+        (5, 0, "user", "> ping here\npong here"), (6, 0, "user", "> pong here\nping here"), (4, 0, "user", "> pong here\ntail"), (None, 0, "user", "x"), (None, 0, "user", "y"), (9, 5, "user", "alone"),
+    ]
+    out = quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert len(out) == len(rows) and [r.reply for r in out if r.conv_id is None] == [0, 0]
+    threads = defaultdict(list)
+    for r in out:
+        threads[r.thread_conv, r.thread_turn].append((r.reply, r.depth, r.conv_id, r.turn))
+    assert sorted(threads[9, 0]) == [(0, 0, 9, 0), (1, 1, 3, 7), (2, 1, 9, 1), (3, 2, 3, 8), (4, 3, 1, 1)]
+    # Of the cycle of 5 and 6 the smaller is the root, for what hangs on it too.
+    assert sorted(threads[5, 0]) == [(0, 0, 5, 0), (1, 1, 4, 0), (2, 1, 6, 0)]
+    assert threads[9, 5] == [(0, 0, 9, 5)]
+
+
 def test_repeats(spark, docs):
     rows = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
     first = {}

@@ -47,6 +47,27 @@ def _excerpts(runs: DataFrame, quoted: DataFrame) -> DataFrame:
     return found.select("conv_id", "turn", F.md5(normalised(F.array_join(F.slice("lines", F.col("i") + 1, F.col("k")), " "))).alias("hash"))
 
 
+def _climb(up: DataFrame) -> tuple[DataFrame, int]:
+    """Follow ``up (conv_id, turn, to_conv, to_turn)`` to the ends of the chains, doubling the step each round.
+
+    Adds ``steps``, ``on`` (the end is not reached: the chain runs into a cycle) and ``least``, the smallest message on the
+    way; also returns how many rows are ``on``. Then ``to`` lies on the cycle, and each message of a cycle is one's ``to``.
+    """
+    here = F.struct("conv_id", "turn")
+    at = up.withColumn("steps", F.lit(1).cast("long")).withColumn("least", F.least(here, F.struct(F.col("to_conv").alias("conv_id"), F.col("to_turn").alias("turn")))).withColumn("on", F.lit(True))
+    size = left = up.count()
+    rounds = 0
+    while left and 1 << rounds <= 2 * size:
+        then = at.select(F.col("conv_id").alias("c2"), F.col("turn").alias("t2"), F.col("to_conv").alias("to_conv2"), F.col("to_turn").alias("to_turn2"), F.col("least").alias("least2"), F.col("steps").alias("steps2"))
+        step = at.join(then, (F.col("to_conv") == F.col("c2")) & (F.col("to_turn") == F.col("t2")), "left")
+        at = written(step.select(
+            "conv_id", "turn", F.coalesce("to_conv2", "to_conv").alias("to_conv"), F.coalesce("to_turn2", "to_turn").alias("to_turn"), (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps"),
+            F.least("least", F.coalesce("least2", "least")).alias("least"), F.col("c2").isNotNull().alias("on"),
+        ), "up")
+        left, rounds = at.filter("on").count(), rounds + 1
+    return at, left
+
+
 def link_quotes(df: DataFrame) -> DataFrame:
     """Messages ``(conv_id, turn, role, text)`` with their thread and without quotes.
 
@@ -54,10 +75,11 @@ def link_quotes(df: DataFrame) -> DataFrame:
     the hash of its normalised text among whole bodies, blocks, lines and neighbouring lines of unquoted text: first
     in earlier turns of the same conversation (the latest wins), else in other
     conversations (the smallest id and turn win). A message's parent is what its first linked
-    passage of level 1 comes from. ``thread_conv, thread_turn`` is the end of the chain of parents; within a
-    thread, ``turn`` is reply order, since a parent in the same conversation is earlier.
+    passage of level 1 comes from. ``thread_conv, thread_turn`` is the end of the chain of parents and ``depth`` the
+    number of parents up to it. A thread ordered by ``reply`` (0, 1, ...: by depth, conversation and turn) is the
+    reply-ordered conversation: each parent comes before its replies.
 
-    Returns ``conv_id, turn, role, body, n_quotes, n_linked, parent_conv, parent_turn, thread_conv, thread_turn``,
+    Returns ``conv_id, turn, role, body, n_quotes, n_linked, parent_conv, parent_turn, thread_conv, thread_turn, depth, reply``,
     one row for each row. Null text: null body, no quotes. Null id or turn: never linked, its own
     thread. Repeated rows link alike. A quote of something unknown stays unlinked and is still
     removed. Other columns play no part.
@@ -96,29 +118,25 @@ def link_quotes(df: DataFrame) -> DataFrame:
     )
     per = written(per.select("row", "n_quotes", "n_linked", F.col("up.parent.conv_id").alias("parent_conv"), F.col("up.parent.turn").alias("parent_turn")), "parents")
 
-    # Follow parents to the end of the chain, doubling the step each round. A cycle through other conversations is cut at its smallest message.
-    at = quoting.select("row", "conv_id", "turn").join(per.filter("parent_conv IS NOT NULL"), "row")
-    at = written(at.groupBy("conv_id", "turn").agg(F.min(F.struct("parent_conv", "parent_turn")).alias("p")).select("conv_id", "turn", F.col("p.parent_conv").alias("to_conv"), F.col("p.parent_turn").alias("to_turn"), F.least(F.struct("conv_id", "turn"), F.struct(F.col("p.parent_conv").alias("conv_id"), F.col("p.parent_turn").alias("turn"))).alias("least")), "up")
-    left, rounds = at.count(), 0
-    size = left
-    while left and 1 << rounds <= size:
-        up = at.select(F.col("conv_id").alias("c2"), F.col("turn").alias("t2"), F.col("to_conv").alias("to_conv2"), F.col("to_turn").alias("to_turn2"), F.col("least").alias("least2"))
-        step = at.join(up, (F.col("to_conv") == F.col("c2")) & (F.col("to_turn") == F.col("t2")), "left")
-        at = written(step.select("conv_id", "turn", F.coalesce("to_conv2", "to_conv").alias("to_conv"), F.coalesce("to_turn2", "to_turn").alias("to_turn"), F.least("least", F.coalesce("least2", "least")).alias("least"), F.col("c2").isNotNull().alias("on")), "up")
-        left, rounds = at.filter("on").count(), rounds + 1
-        at = at.drop("on")
+    # A cycle through other conversations is cut at its smallest message, whose parent then plays no part in threads.
+    up = quoting.select("row", "conv_id", "turn").join(per.filter("parent_conv IS NOT NULL"), "row")
+    up = written(up.groupBy("conv_id", "turn").agg(F.min(F.struct("parent_conv", "parent_turn")).alias("p")).select("conv_id", "turn", F.col("p.parent_conv").alias("to_conv"), F.col("p.parent_turn").alias("to_turn")), "up")
+    at, left = _climb(up)
     if left:
-        ends = at.select(F.col("conv_id").alias("c2"), F.col("turn").alias("t2")).distinct()
-        at = at.join(ends, (F.col("to_conv") == F.col("c2")) & (F.col("to_turn") == F.col("t2")), "left")
-        at = at.select("conv_id", "turn", F.when(F.col("c2").isNotNull(), F.col("least.conv_id")).otherwise(F.col("to_conv")).alias("to_conv"), F.when(F.col("c2").isNotNull(), F.col("least.turn")).otherwise(F.col("to_turn")).alias("to_turn"))
-    ends = at.select(F.col("conv_id").alias("e_conv"), F.col("turn").alias("e_turn"), "to_conv", "to_turn")
+        around = at.filter("on").select(F.col("to_conv").alias("c2"), F.col("to_turn").alias("t2")).distinct()
+        cut = at.join(around, (F.col("conv_id") == F.col("c2")) & (F.col("turn") == F.col("t2")), "left_semi").filter(F.col("least") == F.struct("conv_id", "turn"))
+        at, _ = _climb(written(up.join(cut.select("conv_id", "turn"), ["conv_id", "turn"], "left_anti"), "up"))
+    ends = at.select(F.col("conv_id").alias("e_conv"), F.col("turn").alias("e_turn"), "to_conv", "to_turn", "steps")
 
     out = messages.join(per, "row", "left").join(ends, (F.col("conv_id") == F.col("e_conv")) & (F.col("turn") == F.col("e_turn")), "left")
     body = F.when(F.col("text").rlike(_HAS_QUOTE), F.array_join(F.filter(F.split("text", "\n"), lambda x: ~x.rlike(_MARKS)), "\n")).otherwise(F.col("text"))
-    return out.select(
-        "conv_id", "turn", "role", body.alias("body"), F.coalesce("n_quotes", F.lit(0)).cast("long").alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"),
-        "parent_conv", "parent_turn", F.coalesce("to_conv", "conv_id").alias("thread_conv"), F.coalesce("to_turn", "turn").alias("thread_turn"),
+    out = out.select(
+        "row", "conv_id", "turn", "role", body.alias("body"), F.coalesce("n_quotes", F.lit(0)).cast("long").alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"),
+        "parent_conv", "parent_turn", F.coalesce("to_conv", "conv_id").alias("thread_conv"), F.coalesce("to_turn", "turn").alias("thread_turn"), F.coalesce("steps", F.lit(0)).cast("long").alias("depth"),
     )
+    alone = F.when(F.col("conv_id").isNull() | F.col("turn").isNull(), F.col("row"))
+    thread = W.partitionBy("thread_conv", "thread_turn", alone).orderBy("depth", "conv_id", "turn", "row")
+    return out.withColumn("reply", (F.row_number().over(thread) - 1).cast("long")).drop("row")
 
 
 def op6_quotes(spark, sf_dir: str) -> DataFrame:
