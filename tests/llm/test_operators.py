@@ -328,5 +328,26 @@ def test_pipeline(spark):
     assert Counter(r.doc_id for r in out.collect()) == Counter({d: n for d, n in plan.items() if n})
 
 
+def test_pipeline_language_decides(spark):
+    random.seed(7)
+    clean = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select(*corpus_pipeline.COLUMNS).collect()]
+    texts = {k: [r[1] for r in clean if r[2] == k and len(r[1]) > 600][:4] for k in ("en", "de")}
+    wrong = [(70000 + i, t, "de", "s", len(t)) for i, t in enumerate(texts["en"])] + [(70100, texts["de"][0], None, "s", 9)]
+    odd = [(71000 + i, " ".join("".join(random.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(60)), "en", "s", 9) for i in range(4)]
+    half = [(72000 + i, " ".join([a[:600], b[:600]] * 2), "en", "s", 9) for i, (a, b) in enumerate(zip(texts["en"], texts["de"], strict=True))]
+    docs = spark.createDataFrame(clean + wrong + odd + half, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.lang for r in corpus_pipeline.languages(spark, docs, SF).collect()}
+    # Brute force: the mixture of all languages that fits best, on a fine grid for the two that were mixed.
+    langs, model = langid.fit(docs)
+    for d, t, *_ in half:
+        seen = model[[langs.index("en"), langs.index("de")]][:, langid.trigram_buckets(t.encode())]
+        share = max(np.linspace(0.01, 0.99, 99), key=lambda a: np.log(a * seen[0] + (1 - a) * seen[1]).sum())
+        over = max(share, 1 - share) - corpus_pipeline.LEAST_SHARE
+        assert abs(over) < 0.015 or (over > 0) == (d in got)  # closer than that the grid does not tell
+    assert any(r[0] not in got for r in half) and not any(r[0] in got for r in odd)
+    assert [got.get(r[0]) for r in wrong] == ["en"] * (len(wrong) - 1) + ["de"]
+    assert {r[0]: got.get(r[0]) for r in clean} == {r[0]: r[2] for r in clean}
+
+
 def stage_input(spark, docs, kept):
     return corpus_pipeline.personal_data(spark, docs.filter(docs.doc_id.isin(list(kept))), SF)

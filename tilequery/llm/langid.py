@@ -80,6 +80,12 @@ def _em(likelihood: np.ndarray, counts: np.ndarray, start: np.ndarray, rounds: i
 
 def infer(text: bytes, model: np.ndarray, penalty: float = 2.0, rounds: int = 12) -> np.ndarray | None:
     """Proportion of each language; ``None`` where the text has no trigram of letters."""
+    found = mixture(text, model, penalty, rounds)
+    return None if found is None else found[0]
+
+
+def mixture(text: bytes, model: np.ndarray, penalty: float = 2.0, rounds: int = 12) -> tuple[np.ndarray, float] | None:
+    """Proportion of each language, and the gain in log-likelihood for each trigram over a background of equal buckets."""
     found = np.bincount(trigram_buckets(text), minlength=BUCKETS)
     at = np.flatnonzero(found)
     if not len(at):
@@ -102,32 +108,33 @@ def infer(text: bytes, model: np.ndarray, penalty: float = 2.0, rounds: int = 12
             chosen, best, share = [*chosen, other], reached, tried
     out = np.zeros(n)
     out[chosen] = share
-    return out
+    return out, best / float(counts.sum()) + float(np.log(BUCKETS))
 
 
 def predict(df: DataFrame, langs: list[str], model: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``df`` with ``lang_pred`` (the largest proportion, ties to the first name), ``score`` (that proportion), ``languages``, ``shares`` (the set, largest first).
+    """``df`` with ``lang_pred`` (the largest proportion, ties to the first name), ``score`` (that proportion), ``languages``, ``shares`` (the set, largest first), ``gain`` (over the background, see ``mixture``).
 
-    ``und`` with score 0 where the text is null or has no letter, or nothing was learnt.
+    ``und`` with score and gain 0 where the text is null or has no letter, or nothing was learnt.
     Columns of ``df`` with these names are replaced. No shuffle; the model is of fixed size.
     """
-    new = ["lang_pred", "score", "languages", "shares"]
+    new = ["lang_pred", "score", "languages", "shares", "gain"]
     kept = [c for c in df.columns if c.lower() not in new]
     model_of = df.sparkSession.sparkContext.broadcast((langs, model))
-    schema = T.StructType([*[df.schema[c] for c in kept], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("languages", T.ArrayType(T.StringType())), T.StructField("shares", T.ArrayType(T.DoubleType()))])
+    schema = T.StructType([*[df.schema[c] for c in kept], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("languages", T.ArrayType(T.StringType())), T.StructField("shares", T.ArrayType(T.DoubleType())), T.StructField("gain", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, own = model_of.value
         for batch in small_batches(batches, text_col):
-            out: list[list] = [[], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             for text in batch.column(text_col).to_pylist():
-                share = infer(text.encode(), own) if text and names and _LETTER.search(text) else None
+                share, gain = (text and names and _LETTER.search(text) and mixture(text.encode(), own)) or (None, 0.0)
                 order = [] if share is None else [i for i in np.argsort(-share, kind="stable").tolist() if share[i] > 0]
                 out[0].append(names[order[0]] if order else UNKNOWN)
                 out[1].append(min(1.0, float(share[order[0]])) if order else 0.0)
                 out[2].append([names[i] for i in order])
                 out[3].append([float(share[i]) for i in order])
-            arrays = [pa.array(x, t) for x, t in zip(out, (pa.string(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.float64())), strict=True)]
+                out[4].append(gain)
+            arrays = [pa.array(x, t) for x, t in zip(out, (pa.string(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.float64()), pa.float64()), strict=True)]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *arrays], schema.names)
 
     return df.mapInArrow(run, schema)
