@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tilequery.functions import columns as C
 from tilequery.operators import catalogue, folds, geometry, modelling, tiles
+from tilequery.plans import registry
 
 NAN = float("nan")
 
@@ -53,6 +54,24 @@ def test_threshold_curves(spark):
     assert one["roi_tissue_coverage", "background", "histogram_binary", "5"] == 1 and one["roi_coverage_A", "all", "stat", "n"] == 4
 
 
+def test_choice_of_weight_decay(spark, monkeypatch):
+    rows = [(w, k, 0.5, f) for w, fs in {0.0: (0.2, 0.4), 0.1: (0.5, 0.3), 0.01: (0.6, 0.2)}.items() for k, f in enumerate(fs)]
+    out = modelling.choose_weight_decay(spark.createDataFrame(rows, "weight_decay double, fold int, macro_accuracy double, macro_f1 double")).collect()
+    assert len(out) == 6 and {r.weight_decay: (round(r.mean_f1, 6), r.chosen) for r in out} == {0.0: (0.3, False), 0.01: (0.4, True), 0.1: (0.4, False)}
+    given = []
+    monkeypatch.setattr(modelling, "cross_validate", lambda df, *args: given.append(args[1:]) or spark.createDataFrame(rows, "weight_decay double, fold int, macro_accuracy double, macro_f1 double"))
+    assert "chosen" in registry.QUERIES["cross_validate"](spark, "/root/testdata/sf0.001").columns
+    assert given == [([0.0, 1e-5, 1e-4, 1e-3, 1e-2], [0, 1, 2, 3, 4])]
+
+
+def test_cross_validate_small(spark):
+    rng = np.random.default_rng(3)
+    rows = [("s", i, 0, i % 4 // 2, i % 2, (rng.normal(size=3) + 3 * (i % 2)).tolist()) for i in range(40)]
+    df = spark.createDataFrame(rows, "slide_id string, x int, y int, fold int, target int, embedding array<double>").coalesce(1).cache()
+    out = modelling.choose_weight_decay(modelling.cross_validate(df, ["a", "b"], [0.0, 1e-2], [0, 1], 5)).collect()
+    assert len(out) == 4 and len({r.weight_decay for r in out if r.chosen}) == 1 and min(r.macro_f1 for r in out) > 0.8
+
+
 def test_stems(spark):
     df = spark.createDataFrame([("/a/b.GEO.json",), ("/a/b.c.svs",), ("/a/.x",), ("plain",)], "path string")
     assert [r[0] for r in df.select(C.path_stem(F.col("path"))).collect()] == ["b", "b.c", ".x", "plain"]

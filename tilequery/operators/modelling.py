@@ -104,13 +104,20 @@ def weighted_log_loss(df: DataFrame, classes: list[str]) -> DataFrame:
 
 def cross_validate(df: DataFrame, classes: list[str], weight_decays: list[float], folds: list[int], max_iter: int = 50) -> DataFrame:
     """``(weight_decay, fold, macro_accuracy, macro_f1)``: each fold once held out, for each weight decay."""
-    out = None
+    out = []
     for wd in weight_decays:
         for k in folds:
             model = fit_linear_probe(df.filter(F.col("fold") != k), wd, len(classes), max_iter)
-            part = macro_metrics(predict_probe(model, df.filter(F.col("fold") == k), classes), len(classes)).select(F.lit(wd).alias("weight_decay"), F.lit(k).alias("fold"), "macro_accuracy", "macro_f1")
-            out = part if out is None else out.unionByName(part)
-    return out
+            row = macro_metrics(predict_probe(model, df.filter(F.col("fold") == k), classes), len(classes)).first()
+            out.append((float(wd), int(k), row.macro_accuracy, row.macro_f1))
+    return df.sparkSession.createDataFrame(out, "weight_decay double, fold int, macro_accuracy double, macro_f1 double")
+
+
+def choose_weight_decay(results: DataFrame) -> DataFrame:
+    """Results of ``cross_validate`` with ``mean_f1`` over the folds and ``chosen``: the weight decay of the largest mean, the smaller of equals."""
+    means = results.groupBy("weight_decay").agg(F.round(F.avg("macro_f1"), 9).alias("mean_f1"))
+    best = means.agg(F.max(F.struct("mean_f1", -F.col("weight_decay"))).alias("best")).select((-F.col("best.col2")).alias("best"))
+    return results.join(F.broadcast(means), "weight_decay").join(F.broadcast(best)).withColumn("chosen", F.col("weight_decay") == F.col("best")).drop("best")
 
 
 def embed_tiles(df: DataFrame, fn: Callable[[pd.DataFrame], list], drop: str = "tile", attempts: int = 6, pause: Callable[[float], None] = time.sleep) -> DataFrame:

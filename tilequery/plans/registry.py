@@ -654,7 +654,7 @@ def linear_probe(spark, sf):
 def cross_validate(spark, sf):
     v, meta = _vectors(spark, sf)
     rows = modelling.training_set(v, meta, TEN, dict.fromkeys(TEN, 0.1), 0.1)
-    return modelling.cross_validate(rows, TEN, [0.01, 0.1], [0, 1], 20)
+    return modelling.choose_weight_decay(modelling.cross_validate(rows, TEN, [0.0, 1e-5, 1e-4, 1e-3, 1e-2], [0, 1, 2, 3, 4]))
 
 
 @query(f"SELECT {KEY}, [CAST(roi_coverage_A AS FLOAT), CAST(roi_coverage_N AS FLOAT)] AS embedding FROM tiles", "tiles")
