@@ -7,11 +7,11 @@ where the gain in log-likelihood exceeds a penalty for one more parameter.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +21,7 @@ from ._shared import crc32_mod, small_batches, utf8
 #: Hashed trigrams: the model has this many numbers for each language, whatever the size of the corpus.
 BUCKETS = 1 << 15
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 #: Lower-case ASCII letters and bytes of other scripts stay; all else is a word boundary.
 _KEEP = np.array([b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)], np.uint32)
 
@@ -146,6 +146,10 @@ def held_out(id_col: str = "doc_id"):
 
 
 def op4_langid(spark, sf_dir: str) -> DataFrame:
+    """The contract's columns for every document, then ``languages``, the set of the mixture as JSON, largest share first; edge rows as in :func:`predict`.
+
+    A null id is learnt from. Repeated rows stay repeated; an empty table gives no rows.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     langs, model = fit(docs.filter(~held_out()))
     found = predict(docs.select("doc_id", "text"), langs, model)

@@ -33,6 +33,9 @@ _PEM = re.compile(r"-----BEGIN (?:[0-9A-Z]{1,16} ){0,3}PRIVATE KEY-----")
 _PEM_END = re.compile(r"-----END (?:[0-9A-Z]{1,16} ){0,3}PRIVATE KEY-----")
 #: A value that is assigned to a name for secrets; group 1 the quote, group 2 the value.
 _ASSIGNED = re.compile(r"(?:(?:passw(?:or)?d|passphrase|pwd|secret|token|(?:api|access|private|auth)[_-]?key)[\"']?\x20{0,3}(?::=|=>|[:=])|bearer)\x20{0,3}([\"'`]?)([^\s\"'`,;<>]{6,256})", re.IGNORECASE)
+#: Texts without any of these hold no such secret; most texts do not.
+_ISSUED_SIGNS = ("AKIA", "ASIA", "gh", "glpat-", "k_live_", "k_test_", "sk-", "xox", "AIza", "eyJ")
+_ASSIGNED_SIGNS = ("passw", "passphrase", "pwd", "secret", "token", "key", "bearer")
 _SECRET = re.compile(r"[^0-9A-Za-z]{1,8}([0-9A-Fa-f]{32,64})(?![0-9A-Za-z])")
 _NAMED = ("token", "secret", "passwd", "password", "key")
 _DIGIT_OR_HYPHEN = frozenset("0123456789-")
@@ -103,19 +106,19 @@ def _iban(text: str, m: re.Match) -> int | None:
 
 def _secrets(text: str) -> list[tuple[int, int, float]]:
     """Spans of secrets and what their shape adds to the score; of spans that overlap the one that starts first, then the longest."""
-    found = [(m.start(), m.end(), 0.7) for m in _ISSUED.finditer(text)]
+    low = text.lower()
+    if len(low) != len(text):  # some letters are two characters in lower case: places would move
+        low = text
+    found = [(m.start(), m.end(), 0.7) for m in _ISSUED.finditer(text)] if any(x in text for x in _ISSUED_SIGNS) else []
     at = 0
     while m := _PEM.search(text, at):
         end = _PEM_END.search(text, m.end())
         at = end.end() if end else len(text)  # a block without an end goes on to the end of the text
         found.append((m.start(), at, 0.7))
-    for m in _ASSIGNED.finditer(text):
+    for m in _ASSIGNED.finditer(text) if any(x in low for x in _ASSIGNED_SIGNS) else ():
         value = m[2]
         mixed = any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
         found.append((*m.span(2), 0.3 if mixed else 0.1 if m[1] else -0.2))
-    low = text.lower()
-    if len(low) != len(text):  # some letters are two characters in lower case: places would move
-        low = text
     for word in _NAMED:
         at = low.find(word)
         while at >= 0:
