@@ -53,9 +53,13 @@ def drop_excluded(df: DataFrame, missing: DataFrame) -> DataFrame:
 
 def merge_rare_strata(df: DataFrame, least: int = 5) -> DataFrame:
     """``stratify_target`` = source_organ in lower case. An organ with a target below ``least`` rows moves as a whole
-    to its sorted sources and its name; targets still below become ``other_rare_organs``."""
+    to its sorted sources and its name; targets still below become ``other_rare_organs``.
+
+    A target counts over all spellings of its organ. Null parts are left out of the name; an empty table stays empty.
+    """
     df = df.withColumn("_target", F.concat_ws("_", F.lower("source"), F.lower("organ")))
-    small = df.groupBy("organ", "_target").agg(F.count("*").alias("n")).filter(F.col("n") < least).select("organ").distinct()
+    targets = df.groupBy("organ", "_target").agg(F.count("*").alias("n"))
+    small = targets.groupBy("_target").agg(F.sum("n").alias("n"), F.collect_set("organ").alias("organs")).filter(F.col("n") < least).select(F.explode("organs").alias("organ")).distinct()
     merged = df.join(small, "organ", "left_semi").groupBy("organ").agg(F.concat_ws("_", F.array_join(F.array_sort(F.collect_set(F.lower("source"))), "_"), "organ").alias("_merged"))
     df = df.join(merged, "organ", "left").withColumn("_target", F.coalesce("_merged", "_target")).drop("_merged")
     counts = df.groupBy("_target").agg(F.count("*").alias("_n"))
@@ -86,12 +90,20 @@ def group_leakage(train: DataFrame, test: DataFrame) -> DataFrame:
 
 
 def split_statistics(df: DataFrame) -> DataFrame:
-    """One row over rows with ``split``: sizes, distinct keys, leakage, share of test."""
+    """One row over rows with ``split``: sizes, distinct groups, targets, organs and sources of each split, leakage, share of test.
+
+    Nulls are not counted as values; an empty table gives zeros and a null share.
+    """
     per = df.groupBy("group_id").agg(F.countDistinct("split").alias("k")).agg(F.count_if(F.col("k") > 1).alias("leaking_groups"))
+
+    def of(split: str, column: Column) -> Column:
+        return F.when(F.col("split") == split, column)
+
     test = F.count_if(F.col("split") == "test")
+    counted = {"groups": "group_id", "targets": "stratify_target", "organs": "organ", "sources": "source"}
     stats = df.agg(
-        F.count("*").alias("slides"), F.count_if(F.col("split") == "train").alias("train"), test.alias("test"), F.countDistinct("group_id").alias("groups"),
-        F.countDistinct("stratify_target").alias("targets"), F.countDistinct("organ").alias("organs"), F.countDistinct("source").alias("sources"), F.bround(test / F.count("*"), 4).alias("test_ratio"),
+        F.count("*").alias("slides"), F.count_if(F.col("split") == "train").alias("train"), test.alias("test"),
+        *[F.countDistinct(of(k, F.col(c))).alias(f"{k}_{n}") for k in ("train", "test") for n, c in counted.items()], F.bround(F.try_divide(test, F.count("*")), 4).alias("test_ratio"),
     )
     return stats.crossJoin(F.broadcast(per))
 

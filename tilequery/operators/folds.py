@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .tiles import BACKGROUND, KEY
+from .tiles import BACKGROUND, KEY, check_not_empty
 
 #: Buckets of the hash order; a rank is counted inside a bucket and shifted by the buckets before.
 _BUCKETS = 1024
@@ -26,10 +26,11 @@ def check_strata(df: DataFrame, n_folds: int) -> DataFrame:
     return df
 
 
-def drop_rare_class_slides(df: DataFrame, n_folds: int) -> DataFrame:
-    """Rows whose label is found in at least ``n_folds`` slides."""
+def drop_rare_class_slides(df: DataFrame, n_folds: int, check: bool = False) -> DataFrame:
+    """Rows whose label is found in at least ``n_folds`` slides; rows without a label go. ``check`` raises where none is left."""
     common = df.groupBy("label").agg(F.countDistinct("slide_id").alias("k")).filter(F.col("k") >= n_folds).select("label")
-    return df.join(common, "label", "left_semi")
+    out = df.join(common, "label", "left_semi")
+    return check_not_empty(out, "labels in enough slides") if check else out
 
 
 def stratified_folds(df: DataFrame, n_folds: int = 5, seed: int | None = 0, label: str = "label") -> DataFrame:
@@ -72,6 +73,7 @@ def fold_statistics(df: DataFrame) -> DataFrame:
 
 
 def fold_size_cv(df: DataFrame) -> DataFrame:
+    """Population deviation over mean of the folds' sizes; null for an empty table."""
     return df.groupBy("fold").agg(F.count("*").alias("n")).agg(F.round(F.stddev_pop("n") / F.avg("n"), 9).alias("cv"))
 
 
@@ -86,7 +88,8 @@ def tiles_per_slide(df: DataFrame) -> DataFrame:
 def slide_budget(df: DataFrame, max_tiles: int, seed: int | None = 0) -> DataFrame:
     """Slides in random order (``seed`` None: by id): each is taken if it still fits the budget, else skipped; if none fits, the smallest is taken.
 
-    The fold runs over one row for each slide, not over tiles.
+    The fold runs over one row that lists all slides, not tiles: meant for up to some hundred thousand slides. A table without
+    tiles raises when the result is read.
     """
     if max_tiles <= 0:
         raise ValueError("the budget must be positive")
@@ -102,7 +105,8 @@ def slide_budget(df: DataFrame, max_tiles: int, seed: int | None = 0) -> DataFra
         )
 
     taken = listed.select(F.aggregate("slides", start, step)["taken"].alias("taken"), "least")
-    fallback = F.array(F.struct(F.col("least.slide_id").alias("slide_id"), F.col("least.n").alias("n")))
+    some = F.when(F.col("least").isNotNull(), F.col("least.n")).otherwise(F.raise_error(F.lit("no tiles to sample from")).cast("long"))
+    fallback = F.array(F.struct(F.col("least.slide_id").alias("slide_id"), some.alias("n")))
     return taken.select(F.inline(F.when(F.size("taken") > 0, F.col("taken")).otherwise(fallback)))
 
 
@@ -111,8 +115,9 @@ def smallest_slide(df: DataFrame) -> DataFrame:
 
 
 def worst_slides(predictions: DataFrame, k: int) -> DataFrame:
-    """All tiles of the ``k`` slides of lowest accuracy (ties by id)."""
-    accuracy = predictions.groupBy("slide_id").agg(F.avg((F.col("pred") == F.col("target")).cast("double")).alias("a"))
+    """All tiles of the ``k`` slides of lowest accuracy (ties by id); a null prediction or target is wrong."""
+    right = F.coalesce(F.col("pred") == F.col("target"), F.lit(False)).cast("double")
+    accuracy = predictions.groupBy("slide_id").agg(F.avg(right).alias("a"))
     return predictions.join(accuracy.orderBy("a", "slide_id").limit(k).select("slide_id"), "slide_id", "left_semi")
 
 

@@ -6,6 +6,7 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -103,13 +104,17 @@ def weighted_log_loss(df: DataFrame, classes: list[str]) -> DataFrame:
 
 
 def cross_validate(df: DataFrame, classes: list[str], weight_decays: list[float], folds: list[int], max_iter: int = 50) -> DataFrame:
-    """``(weight_decay, fold, macro_accuracy, macro_f1)``: each fold once held out, for each weight decay."""
+    """``(weight_decay, fold, macro_accuracy, macro_f1)``: each fold once held out, for each weight decay. The rows are stored while all models are fitted."""
     out = []
-    for wd in weight_decays:
-        for k in folds:
-            model = fit_linear_probe(df.filter(F.col("fold") != k), wd, len(classes), max_iter)
-            row = macro_metrics(predict_probe(model, df.filter(F.col("fold") == k), classes), len(classes)).first()
-            out.append((float(wd), int(k), row.macro_accuracy, row.macro_f1))
+    df = df.select("slide_id", "x", "y", "fold", "target", "embedding").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for wd in weight_decays:
+            for k in folds:
+                model = fit_linear_probe(df.filter(F.col("fold") != k), wd, len(classes), max_iter)
+                row = macro_metrics(predict_probe(model, df.filter(F.col("fold") == k), classes), len(classes)).first()
+                out.append((float(wd), int(k), row.macro_accuracy, row.macro_f1))
+    finally:
+        df.unpersist()
     return df.sparkSession.createDataFrame(out, "weight_decay double, fold int, macro_accuracy double, macro_f1 double")
 
 

@@ -14,10 +14,12 @@ BACKGROUND = "background"
 
 
 def any_annotation(df: DataFrame, prefix: str = "roi_coverage_") -> DataFrame:
+    """Rows with a coverage above 0; null counts as 0, NaN never as above."""
     return df.filter(any_above(coverage_family(df, prefix)))
 
 
 def on_tissue(df: DataFrame, column: str = "roi_tissue_coverage", floor: float = 0.0) -> DataFrame:
+    """Rows above the floor; null and NaN are not."""
     return df.filter(number(column) > floor)
 
 
@@ -34,6 +36,7 @@ def label_tiles(df: DataFrame, prefix: str = "roi_coverage_") -> DataFrame:
 
 
 def dominant_class(df: DataFrame, classes: list[str], prefix: str = "roi_coverage_") -> DataFrame:
+    """``stratum``: the class of most coverage (the first of equals), background where none is above 0; null counts as 0."""
     columns = [prefix + c for c in classes]
     return df.withColumn("stratum", F.when(total(columns) > 0, first_max(columns, classes)).otherwise(BACKGROUND))
 
@@ -54,6 +57,10 @@ def eligible_samples(df: DataFrame, thresholds: dict[str, float], least: float =
 
 
 def select_folds(df: DataFrame, include: list[int] | None = None, exclude: list[int] | None = None) -> DataFrame:
+    """Rows of the included folds without the excluded ones; a null fold goes where either is given. Raises without a column ``fold``."""
+    if include is None and exclude is None:
+        return df
+    check_columns(df, "fold")
     if include is not None:
         df = df.filter(F.col("fold").isin(include))
     return df if exclude is None else df.filter(~F.col("fold").isin(exclude))
@@ -90,14 +97,43 @@ def long_form(df: DataFrame, columns: list[str], *keys: str) -> DataFrame:
     return df.unpivot(list(keys), columns, "column", "value").filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+def exact_quantiles(df: DataFrame, *keys: str, value: str = "value", buckets: int = 4096) -> DataFrame:
+    """``(*keys, q)``: the nine quantiles of each group, linear between neighbours, without a group's values in one task.
+
+    Values go to buckets between the group's extremes. Counts of buckets tell where each quantile's two neighbours lie, and by how
+    many values of their bucket; only values of these buckets, counted by value, are ranked, so a window holds the distinct values of one bucket.
+    """
+    extremes = df.groupBy(*keys).agg(F.min(value).alias("_low"), F.max(value).alias("_high"), F.count("*").alias("_n"))
+    same = [F.col(f"d.{k}").eqNullSafe(F.col(f"e.{k}")) for k in keys]
+    rows = df.select(*keys, F.col(value).alias("_v")).alias("d").join(F.broadcast(extremes).alias("e"), same or F.lit(True)).select("d.*", "_low", "_high", "_n")
+    place = F.coalesce(F.least(F.lit(buckets - 1), F.floor(F.try_divide(F.col("_v") - F.col("_low"), F.col("_high") - F.col("_low")) * buckets)), F.lit(0)).cast("int")
+    counted = rows.groupBy(*keys, place.alias("_b"), "_v", "_n").agg(F.count("*").alias("_c"))
+    by = counted.groupBy(*keys, "_b", "_n").agg(F.sum("_c").alias("_m"))
+    before = by.withColumn("_before", F.sum("_m").over(W.partitionBy(*keys).orderBy("_b")) - F.col("_m"))
+    ranks = F.array(*[F.struct(F.lit(i).alias("i"), (F.floor((F.col("_n") - 1) * q) + up).cast("long").alias("rank")) for i, q in enumerate(QUANTILES) for up in (0, 1)])
+    wanted = before.withColumn("_w", F.filter(ranks, lambda r: (r["rank"] >= F.col("_before")) & (r["rank"] < F.col("_before") + F.col("_m")))).filter(F.size("_w") > 0)
+    near = counted.alias("c").join(F.broadcast(wanted.drop("_n", "_m")).alias("w"), [F.col(f"c.{k}").eqNullSafe(F.col(f"w.{k}")) for k in keys] + [F.col("c._b") == F.col("w._b")]).select("c.*", "_before", "_w")
+    ranked = near.withColumn("_at", F.col("_before") + F.sum("_c").over(W.partitionBy(*keys, "_b").orderBy("_v")) - F.col("_c"))
+    hits = ranked.select(*keys, "_n", "_v", F.explode(F.filter("_w", lambda r: (r["rank"] >= F.col("_at")) & (r["rank"] < F.col("_at") + F.col("_c")))).alias("_r"))
+    both = hits.groupBy(*keys, "_n", F.col("_r.i").alias("_i")).agg(F.min("_v").alias("_x"), F.max("_v").alias("_y"))
+    part = F.element_at(F.array(*map(F.lit, QUANTILES)), F.col("_i") + 1) * (F.col("_n") - 1)
+    q = both.withColumn("_q", F.col("_x") + (F.col("_y") - F.col("_x")) * (part - F.floor(part)))
+    return q.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_q"))), lambda s: s["_q"]).alias("q"))
+
+
 def scalar_stats(df: DataFrame, *keys: str, value: str = "value", exact: bool = True) -> DataFrame:
-    """Count, mean, population deviation, extremes and nine quantiles (linear between neighbours).
+    """Count, mean, population deviation, extremes and nine quantiles (linear between neighbours) of each group; values must not be null.
 
-    The exact quantile holds a count for each distinct value of a group; ``exact=False`` takes the
-    approximate one, whose memory does not grow.
+    Exact quantiles come from :func:`exact_quantiles`, which counts first and ranks few buckets; ``exact=False`` takes
+    the approximate ones, in one pass. An empty table gives no rows.
     """
-    q = F.percentile(value, list(QUANTILES)) if exact else F.percentile_approx(value, list(QUANTILES), 10000)
-    out = df.groupBy(*keys).agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"), q.alias("q"))
+    stats = [F.count("*").alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max")]
+    if exact:
+        out = df.groupBy(*keys).agg(*stats).alias("s")
+        q = exact_quantiles(df, *keys, value=value).alias("q")
+        out = out.join(F.broadcast(q), [F.col(f"s.{k}").eqNullSafe(F.col(f"q.{k}")) for k in keys] or F.lit(True)).select("s.*", F.col("q.q").alias("q"))
+    else:
+        out = df.groupBy(*keys).agg(*stats, F.percentile_approx(value, list(QUANTILES), 10000).alias("q"))
     quantiles = [F.round(F.col("q")[i], 6).alias(f"q{int(p * 100):02d}") for i, p in enumerate(QUANTILES)]
     return out.select(*keys, "n", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "min", "max", *quantiles)
 
@@ -141,12 +177,15 @@ def threshold_sweep(df: DataFrame, n: int = 1000, value: str = "value", keys: tu
     return out.filter("bucket > 0").select(*keys, (F.col("bucket") - 1).alias("i"), ((F.col("bucket") - 1) * step).alias("threshold"), F.col("at_least").alias("above"))
 
 
-def threshold_report(tiles: DataFrame, tissue: DataFrame, classes: list[str], prefix: str = "roi_coverage_", tissue_column: str = "roi_tissue_coverage") -> DataFrame:
-    """Statistics of each class column where it is the dominant class, and of tissue overall and by dominant class."""
+def threshold_report(tiles: DataFrame, tissue: DataFrame, classes: list[str], prefix: str = "roi_coverage_", tissue_column: str = "roi_tissue_coverage", exact: bool = True) -> DataFrame:
+    """Statistics of the joined tiles: each class column over all rows (stratum ``all``), and tissue overall and by dominant class.
+
+    Strata without rows are absent; nulls and NaN are left out; no joined rows give no rows.
+    """
     rows = dominant_class(join_tissue(tiles, tissue), classes, prefix)
-    own = long_form(rows, [prefix + c for c in classes], "stratum").filter(F.col("column") == F.concat(F.lit(prefix), F.col("stratum")))
-    tissue_rows = rows.select(F.explode(F.array("stratum", F.lit("all"))).alias("stratum"), F.lit(tissue_column).alias("column"), F.col(tissue_column).alias("value"))
-    return scalar_stats(own.unionByName(tissue_rows), "column", "stratum")
+    own = long_form(rows, [prefix + c for c in classes]).select("column", F.lit("all").alias("stratum"), "value")
+    tissue_rows = long_form(rows, [tissue_column], "stratum").select("column", F.explode(F.array("stratum", F.lit("all"))).alias("stratum"), "value")
+    return scalar_stats(own.unionByName(tissue_rows), "column", "stratum", exact=exact)
 
 
 def threshold_curves(tiles: DataFrame, tissue: DataFrame, classes: list[str], prefix: str = "roi_coverage_", tissue_column: str = "roi_tissue_coverage", n: int = 1000) -> DataFrame:
@@ -180,8 +219,9 @@ def metrics_table(df: DataFrame, split: str, metric: str) -> DataFrame:
 
 
 def attach_slide_info(tiles: DataFrame, slides: DataFrame) -> DataFrame:
+    """Tiles with path, level and tile size of their slide, which replace columns of these names; tiles of unknown slides go."""
     info = slides.select(F.col("id").alias("slide_id"), "path", "level", "tile_extent_x", "tile_extent_y")
-    return tiles.join(info, "slide_id")
+    return tiles.drop(*info.columns[1:]).join(info, "slide_id")
 
 
 def attach_annotation_path(slides: DataFrame, catalogue: DataFrame) -> DataFrame:
@@ -189,10 +229,11 @@ def attach_annotation_path(slides: DataFrame, catalogue: DataFrame) -> DataFrame
     return slides.join(paths, "path", "left").withColumn("annotation_path", F.coalesce("annotation_path", F.lit("")))
 
 
-def slides_with_masks(slides: DataFrame, masks: DataFrame, wanted: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(slides that have every wanted mask, slides that lack one)."""
+def slides_with_masks(slides: DataFrame, masks: DataFrame, wanted: list[str], check: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(slides that have every wanted mask, slides that lack one). ``check`` raises where no slide has them all."""
     full = masks.filter(F.col("mask").isin(wanted)).groupBy(F.col("slide_id").alias("id")).agg(F.countDistinct("mask").alias("k")).filter(F.col("k") == len(wanted)).select("id")
-    return slides.join(full, "id", "left_semi"), slides.join(full, "id", "left_anti")
+    have = slides.join(full, "id", "left_semi")
+    return check_not_empty(have, "slides with every mask") if check else have, slides.join(full, "id", "left_anti")
 
 
 def select_slides(tiles: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -217,12 +258,34 @@ def require_slides(tiles: DataFrame, slides: DataFrame) -> DataFrame:
     return joined.withColumn("slide_id", sure).drop("_known")
 
 
-def join_embeddings(meta: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Rows of ``meta`` with their vector; extra columns of the vector table are left behind."""
-    return meta.join(vectors.select(*KEY, "embedding"), KEY)
+def join_embeddings(meta: DataFrame, vectors: DataFrame, check: bool = False) -> DataFrame:
+    """Rows of ``meta`` with their vector, which replaces an ``embedding`` of theirs; rows without one go. ``check`` raises where none is left."""
+    out = meta.drop("embedding").join(vectors.select(*KEY, "embedding"), KEY)
+    return check_not_empty(out, "join with vectors") if check else out
 
 
 def check_not_empty(df: DataFrame, what: str) -> DataFrame:
     if df.isEmpty():
         raise ValueError(f"{what}: no rows left")
     return df
+
+
+def check_columns(df: DataFrame, *names: str) -> DataFrame:
+    if absent := [n for n in names if n not in df.columns]:
+        raise ValueError(f"no column {absent}")
+    return df
+
+
+def check_slide_ids(df: DataFrame, column: str = "slide_id") -> DataFrame:
+    """Raise on an empty table and on null slide ids."""
+    rows, nulls = df.agg(F.count("*"), F.count_if(F.col(column).isNull())).first()
+    if not rows or nulls:
+        raise ValueError(f"{nulls} null slide ids in {rows} rows" if rows else "the table of tiles is empty")
+    return df
+
+
+def filter_tiles(tiles: DataFrame, tissue: DataFrame, tissue_column: str = "roi_tissue_coverage") -> DataFrame:
+    """The filter job with its checks: annotated tiles on tissue. Raises where the annotation or the tissue filter leaves nothing."""
+    check_columns(tissue, tissue_column)
+    marked = check_not_empty(any_annotation(tiles), "annotation filter")
+    return check_not_empty(marked.join(on_tissue(tissue, tissue_column), KEY), "tissue filter")

@@ -45,7 +45,7 @@ JOINED = f"SELECT t.*, s.tile_tissue_coverage, s.roi_tissue_coverage FROM tiles
 LABELLED = f"SELECT *, {SUM} AS tissue_prop, CASE WHEN {SUM} = 0 THEN 'background' ELSE {LABEL} END AS label FROM tiles"
 GROUPED = "SELECT *, CASE WHEN upper(source) = 'TCGA' THEN substr(id_stem, 1, 12) ELSE id_stem END AS group_id FROM catalogue"
 MERGED = f"""WITH g AS ({GROUPED}), a AS (SELECT *, lower(source) || '_' || lower(organ) AS t0 FROM g),
-small AS (SELECT DISTINCT organ FROM (SELECT organ, t0, count(*) AS n FROM a GROUP BY organ, t0) WHERE n < 5),
+small AS (SELECT DISTINCT organ FROM a WHERE t0 IN (SELECT t0 FROM a GROUP BY t0 HAVING count(*) < 5)),
 m AS (SELECT organ, array_to_string(list_sort(list(DISTINCT lower(source))), '_') || '_' || organ AS t1 FROM a WHERE organ IN (SELECT organ FROM small) GROUP BY organ),
 b AS (SELECT a.*, coalesce(t1, t0) AS t2 FROM a LEFT JOIN m ON a.organ = m.organ),
 c AS (SELECT t2, count(*) AS n FROM b GROUP BY t2),
@@ -178,9 +178,9 @@ def slide_basename(spark, sf):
     return cat.slide_basename(_t(spark, sf, "slides"))
 
 
-@query()
+@query("""SELECT sha256('{"path":"' || path || '","level":0,"extent_x":896,"extent_y":28784,"tile_extent_x":224,"tile_extent_y":224,"stride_x":112,"stride_y":112,"mpp_x":0.5,"mpp_y":0.5,"downsample":1.0}') AS id, path FROM slides""", "slides")
 def slide_hash_id(spark, sf):
-    return cat.slide_hash_id(_t(spark, sf, "slides").drop("id"))
+    return cat.slide_hash_id(_t(spark, sf, "slides").drop("id")).select("id", "path")
 
 
 @query("SELECT wsi_path, 0.25::DOUBLE * 0 + 0.2525 AS mpp_x, 0.0::DOUBLE AS mpp_y, CAST(20 + label AS INT) AS magnification, CASE WHEN label = 1 THEN 'N/A' ELSE vendor END AS vendor FROM catalogue", "catalogue")
@@ -208,10 +208,15 @@ def join_tissue(spark, sf):
     return tiles.join_tissue(*_t(spark, sf, "tiles", "tissue")).select("slide_id", "x", "y", "roi_coverage_A", "roi_tissue_coverage")
 
 
-@query(f"SELECT {KEY}, label, embedding FROM vectors WHERE label < 5", "vectors")
+@query(f"SELECT {KEY}, roi_coverage_A, tile_tissue_coverage FROM ({JOINED})", "tiles", "tissue")
+def filter_tiles(spark, sf):
+    return tiles.filter_tiles(*_t(spark, sf, "tiles", "tissue")).select("slide_id", "x", "y", "roi_coverage_A", "tile_tissue_coverage")
+
+
+@query(f"SELECT {KEY}, label, embedding FROM vectors", "vectors")
 def join_embeddings(spark, sf):
     v = _t(spark, sf, "vectors")
-    return tiles.join_embeddings(v.filter("label < 5").select("slide_id", "x", "y", "label"), v)
+    return tiles.join_embeddings(v.select("slide_id", "x", "y", "label"), v)
 
 
 @query(f"SELECT {KEY}, path, level, tile_extent_x, tile_extent_y FROM tiles JOIN slides ON slide_id = id", "tiles", "slides")
@@ -224,20 +229,31 @@ def drop_excluded(spark, sf):
     return cat.drop_excluded(*_t(spark, sf, "catalogue", "missing")).select("id_stem", "wsi_path")
 
 
-HAVE = "SELECT slide_id AS id FROM mask_cells WHERE mask IN ('tissue', 'residual') AND cell_x < 2 AND cell_y < 8 GROUP BY slide_id HAVING count(DISTINCT mask) = 2"
+#: Slides of tiles, and those of vectors, which have neither masks nor annotations.
+ALL_SLIDES = "SELECT id, path FROM slides UNION ALL SELECT DISTINCT slide_id, '/data/' || slide_id || '.svs' FROM vectors"
+
+
+def _all_slides(spark, sf):
+    slides, vectors = _t(spark, sf, "slides", "vectors")
+    others = vectors.select(F.col("slide_id").alias("id"), F.concat(F.lit("/data/"), "slide_id", F.lit(".svs")).alias("path")).distinct()
+    return slides.select("id", "path").unionByName(others)
+
 
+HAVE = "SELECT slide_id AS id FROM mask_cells WHERE mask IN ('tissue', 'residual') GROUP BY slide_id HAVING count(DISTINCT mask) = 2"
 
-@query(f"SELECT id, id IN ({HAVE}) AS complete FROM slides", "mask_cells", "slides")
+
+@query(f"SELECT id, id IN ({HAVE}) AS complete FROM ({ALL_SLIDES})", "mask_cells", "slides", "vectors")
 def slides_with_masks(spark, sf):
-    slides, cells = _t(spark, sf, "slides", "mask_cells")
-    have, lack = tiles.slides_with_masks(slides, cells.filter("cell_x < 2 AND cell_y < 8").select("slide_id", "mask").distinct(), ["tissue", "residual"])
+    masks = _t(spark, sf, "mask_cells").select("slide_id", "mask").distinct()
+    have, lack = tiles.slides_with_masks(_all_slides(spark, sf), masks, ["tissue", "residual"])
     return have.select("id", F.lit(True).alias("complete")).unionByName(lack.select("id", F.lit(False).alias("complete")))
 
 
-@query(f"SELECT {KEY} FROM tiles WHERE slide_id IN (SELECT id FROM slides ORDER BY id LIMIT 3)", "tiles", "slides")
+@query(f"SELECT {KEY} FROM tiles WHERE slide_id IN (SELECT slide_id FROM tissue GROUP BY slide_id HAVING avg(roi_tissue_coverage) > 0.5)", "tiles", "tissue")
 def select_slides(spark, sf):
-    t, s = _t(spark, sf, "tiles", "slides")
-    return tiles.select_slides(t, s.orderBy("id").limit(3).select(F.col("id").alias("slide_id"))).select("slide_id", "x", "y")
+    t, tissue = _t(spark, sf, "tiles", "tissue")
+    chosen = tissue.groupBy("slide_id").agg(F.avg("roi_tissue_coverage").alias("mean")).filter("mean > 0.5")
+    return tiles.select_slides(t, chosen).select("slide_id", "x", "y")
 
 
 @query("SELECT c.wsi_path AS path, coalesce(a.annotation_path, '') AS annotation_path FROM catalogue c LEFT JOIN catalogue a ON a.wsi_path = c.wsi_path AND a.label = 1", "catalogue")
@@ -261,10 +277,10 @@ def compare_distributions(spark, sf):
     return cat.compare_distributions(p.filter("split = 'train'"), p.filter("split = 'test'"), "organ")
 
 
-@query("SELECT id, path FROM slides WHERE id NOT IN (SELECT slide_id FROM squares WHERE name = 'Fat' AND top < 3000)", "slides", "squares")
+@query(f"SELECT id, path FROM ({ALL_SLIDES}) WHERE id NOT IN (SELECT slide_id FROM squares)", "slides", "squares", "vectors")
 def missing_annotations(spark, sf):
-    slides, squares = _t(spark, sf, "slides", "squares")
-    return cat.missing_annotations(slides, squares.filter("name = 'Fat' AND top < 3000")).select("id", "path")
+    polygons = geometry.flatten_annotations(_documents(spark, sf), _mapping(spark))
+    return cat.missing_annotations(_all_slides(spark, sf), polygons).select("id", "path")
 
 
 @query(f"SELECT {KEY}, path FROM tiles JOIN slides ON slide_id = id", "tiles", "slides")
@@ -285,7 +301,10 @@ def grouped_stratified_split(spark, sf):
     return _parted(spark, sf).select("id_stem", "source", "group_id", "split")
 
 
-@query(f"{SPLIT} SELECT count(*) AS slides, count(*) FILTER (WHERE split = 'train') AS train, count(*) FILTER (WHERE split = 'test') AS test, count(DISTINCT group_id) AS groups, count(DISTINCT stratify_target) AS targets, count(DISTINCT organ) AS organs, count(DISTINCT source) AS sources, round_even(count(*) FILTER (WHERE split = 'test') / count(*), 4) AS test_ratio, 0::BIGINT AS leaking_groups FROM parted", "catalogue")
+PER_SPLIT = ", ".join(f"count(DISTINCT {c}) FILTER (WHERE split = '{k}') AS {k}_{n}" for k in ("train", "test") for n, c in {"groups": "group_id", "targets": "stratify_target", "organs": "organ", "sources": "source"}.items())
+
+
+@query(f"{SPLIT} SELECT count(*) AS slides, count(*) FILTER (WHERE split = 'train') AS train, count(*) FILTER (WHERE split = 'test') AS test, {PER_SPLIT}, round_even(count(*) FILTER (WHERE split = 'test') / count(*), 4) AS test_ratio, 0::BIGINT AS leaking_groups FROM parted", "catalogue")
 def split_statistics(spark, sf):
     return cat.split_statistics(_parted(spark, sf))
 
@@ -337,7 +356,7 @@ def _stats_sql(keys: str, rows: str) -> str:
 
 LONG = " UNION ALL ".join(f"SELECT slide_id, 'roi_coverage_{c}' AS \"column\", roi_coverage_{c} AS value FROM tiles" for c in CLASSES)
 STRATA = f"SELECT *, {STRATUM} AS stratum FROM ({JOINED})"
-REPORT = " UNION ALL ".join([*[f"SELECT 'roi_coverage_{c}' AS \"column\", stratum, roi_coverage_{c} AS value FROM s WHERE stratum = '{c}'" for c in CLASSES], *[f"SELECT 'roi_tissue_coverage', {k}, roi_tissue_coverage FROM s" for k in ("stratum", "'all'")]])
+REPORT = " UNION ALL ".join([*[f"SELECT 'roi_coverage_{c}' AS \"column\", 'all' AS stratum, roi_coverage_{c} AS value FROM s" for c in CLASSES], *[f"SELECT 'roi_tissue_coverage', {k}, roi_tissue_coverage FROM s" for k in ("stratum", "'all'")]])
 
 
 @query(_stats_sql('"column", ', LONG), "tiles")
@@ -400,9 +419,14 @@ def collapse_rare_labels(spark, sf):
     return folds.collapse_rare_labels(_labelled(spark, sf), 3000).select("slide_id", "x", "y", "stratify_label")
 
 
-@query(f"WITH l AS ({LABELLED}), k AS (SELECT label FROM l WHERE x >= 560 OR label <> 'A' GROUP BY label HAVING count(DISTINCT slide_id) >= 5) SELECT {KEY}, label FROM l WHERE (x >= 560 OR label <> 'A') AND label IN (SELECT label FROM k)", "tiles")
+#: The corner of the first four slides is a class of its own.
+CORNERED = f"SELECT {KEY}, CASE WHEN x = 0 AND y < 1120 AND slide_id IN ('S0', 'S1', 'S2', 'S3') THEN 'corner' ELSE label END AS label FROM ({LABELLED})"
+
+
+@query(f"WITH l AS ({CORNERED}), k AS (SELECT label FROM l GROUP BY label HAVING count(DISTINCT slide_id) >= 5) SELECT {KEY}, label FROM l WHERE label IN (SELECT label FROM k)", "tiles")
 def drop_rare_class_slides(spark, sf):
-    return folds.drop_rare_class_slides(_labelled(spark, sf).filter("x >= 560 OR label <> 'A'"), 5).select("slide_id", "x", "y", "label")
+    corner = (F.col("x") == 0) & (F.col("y") < 1120) & F.col("slide_id").isin("S0", "S1", "S2", "S3")
+    return folds.drop_rare_class_slides(_labelled(spark, sf).withColumn("label", F.when(corner, "corner").otherwise(F.col("label"))), 5).select("slide_id", "x", "y", "label")
 
 
 @query(f"{FOLDS} SELECT {KEY}, label, g AS fold FROM f", "tiles")
@@ -519,7 +543,8 @@ def rasterise_rectangles(spark, sf):
     return geometry.rasterise_rectangles(_t(spark, sf, "squares").withColumn("class_index", F.when(F.lower("name") == "nerve", 0).otherwise(1)))
 
 
-@query()
+@query(f"""SELECT slide_id, CAST(cx AS INT) AS cell_x, CAST(cy AS INT) AS cell_y, max(class_index) AS value FROM (SELECT slide_id, class_index, cx, unnest(range(CAST(ceil(top / 56.0 - 0.5) AS BIGINT), CAST(ceil(bottom / 56.0 - 0.5) AS BIGINT))) AS cy FROM
+(SELECT *, unnest(range(CAST(ceil("left" / 56.0 - 0.5) AS BIGINT), CAST(ceil("right" / 56.0 - 0.5) AS BIGINT))) AS cx FROM ({MAPPED}))) GROUP BY ALL""", "squares")
 def rasterise_labels(spark, sf):
     return geometry.rasterise_labels(geometry.flatten_annotations(_documents(spark, sf), _mapping(spark)), 56.0)
 
