@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tilequery.functions import columns as C
 from tilequery.operators import catalogue, folds, geometry, modelling, tiles
 from tilequery.plans import registry
+from tilequery.sources import files
 
 NAN = float("nan")
 
@@ -82,16 +86,88 @@ def test_rounding_and_lut():
     assert geometry.spread_lut(3)[255] == 0
 
 
+SLIDES = "id string, extent_x int, extent_y int, tile_extent_x int, tile_extent_y int, stride_x int, stride_y int, downsample double"
+
+
 def test_polygon_with_hole(spark):
     square = lambda a, b: [[a, a], [b, a], [b, b], [a, b], [a, a]]
     polygons = spark.createDataFrame([("s", "c", 0, 1, [square(0.0, 224.0), square(56.0, 168.0)])], "slide_id string, class string, class_index int, polygon long, rings array<array<array<double>>>")
     places = spark.createDataFrame([("s", 0, 0)], "slide_id string, x int, y int")
-    r = geometry.polygon_coverage(places, polygons).first()
+    slides = spark.createDataFrame([("s", 896, 896, 224, 224, 112, 112, 1.0)], SLIDES)
+    r = geometry.polygon_coverage(places, polygons, slides).first()
     assert (r.tile_coverage, r.roi_coverage) == (0.75, 0.0)
     cells = geometry.rasterise_labels(polygons, 56.0)
     assert cells.filter("value = 0").count() == 12 and cells.filter("value = 255").count() == 4
 
 
+def clipped(ring, left, top, right, bottom):
+    """Area of a ring in a rectangle, by cutting off one half-plane after the other."""
+    for axis, bound, sign in ((0, left, 1), (0, right, -1), (1, top, 1), (1, bottom, -1)):
+        out = []
+        for p, q in zip(ring, [*ring[1:], *ring[:1]], strict=True):
+            d, e = sign * (p[axis] - bound), sign * (q[axis] - bound)
+            if d >= 0:
+                out.append(p)
+            if d * e < 0:
+                out.append([p[k] + (q[k] - p[k]) * d / (d - e) for k in (0, 1)])
+        ring = out
+        if not ring:
+            return 0.0
+    return abs(sum(p[0] * q[1] - p[1] * q[0] for p, q in zip(ring, [*ring[1:], *ring[:1]], strict=True))) / 2
+
+
+def test_polygons_of_slides_of_different_scale(spark):
+    rng = np.random.default_rng(8)
+    slides = [("s", 900, 900, 224, 200, 112, 100, 1.0), ("t", 450, 450, 150, 150, 100, 150, 2.0), ("u", 300, 300, 64, 64, 64, 64, 4.0)]
+    polygons = []
+    for i in range(40):
+        # Stars around a middle: simple outlines that are not convex.
+        turn = np.sort(rng.random(12)) * 2 * np.pi
+        far = rng.uniform(20, 250, 12)
+        ring = (rng.uniform(0, 900, 2) + np.c_[np.cos(turn) * far, np.sin(turn) * far]).tolist()
+        polygons.append((slides[i % 3][0], "ab"[i % 2], i, [ring, *([[[p[0] / 1, p[1]] for p in ring[:3]]] if i % 5 == 0 else [])]))
+    df = spark.createDataFrame(polygons, "slide_id string, class string, polygon long, rings array<array<array<double>>>")
+    sdf = spark.createDataFrame(slides, SLIDES)
+    tiles_ = geometry.grid_tiles(sdf, "keep")
+    got = {(r.slide_id, r.x, r.y, r["class"]): (r.tile_coverage, r.roi_coverage) for r in geometry.polygon_coverage(tiles_, df, sdf).collect()}
+    seen = 0
+    for sid, ex, ey, tw, th, sx, sy, down in slides:
+        for x in range(0, ex, sx):
+            for y in range(0, ey, sy):
+                for c in "ab":
+                    want = []
+                    for part in (0.0, 0.25):
+                        box = (x + tw * part, y + th * part, x + tw * (1 - part), y + th * (1 - part))
+                        total = 0.0
+                        for s, k, _, rings in polygons:
+                            if (s, k) == (sid, c):
+                                areas = [clipped([[p[0] / down, p[1] / down] for p in r], *box) for r in rings]
+                                total += max(0.0, areas[0] - sum(areas[1:]))
+                        want.append(min(1.0, total / ((box[2] - box[0]) * (box[3] - box[1]))))
+                    assert got.get((sid, x, y, c), (0.0, 0.0)) == pytest.approx(tuple(want), abs=1e-6), (sid, x, y, c)
+                    seen += want[0] > 0
+    assert seen > 60
+
+
+def test_annotation_documents_and_faults(spark):
+    def path(points):
+        return [{"x": x, "y": y} for x, y in points]
+
+    box, hole, bow = [(0, 0), (9, 0), (9, 9), (0, 9)], [(2, 2), (4, 2), (4, 4)], [(0, 0), (9, 9), (9, 0), (0, 9)]
+    darwin = {"annotations": [
+        {"name": "FAT", "polygon": {"path": path(box)}}, {"name": "nerve", "polygon": {"paths": [path(box), path(hole)]}}, {"name": "fat", "complex_polygon": {"path": [path(bow)]}},
+        {"name": "other", "polygon": {"path": path(box)}}, {"name": "fat", "tag": {}}, {"name": "fat", "polygon": {"path": path(box[:2])}},
+    ]}
+    line = [*map(list, box), [0, 0]]
+    geo = {"features": [{"properties": {"name": "Fat"}, "geometry": {"type": "MultiPolygon", "coordinates": [[line], [[[0, 0], [5, 5], [9, 9], [0, 0]]]]}}, {"properties": {"name": "Fat"}, "geometry": None}]}
+    rows = [("d", json.dumps(darwin), "darwin"), ("g", json.dumps(geo), "geojson"), ("x", "{broken", "geojson"), ("y", None, "darwin")]
+    mapping = spark.createDataFrame([("Fat", "fat", 1), ("Nerve", "Nerve", 0)], "class string, raw_name string, class_index int")
+    flat = geometry.flatten_annotations(spark.createDataFrame(rows, "slide_id string, doc string, format string"), mapping)
+    out = {(r.slide_id, r.polygon): (r["class"], len(r.rings), r.fault) for r in geometry.ring_faults(flat).collect()}
+    assert out == {("d", 0): ("Fat", 1, None), ("d", 1 << 32): ("Nerve", 2, None), ("d", 2 << 32): ("Fat", 1, "area"), ("g", 0): ("Fat", 1, None), ("g", 1): ("Fat", 1, "area")}
+    assert geometry._crosses(np.array([(0, 0), (9, 9), (9, 1), (0, 8)], float)) and not geometry._crosses(np.array(box, float))
+
+
 def test_windows_over_the_edge(spark):
     t = spark.createDataFrame([("s", 672, 0)], "slide_id string, x int, y int")
     slides = spark.createDataFrame([("s", 784, 224, 224, 224)], "id string, extent_x int, extent_y int, tile_extent_x int, tile_extent_y int")
@@ -136,3 +212,107 @@ def test_errors_and_retries(spark):
         return [[1.0]] * len(batch)
 
     assert modelling.embed_tiles(df, flaky, pause=lambda s: None).first().embedding == [1.0]
+
+
+def test_checks_raise(spark):
+    t = "slide_id string, x int, y int, roi_coverage_A double"
+    some, none = spark.createDataFrame([("s", 0, 0, 0.5)], t), spark.createDataFrame([("s", 0, 0, 0.0)], t)
+    tissue = spark.createDataFrame([("s", 0, 0, 0.0), ("s", 1, 0, 1.0)], "slide_id string, x int, y int, roi_tissue_coverage double")
+    for args in ((none, tissue), (some, tissue)):
+        with pytest.raises(ValueError, match="no rows left"):
+            tiles.filter_tiles(*args)
+    with pytest.raises(ValueError, match="no column"):
+        tiles.filter_tiles(some, tissue.drop("roi_tissue_coverage"))
+    with pytest.raises(ValueError, match="no column"):
+        tiles.select_folds(some, [1])
+    assert tiles.select_folds(some).count() == 1
+    with pytest.raises(ValueError, match="empty"):
+        tiles.check_slide_ids(some.limit(0))
+    with pytest.raises(ValueError, match="1 null"):
+        tiles.check_slide_ids(spark.createDataFrame([("s",), (None,)], "slide_id string"))
+    with pytest.raises(ValueError, match="no rows left"):
+        tiles.join_embeddings(some, some.withColumn("embedding", F.array(F.lit(1.0))).filter("x > 5"), check=True)
+    labelled = some.withColumn("label", F.lit("a"))
+    with pytest.raises(ValueError, match="no rows left"):
+        folds.drop_rare_class_slides(labelled, 5, check=True)
+    with pytest.raises(ValueError, match="no rows left"):
+        tiles.slides_with_masks(spark.createDataFrame([("s",)], "id string"), spark.createDataFrame([("s", "a")], "slide_id string, mask string"), ["a", "b"], check=True)
+    with pytest.raises(Exception, match="no tiles to sample from"):
+        folds.slide_budget(some.limit(0), 5).collect()
+    few = spark.createDataFrame([("a", "background")] * 2 + [("b", "b")] * 9, "label string, stratify_label string")
+    with pytest.raises(ValueError, match="background has 2 rows"):
+        folds.check_strata(few, 3)
+    assert folds.check_strata(few, 2).count() == 11
+    with pytest.raises(ValueError):
+        geometry.grid_tiles(some, "both")
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 1000])
+def test_exact_quantiles(spark, n):
+    rng = np.random.default_rng(n)
+    values = {"a": rng.random(n), "b": np.round(rng.random(n), 1), "c": np.full(n, 0.25), "d": np.r_[rng.random(n), 1e6]}
+    df = spark.createDataFrame([(k, float(x)) for k, v in values.items() for x in v], "k string, value double")
+    for buckets in (1, 7, 4096):
+        got = {r.k: r.q for r in tiles.exact_quantiles(df, "k", buckets=buckets).collect()}
+        assert got.keys() == values.keys()
+        for k, v in values.items():
+            assert got[k] == pytest.approx(np.quantile(v, tiles.QUANTILES).tolist(), abs=1e-9), (k, buckets)
+    one = tiles.scalar_stats(df.filter("k = 'a'")).first()
+    assert one.n == n and one.q50 == pytest.approx(np.median(values["a"]), abs=1e-6)
+    assert tiles.scalar_stats(df.limit(0), "k").collect() == []
+
+
+def test_files(spark, tmp_path):
+    folder = tmp_path / "in" / "deep"
+    folder.mkdir(parents=True)
+    for name, text in {"a.svs": "image", "b.GEO.json": '{"features": []}', "c.json": '{"annotations": []}', "d.txt": "x"}.items():
+        (folder / name).write_text(text)
+    assert sorted(r.id_stem for r in files.scan_files(spark, str(tmp_path / "in")).collect()) == ["a", "b", "c", "d"]
+    assert [r.id_stem for r in files.scan_files(spark, str(tmp_path / "in"), "*.svs").collect()] == ["a"]
+    read = {r.path.rsplit("/", 1)[1]: (r.format, r.doc) for r in files.read_annotations(spark, str(folder)).collect()}
+    assert read == {"b.GEO.json": ("geojson", '{"features": []}'), "c.json": ("darwin", '{"annotations": []}')}
+    rows = [("i", "TCGA", "or,gan", 1, "/w", "/a", 0.25, None, 40, "v"), ("j", "MOU", None, None, None, None, None, 0.5, None, 'q"uote')]
+    catalogue_ = spark.createDataFrame(rows, files.CATALOGUE)
+    files.write_catalogue(catalogue_, str(tmp_path / "cat"))
+    assert sorted(map(tuple, files.read_catalogue(spark, str(tmp_path / "cat")).collect())) == rows
+    files.write_class_map(catalogue_.filter("label IS NOT NULL").union(catalogue_.filter("label = 1")), str(tmp_path / "map"))
+    assert [tuple(r) for r in spark.read.json(str(tmp_path / "map")).select("organ", "label").collect()] == [("or,gan", 1)]
+    df = spark.range(0, 1000, 1, 7).withColumn("y", F.lit(1))
+    schema = T.StructType([T.StructField("y", T.DoubleType()), T.StructField("id", T.IntegerType())])
+    files.write_tiles(df, str(tmp_path / "tiles"), schema)
+    back = files.read_tiles(spark, str(tmp_path / "tiles"))
+    assert back.dtypes == [("y", "double"), ("id", "int")] and back.count() == 1000
+    assert files.read_tiles(spark, str(tmp_path / "tiles"), ["id"]).columns == ["id"]
+    files.write_sized(df, str(tmp_path / "sized"), 300)
+    assert len(list((tmp_path / "sized").glob("*.parquet"))) == 3 and spark.read.parquet(str(tmp_path / "sized")).count() == 1000
+    assert files.file_count(5, 10) == 1 and files.resolve_template("{a}/{b}", a="x", b="y") == "x/y"
+
+
+def test_linear_probe_by_its_gradient(spark):
+    """At the fitted weights the gradient of the weighted loss with its penalty is zero, and predictions are their softmax."""
+    rng = np.random.default_rng(5)
+    target = rng.choice(3, 300, p=[0.6, 0.3, 0.1])
+    x = rng.normal(size=(300, 4)) + np.eye(3, 4)[target]
+    df = spark.createDataFrame([("s", i, 0, int(t), v.tolist()) for i, (t, v) in enumerate(zip(target, x, strict=True))], "slide_id string, x int, y int, target int, embedding array<double>")
+    decay = 0.01
+    model = modelling.fit_linear_probe(df, decay, 3, 500)
+    w, b = model.coefficientMatrix.toArray(), np.array(model.interceptVector)
+    weight = (300 / (3 * np.bincount(target)))[target]
+    z = x @ w.T + b
+    p = np.exp(z - z.max(1, keepdims=True))
+    p /= p.sum(1, keepdims=True)
+    error = (p - np.eye(3)[target]) * weight[:, None] / weight.sum()
+    assert np.abs(error.T @ x + decay * w).max() < 1e-3 and np.abs(error.sum(0)).max() < 1e-3
+    out = modelling.predict_probe(model, df, ["a", "b", "c"]).orderBy("x").collect()
+    assert np.allclose([[r.prob_a, r.prob_b, r.prob_c] for r in out], p, atol=1e-9) and [r.pred for r in out] == p.argmax(1).tolist()
+    numbered = modelling.predict_probe(model, df, ["a"])
+    assert numbered.columns[-3:] == ["prob_0", "prob_1", "prob_2"]
+    more = modelling.predict_probe(model, df, ["a", "b", "c", "d"]).first()
+    assert more.prob_d == 0.0
+
+
+def test_targets_count_over_spellings(spark):
+    df = spark.createDataFrame([("S", "Liver")] * 3 + [("S", "liver")] * 3 + [("T", "liver")] * 2, "source string, organ string")
+    out = {(r.source, r.organ): r.stratify_target for r in catalogue.merge_rare_strata(df, 5).collect()}
+    # s_liver has six rows over both spellings; only t_liver is rare, and it takes the spelling liver with it.
+    assert out == {("S", "Liver"): "other_rare_organs", ("S", "liver"): "s_t_liver", ("T", "liver"): "s_t_liver"}

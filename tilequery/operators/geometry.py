@@ -1,12 +1,16 @@
-"""Grids, polygons, rasters as cell tables, and maps of predictions."""
+"""Grids, polygons, rasters as cell tables, and maps of predictions.
+
+Tile size, stride, extent and downsample come from each slide's row: ``slides`` has ``id, extent_x, extent_y, tile_extent_x,
+tile_extent_y, stride_x, stride_y, downsample``, ids once and nothing null. Tiles of slides that are not there get nothing.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import gcd
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +18,8 @@ from tilequery.functions.columns import half_even
 
 from .tiles import KEY
 
-#: Side of the coarse blocks, in cells, by which windows meet cells; larger than a window.
-BLOCK = 64
+#: Tiles along a side of the blocks that a polygon is sent to at once.
+BLOCK = 16
 NO_CLASS = 255
 
 
@@ -32,98 +36,197 @@ def grid_tiles(slides: DataFrame, last: str = "drop") -> DataFrame:
 
 
 def flatten_annotations(docs: DataFrame, mapping: DataFrame, name_path: str = "properties.name") -> DataFrame:
-    """GeoJSON ``(slide_id, doc)`` and ``(class, raw_name, class_index)`` -> ``(slide_id, class, class_index, polygon, rings)``.
+    """Documents ``(slide_id, doc)`` and ``(class, raw_name, class_index)`` -> ``(slide_id, class, class_index, polygon, rings)``.
 
-    Names match as whole strings in any case. A raw name of two classes gives two rows; null and empty
-    shapes are left out; multi-polygons give a row for each part.
+    A document is GeoJSON, or Darwin JSON where a column ``format`` says so (see ``annotation_format``). Names match as whole
+    strings in any case. A raw name of two classes gives two rows; null and empty shapes and broken documents are left out;
+    multi-polygons give a row for each part. ``polygon`` numbers the shapes of a document. Rings that are no
+    simple outlines stay in; :func:`ring_faults` tells which.
     """
+    shapes = _geojson_shapes(docs.filter("format = 'geojson'") if "format" in docs.columns else docs, name_path)
+    if "format" in docs.columns:
+        shapes = shapes.unionByName(_darwin_shapes(docs.filter("format = 'darwin'")))
+    flat = shapes.filter("rings IS NOT NULL AND size(rings) > 0 AND size(rings[0]) > 2")
+    names = mapping.select("class", F.lower("raw_name").alias("_raw"), "class_index")
+    joined = flat.join(names, F.lower("name") == F.col("_raw"))
+    number = F.shiftleft(F.col("feature").cast("long"), 32) + F.col("part")
+    return joined.select("slide_id", "class", "class_index", number.alias("polygon"), "rings")
+
+
+def _geojson_shapes(docs: DataFrame, name_path: str) -> DataFrame:
     collection = F.from_json("doc", "features array<string>")["features"]
     features = docs.select("slide_id", F.posexplode(collection).alias("feature", "f"))
     kind = F.get_json_object("f", "$.geometry.type")
     shape = F.get_json_object("f", "$.geometry.coordinates")
     rings = "array<array<array<double>>>"
     parts = F.when(kind == "Polygon", F.array(F.from_json(shape, rings))).when(kind == "MultiPolygon", F.from_json(shape, f"array<{rings}>"))
-    flat = features.select("slide_id", "feature", F.get_json_object("f", f"$.{name_path}").alias("name"), F.posexplode(parts).alias("part", "rings"))
-    flat = flat.filter("rings IS NOT NULL AND size(rings) > 0 AND size(rings[0]) > 2")
-    names = mapping.select("class", F.lower("raw_name").alias("_raw"), "class_index")
-    joined = flat.join(names, F.lower("name") == F.col("_raw"))
-    return joined.select("slide_id", "class", "class_index", (F.col("feature") * 1000000 + F.col("part")).cast("long").alias("polygon"), "rings")
+    return features.select("slide_id", "feature", F.get_json_object("f", f"$.{name_path}").alias("name"), F.posexplode(parts).alias("part", "rings"))
+
+
+def _darwin_shapes(docs: DataFrame) -> DataFrame:
+    """Annotations with a name and a polygon, whose ``path`` is one outline or whose ``paths`` are an outline and its holes."""
+    annotations = F.from_json("doc", "annotations array<string>")["annotations"]
+    found = docs.select("slide_id", F.posexplode(annotations).alias("feature", "f"))
+    point, line = "struct<x:double,y:double>", "$.polygon.path"
+    many = F.coalesce(F.from_json(F.get_json_object("f", "$.polygon.paths"), f"array<array<{point}>>"), F.from_json(F.get_json_object("f", "$.complex_polygon.path"), f"array<array<{point}>>"))
+    single = F.from_json(F.get_json_object("f", line), f"array<{point}>")
+    paths = F.coalesce(many, F.when(single.isNotNull(), F.array(single)))
+    rings = F.transform(paths, lambda ring: F.transform(ring, lambda p: F.array(p["x"], p["y"])))
+    return found.select("slide_id", "feature", F.get_json_object("f", "$.name").alias("name"), F.lit(0).alias("part"), rings.alias("rings"))
 
 
-def _tile_places(low: Column, high: Column, tile: int, stride: int) -> Column:
+def _crosses(ring: np.ndarray) -> bool:
+    """Whether two edges of a closed ring that are not neighbours meet."""
+    a, b = ring, np.roll(ring, -1, axis=0)
+    n = len(ring)
+
+    def side(p: np.ndarray, q: np.ndarray, r: np.ndarray) -> np.ndarray:
+        return np.sign((q[..., 0] - p[..., 0]) * (r[..., 1] - p[..., 1]) - (q[..., 1] - p[..., 1]) * (r[..., 0] - p[..., 0]))
+
+    for s in range(0, n, 256):  # so many edges at a time against all
+        p, q = a[s : s + 256, None], b[s : s + 256, None]
+        hit = (side(p, q, a[None]) * side(p, q, b[None]) <= 0) & (side(a[None], b[None], p) * side(a[None], b[None], q) <= 0)
+        box = np.ones_like(hit)
+        for k in (0, 1):
+            box &= (np.minimum(p[..., k], q[..., k]) <= np.maximum(a[None, :, k], b[None, :, k])) & (np.maximum(p[..., k], q[..., k]) >= np.minimum(a[None, :, k], b[None, :, k]))
+        i, j = np.nonzero(hit & box)
+        apart = (i + s - j) % n
+        if ((apart > 1) & (apart < n - 1)).any():
+            return True
+    return False
+
+
+def ring_faults(polygons: DataFrame) -> DataFrame:
+    """``polygons`` with ``fault``: ``points`` (a ring of fewer than three different points), ``area`` (an outline without area),
+    ``crossing`` (a ring that meets itself), null where all rings are sound. Count it by slide to report, filter it to reject."""
+    schema = polygons.withColumn("fault", F.lit(None).cast("string")).schema
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            faults = []
+            for rings in batch["rings"]:
+                found = None
+                for k, r in enumerate(rings):
+                    ring = np.array([list(p)[:2] for p in r], float).reshape(-1, 2)
+                    if len(ring) > 1 and (ring[0] == ring[-1]).all():
+                        ring = ring[:-1]
+                    ring = ring[(ring != np.roll(ring, 1, axis=0)).any(1)] if len(ring) > 1 else ring
+                    x, y = ring.T
+                    if len(np.unique(ring, axis=0)) < 3:
+                        found = "points"
+                    elif k == 0 and x @ np.roll(y, -1) == y @ np.roll(x, -1):
+                        found = "area"
+                    elif _crosses(ring):
+                        found = "crossing"
+                    if found:
+                        break
+                faults.append(found)
+            yield batch.assign(fault=faults)
+
+    return polygons.mapInPandas(check, schema)
+
+
+def _tile_places(low: Column, high: Column, tile: Column, stride: Column) -> Column:
     """Grid places whose tile meets the open interval (low, high)."""
     first = F.greatest(F.lit(0), F.floor((low - tile) / stride) + 1)
     last = F.ceil(high / stride) - 1
     return F.when(last >= first, F.sequence(first.cast("int"), last.cast("int"))).otherwise(F.array().cast("array<int>"))
 
 
-def _ratio(area: Column, side: float) -> Column:
-    return F.least(F.lit(1.0), area / F.lit(side * side))
+_SIDES = ("left", "top", "right", "bottom")
+_SCALE = [f"{c}_{a}" for c in ("tile_extent", "stride") for a in ("x", "y")]
+
+
+def _touched(boxes: DataFrame, slides: DataFrame) -> DataFrame:
+    """A row of ``boxes`` for each grid place whose tile its box touches; sides and places in the slide's tiling level."""
+    info = slides.select(F.col("id").alias("slide_id"), *_SCALE, "downsample")
+    scaled = boxes.join(info, "slide_id").withColumns({c: F.col(c) / F.col("downsample") for c in _SIDES})
+    places = {a: _tile_places(F.col(low), F.col(high), F.col(f"tile_extent_{a}"), F.col(f"stride_{a}")) for a, low, high in (("x", "left", "right"), ("y", "top", "bottom"))}
+    out = scaled.withColumn("gx", F.explode(places["x"])).withColumn("gy", F.explode(places["y"]))
+    return out.withColumn("x", (F.col("gx") * F.col("stride_x")).cast("int")).withColumn("y", (F.col("gy") * F.col("stride_y")).cast("int"))
 
 
-def rectangle_coverage(tiles: DataFrame, rectangles: DataFrame, tile: int = 224, stride: int = 112, downsample: float = 1.0) -> DataFrame:
-    """``(slide_id, x, y, class, tile_coverage, roi_coverage)`` of axis-aligned rectangles ``(slide_id, class, left, top, right, bottom)``.
+def _shares(rows: DataFrame) -> DataFrame:
+    """Sum areas by tile and class, as shares of the tile and of its central half, at most 1."""
+    whole = F.col("tile_extent_x") * F.col("tile_extent_y")
+    summed = rows.groupBy(*KEY, "class").agg(F.sum("area").alias("area"), F.sum("roi").alias("roi"), F.first(whole.cast("double")).alias("whole"))
+    share = {"tile_coverage": F.col("area") / F.col("whole"), "roi_coverage": 4 * F.col("roi") / F.col("whole")}
+    return summed.select(*KEY, "class", *[F.round(F.least(F.lit(1.0), v), 9).alias(k) for k, v in share.items()])
+
+
+def rectangle_coverage(tiles: DataFrame, rectangles: DataFrame, slides: DataFrame) -> DataFrame:
+    """``(slide_id, x, y, class, tile_coverage, roi_coverage)`` of axis-aligned rectangles ``(slide_id, class, left, top, right, bottom)`` at the slide's full resolution.
 
     The ROI is the central half of the tile. Overlaps of one class are summed and capped at 1. A
-    rectangle goes only to the tiles that its box touches; the join is on equal keys.
+    rectangle goes only to the tiles that its box touches; the join is on equal keys, for tiles that lie on the slide's
+    grid. Tiles that nothing touches have no row. Repeated tiles count once; no rectangles give no rows.
+    """
+
+    def overlap(axis: str, low: str, high: str, part: float) -> Column:
+        tile = F.col(f"tile_extent_{axis}")
+        return F.greatest(F.lit(0.0), F.least(F.col(high), F.col(axis) + tile * (1 - part)) - F.greatest(F.col(low), F.col(axis) + tile * part))
+
+    area = overlap("x", "left", "right", 0.0) * overlap("y", "top", "bottom", 0.0)
+    roi = overlap("x", "left", "right", 0.25) * overlap("y", "top", "bottom", 0.25)
+    touched = _touched(rectangles.select("slide_id", "class", *_SIDES), slides)
+    return _shares(touched.select(*KEY, "class", *_SCALE[:2], area.alias("area"), roi.alias("roi")).join(tiles.select(*KEY), KEY, "left_semi"))
+
+
+def _under(y: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Antiderivative of y cut to [low, high], above low."""
+    cut = np.clip(y, low, high)
+    return (cut - low) ** 2 / 2 + (high - low) * np.maximum(0.0, y - high)
+
+
+def edge_areas(x0: np.ndarray, y0: np.ndarray, x1: np.ndarray, y1: np.ndarray, left: np.ndarray, top: np.ndarray, right: np.ndarray, bottom: np.ndarray) -> np.ndarray:
+    """Signed area between each edge and the top of a rectangle, inside it: over a ring's edges they sum up to plus or minus the area of the ring in the rectangle."""
+    dx = x1 - x0
+    safe = np.where(dx == 0, 1.0, dx)
+    xa, xb = np.clip(x0, left, right), np.clip(x1, left, right)
+    ya, yb = y0 + (y1 - y0) * (xa - x0) / safe, y0 + (y1 - y0) * (xb - x0) / safe
+    dy = yb - ya
+    flat = np.abs(dy) < 1e-9
+    mean = np.where(flat, np.clip((ya + yb) / 2, top, bottom) - top, (_under(yb, top, bottom) - _under(ya, top, bottom)) / np.where(flat, 1.0, dy))
+    return np.where(dx == 0, 0.0, mean * (xb - xa))
+
+
+def polygon_coverage(tiles: DataFrame, polygons: DataFrame, slides: DataFrame) -> DataFrame:
+    """As :func:`rectangle_coverage`, for ``(slide_id, class, polygon, rings)`` with the outer ring first; holes are taken off.
+
+    ``polygon`` names a shape of a slide and class. Which tiles a polygon's box touches is found without its
+    rings; these go to blocks of ``BLOCK`` by ``BLOCK`` tiles, once for each block. A ring that meets itself counts by how often it goes round.
     """
-    scaled = rectangles.select("slide_id", "class", *[(F.col(c) / downsample).alias(c) for c in ("left", "top", "right", "bottom")])
-    touched = scaled.withColumn("gx", F.explode(_tile_places(F.col("left"), F.col("right"), tile, stride))).withColumn("gy", F.explode(_tile_places(F.col("top"), F.col("bottom"), tile, stride)))
-    touched = touched.withColumn("x", F.col("gx") * stride).withColumn("y", F.col("gy") * stride)
-
-    def overlap(axis: str, low: str, high: str, inset: int) -> Column:
-        return F.greatest(F.lit(0.0), F.least(F.col(high), F.col(axis) + (tile - inset)) - F.greatest(F.col(low), F.col(axis) + inset))
-
-    inset = tile // 4
-    area = overlap("x", "left", "right", 0) * overlap("y", "top", "bottom", 0)
-    roi = overlap("x", "left", "right", inset) * overlap("y", "top", "bottom", inset)
-    summed = touched.select(*KEY, "class", area.alias("area"), roi.alias("roi")).join(tiles.select(*KEY).distinct(), KEY, "left_semi")
-    summed = summed.groupBy(*KEY, "class").agg(F.sum("area").alias("area"), F.sum("roi").alias("roi"))
-    return summed.select(*KEY, "class", F.round(_ratio(F.col("area"), tile), 9).alias("tile_coverage"), F.round(_ratio(F.col("roi"), tile - 2 * inset), 9).alias("roi_coverage"))
-
-
-def _clipped_area(ring: np.ndarray, left: float, top: float, right: float, bottom: float) -> float:
-    """Area of a ring inside a rectangle: cut off one half-plane after the other, then the shoelace sum."""
-    for axis, bound, sign in ((0, left, 1), (0, right, -1), (1, top, 1), (1, bottom, -1)):
-        if not len(ring):
-            return 0.0
-        depth = sign * (ring[:, axis] - bound)
-        after, ahead = np.roll(ring, -1, axis=0), np.roll(depth, -1)
-        out = []
-        for p, q, d, e in zip(ring, after, depth, ahead, strict=True):
-            if d >= 0:
-                out.append(p)
-            if (d > 0 > e) or (d < 0 < e):
-                out.append(p + (q - p) * (d / (d - e)))
-        ring = np.array(out)
-    if len(ring) < 3:
-        return 0.0
-    x, y = ring[:, 0], ring[:, 1]
-    return abs(float(x @ np.roll(y, -1) - y @ np.roll(x, -1))) / 2
-
-
-def polygon_coverage(tiles: DataFrame, polygons: DataFrame, tile: int = 224, stride: int = 112, downsample: float = 1.0) -> DataFrame:
-    """As :func:`rectangle_coverage`, for ``(slide_id, class, rings)`` with the outer ring first; holes are taken off."""
     outer = F.element_at("rings", 1)
     box = {"left": F.array_min(F.transform(outer, lambda p: p[0])), "right": F.array_max(F.transform(outer, lambda p: p[0])), "top": F.array_min(F.transform(outer, lambda p: p[1])), "bottom": F.array_max(F.transform(outer, lambda p: p[1]))}
-    boxed = polygons.select("slide_id", "class", "rings", *[(v / downsample).alias(k) for k, v in box.items()])
-    touched = boxed.withColumn("gx", F.explode(_tile_places(F.col("left"), F.col("right"), tile, stride))).withColumn("gy", F.explode(_tile_places(F.col("top"), F.col("bottom"), tile, stride)))
-    touched = touched.select("slide_id", (F.col("gx") * stride).alias("x"), (F.col("gy") * stride).alias("y"), "class", "rings").join(tiles.select(*KEY).distinct(), KEY, "left_semi")
-    inset = tile // 4
+    shape = ["slide_id", "class", "polygon"]
+    touched = _touched(polygons.select(*shape, *[v.alias(k) for k, v in box.items()]), slides).join(tiles.select(*KEY), KEY, "left_semi")
+    blocks = touched.groupBy(*shape, *_SCALE[:2], "downsample", F.floor(F.col("gx") / BLOCK).alias("bx"), F.floor(F.col("gy") / BLOCK).alias("by"))
+    jobs = blocks.agg(F.collect_list("x").alias("xs"), F.collect_list("y").alias("ys")).drop("bx", "by").join(polygons.select(*shape, "rings"), shape)
 
-    def clip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def clip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            area, roi = [], []
-            for x, y, rings in zip(batch["x"], batch["y"], batch["rings"], strict=True):
-                shapes = [np.array([list(p) for p in r], float) / downsample for r in rings]
-                for out, off in ((area, 0), (roi, inset)):
-                    parts = [_clipped_area(r, x + off, y + off, x + tile - off, y + tile - off) for r in shapes]
-                    out.append(max(0.0, parts[0] - sum(parts[1:])))
-            yield batch[[*KEY, "class"]].assign(area=area, roi=roi)
-
-    clipped = touched.mapInPandas(clip, "slide_id string, x int, y int, class string, area double, roi double")
-    summed = clipped.groupBy(*KEY, "class").agg(F.sum("area").alias("area"), F.sum("roi").alias("roi"))
-    return summed.select(*KEY, "class", F.round(_ratio(F.col("area"), tile), 9).alias("tile_coverage"), F.round(_ratio(F.col("roi"), tile - 2 * inset), 9).alias("roi_coverage"))
+            for job in batch.to_pylist():
+                xs, ys = np.array(job["xs"], float), np.array(job["ys"], float)
+                w, h = float(job["tile_extent_x"]), float(job["tile_extent_y"])
+                found = []
+                for part in (0.0, 0.25):
+                    sides = [xs + w * part, ys + h * part, xs + w * (1 - part), ys + h * (1 - part)]
+                    total = np.zeros(len(xs))
+                    for k, r in enumerate(job["rings"]):
+                        ring = np.array([p[:2] for p in r], float) / job["downsample"]
+                        after = np.roll(ring, -1, axis=0)
+                        own = np.zeros(len(xs))
+                        for s in range(0, len(ring), 4096):
+                            edges = [c[s : s + 4096, None] for c in (*ring.T, *after.T)]
+                            own += edge_areas(*edges, *[c[None] for c in sides]).sum(0)
+                        total += np.abs(own) * (1 if k == 0 else -1)
+                    found.append(np.maximum(0.0, total))
+                n = len(xs)
+                columns = [[job["slide_id"]] * n, job["xs"], job["ys"], [job["class"]] * n, [job["tile_extent_x"]] * n, [job["tile_extent_y"]] * n, *found]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [*KEY, "class", *_SCALE[:2], "area", "roi"])
+
+    kinds = (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.float64())
+    return _shares(jobs.mapInArrow(clip, "slide_id string, x int, y int, class string, tile_extent_x int, tile_extent_y int, area double, roi double"))
 
 
 def rasterise_rectangles(rectangles: DataFrame, scale: float = 56.0) -> DataFrame:
@@ -174,30 +277,32 @@ def mask_coverage(tiles: DataFrame, slides: DataFrame, sizes: DataFrame, cells:
     """``(slide_id, x, y, mask, tile_coverage, roi_coverage)``: share of a window's cells above 0, for each mask of the slide.
 
     Scale is mask size over slide extent, for each mask and axis. Windows are cut at the mask's edge but
-    divided by their whole area. Windows and cells meet by coarse block, so the join is on equal keys; a window's side
-    must not exceed ``BLOCK`` cells.
+    divided by their whole area. Windows and cells meet by blocks as large as the windows of their slide and mask, so a window meets four blocks at
+    most and the join is on equal keys. Tiles of slides without masks have no row; cells that repeat count as often.
     """
     info = slides.select(F.col("id").alias("slide_id"), "extent_x", "extent_y", "tile_extent_x", "tile_extent_y").join(sizes, "slide_id")
-    t = tiles.select(*KEY).join(info, "slide_id")
     for a, m in (("x", "mask_w"), ("y", "mask_h")):
-        scale = F.col(m) / F.col(f"extent_{a}")
-        t = t.withColumn(f"w{a}", F.greatest(F.lit(1), half_even(F.col(f"tile_extent_{a}") * scale).cast("int"))).withColumn(f"o{a}", half_even(F.col(a) * scale).cast("int"))
-        t = t.withColumn(f"rw{a}", F.greatest(F.lit(1), F.floor(F.col(f"w{a}") / 2).cast("int"))).withColumn(f"ro{a}", F.col(f"o{a}") + F.floor(F.col(f"w{a}") / 4).cast("int"))
-
-    def blocks(a: str) -> Column:
-        return F.explode(F.sequence(F.floor(F.col(f"o{a}") / BLOCK).cast("int"), F.floor((F.col(f"o{a}") + F.col(f"w{a}") - 1) / BLOCK).cast("int")))
-
-    windows = t.withColumn("bx", blocks("x")).withColumn("by", blocks("y"))
-    lit = cells.filter("value > 0").withColumn("bx", F.floor(F.col("cell_x") / BLOCK).cast("int")).withColumn("by", F.floor(F.col("cell_y") / BLOCK).cast("int"))
-
-    def within(prefix: str) -> Column:
-        return (F.col("cell_x") >= F.col(f"{prefix}ox")) & (F.col("cell_x") < F.col(f"{prefix}ox") + F.col(f"{prefix}wx")) & (F.col("cell_y") >= F.col(f"{prefix}oy")) & (F.col("cell_y") < F.col(f"{prefix}oy") + F.col(f"{prefix}wy"))
-
-    windows = windows.withColumnsRenamed({"rwx": "r_wx", "rwy": "r_wy", "rox": "r_ox", "roy": "r_oy", "wx": "t_wx", "wy": "t_wy", "ox": "t_ox", "oy": "t_oy"})
-    inside = (F.col("cell_x") < F.col("mask_w")) & (F.col("cell_y") < F.col("mask_h"))
-    hits = windows.join(lit, ["slide_id", "mask", "bx", "by"]).filter(within("t_") & inside)
-    counted = hits.groupBy(*KEY, "mask").agg(F.count("*").alias("n"), F.count_if(within("r_")).alias("rn"))
-    area = t.select(*KEY, "mask", (F.col("wx") * F.col("wy")).alias("area"), (F.col("rwx") * F.col("rwy")).alias("roi_area"))
+        info = info.withColumn(f"scale_{a}", F.col(m) / F.col(f"extent_{a}"))
+        info = info.withColumn(f"w{a}", F.greatest(F.lit(1), half_even(F.col(f"tile_extent_{a}") * F.col(f"scale_{a}")).cast("int")))
+    info = info.select("slide_id", "mask", "mask_w", "mask_h", "scale_x", "scale_y", "wx", "wy")
+    t = tiles.select(*KEY).join(info, "slide_id")
+    for a in ("x", "y"):
+        t = t.withColumn(f"o{a}", half_even(F.col(a) * F.col(f"scale_{a}")).cast("int"))
+    size, half = {a: F.col(f"w{a}") for a in "xy"}, {a: F.greatest(F.lit(1), F.floor(F.col(f"w{a}") / 2)) for a in "xy"}
+    lit = cells.filter("value > 0").join(info.select("slide_id", "mask", "mask_w", "mask_h", "wx", "wy"), ["slide_id", "mask"]).filter("cell_x < mask_w AND cell_y < mask_h")
+    lit = lit.select("slide_id", "mask", "cell_x", "cell_y", *[F.floor(F.col(f"cell_{a}") / size[a]).cast("int").alias(f"b{a}") for a in "xy"])
+    first = {a: F.floor(F.col(f"o{a}") / size[a]).cast("int") for a in "xy"}
+    windows = t.select(*KEY, "mask", "wx", "wy", "ox", "oy", *[F.array_distinct(F.array(first[a], F.floor((F.col(f"o{a}") + size[a] - 1) / size[a]).cast("int"))).alias(f"b{a}") for a in "xy"])
+    windows = windows.withColumn("bx", F.explode("bx")).withColumn("by", F.explode("by"))
+
+    def within(start: dict[str, Column], width: dict[str, Column]) -> Column:
+        x, y = ((F.col(f"cell_{a}") >= start[a]) & (F.col(f"cell_{a}") < start[a] + width[a]) for a in "xy")
+        return x & y
+
+    roi = {a: F.col(f"o{a}") + F.floor(size[a] / 4) for a in "xy"}
+    hits = windows.join(lit, ["slide_id", "mask", "bx", "by"]).filter(within({a: F.col(f"o{a}") for a in "xy"}, size))
+    counted = hits.groupBy(*KEY, "mask").agg(F.count("*").alias("n"), F.count_if(within(roi, half)).alias("rn"))
+    area = t.select(*KEY, "mask", (size["x"] * size["y"]).alias("area"), (half["x"] * half["y"]).alias("roi_area"))
     out = area.join(counted, [*KEY, "mask"], "left").fillna(0, ["n", "rn"])
     return out.select(*KEY, "mask", (F.col("n") / F.col("area")).alias("tile_coverage"), (F.col("rn") / F.col("roi_area")).alias("roi_coverage"))
 
@@ -217,38 +322,46 @@ def remap_cells(cells: DataFrame, n: int) -> DataFrame:
     return cells.withColumn("value", F.element_at(F.array(*map(F.lit, spread_lut(n))), F.col("value") + 1))
 
 
-def covered_cells(tiles: DataFrame, tile: int = 224, stride: int = 112, extent: tuple[int, int] | None = None) -> tuple[DataFrame, int]:
-    """Each tile once for each map cell under it, and the side of a cell: gcd of stride and tile; a last strip narrower than a cell is left out."""
-    side = gcd(tile, stride)
+def _gcd(a: Column, b: Column) -> Column:
+    """Greatest common divisor of whole numbers below 2**31, by at most 46 divisions."""
+    pair = F.struct(a.cast("long").alias("a"), b.cast("long").alias("b"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(46)), pair, lambda acc, _: F.when(acc["b"] == 0, acc).otherwise(F.struct(acc["b"].alias("a"), (acc["a"] % F.nullif(acc["b"], F.lit(0))).alias("b"))))["a"].cast("int")
 
-    def along(axis: str) -> Column:
-        return F.explode(F.transform(F.sequence(F.lit(0), F.lit(tile // side - 1)), lambda k: F.floor(F.col(axis) / side).cast("int") + k))
 
-    out = tiles.withColumn("cell_x", along("x")).withColumn("cell_y", along("y"))
-    if extent:
-        out = out.filter((F.col("cell_x") < extent[0] // side) & (F.col("cell_y") < extent[1] // side))
-    return out, side
+def covered_cells(tiles: DataFrame, slides: DataFrame) -> DataFrame:
+    """Each tile once for each map cell under it. A cell's sides are the gcd of the slide's stride and tile; a last strip of the extent that is narrower than a cell is left out."""
+    sides = slides.select(F.col("id").alias("slide_id"), *[_gcd(F.col(f"stride_{a}"), F.col(f"tile_extent_{a}")).alias(f"_side_{a}") for a in "xy"], *[F.col(f"{c}_{a}").alias(f"_{c}_{a}") for c in ("tile_extent", "extent") for a in "xy"])
+    out = tiles.join(sides, "slide_id")
+    for a in "xy":
+        side = F.col(f"_side_{a}")
+        first = F.floor(F.col(a) / side).cast("int")
+        last = F.least(first + (F.col(f"_tile_extent_{a}") / side).cast("int"), F.floor(F.col(f"_extent_{a}") / side).cast("int")) - 1
+        out = out.withColumn(f"cell_{a}", F.explode(F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))))
+    return out.drop(*[c for c in sides.columns if c != "slide_id"])
 
 
-def vote_map(predictions: DataFrame, classes: list[str], **how) -> DataFrame:
-    """Per cell the class whose summed probability is largest (first of equals), coded by :func:`spread_lut`; cells without a tile have no row."""
-    votes, _ = covered_cells(predictions, **how)
+def vote_map(predictions: DataFrame, classes: list[str], slides: DataFrame) -> DataFrame:
+    """Per cell the class whose summed probability is largest (first of equals), coded by :func:`spread_lut`; cells without a tile have no row.
+
+    Sums are compared to nine places, so that their order does not decide between equals.
+    """
+    votes = covered_cells(predictions, slides)
     sums = F.array(*[F.round(F.sum(f"prob_{c}"), 9) for c in classes])
     best = votes.groupBy("slide_id", "cell_x", "cell_y").agg(sums.alias("s"))
     lut = F.array(*map(F.lit, spread_lut(len(classes))))
     return best.select("slide_id", "cell_x", "cell_y", F.element_at(lut, F.array_position("s", F.array_max("s")).cast("int")).alias("value"))
 
 
-def probability_map(predictions: DataFrame, classes: list[str], **how) -> DataFrame:
-    """Per cell and class the mean probability of its tiles times 255, clipped and cut to a whole number."""
-    votes, _ = covered_cells(predictions, **how)
+def probability_map(predictions: DataFrame, classes: list[str], slides: DataFrame) -> DataFrame:
+    """Per cell and class the mean probability of its tiles times 255, clipped and cut to a whole number; nulls are left out of the mean."""
+    votes = covered_cells(predictions, slides)
     level = [F.floor(F.greatest(F.lit(0.0), F.least(F.lit(255.0), F.round(F.avg(f"prob_{c}") * 255, 6)))).cast("int").alias(f"map_{c}") for c in classes]
     return votes.groupBy("slide_id", "cell_x", "cell_y").agg(*level)
 
 
-def scalar_map(tiles: DataFrame, column: str, **how) -> DataFrame:
-    cells, _ = covered_cells(tiles, **how)
-    return cells.groupBy("slide_id", "cell_x", "cell_y").agg(F.round(F.avg(column), 9).alias("value"))
+def scalar_map(tiles: DataFrame, column: str, slides: DataFrame) -> DataFrame:
+    """Per cell the mean of a column over its tiles."""
+    return covered_cells(tiles, slides).groupBy("slide_id", "cell_x", "cell_y").agg(F.round(F.avg(column), 9).alias("value"))
 
 
 def nearest_level(levels: DataFrame, target: float, doubled: DataFrame | None = None) -> DataFrame:

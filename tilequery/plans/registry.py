@@ -503,6 +503,13 @@ def _documents(spark, sf):
     return squares.groupBy("slide_id", "left").agg(F.to_json(F.struct(F.collect_list(feature).alias("features"))).alias("doc")).select("slide_id", "doc")
 
 
+def _polygons(spark, sf):
+    """A shape for each square: documents hold a grid column each, so the number in a document is made one of the slide."""
+    flat = geometry.flatten_annotations(_documents(spark, sf), _mapping(spark))
+    corner = F.element_at("rings", 1)[0]
+    return flat.withColumn("polygon", F.shiftleft(corner[0].cast("long"), 32) + F.shiftright("polygon", 32))
+
+
 def _mapping(spark):
     return spark.createDataFrame([("Nerve", "Nerve", 0), ("Fat", "fat", 1), ("Soft", "FAT", 2)], "class string, raw_name string, class_index int")
 
@@ -528,12 +535,66 @@ SELECT slide_id, x, y, class, round(least(1.0::DOUBLE, area / 50176), 9) AS tile
 def rectangle_coverage(spark, sf):
     t, squares = _t(spark, sf, "tiles", "squares")
     named = squares.join(_mapping(spark), F.lower("name") == F.lower("raw_name"))
-    return geometry.rectangle_coverage(t, named)
+    return geometry.rectangle_coverage(t, named, _t(spark, sf, "slides"))
 
 
 @query(COVERED, "tiles", "squares")
 def polygon_coverage(spark, sf):
-    return geometry.polygon_coverage(_t(spark, sf, "tiles"), geometry.flatten_annotations(_documents(spark, sf), _mapping(spark)))
+    return geometry.polygon_coverage(_t(spark, sf, "tiles"), _polygons(spark, sf), _t(spark, sf, "slides"))
+
+
+#: Slides of two scales, two extents and three tile sizes, and the tiles of their grids that leave the slide by less than a tile.
+MIXED = """SELECT id, CASE WHEN kind = 0 THEN 896 ELSE 500 END AS extent_x, CASE WHEN kind = 0 THEN 28784 ELSE 14000 END AS extent_y, tile AS tile_extent_x, tile - 20 * kind AS tile_extent_y,
+  100 AS stride_x, 120 AS stride_y, CASE WHEN kind = 0 THEN 1e0 ELSE 2e0 END AS downsample FROM (SELECT id, mod(length(id), 2) AS kind, 200 + 50 * mod(length(id), 3) AS tile FROM slides) k"""
+MIXED_TILES = "SELECT m.id AS slide_id, CAST(a.range AS INT) AS x, CAST(b.range AS INT) AS y FROM mixed m, range(0, 896, 100) a, range(0, 28784, 120) b WHERE a.range < extent_x AND b.range < extent_y"
+
+
+def _mixed(spark, sf):
+    """Slides and tiles of :data:`MIXED`, and the grid as it is kept."""
+    _t(spark, sf, "slides").createOrReplaceTempView("slides_of_mixed")
+    slides = spark.sql(MIXED.replace("FROM slides", "FROM slides_of_mixed"))
+    return slides, geometry.grid_tiles(slides, "keep")
+
+
+def _mixed_sql(body: str) -> str:
+    return f"WITH mixed AS ({MIXED}), mt AS ({MIXED_TILES}){body}"
+
+
+@query(_mixed_sql(" SELECT * FROM mt"), "slides")
+def grid_tiles_mixed(spark, sf):
+    return _mixed(spark, sf)[1]
+
+
+def _overlap(axis: str, low: str, high: str, part: float) -> str:
+    return f"greatest(0.0::DOUBLE, least({high}, t.{axis} + tile_extent_{axis} * {1 - part}::DOUBLE) - greatest({low}, t.{axis} + tile_extent_{axis} * {part}::DOUBLE))"
+
+
+COVERED_MIXED = f"""{_mixed_sql("")}, m AS (SELECT q.slide_id, q.class, "left" / downsample AS l, top / downsample AS o, "right" / downsample AS r, bottom / downsample AS b, mixed.* FROM ({MAPPED}) q JOIN mixed ON id = q.slide_id),
+p AS (SELECT t.slide_id, t.x, t.y, class, any_value(tile_extent_x * tile_extent_y) AS whole, sum({_overlap('x', 'l', 'r', 0.0)} * {_overlap('y', 'o', 'b', 0.0)}) AS area, sum({_overlap('x', 'l', 'r', 0.25)} * {_overlap('y', 'o', 'b', 0.25)}) AS roi
+  FROM mt t JOIN m ON t.slide_id = m.slide_id AND t.x < r AND t.x + tile_extent_x > l AND t.y < b AND t.y + tile_extent_y > o GROUP BY t.slide_id, t.x, t.y, class)
+SELECT slide_id, x, y, class, round(least(1.0::DOUBLE, area / whole), 9) AS tile_coverage, round(least(1.0::DOUBLE, 4 * roi / whole), 9) AS roi_coverage FROM p"""
+
+
+@query(COVERED_MIXED, "slides", "squares")
+def rectangle_coverage_mixed(spark, sf):
+    slides, t = _mixed(spark, sf)
+    named = _t(spark, sf, "squares").join(_mapping(spark), F.lower("name") == F.lower("raw_name"))
+    return geometry.rectangle_coverage(t, named, slides)
+
+
+@query(COVERED_MIXED, "slides", "squares")
+def polygon_coverage_mixed(spark, sf):
+    slides, t = _mixed(spark, sf)
+    return geometry.polygon_coverage(t, _polygons(spark, sf), slides)
+
+
+@query(_mixed_sql(""", c AS (SELECT t.slide_id, x // gcd(stride_x, tile_extent_x) + i.range AS cell_x, y // gcd(stride_y, tile_extent_y) + j.range AS cell_y, (x + y) / 1000 AS v
+  FROM mt t JOIN mixed ON id = t.slide_id, range(60) i, range(60) j WHERE i.range < tile_extent_x // gcd(stride_x, tile_extent_x) AND j.range < tile_extent_y // gcd(stride_y, tile_extent_y)
+  AND x // gcd(stride_x, tile_extent_x) + i.range < extent_x // gcd(stride_x, tile_extent_x) AND y // gcd(stride_y, tile_extent_y) + j.range < extent_y // gcd(stride_y, tile_extent_y))
+SELECT slide_id, CAST(cell_x AS INT) AS cell_x, CAST(cell_y AS INT) AS cell_y, round(avg(v), 9) AS value FROM c GROUP BY ALL"""), "slides")
+def scalar_map_mixed(spark, sf):
+    slides, t = _mixed(spark, sf)
+    return geometry.scalar_map(t.withColumn("v", (F.col("x") + F.col("y")) / 1000), "v", slides)
 
 
 @query("""WITH m AS (SELECT *, CASE WHEN lower(name) = 'nerve' THEN 0 ELSE 1 END AS class_index FROM squares)
@@ -571,22 +632,21 @@ def remap_cells(spark, sf):
 
 
 CELLS = "SELECT slide_id, CAST(x // 112 AS INT) + dx AS cell_x, CAST(y // 112 AS INT) + dy AS cell_y, p.* EXCLUDE (slide_id, x, y) FROM {t} p, (VALUES (0), (1)) a(dx), (VALUES (0), (1)) b(dy) WHERE x // 112 + dx < 8 AND y // 112 + dy < 257"
-EXTENT = (896, 28784)
 
 
 @query("WITH c AS (" + CELLS.format(t="predictions") + "), v AS (SELECT slide_id, cell_x, cell_y, round(sum(prob_A), 9) AS a, round(sum(prob_N), 9) AS n, round(sum(prob_R), 9) AS r FROM c GROUP BY ALL) SELECT slide_id, cell_x, cell_y, CASE WHEN a >= n AND a >= r THEN 85 WHEN n >= r THEN 170 ELSE 255 END AS value FROM v", "predictions")
 def vote_map(spark, sf):
-    return geometry.vote_map(_t(spark, sf, "predictions"), CLASSES, extent=EXTENT)
+    return geometry.vote_map(_t(spark, sf, "predictions"), CLASSES, _t(spark, sf, "slides"))
 
 
 @query("WITH c AS (" + CELLS.format(t="predictions") + ") SELECT slide_id, cell_x, cell_y, " + ", ".join(f"CAST(floor(round(avg(prob_{c}) * 255, 6)) AS INT) AS map_{c}" for c in CLASSES) + " FROM c GROUP BY ALL", "predictions")
 def probability_map(spark, sf):
-    return geometry.probability_map(_t(spark, sf, "predictions"), CLASSES, extent=EXTENT)
+    return geometry.probability_map(_t(spark, sf, "predictions"), CLASSES, _t(spark, sf, "slides"))
 
 
 @query("WITH c AS (" + CELLS.format(t="tiles") + ") SELECT slide_id, cell_x, cell_y, round(avg(roi_coverage_A), 9) AS value FROM c GROUP BY ALL", "tiles")
 def scalar_map(spark, sf):
-    return geometry.scalar_map(_t(spark, sf, "tiles"), "roi_coverage_A", extent=EXTENT)
+    return geometry.scalar_map(_t(spark, sf, "tiles"), "roi_coverage_A", _t(spark, sf, "slides"))
 
 
 @query("SELECT slide_id AS slide, min({'f': abs(mpp - CASE WHEN slide_id LIKE '%3' THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END), 'l': level}).l AS level FROM (SELECT DISTINCT slide_id, CAST(x / 112 AS INT) AS level, 0.25::DOUBLE * power(2, CAST(x / 112 AS INT)) AS mpp FROM tiles) GROUP BY slide_id", "tiles")
