@@ -230,20 +230,45 @@ def test_language_model_grows(spark):
     assert all_ == len(Backoff(texts).c) and all_ > 4 * few
 
 
-def test_cover_tree(spark):
+@pytest.mark.parametrize("block", [4096, 40])
+def test_cover_tree(spark, block, monkeypatch):
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(40, 8))
     v = [(centres[i % 40] + rng.normal(scale=0.2, size=8)).astype(np.float32).tolist() for i in range(400)]
-    rows = [(i, x, i % 3) for i, x in enumerate(v)] + [(500, v[0], 0), (501, [0.0] * 8, 0), (502, None, 0), (503, [float("nan")] * 8, 0), (504, v[1], None), (505, [1.0, None], 0)]
-    block, covertree.BLOCK = covertree.BLOCK, 50
-    try:
-        got = {r.vec_id: tuple(r)[1:] for r in covertree.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
-    finally:
-        covertree.BLOCK = block
-    sound = [(i, np.array(x, float), k) for i, x, k in rows if i not in (501, 502, 503, 504, 505)]
-    links = [(a, b) for a, x, k in sound for b, y, m in sound if a != b and k == m and x @ y / np.sqrt((x @ x) * (y @ y)) >= 0.93]
-    comp, n = components([r[0] for r in rows], links), Counter(a for a, _ in links)
-    assert got == {i: (n[i], comp[i], comp[i] == i) for i, _, _ in rows}
+    rows = [(i, x, i % 3, "c") for i, x in enumerate(v)] + [(500, v[0], 0, None), (501, [0.0] * 8, 0, None), (502, None, 0, None), (503, [float("nan")] * 8, 0, None), (504, v[1], None, None), (505, [1.0, None], 0, None), (506, v[0][:5], 0, None), (None, v[0], 0, None), (507, [], 0, None)]
+    rows += [(508, [1e30] * 8, 0, None), (509, [1e-30] * 8, 0, None), (510, [float("inf")] * 8, 0, None), (511, [x * 2 for x in v[0]], 0, None)]
+    monkeypatch.setattr(covertree, "BLOCK", block)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, rep string")
+    got = {r.vec_id: tuple(r)[1:] for r in covertree.near_duplicates(df).collect()}
+    bad = {501, 502, 503, 504, 505, 507, 510, None}
+    sound = [(i, np.array(x, np.float32).astype(float), k) for i, x, k, _ in rows if i not in bad]
+    links = [(a, b) for a, x, k in sound for b, y, m in sound if a != b and k == m and len(x) == len(y) and (x / np.abs(x).max()) @ (y / np.abs(y).max()) / np.sqrt(((x / np.abs(x).max()) ** 2).sum() * ((y / np.abs(y).max()) ** 2).sum()) >= 0.93]
+    comp, n = components([r[0] for r in rows if r[0] is not None], links), Counter(a for a, _ in links)
+    assert got.pop(None) == (0, None, False)
+    assert got == {i: (n[i], comp[i], comp[i] == i) for i, *_ in rows if i is not None}
+    assert covertree.near_duplicates(df.limit(0)).collect() == []
+    again = covertree.near_duplicates(spark.createDataFrame([(1, v[0], 0), (1, v[1], 0), (2, v[1], 0), (2, v[1], 0)], "vec_id long, embedding array<float>, label int")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in again) == [(1, 0, 1), (1, 2, 1), (2, 2, 1), (2, 2, 1)]
+
+
+def test_cover_tree_visits_few_nodes(spark, monkeypatch):
+    """Clustered vectors: no pair of nodes that the bound keeps apart meets, and no link is lost."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(60, 32))
+    v = [(centres[i % 60] + rng.normal(scale=0.02, size=32)).tolist() for i in range(1200)]
+    monkeypatch.setattr(covertree, "BLOCK", 50)
+    one = spark.createDataFrame([(0, 32, i, i, i, 1, x) for i, x in enumerate(v)], "label int, dims int, h1 long, h2 long, rep long, m long, v array<double>")
+    seen = covertree.visits(one, one.groupBy("label", "dims").agg(F.count("*").alias("n")), 0.93).collect()
+    nodes = {r.node for r in seen}
+    assert len(nodes) > 20 and sum(r.resident for r in seen) == 1200
+    assert sum(not r.resident for r in seen) < 0.05 * 1200 * len(nodes)
+    at = defaultdict(set)
+    for r in seen:
+        at[r.h1].add(r.node)
+    home = {r.h1: r.node for r in seen if r.resident}
+    unit = np.array(v) / np.linalg.norm(v, axis=1, keepdims=True)
+    for a, b in zip(*np.nonzero(np.triu(unit @ unit.T >= 0.93, 1)), strict=True):
+        assert home[a] in at[b] or home[b] in at[a]
 
 
 def test_quotes(spark):

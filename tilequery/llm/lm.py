@@ -1,304 +1,182 @@
 """Language-model scores from a weighted backoff automaton.
 
-Smoothed n-grams become states with failure arcs: at each word the automaton follows the state's
-arc, or adds the failure weight and falls back to a shorter history until an arc exists.
+States are the words before a word, at most ``order - 1``; an arc is an n-gram of the training rows. A state h that was
+seen c(h) times gives word w, from which the state h' without h's first word gives p(w | h'), the probability
 
-All n-grams of the training rows are in the model, at any input size. Arcs ``(n-gram, p)`` and failure
-weights ``(history, weight)`` are Spark tables, keyed by 64-bit hashes of words and of word sequences
-(two of a billion sequences share a hash with a chance of 3 %), and each text's n-grams are joined to them.
-Only what is frequent is broadcast, to spare that join: words of at least ``HEAD`` of all tokens (at most
-1 / HEAD of them, a proven bound) and n-grams of at least ``ARC`` (at most 1 / ARC of each order).
+    (c(h w) + STRENGTH * p(w | h')) / (c(h) + STRENGTH)
+
+which is the weight of the arc where the n-gram exists, and without it (c = 0) the weight of h's failure arc times
+that of h'. A state that was never seen fails with weight 1. Every state's probabilities sum to one. The lowest state is the
+base model of single words. A text's score adds up the log-probabilities of its words from left to right, its end included; the
+state before each word follows from the words alone, so a task takes the steps of all its texts side by side.
+
+Every n-gram of the training rows is in the model, at any input size. The model is not held anywhere as a whole: rows are
+packed into chunks; each chunk asks, by ranges of 64-bit keys, how often its distinct n-grams occur in training, and brings its own
+counts along; each range sums them and answers the chunks. What moves is pre-aggregated, so a frequent n-gram has one row for
+each chunk at most, and its range is no larger than others. (Two of a billion n-grams share a key with a chance of 3 %.)
 """
 
 from __future__ import annotations
 
-import hashlib
-import math
-from collections import Counter
 from collections.abc import Iterator
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import crc32_mod, mixed, small_batches, utf8, written
-
-HEAD, ARC, ORDER, DISCOUNT = 2e-6, 1e-5, 3, 0.7
-#: Distinct keys that a task counts before it passes partial counts on.
-_FLUSH = 400_000
-END, ROOT = b"", 0
-
-
-def words(text: bytes) -> list[bytes]:
-    """Words of a text in UTF-8, A-Z in lower case; ``bytes`` splits at ASCII white space only."""
-    return text.lower().split()
-
-
-def count_words(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``(word binary, n)`` over all rows; the end of each text counts as the empty word."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-
-        def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())], ["word", "n"])
-            seen.clear()
-            return out
-
-        for batch in small_batches(batches, text_col):
-            for text in utf8(batch.column(text_col)):
-                seen.update(words(text))
-            seen[END] += batch.num_rows
-            if len(seen) > _FLUSH:
-                yield flush()
-        if seen:
-            yield flush()
-
-    return df.select(text_col).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-class Keys:
-    """64-bit keys of words and of word sequences; a worker remembers the words it has met."""
-
-    def __init__(self) -> None:
-        self.seen: dict[bytes, int] = {}
-
-    def word(self, word: bytes) -> int:
-        key = self.seen.get(word)
-        if key is None:
-            if len(self.seen) > _FLUSH:
-                self.seen.clear()
-            key = self.seen[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little", signed=True)
-        return key
-
-    def places(self, texts: list[bytes], order: int = ORDER) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray], np.ndarray]:
-        """(text, keys of the n-grams that end here by order, keys of their histories by order, words before) of each place, end tokens included.
-
-        A history starts with one end token. An n-gram of ``n`` words exists from ``n - 2`` words before.
-        """
-        split = [[*words(t), END] for t in texts]
-        sizes = np.array([len(w) for w in split], np.int64)
-        text = np.repeat(np.arange(len(split)), sizes)
-        before = np.arange(len(text)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        word = np.fromiter((self.word(w) for ws in split for w in ws), np.int64, len(text)).view(np.uint64)
-        grams, histories = [word], []
-        for length in range(1, order):
-            history = np.roll(grams[-1], 1)
-            if length == 1:
-                history[before == 0] = np.int64(self.word(END)).astype(np.uint64)
-            histories.append(history)
-            grams.append(pair(history, word))
-        return text, [g.view(np.int64) for g in grams], [h.view(np.int64) for h in histories], before
-
-
-def pair(history: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return mixed(mixed(history) + word)
-
-
-class Automaton:
-    """The frequent part of the model: states 0 (no history) and up; ``arcs[state * words + word] = (log10 probability, next state)``.
-
-    ``often`` holds the keys of the frequent n-grams of the last order, sorted, and ``often_log`` their log10 probabilities.
+from ._shared import chunk_texts, chunked, crc32_mod, from_planes, mixed, planes, range_bits, squeezed, unsqueezed, word_hashes, written
+
+ORDER, STRENGTH = 3, 2.0
+END = mixed(np.array([0x9E3779B97F4A7C15], np.uint64))[0]
+#: Bits of a key that go with it into its range, next to those that name the range.
+_REST = 48
+_PIECE = 900_000
+
+
+def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Words of each text and its end, as keys in order; tokens of each text."""
+    keys, sizes, at = [], [], 0
+    while at < len(texts):
+        size, to = len(texts[at]), at + 1
+        while to < len(texts) and size + len(texts[to]) <= _PIECE:
+            size, to = size + len(texts[to]), to + 1
+        text, word = word_hashes(texts[at:to])
+        n = np.bincount(text, minlength=to - at) + 1
+        out = np.full(int(n.sum()), END)
+        inside = np.ones(len(out), bool)
+        inside[np.cumsum(n) - 1] = False
+        out[inside] = word
+        keys.append(out)
+        sizes.append(n)
+        at = to
+    return np.concatenate(keys), np.concatenate(sizes)
+
+
+class Grams:
+    """The n-grams of some texts: by order from 1, ``keys`` of the distinct ones (sorted) and where each place's is among them.
+
+    ``places[n - 1]`` tells which tokens end an n-gram of n words: one end token stands before each text, so there are
+    n-grams of n words from the (n - 1)th token on.
     """
 
-    def __init__(self, head: dict[bytes, int], counts: list[int], tokens: int, types: int) -> None:
-        self.head, self.width = head, len(counts)
-        self.log_z = math.log10(tokens + 0.5 * (types + 1)) if tokens else 0.0
-        self.base = [math.log10(n + 0.5) - self.log_z for n in counts]
-        self.fail, self.fail_log = [ROOT], [0.0]
-        self.arcs: dict[int, tuple[float, int]] = {w: (p, ROOT) for w, p in enumerate(self.base)}
-        keys = Keys()
-        self.states: dict[int, int] = {}
-        self.last: dict[int, int] = {keys.word(word): w for word, w in head.items()}
-        self.often, self.often_log = np.zeros(0, np.int64), np.zeros(0)
-        for (key, w), n in zip(self.last.items(), counts, strict=True):
-            if n >= ARC * tokens:
-                self.states[key] = self._state(ROOT)
-                self.arcs[w] = (self.base[w], self.states[key])
-        self.start = self.arcs[head[END]][1] if END in head else ROOT
-
-    def _state(self, fail: int) -> int:
-        self.fail.append(fail)
-        self.fail_log.append(0.0)
-        return len(self.fail) - 1
-
-    def log_p(self, state: int, word: int) -> tuple[float, int]:
-        """log10 P(word | state) and the state after it, for a head word."""
-        arcs, width, p = self.arcs, self.width, 0.0
-        while True:
-            hit = arcs.get(state * width + word)
-            if hit is not None:
-                return p + hit[0], hit[1]
-            p += self.fail_log[state]
-            state = self.fail[state]
-
-    def grow(self, grams: list[tuple[int, int, int, float, float]], last: bool) -> None:
-        """Add n-grams (key, key of the history, key without the first word, log10 p, failure weight of the history) of one order."""
-        new, states, ends = {}, {}, {}
-        for key, history, below, p, weight in grams:
-            s, w = self.states[history], self.last[below]
-            after = self.log_p(self.fail[s], w)[1]
-            if not last and w != self.head.get(END):
-                after = states[key] = self._state(after)
-            self.fail_log[s] = weight
-            new[s * self.width + w], ends[key] = (p, after), w
-        self.arcs.update(new)
-        self.states, self.last = states, ends
-        if last and grams:
-            keys, logs = np.array([g[0] for g in grams], np.int64), np.array([g[3] for g in grams])
-            by_key = np.argsort(keys)
-            self.often, self.often_log = keys[by_key], logs[by_key]
-
+    def __init__(self, texts: list[bytes], order: int) -> None:
+        words, self.sizes = _words(texts)
+        before = np.arange(len(words)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
+        self.keys, self.which, self.places = [], [], []
+        gram = words
+        for n in range(1, order + 1):
+            if n > 1:
+                history = np.roll(gram, 1)
+                if n == 2:
+                    history[before == 0] = END
+                gram = mixed(mixed(history) + words)
+            places = np.flatnonzero(before >= n - 2)
+            keys, which = np.unique(gram[places], return_inverse=True)
+            self.keys.append(keys)
+            self.which.append(which)
+            self.places.append(places)
+
+    def by_range(self, n: int, bits: int) -> np.ndarray:
+        """Where the keys of each range begin, and the end."""
+        return np.searchsorted(self.keys[n] >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
+
+
+def _asks(chunks: DataFrame, bits: int, order: int) -> DataFrame:
+    """``(range, chunk, keys, n, counts)``: the distinct n-grams of each chunk, and how often its training rows have them."""
 
-class Model(NamedTuple):
-    """The whole model: ``words (word, key, n)``, and by order from 2 up ``arcs (gram, log_p)`` and ``fails (history, weight)``."""
-
-    words: DataFrame
-    arcs: list[DataFrame]
-    fails: list[DataFrame]
-
-
-def _with_keys(counts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = Keys()
         for batch in batches:
-            own = pa.array([keys.word(w) for w in batch.column("word").to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("word"), own, batch.column("n")], ["word", "key", "n"])
-
-    return counts.mapInArrow(run, "word binary, key long, n long")
-
-
-def _count_grams(df: DataFrame, length: int, text_col: str) -> DataFrame:
-    """``(gram, history, below, n)`` of all n-grams whose history has ``length`` words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = Keys()
-        for batch in small_batches(batches, text_col):
-            _, grams, histories, before = keys.places(utf8(batch.column(text_col)), length + 1)
-            real = before >= length - 1
-            gram, at, n = np.unique(grams[length][real], return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (gram, histories[length - 1][real][at], grams[length - 1][real][at], n.astype(np.int64))], ["gram", "history", "below", "n"])
-
-    found = df.select(text_col).mapInArrow(run, "gram long, history long, below long, n long")
-    return found.groupBy("gram").agg(F.max("history").alias("history"), F.max("below").alias("below"), F.sum("n").alias("n"))
-
-
-def train(df: DataFrame, text_col: str = "text", order: int = ORDER) -> tuple[Model, Automaton, int]:
-    """The whole model, its frequent part, and the number of tokens. An empty table gives a model without words."""
-    counts = written(_with_keys(count_words(df, text_col)), "words")
-    tokens, types = (x or 0 for x in counts.agg(F.sum("n"), F.count("*")).first())
-    rows = counts.filter(F.col("n") >= HEAD * tokens).orderBy("word").toArrow()
-    head = {w: i for i, w in enumerate(rows.column("word").to_pylist())}
-    own = Automaton(head, rows.column("n").to_pylist(), tokens, types)
+            for row in batch.to_pylist():
+                grams = Grams(chunk_texts(row), order)
+                learn = np.repeat(np.frombuffer(row["flags"], np.uint8), grams.sizes)
+                for n in range(order):
+                    counts = np.bincount(grams.which[n], learn[grams.places[n]], len(grams.keys[n])).astype("<u4")
+                    rest = (grams.keys[n] << np.uint64(bits)) >> np.uint64(64 - _REST)
+                    cuts = grams.by_range(n, bits)
+                    some = np.flatnonzero(np.diff(cuts)).tolist()
+                    spans = [(cuts[r], cuts[r + 1]) for r in some]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([n << bits | r for r in some], pa.int32()), pa.array([row["chunk"]] * len(some), pa.int64()), pa.array([planes(rest[s:e]) for s, e in spans], pa.binary())]
+                        + [pa.array([int(e - s) for s, e in spans], pa.int64()), pa.array([squeezed(counts[s:e]) for s, e in spans], pa.binary())],
+                        ["range", "chunk", "keys", "n", "counts"],
+                    )
+
+    return chunks.select("chunk", "flags", "sizes", "bytes", "text").mapInArrow(run, "range int, chunk long, keys binary, n long, counts binary")
+
+
+def _answer(table: pa.Table) -> pa.Table:
+    """``(chunk, range, n, counts, types, tokens)``: the counts over all chunks; types and tokens of the range stand in its first row."""
+    n = table.column("n").to_pylist()
+    keys = from_planes(table.column("keys"), "<u8")
+    counts = np.concatenate([unsqueezed(x, k, "<u4") for x, k in zip(table.column("counts").to_pylist(), n, strict=True)]).astype(np.int64)
+    order = np.argsort(keys)
+    new = np.r_[True, keys[order[1:]] != keys[order[:-1]]]
+    group = np.cumsum(new) - 1
+    total = np.bincount(group, counts[order])
+    whole = np.empty(len(keys), "<u4")
+    whole[order] = np.minimum(total[group], 2**32 - 1)
+    cuts = np.cumsum([0, *n]).tolist()
+    first = [1] + [0] * (len(n) - 1)
+    return pa.table({
+        "chunk": table.column("chunk"), "range": table.column("range"), "n": table.column("n"), "counts": pa.array([squeezed(whole[s:e]) for s, e in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
+        "types": pa.array([k * int((total > 0).sum()) for k in first], pa.int64()), "tokens": pa.array([k * int(total.sum()) for k in first], pa.int64()),
+    })
+
+
+def text_scores(grams: Grams, counts: list[np.ndarray], tokens: int, types: int, strength: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(known tokens, base score, score) of each text, given how often training has the distinct n-grams."""
+    text = np.repeat(np.arange(len(grams.sizes)), grams.sizes)
     z = tokens + 0.5 * (types + 1)
-    below = counts.select(F.col("key").alias("below"), ((F.col("n") + 0.5) / z).alias("p"))
-    arcs, fails = [], []
-    for length in range(1, order):
-        grams = written(_count_grams(df, length, text_col), "grams")
-        # Every history is followed by a word or the end, so its total is the sum of its n-grams.
-        state = grams.groupBy("history").agg(F.sum("n").alias("total"), (DISCOUNT * F.count("*") / F.sum("n")).alias("left"))
-        state = written(state, "states")
-        p = (F.col("n") - DISCOUNT) / F.col("total") + F.col("left") * F.col("p")
-        whole = written(grams.join(state, "history").join(below, "below").select("gram", "history", "below", "n", p.alias("p"), F.log10(p).alias("log_p"), F.log10("left").alias("weight")), "arcs")
-        often = whole.filter(F.col("n") >= ARC * max(tokens, 1)).orderBy("gram").toArrow()
-        own.grow(list(zip(*[often.column(c).to_pylist() for c in ("gram", "history", "below", "log_p", "weight")], strict=True)), length == order - 1)
-        arcs.append(whole.select("gram", "log_p"))
-        fails.append(state.select("history", F.log10("left").alias("weight")))
-        below = whole.select(F.col("gram").alias("below"), "p")
-    return Model(counts, arcs, fails), own, tokens
-
-
-def _asks(numbered: DataFrame, shared, order: int, text_col: str) -> DataFrame:
-    """``(row, done, gram1, history1, .., gram of the last order)``: one row for each place of a text.
-
-    ``gram1`` is the word. Places that a frequent n-gram of the last order answers are summed up in
-    one row of each text, whose keys are null.
+    seen = counts[0][grams.which[0]].astype(float)
+    p = (seen + 0.5) / z
+    base = np.log10(p)
+    state = np.roll(seen, 1)
+    state[np.cumsum(grams.sizes) - grams.sizes] = seen[grams.sizes[0] - 1]  # the end token before a text was seen as often as the one after it
+    for n in range(1, len(counts)):
+        at = grams.places[n]
+        arc = np.zeros(len(p))
+        arc[at] = counts[n][grams.which[n]]
+        p[at] = (arc[at] + strength * p[at]) / (state[at] + strength)
+        state = np.roll(arc, 1)
+    return tuple(np.bincount(text, x, len(grams.sizes)) for x in (seen > 0, base, np.log10(p)))
+
+
+def score(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, strength: float = STRENGTH) -> DataFrame:
+    """``(id, n_tokens, n_known, train_tokens, base_score, score)`` for every row, by the model of the rows where ``learn`` is true.
+
+    Words are runs of characters that are not ASCII white space, A-Z in lower case; each text ends with one end token. Null and
+    empty texts are one end token; a null ``learn`` is false. Every row counts for itself, repeated rows and ids too. Without
+    training rows every word has the same probability of one. An empty table gives no rows. Other columns play no part.
     """
-    names = [f"gram{i + 1}" for i in range(order)] + [f"history{i + 1}" for i in range(1, order)]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, often, logs = Keys(), shared.value.often, shared.value.often_log
-        for batch in small_batches(batches, text_col):
-            rows = np.asarray(batch.column("row"))
-            text, grams, histories, before = keys.places(utf8(batch.column(text_col)), order)
-            hit = np.zeros(len(text), bool)
-            done = np.zeros(len(rows))
-            if len(often):
-                at = np.minimum(np.searchsorted(often, grams[-1]), len(often) - 1)
-                hit = (often[at] == grams[-1]) & (before >= order - 2)
-                done = np.bincount(text[hit], logs[at[hit]], len(rows))
-            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(done), *[pa.nulls(len(rows), pa.int64()) for _ in names]], ["row", "done", *names])
-            ask = ~hit
-            early = [before[ask] < max(i - 1, 0) for i in range(order)]
-            columns = [pa.array(g[ask], mask=m) for g, m in zip(grams, early, strict=True)] + [pa.array(h[ask], mask=m) for h, m in zip(histories, early[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(rows[text[ask]]), pa.nulls(int(ask.sum()), pa.float64()), *columns], ["row", "done", *names])
-
-    return numbered.select("row", text_col).mapInArrow(run, "row long, done double, " + ", ".join(f"{n} long" for n in names))
-
-
-def _sums(numbered: DataFrame, model: Model, shared, tokens: int, text_col: str) -> DataFrame:
-    """``(row, score)``: from the longest history down, each place takes its arc, or the failure weight and asks the next order."""
-    order = len(model.arcs) + 1
-    asks = _asks(numbered, shared, order, text_col)
-    parts = []
-    for n in range(order, 1, -1):
-        rest = [f"gram{i}" for i in range(1, n)] + [f"history{i}" for i in range(2, n)]
-        arcs = model.arcs[n - 2].withColumnRenamed("gram", f"gram{n}")
-        found = asks.join(arcs, f"gram{n}", "left")
-        done = F.coalesce("log_p", "done")
-        miss = F.col("log_p").isNull() & F.col("gram1").isNotNull()
-        found = written(found.select("row", done.alias("done"), *[F.when(miss, F.col(c)).alias(c) for c in [*rest, f"history{n}"]]), "found")
-        parts.append(found.filter("done IS NOT NULL").groupBy("row").agg(F.sum("done").alias("score")))
-        asks = found.filter("gram1 IS NOT NULL")
-        fails = model.fails[n - 2].select(F.col("history").alias(f"history{n}"), "weight")
-        parts.append(asks.join(fails, f"history{n}").groupBy("row").agg(F.sum("weight").alias("score")))
-        asks = asks.select("row", F.lit(None).cast("double").alias("done"), *rest)
-    known = model.words.select(F.col("key").alias("gram1"), F.log10(F.col("n") + 0.5).alias("logs"))
-    left = asks.join(known, "gram1", "left").groupBy("row").agg(F.sum(F.coalesce("logs", F.lit(math.log10(0.5))) - F.lit(shared.value.log_z)).alias("score"))
-    for part in parts:
-        left = left.unionByName(part)
-    return left.groupBy("row").agg(F.sum("score").alias("score"))
-
-
-def score(df: DataFrame, model: Model, automaton: Automaton, tokens: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, n_tokens, n_known, train_tokens, base_score, score)`` for every row; null and empty texts are one end token.
-
-    Rows are told apart by their place, so repeated ids stay repeated. Other columns play no part.
-    """
-    shared = df.sparkSession.sparkContext.broadcast(automaton)
-    numbered = written(df.select(id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "numbered")
-    tail_type = T.ArrayType(T.StructType([T.StructField("word", T.BinaryType()), T.StructField("times", T.LongType())]))
-    schema = T.StructType([T.StructField("row", T.LongType()), df.schema[id_col], T.StructField("n_tokens", T.LongType()), T.StructField("known", T.LongType()), T.StructField("base", T.DoubleType()), T.StructField("tail", tail_type)])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        get, base, missing = own.head.get, own.base, -own.log_z
-        for batch in small_batches(batches, text_col):
-            rows, tails, ends = [], [], [0]
-            for text in utf8(batch.column(text_col)):
-                split = [*words(text), END]
-                ids = [get(w, -1) for w in split]
-                tail = Counter([w for w, i in zip(split, ids, strict=True) if i < 0])
-                rows.append((len(ids), sum([base[i] if i >= 0 else missing for i in ids]), len(ids) - tail.total()))
-                tails.append(tail)
-                ends.append(ends[-1] + len(tail))
-            flat = pa.StructArray.from_arrays([pa.array([w for t in tails for w in t], pa.binary()), pa.array([n for t in tails for n in t.values()], pa.int64())], ["word", "times"])
-            n, plain, known = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column(id_col), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(plain, pa.float64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], schema.names)
-
-    read = written(numbered.select("row", id_col, text_col).mapInArrow(run, schema), "read")
-    rare = model.words.filter(F.col("n") < HEAD * tokens).select("word", F.col("n").alias("c"))
-    tail = read.select("row", F.inline("tail")).join(rare, "word", "left")
-    tail = tail.groupBy("row").agg(F.sum(F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("logs"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("found"))
-    whole = read.drop("tail").join(tail, "row", "left").join(_sums(numbered, model, shared, tokens, text_col), "row")
-    logs, found = F.coalesce("logs", F.lit(0.0)), F.coalesce("found", F.lit(0))
-    return whole.select(F.col(id_col), "n_tokens", (F.col("known") + found).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"), (F.col("base") + logs).alias("base_score"), "score")
+    chunks = chunked(df.select(id_col, text_col, F.coalesce(learn, F.lit(False)).alias("_learn")), id_col, text_col, "_learn")
+    size = chunks.agg(F.sum("bytes")).first()[0] or 0
+    bits = range_bits(df, size // 6)
+    kind = "chunk long, range int, n long, counts binary, types long, tokens long"
+    answers = written(_asks(chunks, bits, order).groupBy("range").applyInArrow(_answer, kind), "answers")
+    types, tokens = (int(x or 0) for x in answers.filter(F.col("range") < 1 << bits).agg(F.sum("types"), F.sum("tokens")).first())
+    numbers = ["n_tokens", "n_known", "train_tokens"]
+    schema = T.StructType([df.schema[id_col], *[T.StructField(c, T.LongType()) for c in numbers], *[T.StructField(c, T.DoubleType()) for c in ("base_score", "score")]])
+
+    def scored(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        row = rows.to_pylist()[0]
+        grams = Grams(chunk_texts(row), order)
+        found: list[list[np.ndarray]] = [[] for _ in range(order)]
+        for r, n, packed in sorted(zip(*[answers.column(c).to_pylist() for c in ("range", "n", "counts")], strict=True)):
+            found[r >> bits].append(unsqueezed(packed, n, "<u4"))
+        counts = [np.concatenate([np.zeros(0, "<u4"), *x]) for x in found]
+        known, base, whole = text_scores(grams, counts, tokens, types, strength)
+        ids = rows.column("ids").combine_chunks().flatten()
+        return pa.Table.from_arrays([ids, pa.array(grams.sizes.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array([tokens] * len(ids), pa.int64()), pa.array(base), pa.array(whole)], schema.names)
+
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(scored, schema)
 
 
 def op2_lm_score(spark, sf_dir: str) -> DataFrame:
+    """The contract's columns for every document, then ``per_token`` (score by token) and ``gain`` (what the states before a word
+    add to the base score, by token). Edge rows as in :func:`score`; a null id counts as empty text in the crc32."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    out = score(docs, *train(docs.filter(crc32_mod("doc_id", 5) != 1)))
-    return out.withColumn("held_out", crc32_mod("doc_id", 5) == 1)
+    out = score(docs, crc32_mod("doc_id", 5) != 1)
+    per_token, gain = F.col("score") / F.col("n_tokens"), (F.col("score") - F.col("base_score")) / F.col("n_tokens")
+    return out.select("doc_id", (crc32_mod("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", per_token.alias("per_token"), gain.alias("gain"))
