@@ -10,6 +10,12 @@ from ._shared import written
 
 _MARKS = r"^(?:[ \t]?>)+[ \t]?"
 _HAS_QUOTE = r"(?:^|\n)[ \t]?>"
+#: A line of an interactive session: three marks side by side. It is a quote only if its passage is found.
+_PROMPT = r"^>>>(?: |$)"
+#: The line before a quotation that says whose words follow, in the languages of the corpus.
+_ATTRIBUTION = r"^[ \t]*\S.*(?i:\bwrote|\bsaid|\bschrieb.*|\ba écrit|\bescribió)[ \t]?:[ \t]*$"
+#: Turns and conversations that a window looks at together; beyond that, windows see one row for each so many.
+_TURNS, _CONVERSATIONS = 256, 10
 
 
 def normalised(text: Column) -> Column:
@@ -18,22 +24,22 @@ def normalised(text: Column) -> Column:
 
 
 def _lines(messages: DataFrame) -> DataFrame:
-    """``(row, conv_id, turn, at, level, line)``: quote level is the number of leading ``>``."""
+    """``(row, conv_id, turn, at, level, prompt, line)``: quote level is the number of leading ``>``."""
     lines = messages.select("row", "conv_id", "turn", F.posexplode(F.split("text", "\n")).alias("at", "raw"))
     marks = F.regexp_extract("raw", _MARKS, 0)
-    return lines.select("row", "conv_id", "turn", "at", F.length(F.regexp_replace(marks, "[^>]", "")).alias("level"), F.regexp_replace("raw", _MARKS, "").alias("line"))
+    return lines.select("row", "conv_id", "turn", "at", F.length(F.regexp_replace(marks, "[^>]", "")).alias("level"), F.col("raw").rlike(_PROMPT).alias("prompt"), F.regexp_replace("raw", _MARKS, "").alias("line"))
 
 
 def _passages(lines: DataFrame) -> DataFrame:
-    """Neighbouring lines of one level and message, cut at blank lines -> ``(row, conv_id, turn, at, level, lines, hash)``."""
+    """Neighbouring lines of one level and message, cut at blank lines -> ``(row, conv_id, turn, at, last, level, prompt, lines, hash)``."""
     order = W.partitionBy("row").orderBy("at")
     blank = F.trim("line") == ""
     before = F.lag(F.struct(F.col("level"), blank.alias("blank"))).over(order)
     starts = F.when(before.isNull() | (before["level"] != F.col("level")) | (before["blank"] != blank), 1).otherwise(0)
     blocks = lines.withColumn("starts", starts).withColumn("block", F.sum("starts").over(order)).filter(~blank)
     own = F.transform(F.array_sort(F.collect_list(F.struct("at", "line"))), lambda x: normalised(x["line"]))
-    blocks = blocks.groupBy("row", "conv_id", "turn", "block", "level").agg(F.min("at").alias("at"), own.alias("lines"))
-    return blocks.select("row", "conv_id", "turn", "at", "level", "lines", F.md5(normalised(F.array_join("lines", " "))).alias("hash"))
+    blocks = blocks.groupBy("row", "conv_id", "turn", "block", "level").agg(F.min("at").alias("at"), F.max("at").alias("last"), F.every("prompt").alias("prompt"), own.alias("lines"))
+    return blocks.select("row", "conv_id", "turn", "at", "last", "level", "prompt", "lines", F.md5(normalised(F.array_join("lines", " "))).alias("hash"))
 
 
 def _excerpts(runs: DataFrame, quoted: DataFrame) -> DataFrame:
@@ -47,6 +53,39 @@ def _excerpts(runs: DataFrame, quoted: DataFrame) -> DataFrame:
     return found.select("conv_id", "turn", F.md5(normalised(F.array_join(F.slice("lines", F.col("i") + 1, F.col("k")), " "))).alias("hash"))
 
 
+def _latest_before(quoted: DataFrame, originals: DataFrame) -> DataFrame:
+    """``(row, at, level, in_turn)``: the last earlier turn of the same conversation that has the passage, for those that have one.
+
+    Turns are looked at in spans of ``_TURNS``, and of earlier spans only their last turn, so that a line that a long
+    conversation repeats all the time is neither joined with itself nor sorted in one task as a whole.
+    """
+    key = ["hash", "conv_id"]
+    span = F.floor(F.col("turn") / _TURNS)
+    both = originals.select(*key, "turn", F.col("turn").alias("has"), F.lit(None).cast("long").alias("row"), F.lit(None).cast("int").alias("at"), F.lit(None).cast("int").alias("level"))
+    both = both.unionByName(quoted.select(*key, "turn", F.lit(None).cast(originals.schema["turn"].dataType).alias("has"), "row", "at", "level")).withColumn("span", span)
+    inside = F.max("has").over(W.partitionBy(*key, "span").orderBy("turn").rangeBetween(W.unboundedPreceding, -1))
+    near = both.withColumn("near", inside).filter("row IS NOT NULL").drop("has")
+    spans = both.groupBy(*key, "span").agg(F.max("has").alias("has"))
+    before = spans.withColumn("before", F.max("has").over(W.partitionBy(*key).orderBy("span").rowsBetween(W.unboundedPreceding, -1))).drop("has")
+    out = near.join(before, [*key, "span"]).select("row", "at", "level", F.coalesce("near", "before").alias("in_turn"))
+    return out.filter("in_turn IS NOT NULL")
+
+
+def _with_reply(out: DataFrame) -> DataFrame:
+    """``reply``: the place in the thread by depth, conversation and turn. Rows are ranked in parts of a depth, the parts by their sizes."""
+    alone = F.when(F.col("conv_id").isNull() | F.col("turn").isNull(), F.col("row"))
+    out = out.withColumn("_alone", F.coalesce(alone, F.lit(-1)))
+    thread = ["thread_conv", "thread_turn", "_alone"]
+    out = out.withColumn("_part", F.shiftright("conv_id", _CONVERSATIONS))
+    key = [*thread, "depth", "_part"]
+    ranked = out.withColumn("_rank", F.row_number().over(W.partitionBy(*key).orderBy("conv_id", "turn", "row")))
+    sizes = out.groupBy(*key).agg(F.count("*").alias("_n"))
+    offsets = sizes.select(*[F.col(k).alias(f"o{k}") for k in key], (F.sum("_n").over(W.partitionBy(*thread).orderBy("depth", "_part")) - F.col("_n")).alias("_offset"))
+    same = [F.col(k).eqNullSafe(F.col(f"o{k}")) for k in key]
+    joined = ranked.join(offsets, same).withColumn("reply", (F.col("_offset") + F.col("_rank") - 1).cast("long"))
+    return joined.drop("_alone", "_part", "_rank", "_offset", *[f"o{k}" for k in key])
+
+
 def _climb(up: DataFrame) -> tuple[DataFrame, int]:
     """Follow ``up (conv_id, turn, to_conv, to_turn)`` to the ends of the chains, doubling the step each round.
 
@@ -81,8 +120,9 @@ def link_quotes(df: DataFrame) -> DataFrame:
 
     Returns ``conv_id, turn, role, body, n_quotes, n_linked, parent_conv, parent_turn, thread_conv, thread_turn, depth, reply``,
     one row for each row. Null text: null body, no quotes. Null id or turn: never linked, its own
-    thread. Repeated rows link alike. A quote of something unknown stays unlinked and is still
-    removed. Other columns play no part.
+    thread. Repeated rows link alike; an empty table gives no rows. A quote of something unknown stays unlinked and is still
+    removed, but for lines of an interactive session (``>>>``), which are then no quotes. A line like "X wrote:" goes with the
+    quotation that it stands before. Other columns play no part. Ids and turns are whole numbers.
     """
     messages = df.select("conv_id", "turn", "role", "text").withColumn("row", F.monotonically_increasing_id())
     messages = written(messages, "messages")
@@ -105,21 +145,20 @@ def link_quotes(df: DataFrame) -> DataFrame:
     originals = originals.join(quoted.select("hash").distinct(), "hash", "left_semi").distinct()
     originals = written(originals, "originals")
 
-    q = quoted.alias("q")
-    inside = q.join(originals.alias("o"), (F.col("q.hash") == F.col("o.hash")) & (F.col("q.conv_id") == F.col("o.conv_id")) & (F.col("o.turn") < F.col("q.turn")))
-    inside = inside.groupBy("q.row", "q.at", "q.level").agg(F.max("o.turn").alias("in_turn"))
     first = originals.groupBy("hash").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
-    linked = quoted.join(inside, ["row", "at", "level"], "left").join(first, "hash", "left")
+    linked = quoted.join(_latest_before(quoted, originals), ["row", "at", "level"], "left").join(first, "hash", "left")
     elsewhere = F.when(F.col("first.conv_id") != F.col("conv_id"), F.col("first"))
     parent = F.when(F.col("in_turn").isNotNull(), F.struct("conv_id", F.col("in_turn").alias("turn"))).otherwise(elsewhere)
-    linked = linked.select("row", "at", "level", parent.alias("parent"))
+    linked = linked.select("row", "at", "last", "level", "prompt", parent.alias("parent"))
+    code = F.col("prompt") & F.col("parent").isNull()
     per = linked.groupBy("row").agg(
-        F.count("*").alias("n_quotes"), F.count("parent").alias("n_linked"), F.min(F.when((F.col("level") == 1) & F.col("parent").isNotNull(), F.struct("at", "parent"))).alias("up")
-    )
-    per = written(per.select("row", "n_quotes", "n_linked", F.col("up.parent.conv_id").alias("parent_conv"), F.col("up.parent.turn").alias("parent_turn")), "parents")
+        F.count_if(~code).alias("n_quotes"), F.count("parent").alias("n_linked"), F.min(F.when((F.col("level") == 1) & F.col("parent").isNotNull(), F.struct("at", "parent"))).alias("up"),
+        F.collect_list(F.when(code, F.struct("at", "last"))).alias("code"),
+    )
+    per = written(per.select("row", "n_quotes", "n_linked", F.col("up.parent.conv_id").alias("parent_conv"), F.col("up.parent.turn").alias("parent_turn"), "code"), "parents")
 
     # A cycle through other conversations is cut at its smallest message, whose parent then plays no part in threads.
-    up = quoting.select("row", "conv_id", "turn").join(per.filter("parent_conv IS NOT NULL"), "row")
+    up = quoting.select("row", "conv_id", "turn").join(per.filter("parent_conv IS NOT NULL").drop("code"), "row")
     up = written(up.groupBy("conv_id", "turn").agg(F.min(F.struct("parent_conv", "parent_turn")).alias("p")).select("conv_id", "turn", F.col("p.parent_conv").alias("to_conv"), F.col("p.parent_turn").alias("to_turn")), "up")
     at, left = _climb(up)
     if left:
@@ -129,15 +168,28 @@ def link_quotes(df: DataFrame) -> DataFrame:
     ends = at.select(F.col("conv_id").alias("e_conv"), F.col("turn").alias("e_turn"), "to_conv", "to_turn", "steps")
 
     out = messages.join(per, "row", "left").join(ends, (F.col("conv_id") == F.col("e_conv")) & (F.col("turn") == F.col("e_turn")), "left")
-    body = F.when(F.col("text").rlike(_HAS_QUOTE), F.array_join(F.filter(F.split("text", "\n"), lambda x: ~x.rlike(_MARKS)), "\n")).otherwise(F.col("text"))
+    lines = F.split("text", "\n")
+
+    def quote(line: Column) -> Column:
+        return F.coalesce(line.rlike(_MARKS), F.lit(False))
+
+    def attributes(line: Column, i: Column) -> Column:
+        after = F.get(lines, i + 1)
+        then = quote(after) | (F.coalesce(F.trim(after) == "", F.lit(False)) & quote(F.get(lines, i + 2)))
+        return line.rlike(_ATTRIBUTION) & then & (F.coalesce("n_quotes", F.lit(0)) > 0)
+
+    def stays(line: Column, i: Column) -> Column:
+        in_code = F.exists(F.coalesce("code", F.array().cast("array<struct<at:int,last:int>>")), lambda c: (i >= c["at"]) & (i <= c["last"]))
+        return in_code | ~(quote(line) | attributes(line, i))
+
+    body = F.when(F.col("text").rlike(_HAS_QUOTE), F.array_join(F.filter(lines, stays), "\n")).otherwise(F.col("text"))
     out = out.select(
         "row", "conv_id", "turn", "role", body.alias("body"), F.coalesce("n_quotes", F.lit(0)).cast("long").alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"),
         "parent_conv", "parent_turn", F.coalesce("to_conv", "conv_id").alias("thread_conv"), F.coalesce("to_turn", "turn").alias("thread_turn"), F.coalesce("steps", F.lit(0)).cast("long").alias("depth"),
     )
-    alone = F.when(F.col("conv_id").isNull() | F.col("turn").isNull(), F.col("row"))
-    thread = W.partitionBy("thread_conv", "thread_turn", alone).orderBy("depth", "conv_id", "turn", "row")
-    return out.withColumn("reply", (F.row_number().over(thread) - 1).cast("long")).drop("row")
+    return _with_reply(out).drop("row")
 
 
 def op6_quotes(spark, sf_dir: str) -> DataFrame:
+    """The result of :func:`link_quotes` for every message of ``conversations``."""
     return link_quotes(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
