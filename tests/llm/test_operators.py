@@ -284,6 +284,82 @@ def test_quotes(spark):
     assert out[3, 0].body is None and out[3, 1].body == "" and len(out) == len(rows)
 
 
+def plain_links(rows):
+    """Links of quoted passages by brute force: every passage against every unit of every message."""
+    norm = lambda t: " ".join(t.lower().split())
+    mark = re.compile(r"^(?:[ \t]?>)+[ \t]?")
+    units, asked = defaultdict(set), []
+    for k, (conv, turn, _, text) in enumerate(rows):
+        lines = [((m := mark.match(x)) and m[0].count(">") or 0, mark.sub("", x)) for x in (text or "").split("\n")]
+        blocks, last = [], None
+        for at, (level, line) in enumerate(lines):
+            if not line.strip(" "):
+                last = None
+            elif last == level:
+                blocks[-1][2].append(norm(line))
+            else:
+                blocks.append([at, level, [norm(line)]])
+                last = level
+        if conv is None or turn is None or text is None:
+            continue
+        own = [x for level, x in lines if level == 0]
+        units[conv, turn] |= {norm("\n".join(own)), *map(norm, re.split(r"\n[ \t]*\n", "\n".join(own))), *map(norm, own)}
+        for at, level, part in blocks:
+            if level == 0:
+                units[conv, turn] |= {norm(" ".join(part[i:j])) for i in range(len(part)) for j in range(i + 1, len(part) + 1)}
+            else:
+                asked.append((k, at, level, norm(" ".join(part)), text.split("\n")[at].startswith(">>>")))
+    found = {}
+    for k, at, level, text, prompt in asked:
+        conv, turn = rows[k][:2]
+        inside = [t for (c, t), u in units.items() if c == conv and t < turn and text in u]
+        first = min(((c, t) for (c, t), u in units.items() if text in u), default=None)
+        parent = (conv, max(inside)) if inside else first if first and first[0] != conv else None
+        n, m, up = found.get(k, (0, 0, None))
+        found[k] = (n + (parent is not None or not prompt), m + (parent is not None), up or (parent if level == 1 else None))
+    return found
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_quotes_by_brute_force(spark, seed, monkeypatch):
+    rng = random.Random(seed)
+    monkeypatch.setattr(quotes, "_TURNS", 3)
+    rows = []
+    for conv in range(6):
+        for turn in range(8):
+            lines = [rng.choice(["", "hot line", f"{conv % 4} says {rng.randint(0, 9)}", f"word{rng.randint(0, 30)} here"]) for _ in range(rng.randint(1, 5))]
+            for _ in range(rng.choice([0, 1, 1, 2])):
+                if rows:
+                    old = rng.choice(rows)[3].split("\n")
+                    s = rng.randrange(len(old))
+                    part = [rng.choice(["> ", ">", " > "]) + x.upper() for x in old[s : s + rng.randint(1, 3)]]
+                    at = rng.randint(0, len(lines))
+                    lines[at:at] = part
+            rows.append((conv, turn, "user", "\n".join(lines)))
+    rows += [(7, 0, None, None), (None, 1, "user", "> hot line"), (7, None, "user", "> hot line"), (7, 3, "user", ""), (0, 0, "user", rows[0][3]), (7, 9, "user", ">>> hot line\nx"), (7, 10, "user", ">>> print(1)\n1")]
+    want = plain_links(rows)
+    got = defaultdict(set)
+    for r in quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect():
+        got[r.conv_id, r.turn].add((r.n_quotes, r.n_linked, (r.parent_conv, r.parent_turn) if r.parent_conv is not None else None))
+    for k, (conv, turn, _, _) in enumerate(rows):
+        if conv is not None and turn is not None:
+            assert got[conv, turn] == {want.get(k, (0, 0, None))}, rows[k]
+    assert sum(m for _, m, _ in want.values()) > 15
+
+
+def test_attribution_and_code(spark):
+    rows = [
+        (1, 0, "user", "How do I print?"), (1, 1, "assistant", "On Monday Ann wrote:\n> How do I print?\nSo:\n>>> print(1)\n1\nShe wrote:\nnothing"), (1, 2, "user", "Ann schrieb:\n\n> So:\n>>> print(1)\nthanks"),
+        (1, 3, "user", ">>> import os\n>>> os.sep\n'/'"), (1, 4, "user", "It said:\n>>> import os\n>>> os.sep\nyes"),
+    ]
+    out = {r.turn: r for r in quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert out[1].body == "So:\n>>> print(1)\n1\nShe wrote:\nnothing" and (out[1].n_quotes, out[1].n_linked, out[1].parent_turn) == (1, 1, 0)
+    assert out[2].body == "\n>>> print(1)\nthanks" and (out[2].n_quotes, out[2].parent_turn) == (1, 1)
+    assert out[3].body == rows[3][3] and (out[3].n_quotes, out[3].depth) == (0, 0)
+    assert out[4].body == rows[4][3] and out[4].n_quotes == 0
+    assert quotes.link_quotes(spark.createDataFrame([], "conv_id long, turn long, role string, text string, row string, at int")).collect() == []
+
+
 def test_quotes_of_several_lines(spark):
     rows = [
         (1, 0, "user", "one\ntwo\nthree\nfour\n\nfive\nsix"), (1, 1, "assistant", "> two\n>  THREE\nyes"), (1, 2, "user", "> two\n> four\nno"), (1, 3, "user", "> four\n> five\nno"),
