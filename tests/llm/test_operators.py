@@ -82,18 +82,126 @@ def test_pii(spark, docs):
     assert pii.find_pii(docs.limit(0)).count() == 0
 
 
-def test_webp_round_trip_and_transforms(spark, docs):
-    for p in (b"\0" * 64, bytes(range(256)) * 300, b"ab" * 320, b"one long line that comes again and again\n" * 64, b"x" * 64 * 1030):
-        assert webp.decode_payload(webp.encode_payload(p)) == p
+def test_webp_round_trip(spark, docs):
+    ramp = bytes(i % 256 for i in range(64 * 40))
+    waves = bytes(int(128 + 90 * np.sin(i / 64 / 5) + 20 * np.sin(i % 64 / 9)) for i in range(64 * 300))
+    noise = random.Random(3).randbytes(64 * 16384 + 64 * 5)
+    cases = [b"\0" * 64, bytes(range(256)) * 300, b"ab" * 320, b"one long line that comes again and again\n" * 64, b"x" * 64 * 1030, ramp, waves, noise, b"q" * (64 * 16385), (b"long text, " * 200_000)[: 64 * 20001]]
+    for p in cases:
+        media = webp.encode_payload(p)
+        assert webp.decode_payload(media, len(p)) == p
+        assert len(media) == 8 + int.from_bytes(media[4:8], "little")  # one file
+    assert len(webp.encode_payload(ramp)) < 64 * 40 / 6 and len(webp.encode_payload(waves)) < 0.6 * len(waves)  # by the predictor
     out = webp.media_digests(webp.store_texts(docs)).collect()
     text = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
     for r in out:
         want = text[r.doc_id].ljust(max(64, -(-len(text[r.doc_id]) // 64) * 64), b"\0")
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256) == (len(text[r.doc_id]), len(want), hashlib.sha256(want).hexdigest())
+    pixels = webp.read_pixels(webp.store_texts(docs)).collect()
+    assert len(pixels) == docs.count() and {r.frame for r in pixels} == {0}
+    for r in pixels:
+        image = np.frombuffer(r.pixels, np.uint8).reshape(r.height, r.width, 4)
+        assert image[..., 0].tobytes()[: len(text[r.doc_id])] == text[r.doc_id] and (image[..., 3] == 255).all() and (image[..., 0] == image[..., 2]).all()
+    assert webp.media_digests(webp.store_texts(docs.limit(0))).collect() == []
+    assert webp.read_pixels(spark.createDataFrame([(1, None)], "doc_id long, media binary")).collect() == []
     with pytest.raises(ValueError):
         webp.decode(b"RIFF")
 
 
+def guess(mode, left, top, corner, right):
+    """The predictors of the format's specification, channel by channel in plain integers."""
+    def mean(a, b):
+        return [(x + y) // 2 for x, y in zip(a, b, strict=True)]
+
+    def cut(x):
+        return max(0, min(255, x))
+
+    if mode == 11:
+        p = [x + t - c for x, t, c in zip(left, top, corner, strict=True)]
+        far_left, far_top = (sum(abs(a - b) for a, b in zip(p, q, strict=True)) for q in (left, top))
+        return left if far_left < far_top else top
+    if mode == 12:
+        return [cut(x + t - c) for x, t, c in zip(left, top, corner, strict=True)]
+    if mode == 13:
+        return [cut(m + int((m - c) / 2)) for m, c in zip(mean(left, top), corner, strict=True)]
+    plain = {0: [0, 0, 0, 255], 1: left, 2: top, 3: right, 4: corner, 6: mean(left, corner), 7: mean(left, top), 8: mean(corner, top), 9: mean(top, right)}
+    return plain[mode] if mode in plain else mean(mean(left, right), top) if mode == 5 else mean(mean(left, corner), mean(top, right))
+
+
+def put_image(out, pixels, main, cache_bits=0, split=None):
+    """Write pixels (rows of green-first channels g, r, b, a as numbers) with prefix codes of their own; ``split`` gives left and right halves codes of their own."""
+    h, w, _ = pixels.shape
+    out.put((1, 1), (cache_bits, 4)) if cache_bits else out.put((0, 1))
+    group = np.zeros((h, w), int)
+    if main:
+        out.put((1 if split else 0, 1))
+        if split:
+            out.put((0, 3))  # blocks of four
+            group = np.indices((h, w))[1] // 4 % 2
+            put_image(out, np.stack([np.indices((-(-h // 4), -(-w // 4)))[1] % 2, *[np.zeros((-(-h // 4), -(-w // 4)), int)] * 3], -1), False)
+    symbols, cache = [], {}
+    for y in range(h):
+        for x in range(w):
+            g, r, b, a = map(int, pixels[y, x])
+            whole = a << 24 | r << 16 | g << 8 | b
+            slot = (0x1E35A7BD * whole & 0xFFFFFFFF) >> (32 - cache_bits) if cache_bits else None
+            symbols.append((int(group[y, x]), (280 + slot,) if cache_bits and cache.get(slot) == whole else (g, r, b, a)))
+            cache[slot] = whole
+    codes = {}
+    for k in sorted({k for k, _ in symbols}):
+        own = [s for j, s in symbols if j == k]
+        sizes = (280 + (1 << cache_bits if cache_bits else 0), 256, 256, 256)
+        codes[k] = [out.prefix(webp._code_lengths(np.bincount([s[c] for s in own if len(s) > c], minlength=n))) for c, n in enumerate(sizes)]
+        out.prefix(np.zeros(40, np.int64))
+    for k, s in symbols:
+        out.put(*[(int(codes[k][c][0][v]), int(codes[k][c][1][v])) for c, v in enumerate(s)])
+
+
+@pytest.mark.parametrize("mode", [*range(14), "mixed"])
+def test_webp_transforms_by_brute_force(mode):
+    """Random images with each predictor, cross-colour, subtract-green, a colour cache and two groups of codes, against a forward transform in plain loops."""
+    rng = np.random.default_rng(3)
+    h, w = 11, 13
+    image = rng.integers(0, 256, (h, w, 4)) if mode != "mixed" else rng.integers(0, 3, (h, w, 4)) * 40  # g, r, b, a
+    blocks = rng.integers(0, 14, (3, 4)) if mode == "mixed" else np.full((3, 4), mode)
+    elements = rng.integers(0, 256, (3, 4, 3))
+    signed = lambda v: (int(v) & 255) - 256 * ((int(v) & 255) > 127)
+    now = image.copy()
+    now[..., 1] = (now[..., 1] - now[..., 0]) & 255  # subtract green
+    now[..., 2] = (now[..., 2] - now[..., 0]) & 255
+    crossed = now.copy()
+    for y in range(h):
+        for x in range(w):
+            g, r, b, _ = now[y, x]
+            to_red, to_blue, red_to_blue = map(signed, elements[y // 4, x // 4])
+            crossed[y, x, 1] = (r - (to_red * signed(g) >> 5)) & 255
+            crossed[y, x, 2] = (b - (to_blue * signed(g) >> 5) - (red_to_blue * signed(r) >> 5)) & 255
+    left_over = crossed.copy()
+    for y in range(h):
+        for x in range(w):
+            at = lambda j, i: crossed[j, i].tolist()
+            if y == 0:
+                p = at(0, x - 1) if x else [0, 0, 0, 255]
+            elif x == 0:
+                p = at(y - 1, 0)
+            else:
+                p = guess(int(blocks[y // 4, x // 4]), at(y, x - 1), at(y - 1, x), at(y - 1, x - 1), at(y - 1, x + 1) if x + 1 < w else at(y, 0))
+            left_over[y, x] = (crossed[y, x] - p) & 255
+    for cache_bits, split in ((0, False), (3, False), (0, True), (5, True)):
+        out = webp._Writer()
+        out.put((0x2F, 8), (w - 1, 14), (h - 1, 14), (1, 1), (0, 3), (1, 1), (2, 2))
+        out.put((1, 1), (1, 2), (0, 3))
+        put_image(out, np.stack([elements[..., 1], elements[..., 2], elements[..., 0], np.full((3, 4), 255)], -1), False)
+        out.put((1, 1), (0, 2), (0, 3))
+        put_image(out, np.stack([blocks, *[np.zeros((3, 4), int)] * 3], -1), False)
+        out.put((0, 1))
+        put_image(out, left_over, True, cache_bits, split)
+        body = out.bytes()
+        chunk = b"VP8L" + len(body).to_bytes(4, "little") + body + b"\0" * (len(body) % 2)
+        got = webp.decode(b"RIFF" + (4 + len(chunk)).to_bytes(4, "little") + b"WEBP" + chunk)
+        assert (got == image[..., [1, 0, 2, 3]]).all()
+
+
 def vp8l(fields):
     out = webp._Writer()
     out.put((0x2F, 8), *fields)

@@ -2,8 +2,9 @@
 
 The decoder reads prefix codes, back-references, the colour cache and meta prefix codes and inverts
 the predictor, cross-colour, subtract-green and palette transforms. The writer turns bytes into
-8-bit grey pixels 64 wide: a palette with bundled pixels for up to 16 distinct values, else
-subtract-green; repeated lines become back-references; the rest is prefix-coded.
+8-bit grey pixels, 64 to a row or as many as keep the image within the format's 16384 rows: a palette with bundled pixels
+for up to 16 distinct values, else subtract-green, with a predictor from the left or from above where that needs fewer bits; repeated lines
+become back-references; the rest is prefix-coded. (A colour cache cannot make grey images smaller, whose other channels cost nothing.)
 """
 
 from __future__ import annotations
@@ -255,6 +256,14 @@ _PREDICT = (
 
 
 def _undo_predictor(pixels: np.ndarray, width: int, shift: int, modes: np.ndarray) -> np.ndarray:
+    kinds = np.unique((modes >> 8) & 15)
+    if len(kinds) == 1 and kinds[0] in (1, 2):
+        # Left or above everywhere: sums along rows or columns, from the first column or row on.
+        c = _channels(pixels.reshape(-1, width)).copy()
+        c[0, 0, 3] = (int(c[0, 0, 3]) + 255) & 255
+        edge, axis = (c[:, 0], 1) if kinds[0] == 1 else (c[0], 0)
+        np.cumsum(edge, axis=0, dtype=np.uint8, out=edge)
+        return np.ascontiguousarray(np.cumsum(c, axis=axis, dtype=np.uint8)).view("<u4").ravel()
     rows = _channels(pixels.reshape(-1, width)).tolist()
     across = -(-width >> shift)
     mode = ((modes >> 8) & 15).tolist()
@@ -338,9 +347,9 @@ def decode(data: bytes) -> np.ndarray:
 
 # --- writer ---------------------------------------------------------------------------------------
 
-_WIDEST, _SEGMENT_ROWS = 64, 1024
-#: Bytes of one image; longer payloads are several files one after the other.
-SEGMENT = _WIDEST * _SEGMENT_ROWS
+#: Pixels of a row, and the most that the format allows along a side. Only payloads of more than its square, 256 MiB, are several files one after the other.
+_ROW, _MOST = 64, 1 << 14
+SEGMENT = _MOST * _MOST
 _SHORTEST_COPY = 24
 
 
@@ -425,9 +434,15 @@ class _Writer:
 
     def bytes(self) -> bytes:
         values, sizes = np.concatenate(self.values), np.concatenate(self.sizes)
-        place = np.arange(int(sizes.max()))
-        bits = (values[:, None] >> place & 1).astype(np.uint8)[place < sizes[:, None]]
-        return np.packbits(bits, bitorder="little").tobytes()
+        out, rest = [], np.zeros(0, np.uint8)
+        for s in range(0, len(values), 1 << 16):
+            v, n = values[s : s + (1 << 16)], sizes[s : s + (1 << 16)]
+            place = np.arange(int(n.max()))
+            bits = np.r_[rest, (v[:, None] >> place & 1).astype(np.uint8)[place < n[:, None]]]
+            whole = len(bits) & ~7
+            out.append(np.packbits(bits[:whole], bitorder="little").tobytes())
+            rest = bits[whole:]
+        return b"".join(out) + np.packbits(rest, bitorder="little").tobytes()
 
 
 def _copies(data: bytes) -> list[tuple[int, int, int]]:
@@ -444,14 +459,30 @@ def _copies(data: bytes) -> list[tuple[int, int, int]]:
     return out
 
 
-def encode_grey(samples: bytes, width: int = _WIDEST) -> bytes:
+def _bits_needed(symbols: np.ndarray) -> float:
+    n = np.bincount(symbols.ravel(), minlength=256)
+    n = n[n > 0]
+    return float(n.sum() * np.log2(n.sum()) - (n * np.log2(n)).sum())
+
+
+def _residuals(grey: np.ndarray) -> dict[int, np.ndarray]:
+    """What the predictor leaves with mode 1 (left; above in the first column) and mode 2 (above; left in the first row)."""
+    left, above = grey.copy(), grey.copy()
+    left[:, 1:] -= grey[:, :-1]
+    left[1:, 0] -= grey[:-1, 0]
+    above[1:] -= grey[:-1]
+    above[0, 1:] -= grey[0, :-1]
+    return {1: left, 2: above}
+
+
+def encode_grey(samples: bytes, width: int = _ROW) -> bytes:
     """8-bit grey samples, a whole number of rows, as one lossless WebP file."""
     raw = np.frombuffer(samples, np.uint8)
     height = len(raw) // width
     out = _Writer()
     out.put((0x2F, 8), (width - 1, 14), (height - 1, 14), (0, 1), (0, 3))
     values = np.flatnonzero(np.bincount(raw, minlength=256))
-    symbols, copies = raw, []
+    symbols, copies, opaque = raw, [], 255
     if len(values) <= 16:
         n = len(values)
         bundle = 3 if n <= 2 else 2 if n <= 4 else 1
@@ -468,7 +499,17 @@ def encode_grey(samples: bytes, width: int = _WIDEST) -> bytes:
         symbols = (index << (np.arange(1 << bundle) * (8 >> bundle))).sum(1)
     else:
         out.put((1, 1), (_SUBTRACT_GREEN, 2))
-        copies = _copies(samples)
+        guesses = _residuals(raw.reshape(height, width))
+        need = {mode: _bits_needed(x) for mode, x in guesses.items()}
+        mode = min(need, key=need.get)
+        if need[mode] < 0.95 * _bits_needed(raw):
+            # One mode for all blocks: an image of modes that takes no bits for its pixels.
+            out.put((1, 1), (_PREDICTOR, 2), (7, 3), (0, 1))
+            for always in (mode, 0, 0, 255, 0):
+                out.put((1, 1), (0, 1), (1, 1), (always, 8))
+            symbols, opaque = guesses[mode].ravel(), 0
+        else:
+            copies = _copies(samples)
     out.put((0, 1), (0, 1), (0, 1))
     parts, at, far = [], 0, []
     for start, length, distance in copies:
@@ -480,7 +521,7 @@ def encode_grey(samples: bytes, width: int = _WIDEST) -> bytes:
     for length, _ in far:
         counts[256 + length[0]] += 1
     code, size = out.prefix(_code_lengths(counts))
-    for always in (0, 0, 255):
+    for always in (0, 0, opaque):
         out.prefix(np.eye(1, 256, always, dtype=np.int64)[0])
     dist_code, dist_size = out.prefix(_code_lengths(np.bincount([d[0] for _, d in far], minlength=40)))
     for i, part in enumerate(parts):
@@ -494,17 +535,32 @@ def encode_grey(samples: bytes, width: int = _WIDEST) -> bytes:
 
 
 def encode_payload(payload: bytes) -> bytes:
-    """A payload (a positive multiple of 64 bytes) as WebP files, one for each 64 KiB, one after the other."""
-    return b"".join([encode_grey(payload[i : i + SEGMENT]) for i in range(0, len(payload), SEGMENT)])
+    """A payload (a positive multiple of 64 bytes) as one WebP file; beyond ``SEGMENT`` bytes several, one after the other.
 
+    Rows have 64 pixels. Where that gives too many rows they are as many times longer as needed, and zeros fill the last one up.
+    """
+    out = []
+    for i in range(0, len(payload), SEGMENT):
+        part = payload[i : i + SEGMENT]
+        rows = len(part) // _ROW
+        width = _ROW * -(-rows // _MOST)
+        out.append(encode_grey(part.ljust(-(-len(part) // width) * width, b"\0"), width))
+    return b"".join(out)
+
+
+def payload_size(n_bytes: int) -> int:
+    """The length of the payload of so many bytes of text."""
+    return max(64, -(-n_bytes // 64) * 64)
 
-def decode_payload(media: bytes) -> bytes:
+
+def decode_payload(media: bytes, size: int) -> bytes:
+    """The first ``size`` samples of the files."""
     out, at = [], 0
     while at < len(media):
         end = at + 8 + int.from_bytes(media[at + 4 : at + 8], "little")
         out.append(decode(media[at:end])[..., 1].tobytes())
         at = end
-    return b"".join(out)
+    return b"".join(out)[:size]
 
 
 def features(samples: bytes) -> str:
@@ -521,14 +577,15 @@ def features(samples: bytes) -> str:
 def store_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_bytes, media binary)``: each text's UTF-8 bytes, zero-padded to a positive multiple of 64, as lossless WebP.
 
-    Null reads as empty (64 zero bytes). Equal texts give equal files. Row by row; no shuffle.
+    Null reads as empty (64 zero bytes). Equal texts give equal files. Row by row; no shuffle. Repeated rows stay repeated; other
+    columns play no part.
     """
     schema = T.StructType([df.schema[id_col], T.StructField("n_bytes", T.LongType()), T.StructField("media", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, text_col, 1 << 20):
             raw = utf8(batch.column(text_col))
-            media = [encode_payload(b.ljust(max(64, -(-len(b) // 64) * 64), b"\0")) for b in raw]
+            media = [encode_payload(b.ljust(payload_size(len(b)), b"\0")) for b in raw]
             yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array([len(b) for b in raw], pa.int64()), pa.array(media, pa.binary())], schema.names)
 
     return df.select(id_col, text_col).mapInArrow(run, schema)
@@ -537,7 +594,7 @@ def store_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 def read_pixels(df: DataFrame, media_col: str = "media", id_col: str = "doc_id") -> DataFrame:
     """``(id, frame, height, width, pixels binary)`` of every WebP file in a column: rows of red, green, blue, alpha bytes.
 
-    A null column gives no frame; a broken file raises.
+    A null column gives no frame; a broken file raises. A text that :func:`store_texts` stored is the first samples of any colour.
     """
     schema = T.StructType([df.schema[id_col], T.StructField("frame", T.IntegerType()), T.StructField("height", T.IntegerType()), T.StructField("width", T.IntegerType()), T.StructField("pixels", T.BinaryType())])
 
@@ -565,7 +622,7 @@ def media_digests(df: DataFrame, id_col: str = "doc_id", media_col: str = "media
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, media_col, 1 << 20):
             media = batch.column(media_col).to_pylist()
-            payload = [decode_payload(m) for m in media]
+            payload = [decode_payload(m, payload_size(n)) for m, n in zip(media, batch.column("n_bytes").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(id_col), batch.column("n_bytes"), pa.array([len(p) for p in payload], pa.int64()), pa.array([hashlib.sha256(p).hexdigest() for p in payload])]
                 + [pa.array([zlib.crc32(p[-64:]) for p in payload], pa.int64()), pa.array([len(m) for m in media], pa.int64()), pa.array([hashlib.sha256(m).hexdigest() for m in media]), pa.array([features(p) for p in payload])],
@@ -576,4 +633,5 @@ def media_digests(df: DataFrame, id_col: str = "doc_id", media_col: str = "media
 
 
 def op3_webp(spark, sf_dir: str) -> DataFrame:
+    """The contract's columns for every document. ``feature`` is the mean, deviation, entropy and a histogram of 16 bins of the samples read back."""
     return media_digests(store_texts(spark.read.parquet(f"{sf_dir}/documents.parquet")))
