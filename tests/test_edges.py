@@ -316,3 +316,20 @@ def test_targets_count_over_spellings(spark):
     out = {(r.source, r.organ): r.stratify_target for r in catalogue.merge_rare_strata(df, 5).collect()}
     # s_liver has six rows over both spellings; only t_liver is rare, and it takes the spelling liver with it.
     assert out == {("S", "Liver"): "other_rare_organs", ("S", "liver"): "s_t_liver", ("T", "liver"): "s_t_liver"}
+
+
+def test_balanced_group_folds(spark):
+    """Whole slides, and every label's tiles near a fold's share: nearer than a deal by majority label."""
+    rng = np.random.default_rng(9)
+    rows = [(f"s{i}", k, 0, None if j == 3 else "abcd"[j]) for i in range(120) for j in range(4) for k in range(int(rng.pareto(3) * 8 * (j == i % 4) + rng.integers(0, 4)))]
+    df = spark.createDataFrame(rows, "slide_id string, x int, y int, label string")
+    for block in (1024, 30):
+        out = folds.balanced_group_folds(df, 5, block=block)
+        assert out.count() == len(rows) and out.groupBy("slide_id").agg(F.countDistinct("fold").alias("k")).filter("k > 1").isEmpty()
+
+        def spread(parted):
+            table = parted.groupBy("label").pivot("fold", list(range(5))).count().fillna(0).toPandas().set_index("label")
+            return (table.std(axis=1, ddof=0) / table.mean(axis=1)).mean()
+
+        assert spread(out) < spread(folds.stratified_group_folds(df, 5)) and (block < 100 or spread(out) < 0.15)
+    assert folds.balanced_group_folds(df.limit(0)).collect() == []

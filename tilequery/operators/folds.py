@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -64,6 +66,37 @@ def stratified_group_folds(df: DataFrame, n_folds: int = 5, seed: int | None = 0
     return df.join(slides.select("slide_id", "fold"), "slide_id")
 
 
+def balanced_group_folds(df: DataFrame, n_folds: int = 5, seed: int = 0, label: str = "label", block: int = 1024) -> DataFrame:
+    """``fold`` with all tiles of a slide in one fold, so that every label's tiles are spread evenly.
+
+    Slides are dealt by hash into blocks of about ``block``. In each block, the largest slides first, a slide goes to the fold where it
+    leaves the labels' shares of the block most even (ties: the fold with fewer tiles, then the lower one). Blocks are
+    balanced one by one, so their sum is, and no task holds more than a block of slides. A null label is a label of its own.
+    """
+    by = df.groupBy("slide_id", F.coalesce(F.col(label).cast("string"), F.lit("")).alias("_label")).agg(F.count("*").alias("n"))
+    slides = by.groupBy("slide_id").agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("_label", "n"))).alias("by"))
+    blocks = F.ceil(slides.agg(F.count("*").alias("k")).select(F.col("k") / block).scalar())
+    dealt = slides.withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "slide_id"), F.greatest(F.lit(1), blocks)))
+
+    def assign(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["n", "slide_id"], ascending=[False, True])
+        labels = sorted({k for m in rows["by"] for k in m})
+        counts = np.array([[m.get(k, 0) for k in labels] for m in rows["by"]], float)
+        share = counts / counts.sum(0)
+        held, tiles, folds = np.zeros((n_folds, len(labels))), np.zeros(n_folds), []
+        for own, n in zip(share, rows["n"], strict=True):
+            after = held[None] + np.eye(n_folds)[:, :, None] * own
+            uneven = after.std(1).mean(1).round(12)
+            best = min(range(n_folds), key=lambda k: (uneven[k], tiles[k], k))
+            held[best] += own
+            tiles[best] += n
+            folds.append(best)
+        return pd.DataFrame({"slide_id": rows["slide_id"], "fold": folds})
+
+    assigned = dealt.groupBy("block").applyInPandas(assign, "slide_id string, fold int")
+    return df.join(assigned, "slide_id")
+
+
 def fold_statistics(df: DataFrame) -> DataFrame:
     """Per fold: validation and training tiles, share, slides, tissue mean and population deviation."""
     everywhere = W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)

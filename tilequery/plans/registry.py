@@ -449,6 +449,11 @@ def stratified_group_folds(spark, sf):
     return folds.stratified_group_folds(_labelled(spark, sf), 5, None).select("slide_id", "x", "y", "fold")
 
 
+@query()
+def balanced_group_folds(spark, sf):
+    return folds.balanced_group_folds(_labelled(spark, sf)).select("slide_id", "x", "y", "label", "fold")
+
+
 @query(f"{FOLDS} SELECT g AS fold, count(*) AS val_tiles, (SELECT count(*) FROM f) - count(*) AS train_tiles, round(count(*) / (SELECT count(*) FROM f), 4) AS val_share, count(DISTINCT slide_id) AS slides, round(avg(tissue_prop), 4) AS tissue_mean, round(stddev_pop(tissue_prop), 4) AS tissue_std FROM f GROUP BY g", "tiles")
 def fold_statistics(spark, sf):
     return folds.fold_statistics(_folded(spark, sf))
