@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilequery.llm import bpe, jaccard, langid, mixing, pii
-from tilequery.llm._shared import written
+from tilequery.llm._shared import broadcast_if_small, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A document stays if one language has this share of it, and its languages explain it better than a background of equal
@@ -34,7 +34,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.select(*COLUMNS)
     groups = jaccard.near_duplicates(docs)
     copies = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*COLUMNS)
+    return docs.join(broadcast_if_small(copies), "doc_id", "left_anti").select(*COLUMNS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,6 +67,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each result but the last written and read again. An empty table gives no rows; null and empty
+    texts go at the first stage, as documents without a language; rows that repeat an id are one document to the second."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

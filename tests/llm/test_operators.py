@@ -16,7 +16,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tilequery.llm import bpe, covertree, jaccard, langid, lm, mixing, pii, quotes, suffix, webp
+from tilequery.llm import _shared, bpe, covertree, jaccard, langid, lm, mixing, pii, quotes, suffix, webp
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, keys string"
@@ -652,3 +652,37 @@ def test_pipeline_language_decides(spark):
 
 def stage_input(spark, docs, kept):
     return corpus_pipeline.personal_data(spark, docs.filter(docs.doc_id.isin(list(kept))), SF)
+
+
+def test_pipeline_edges(spark, docs, tmp_path):
+    """Edge rows, repeated ids, a table without rows, and columns beside those of documents."""
+    long = [r for r in docs.collect() if r.doc_id in (9003, 9004)]
+    docs.write.parquet(str(tmp_path / "some" / "documents.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path / "some")).collect()
+    assert not {9001, 9002, 9005} & {r.doc_id for r in out} and all(r.n_tokens == len(r.ids) for r in out)
+    assert len({r.doc_id for r in out} & {r.doc_id for r in long}) <= 1
+    docs.limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_empty_tables(spark, docs):
+    none = docs.limit(0)
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    assert bpe.encode(none, path, P.PATTERN, offsets=True).collect() == [] and bpe.decode(bpe.encode(none, path, P.PATTERN), path, P.PATTERN).collect() == []
+    assert pii.redact(none).columns == docs.columns and mixing.plan_mix(none).collect() == []
+
+
+def test_shared_folder_is_demanded():
+    """Without a shared folder only local mode goes on."""
+
+    class Session:
+        class conf:
+            get = staticmethod(lambda *_: None)
+
+        class sparkContext:
+            master, applicationId = "spark://host:7077", "app"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        _shared.shared_dir(Session)
+    Session.conf.get = staticmethod(lambda *_: "s3a://bucket/x/")
+    assert _shared.shared_dir(Session) == "s3a://bucket/x"
