@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 
 def file_name(path: Column) -> Column:
+    """What follows the last slash of a path."""
     return F.element_at(F.split(path, "/"), -1)
 
 
@@ -25,10 +26,12 @@ def group_id() -> Column:
 
 
 def safe_name(name: Column) -> Column:
+    """The text with characters that file names cannot hold replaced."""
     return F.regexp_replace(name, r"[^A-Za-z0-9 _.-]+", "_")
 
 
 def fill_template(template: Column, **values: Column) -> Column:
+    """The template with each ``{name}`` replaced by its column; null where one of these is null."""
     for key, value in values.items():
         template = F.replace(template, F.lit("{" + key + "}"), value)
     return template
@@ -48,10 +51,12 @@ def coverage_family(df: DataFrame, prefix: str) -> list[str]:
 
 
 def any_above(columns: list[str], floor: float = 0.0) -> Column:
+    """Whether one of the columns is above 0; null and NaN are not."""
     return reduce(or_, [(F.col(c) > floor) & ~F.isnan(c) for c in columns])
 
 
 def total(columns: list[str]) -> Column:
+    """Sum of the columns, null and NaN as 0."""
     return reduce(add, [number(c) for c in columns])
 
 
@@ -62,4 +67,5 @@ def first_max(columns: list[str], names: list[str]) -> Column:
 
 
 def half_even(x: Column) -> Column:
+    """Rounded to a whole number, halves to the even one."""
     return F.rint(x)

@@ -19,10 +19,12 @@ def assign_organ(df: DataFrame, dictionary: DataFrame, path: str = "wsi_path") -
 
 
 def fix_organ_typos(df: DataFrame) -> DataFrame:
+    """Known misspellings of organs set right; nulls and other names stay."""
     return df.replace({"gallblader": "gallbladder"}, subset=["organ"])
 
 
 def assign_group_id(df: DataFrame) -> DataFrame:
+    """``group_id`` of each slide (see ``columns.group_id``); null where stem or source is."""
     return df.withColumn("group_id", group_id())
 
 
@@ -34,6 +36,7 @@ def normalise_metadata(df: DataFrame) -> DataFrame:
 
 
 def pair_annotations(slides: DataFrame, annotations: DataFrame) -> DataFrame:
+    """Slides with their annotations by stem: a row for each pair of equal stems, so repeated stems multiply; a null stem pairs with nothing."""
     return slides.join(annotations, "id_stem")
 
 
@@ -44,10 +47,12 @@ def dense_label_id(df: DataFrame, column: str = "organ") -> DataFrame:
 
 
 def order_catalogue(df: DataFrame) -> DataFrame:
+    """By source, then stem, nulls first; rows that agree in both have no order."""
     return df.orderBy("source", "id_stem")
 
 
 def drop_excluded(df: DataFrame, missing: DataFrame) -> DataFrame:
+    """Slides whose path is not among the missing ones; a null path stays, repeated rows stay repeated."""
     return df.join(missing, "wsi_path", "left_anti")
 
 
@@ -86,6 +91,7 @@ def grouped_stratified_split(df: DataFrame, test_size: float = 0.2, seed: int |
 
 
 def group_leakage(train: DataFrame, test: DataFrame) -> DataFrame:
+    """Groups of both splits, each once; a null group in both counts as shared."""
     return train.select("group_id").intersect(test.select("group_id"))
 
 
@@ -115,6 +121,7 @@ def class_distribution(df: DataFrame, column: str) -> DataFrame:
 
 
 def compare_distributions(train: DataFrame, test: DataFrame, column: str) -> DataFrame:
+    """Shares of each value in both splits, 0 where a split lacks it; a null value stands in a row for each split. Empty splits give no shares."""
     a = class_distribution(train, column).select("value", F.col("percent").alias("train_percent"))
     b = class_distribution(test, column).select("value", F.col("percent").alias("test_percent"))
     return a.join(b, "value", "full").fillna(0.0, ["train_percent", "test_percent"])
@@ -126,8 +133,10 @@ def missing_annotations(slides: DataFrame, polygons: DataFrame) -> DataFrame:
 
 
 def slide_basename(df: DataFrame, path: str = "path") -> DataFrame:
+    """File name of each slide and of its map; null paths give nulls."""
     return df.select("id", file_name(F.col(path)).alias("file"), F.regexp_replace(file_name(F.col(path)), r"(?<=.)\.[^.]*$", ".tiff").alias("map_file"))
 
 
 def slide_hash_id(df: DataFrame) -> DataFrame:
+    """``id``: SHA-256 of the row as JSON, in column order; nulls are left out of the JSON, so equal rows get equal ids."""
     return df.withColumn("id", F.sha2(F.to_json(F.struct(*df.columns)), 256))

@@ -111,10 +111,12 @@ def fold_size_cv(df: DataFrame) -> DataFrame:
 
 
 def fold_label_distribution(df: DataFrame, labels: list[str], label: str = "label") -> DataFrame:
+    """Rows of each fold and label, 0 where there are none; labels that are not listed are not counted. ``label`` may name the stratifying label."""
     return df.groupBy("fold").pivot(label, labels).count().fillna(0)
 
 
 def tiles_per_slide(df: DataFrame) -> DataFrame:
+    """``(slide_id, n)``; null slides count together."""
     return df.groupBy("slide_id").agg(F.count("*").alias("n"))
 
 
@@ -144,6 +146,7 @@ def slide_budget(df: DataFrame, max_tiles: int, seed: int | None = 0) -> DataFra
 
 
 def smallest_slide(df: DataFrame) -> DataFrame:
+    """The slide of fewest tiles (ties: the first id); a row of nulls for an empty table."""
     return tiles_per_slide(df).agg(F.min(F.struct("n", "slide_id")).alias("s")).select("s.slide_id", "s.n")
 
 
@@ -155,4 +158,5 @@ def worst_slides(predictions: DataFrame, k: int) -> DataFrame:
 
 
 def first_slides(df: DataFrame, k: int) -> DataFrame:
+    """All tiles of the first ``k`` slides by id; a null slide is never taken."""
     return df.join(df.select("slide_id").distinct().orderBy("slide_id").limit(k), "slide_id", "left_semi")

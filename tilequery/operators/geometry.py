@@ -319,6 +319,7 @@ def spread_lut(n: int) -> list[int]:
 
 
 def remap_cells(cells: DataFrame, n: int) -> DataFrame:
+    """Cell values mapped by :func:`spread_lut` for ``n`` classes; a null value stays null."""
     return cells.withColumn("value", F.element_at(F.array(*map(F.lit, spread_lut(n))), F.col("value") + 1))
 
 

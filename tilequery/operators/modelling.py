@@ -23,6 +23,7 @@ def training_set(vectors: DataFrame, meta: DataFrame, classes: list[str], thresh
 
 
 def prediction_set(vectors: DataFrame, tissue: DataFrame, floor: float = 0.0) -> DataFrame:
+    """Tiles above the tissue floor with their vector; ``target`` is -1 throughout. Tiles without a vector go."""
     return join_embeddings(on_tissue(tissue, floor=floor), vectors).withColumn("target", F.lit(-1))
 
 
@@ -87,11 +88,13 @@ def macro_metrics(df: DataFrame, n_classes: int) -> DataFrame:
 
 
 def slide_accuracy(df: DataFrame, slides: DataFrame | None = None) -> DataFrame:
+    """``(slide_id, accuracy, n[, file])``: share of right predictions, rows without target or prediction left out of the share."""
     out = df.groupBy("slide_id").agg(F.avg((F.col("pred") == F.col("target")).cast("double")).alias("accuracy"), F.count("*").alias("n"))
     return out if slides is None else out.join(slides.select(F.col("id").alias("slide_id"), file_name(F.col("path")).alias("file")), "slide_id", "left")
 
 
 def slide_accuracy_summary(df: DataFrame) -> DataFrame:
+    """Mean, median and least accuracy over slides; nulls for an empty table."""
     return slide_accuracy(df).agg(F.round(F.avg("accuracy"), 9).alias("mean"), F.round(F.median("accuracy"), 9).alias("median"), F.min("accuracy").alias("min"))
 
 

@@ -72,6 +72,7 @@ def join_tissue(tiles: DataFrame, tissue: DataFrame) -> DataFrame:
 
 
 def count_rows(df: DataFrame, **conditions: Column) -> DataFrame:
+    """One row: all rows, and for each name how many meet its condition (null: not)."""
     return df.agg(F.count("*").alias("rows"), *[F.count_if(c).alias(n) for n, c in conditions.items()])
 
 
@@ -83,6 +84,7 @@ def filter_report(tiles: DataFrame, tissue: DataFrame, prefix: str = "roi_covera
 
 
 def coverage_means(df: DataFrame) -> DataFrame:
+    """Rows and means of all coverage columns; nulls are left out of a mean, an empty table gives 0 and nulls."""
     return df.agg(F.count("*").alias("tiles"), *[F.round(F.avg(c), 9).alias(c) for c in df.columns if "coverage" in c])
 
 
@@ -94,6 +96,7 @@ def stratum_counts(df: DataFrame, classes: list[str]) -> DataFrame:
 
 
 def long_form(df: DataFrame, columns: list[str], *keys: str) -> DataFrame:
+    """``(*keys, column, value)`` of the columns; null and NaN values are left out."""
     return df.unpivot(list(keys), columns, "column", "value").filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
@@ -225,6 +228,7 @@ def attach_slide_info(tiles: DataFrame, slides: DataFrame) -> DataFrame:
 
 
 def attach_annotation_path(slides: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Slides with the annotation path of their slide path, empty where the catalogue has none; a path that the catalogue repeats repeats its slide."""
     paths = catalogue.select(F.col("wsi_path").alias("path"), "annotation_path")
     return slides.join(paths, "path", "left").withColumn("annotation_path", F.coalesce("annotation_path", F.lit("")))
 
@@ -237,6 +241,7 @@ def slides_with_masks(slides: DataFrame, masks: DataFrame, wanted: list[str], ch
 
 
 def select_slides(tiles: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Tiles of the chosen slides, which may repeat; a null slide is never chosen."""
     return tiles.join(chosen.select("slide_id"), "slide_id", "left_semi")
 
 
@@ -247,6 +252,7 @@ def map_class_index(df: DataFrame, classes: list[str], label: str = "label") ->
 
 
 def missing_keys(wanted: DataFrame, given: DataFrame) -> DataFrame:
+    """Rows of ``wanted`` that ``given`` lacks, repeats counted: two wanted and one given leave one. Nulls are equal."""
     return wanted.exceptAll(given)
 
 
@@ -265,12 +271,14 @@ def join_embeddings(meta: DataFrame, vectors: DataFrame, check: bool = False) ->
 
 
 def check_not_empty(df: DataFrame, what: str) -> DataFrame:
+    """``df``; raises where it has no rows."""
     if df.isEmpty():
         raise ValueError(f"{what}: no rows left")
     return df
 
 
 def check_columns(df: DataFrame, *names: str) -> DataFrame:
+    """``df``; raises where it lacks one of the columns."""
     if absent := [n for n in names if n not in df.columns]:
         raise ValueError(f"no column {absent}")
     return df
