@@ -57,6 +57,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``; its session cuts batches for Python workers by bytes from now on, unless it has its own bound."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(key, None) is None:
+        conf.set(key, _WHILE_WRITING[key])
+    return df
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables of :func:`written` that nothing will read any more."""
     for df in tables:
@@ -235,10 +243,18 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 # A chunk is some rows packed into one: tasks ask for a chunk as a whole and answers come back to it.
 
 
-def chunked(df: DataFrame, id_col: str, text_col: str, flag_col: str | None = None, max_bytes: int = 4 << 20) -> DataFrame:
-    """``(chunk, ids, flags, sizes, bytes, text)``, written: the rows in order, about ``max_bytes`` of UTF-8 text in each chunk (one row at least), compressed. Null text reads as empty."""
+_ZSTD = 6
+
+
+def chunked(df: DataFrame, id_col: str, text_col: str, flag_col: str | None = None, max_bytes: int = 4 << 20, by_id: bool = False) -> DataFrame:
+    """``(chunk, ids, flags, sizes, bytes, text)``, written: the rows in order, about ``max_bytes`` of UTF-8 text in each chunk (one row at least), compressed. Null text reads as empty.
+
+    ``by_id`` sorts the rows by id first: then ids of a chunk of higher number are larger, since rows of one id stay together.
+    """
     flags = F.col(flag_col) if flag_col else F.lit(False)
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), flags.alias("flag"))
+    if by_id:
+        rows = rows.repartitionByRange("id").sortWithinPartitions("id")
     id_type = df.schema[id_col].dataType
     schema = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("ids", T.ArrayType(id_type)), *[T.StructField(c, T.BinaryType()) for c in ("flags", "sizes")], T.StructField("bytes", T.LongType()), T.StructField("text", T.BinaryType())])
 
@@ -253,7 +269,7 @@ def chunked(df: DataFrame, id_col: str, text_col: str, flag_col: str | None = No
             joined = b"".join(texts)
             flat = pa.chunked_array(ids).combine_chunks()
             row = [pa.array([number]), pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat), *[pa.array([x.tobytes()], pa.binary()) for x in (np.array(flags, np.uint8), np.array([len(t) for t in texts], "<i8"))]]
-            out = pa.RecordBatch.from_arrays([*row, pa.array([len(joined)]), pa.array([pa.compress(joined, "zstd", asbytes=True)], pa.binary())], schema.names)
+            out = pa.RecordBatch.from_arrays([*row, pa.array([len(joined)]), pa.array([pa.Codec("zstd", compression_level=_ZSTD).compress(joined, asbytes=True)], pa.binary())], schema.names)
             number += 1
             ids.clear(), texts.clear(), flags.clear()
             return out
@@ -262,7 +278,7 @@ def chunked(df: DataFrame, id_col: str, text_col: str, flag_col: str | None = No
         for batch in small_batches(batches, "text", max_bytes):
             own = utf8(batch.column("text"))
             more = sum(map(len, own))
-            if texts and size + more > max_bytes:
+            if texts and size + more > max_bytes and not (by_id and ids[-1][-1] == batch.column("id")[0]):
                 yield packed()
                 size = 0
             ids.append(batch.column("id"))

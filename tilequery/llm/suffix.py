@@ -1,17 +1,14 @@
-"""Repeated substrings across documents, by prefix doubling.
-
-The rank of a position at length 2h is made from the ranks at h of the position and of the
-position h further on; ranks are 64-bit hashes, so a task can double them without a sort, and Spark
-sorts positions by rank only where that lets it drop the unique ones:
-
-1. Ranks double to 16 bytes. Of all positions only those go on that hold the smallest rank of some window
-   (equal windows hold equal smallest ranks at equal places, so every repeated window keeps one).
-   Spark brings equal ranks together; a rank of one document is unique and ends here.
-2. The pair with the rank of the whole surroundings (all windows around the position) decides
-   most of the rest: surroundings that also stand in an earlier document are repeated as a whole; a position
-   in the first document of its rank is not.
-3. For the positions left over, ranks double on to the full length, for each window, and Spark
-   brings equal ones together once more.
+"""Repeated substrings across documents, by distributed prefix doubling.
+
+The rank of a position at length h + d comes from the pair of ranks at h of the position and of the one d further on.
+Ranks double inside a task as long as nearly every position shares its rank with others anyway, to ``START`` bytes. From there on
+each round brings equal ranks together in Spark: positions are sorted by rank in ranges of ranks, those whose rank no other
+document has are dropped, and the next round ranks the pairs of what is left, up to the full length.
+
+Texts are packed into chunks in the order of their ids, so that chunks compare as their documents do. A chunk sends its distinct
+ranks, sorted, to their ranges, and gets a bit for each of them back. Rounds before the last only drop positions, so short ranks do: two ranks that look the same
+keep a position too long and lose nothing. The last round decides: there a rank is 96 bits, which two different strings of a
+petabyte share with a chance of less than one in a thousand.
 """
 
 from __future__ import annotations
@@ -20,126 +17,205 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ._shared import from_planes, mixed, pack_ranges, planes, range_bits, runs, small_batches, unpack, utf8, written
+from ._shared import broadcast_if_small, chunk_texts, chunked, range_bits, squeezed, unsqueezed, written
 
-SHORT = 16
-_A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * _A)
+#: Bytes of the first rank that leaves a task, where ``length`` allows.
+START = 32
+_CHUNK = 2 << 20
+_A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 
 
 def _pair(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     z = x * _A + y
-    return (z ^ (z >> np.uint64(29))) * _B
-
-
-def ranks(raw: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ranks of all positions at ``SHORT`` bytes and at ``length`` bytes."""
-    r, h, short = _BYTE[raw], 1, None
-    while True:
-        if h == SHORT:
-            short = r
-        if 2 * h > length:
-            break
-        r, h = _pair(r[:-h], r[h:]) if len(r) > h else r[:0], 2 * h
-    if h < length:
-        gap = length - h
-        r = _pair(r[:-gap], r[gap:]) if len(r) > gap else r[:0]
-        r ^= r >> np.uint64(31)
-    return short, r
-
-
-def _sliding(x: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
-    """``pick`` over each ``width`` neighbours, by doubling."""
-    h = 1
-    while 2 * h <= width:
-        x, h = pick(x[:-h], x[h:]), 2 * h
-    return pick(x[: len(x) - (width - h)], x[width - h :]) if h < width else x
-
-
-def anchors(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, place, short rank, rank of the surroundings) of the positions that go on."""
-    raw = np.frombuffer(b"".join(texts), np.uint8)
-    none = np.zeros(0, np.int64)
-    if len(raw) < length:
-        return none, none, none.astype(np.uint64), none.astype(np.uint64)
-    sizes = np.array([len(t) for t in texts])
-    end = np.cumsum(sizes)
-    short, full = ranks(raw, length)
-    to_end = np.repeat(end, sizes) - np.arange(len(raw))
-    short = np.where(to_end[: len(short)] >= SHORT, short, np.uint64(2**64 - 1))
-    width = length - SHORT + 1
-    least = np.where(to_end[: len(full)] >= length, _sliding(short, width, np.minimum), np.uint64(0))
-    edge = np.zeros(width - 1, np.uint64)
-    most = _sliding(np.concatenate([edge, least, edge]), width, np.maximum)
-    place = np.flatnonzero((short == most) & (to_end[: len(short)] >= SHORT))
-    text = np.searchsorted(end, place, side="right")
-    start = end[text] - sizes[text]
-    low, high = np.maximum(start, place - width + 1), np.minimum(end[text] - length, place)
-    around = mixed(_pair(full[low], full[high]) + _A * (place - low).astype(np.uint64) + _B * (high - low).astype(np.uint64))
-    return text, place - start, short[place], around
-
-
-def _packed_texts(docs: DataFrame) -> DataFrame:
-    """Documents by chunk, several in a row: ``(chunk, docs, sizes, bytes, text)``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text", 16 << 20):
-            chunk = np.array(batch.column("chunk").to_pylist(), np.int32)
-            ids, raw = batch.column("doc_id").to_pylist(), utf8(batch.column("text"))
-            rows: list[list] = [[], [], [], [], []]
-            for c in np.unique(chunk).tolist():
-                own = np.flatnonzero(chunk == c).tolist()
-                joined = b"".join([raw[i] for i in own])
-                row = (c, np.array([ids[i] for i in own], "<i8").tobytes(), np.array([len(raw[i]) for i in own], "<i8").tobytes(), len(joined), pa.compress(joined, "zstd", asbytes=True))
-                for column, x in zip(rows, row, strict=True):
-                    column.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(r, t) for r, t in zip(rows, (pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.binary()), strict=True)], ["chunk", "docs", "sizes", "bytes", "text"])
-
-    return docs.mapInArrow(run, "chunk int, docs binary, sizes binary, bytes long, text binary")
-
-
-def _unpacked(table: pa.Table) -> Iterator[tuple[int, bytes]]:
-    for ids, sizes, n, packed in zip(*[table.column(c).to_pylist() for c in ("docs", "sizes", "bytes", "text")], strict=True):
-        joined = pa.decompress(packed, n, "zstd", asbytes=True) if n else b""
-        at = 0
-        for doc, size in zip(np.frombuffer(ids, "<i8").tolist(), np.frombuffer(sizes, "<i8").tolist(), strict=True):
-            yield doc, joined[at : at + size]
-            at += size
-
-
-def _by_chunk(chunks: int, doc: np.ndarray, place: np.ndarray, kind: int) -> pa.Table:
-    """Positions as rows ``(chunk, kind, docs, places)``, several in a row."""
-    chunk = (mixed(doc.astype(np.uint64)) % np.uint64(chunks)).astype(np.int32)
-    order = np.lexsort((place, doc, chunk))
-    chunk, doc, place = chunk[order], doc[order], place[order]
-    start = runs(chunk)
-    cuts = list(zip(start.tolist(), [*start[1:].tolist(), len(chunk)], strict=True)) if len(start) else []
-    return pa.table({"chunk": pa.array(chunk[start]), "kind": pa.array([kind] * len(start), pa.int32()), "docs": pa.array([planes(doc[s:e]) for s, e in cuts], pa.binary()), "places": pa.array([planes(place[s:e]) for s, e in cuts], pa.binary())})
-
-
-def _with_planes(rows: pa.RecordBatch) -> pa.RecordBatch:
-    """The columns ``docs`` and ``places`` of packed rows, made to compress well."""
-    kinds = {"docs": "<i8", "places": "<i4"}
-    return pa.RecordBatch.from_arrays([pa.array([planes(np.frombuffer(x, kinds[c])) for x in rows.column(c).to_pylist()], pa.binary()) if c in kinds else rows.column(c) for c in rows.schema.names], rows.schema.names)
-
-
-_POSITIONS = "chunk int, kind int, docs binary, places binary"
-_REPEATED, _ASKED = 0, 1
-
-
-def _bounds(doc: np.ndarray) -> dict[int, tuple[int, int]]:
-    """Where each document's entries stand in sorted ``doc``."""
-    start = runs(doc)
-    return dict(zip(doc[start].tolist(), zip(start.tolist(), np.r_[start[1:], len(doc)].tolist(), strict=False), strict=False))
-
-
-def _firsts(start: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """The value at the start of each run, for every element."""
-    return np.repeat(values[start], np.diff(np.r_[start, n]))
+    z ^= z >> np.uint64(29)
+    z *= _B
+    z ^= z >> np.uint64(32)
+    return z
+
+
+def lengths(length: int) -> list[int]:
+    """The lengths at which ranks are compared: a power of two, doubled, and ``length`` itself."""
+    if length < 9:
+        raise ValueError("length must be at least 9")
+    out = [min(START, 1 << ((length - 1).bit_length() - 1))]
+    while out[-1] < length:
+        out.append(min(2 * out[-1], length))
+    return out
+
+
+def first_ranks(raw: bytes, length: int) -> np.ndarray:
+    """Ranks of all positions at ``length``, a power of two from 8 on: eight bytes are their own rank, then ranks double."""
+    n = len(raw)
+    if n < length:
+        return np.zeros(0, np.uint64)
+    rank, h = np.ndarray((n - 7,), "<u8", raw, strides=(1,)).copy(), 8
+    while h < length:
+        rank, h = _pair(rank[:-h], rank[h:]), 2 * h
+    return rank
+
+
+class Positions:
+    """The positions of a chunk that are still in question, and their ranks; ``rounds`` are answered one by one."""
+
+    def __init__(self, row: dict, length: int, bits: int, width: int) -> None:
+        self.texts = chunk_texts(row)
+        self.length, self.rounds, self.bits, self.width = length, lengths(length), bits, width
+        self.raw = b"".join(self.texts)
+        n = len(self.raw)
+        self.sizes = np.frombuffer(row["sizes"], "<i8")
+        self.ends = np.cumsum(self.sizes)
+        self.doc = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
+        self.ids = np.array([0 if i is None else i for i in row["ids"]], np.int64)
+        named = np.array([i is not None for i in row["ids"]], bool)
+        self.to_end = np.repeat(np.where(named, self.ends, 0), self.sizes) - np.arange(n)
+        self.rank = first_ranks(self.raw, self.rounds[0])
+        self.at = np.flatnonzero(self.to_end[: len(self.rank)] >= self.rounds[0])
+        self.rank = self.rank[self.at]
+        self.check = None
+        self.round = 0
+        self._group()
+
+    def _group(self) -> None:
+        """Sort the positions by rank: ``order``, where each rank's positions begin, and the distinct ranks."""
+        if self.round == len(self.rounds) - 1:
+            self.order = np.argsort(self.rank)
+            rank, check = self.rank[self.order], self.check[self.order]
+            new = np.r_[True, (rank[1:] != rank[:-1]) | (check[1:] != check[:-1])] if len(rank) else np.zeros(0, bool)
+        else:
+            # Short ranks and places fit into one number together, which sorts fastest.
+            short, place = self.rank >> np.uint64(64 - self.width), np.uint64(len(self.rank).bit_length())
+            if self.width + place <= 64:
+                both = np.sort(short << place | np.arange(len(short), dtype=np.uint64))
+                rank, self.order = both >> place, (both & ((np.uint64(1) << place) - np.uint64(1))).astype(np.int64)
+            else:
+                self.order = np.argsort(short)
+                rank = short[self.order]
+            new = np.r_[True, rank[1:] != rank[:-1]] if len(rank) else np.zeros(0, bool)
+        self.start = np.flatnonzero(new)
+        self.distinct = rank[self.start]
+        self.group = np.cumsum(new) - 1
+
+    def cuts(self) -> np.ndarray:
+        """Where the distinct ranks of each range begin, and the end."""
+        whole = 64 if self.round == len(self.rounds) - 1 else self.width
+        return np.searchsorted(self.distinct >> np.uint64(whole - self.bits), np.arange((1 << self.bits) + 1, dtype=np.uint64))
+
+    def shared_inside(self) -> np.ndarray:
+        """Distinct ranks that several documents of the chunk have."""
+        doc = self.doc[self.at[self.order]]
+        other = np.r_[False, doc[1:] != doc[:-1]] if len(doc) else np.zeros(0, bool)
+        other[self.start] = False
+        return np.bincount(self.group, other, len(self.start)) > 0
+
+    def first_docs(self) -> np.ndarray:
+        """The smallest id that has each distinct rank in the chunk."""
+        ids = self.ids[self.doc[self.at[self.order]]]
+        return np.minimum.reduceat(ids, self.start) if len(ids) else ids
+
+    def answered(self, shared: np.ndarray) -> None:
+        """Drop the positions whose rank is not shared, and rank the pairs of those left at the next length."""
+        keep = np.zeros(len(self.at), bool)
+        keep[self.order] = shared[self.group]
+        dense = np.zeros(len(self.raw) + 1, np.int64)  # place of each position among those kept, from 1
+        at, rank = self.at[keep], self.rank[keep]
+        dense[at] = np.arange(1, len(at) + 1)
+        self.round += 1
+        h = self.rounds[self.round]
+        further = at + (h - self.rounds[self.round - 1])
+        second = dense[np.minimum(further, len(self.raw))]
+        go = (second > 0) & (self.to_end[at] >= h)
+        x, y = rank[go], rank[second[go] - 1]
+        self.at, self.rank = at[go], _pair(x, y)
+        self.check = ((x ^ (y * _C)) * _A >> np.uint64(32)).astype(np.uint32)
+        self._group()
+
+    def repeated(self, earlier: np.ndarray) -> np.ndarray:
+        """Positions whose string also starts in a document of smaller id, given which distinct ranks have one in a chunk before."""
+        own = self.ids[self.doc[self.at[self.order]]]
+        return self.at[self.order[earlier[self.group] | (own > self.first_docs()[self.group])]]
+
+
+_ASKS = "range int, chunk long, n long, keys binary, rest binary"
+_ANSWERS = "chunk long, round int, range int, n long, bits binary"
+
+
+def _ask(positions: Positions, chunk: int) -> pa.Table:
+    """The distinct ranks of a round by range: sorted steps between them, and whether several documents have them or, in the last round, the rest of the rank."""
+    cuts = positions.cuts()
+    some = np.flatnonzero(np.diff(cuts)).tolist()
+    spans = [(int(cuts[r]), int(cuts[r + 1])) for r in some]
+    last = positions.round == len(positions.rounds) - 1
+    steps = np.diff(positions.distinct, prepend=np.uint64(0))
+    for s, _ in spans:
+        steps[s] = positions.distinct[s]
+    if last:
+        rest = positions.check[positions.order[positions.start]]
+        more = [squeezed(rest[s:e]) for s, e in spans]
+    else:
+        several = positions.shared_inside()
+        more = [np.packbits(several[s:e]).tobytes() for s, e in spans]
+    columns = [pa.array(some, pa.int32()), pa.array([chunk] * len(some), pa.int64()), pa.array([e - s for s, e in spans], pa.int64()), pa.array([squeezed(steps[s:e]) for s, e in spans], pa.binary())]
+    return pa.Table.from_arrays([*columns, pa.array(more, pa.binary())], ["range", "chunk", "n", "keys", "rest"])
+
+
+def _answer(round_: int, last: bool):
+    """For the ranks of one range: a bit for each that tells whether other documents have it too; in the last round, documents of a chunk before."""
+
+    def run(table: pa.Table) -> pa.Table:
+        n = table.column("n").to_pylist()
+        keys = np.concatenate([np.cumsum(unsqueezed(x, k, "<u8"), dtype=np.uint64) for x, k in zip(table.column("keys").to_pylist(), n, strict=True)])
+        packed = table.column("rest").to_pylist()
+        if last:
+            rest = np.concatenate([unsqueezed(x, k, "<u4") for x, k in zip(packed, n, strict=True)])
+            chunk = np.repeat(table.column("chunk").to_numpy(), n)
+            order = np.argsort(keys)
+            same = keys[order[1:]] == keys[order[:-1]]
+            if (same & (rest[order[1:]] != rest[order[:-1]])).any():
+                order = np.lexsort((rest, keys))
+            new = np.r_[True, (keys[order[1:]] != keys[order[:-1]]) | (rest[order[1:]] != rest[order[:-1]])]
+            start = np.flatnonzero(new)
+            least = np.minimum.reduceat(chunk[order], start)
+            bits = np.empty(len(keys), bool)
+            bits[order] = chunk[order] > least[np.cumsum(new) - 1]
+        else:
+            several = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=k) for x, k in zip(packed, n, strict=True)]).astype(bool)
+            order = np.argsort(keys)
+            new = np.r_[True, keys[order[1:]] != keys[order[:-1]]]
+            group = np.cumsum(new) - 1
+            shared = np.bincount(group, 1 + several[order]) > 1
+            bits = np.empty(len(keys), bool)
+            bits[order] = shared[group]
+        cuts = np.cumsum([0, *n]).tolist()
+        answers = [pa.compress(np.packbits(bits[s:e]).tobytes(), "zstd", asbytes=True) for s, e in zip(cuts[:-1], cuts[1:], strict=True)]
+        return pa.table({"chunk": table.column("chunk"), "round": pa.array([round_] * len(n), pa.int32()), "range": table.column("range"), "n": table.column("n"), "bits": pa.array(answers, pa.binary())})
+
+    return run
+
+
+def _bits(answers: pa.Table, round_: int) -> np.ndarray:
+    """The answers of a round in the order of the distinct ranks."""
+    rows = sorted((r, n, b) for k, r, n, b in zip(*[answers.column(c).to_pylist() for c in ("round", "range", "n", "bits")], strict=True) if k == round_)
+    return np.concatenate([np.zeros(0, bool), *[np.unpackbits(np.frombuffer(pa.decompress(b, -(-n // 8), "zstd", asbytes=True), np.uint8), count=n).astype(bool) for _, n, b in rows]])
+
+
+def _cut(positions: Positions, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """(bytes removed, maximal removed runs, what is left) of each text, without the ``length`` bytes from each position ``at`` on."""
+    n, docs = len(positions.raw), len(positions.sizes)
+    mark = np.zeros(n + 1, np.int32)
+    mark[at] = 1
+    mark[: n + 1] -= np.bincount(at + length, minlength=n + 1)[: n + 1].astype(np.int32)
+    gone = np.cumsum(mark[:n]) > 0
+    begins = gone & ~np.r_[False, gone[:-1]] if n else gone
+    first = (positions.ends - positions.sizes)[positions.sizes > 0]
+    begins[first] = gone[first]
+    removed, spans = np.bincount(positions.doc, gone, docs), np.bincount(positions.doc, begins, docs)
+    left = np.frombuffer(positions.raw, np.uint8)[~gone].tobytes()
+    ends = np.cumsum(positions.sizes - removed).astype(np.int64).tolist()
+    return removed.astype(np.int64), spans.astype(np.int64), [left[s:e] for s, e in zip([0, *ends], ends, strict=False)]
 
 
 def drop_repeats(df: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -148,128 +224,68 @@ def drop_repeats(df: DataFrame, length: int = 50, id_col: str = "doc_id", text_c
     Removed is each byte that a ``length``-byte string covers which also starts in a document of
     smaller id; strings are judged on the input. ``n_spans`` counts maximal removed runs, ``kept`` holds
     the other bytes. Null text reads as empty; texts shorter than ``length`` keep everything. A
-    null id is not compared and keeps everything. Rows that repeat an id are one document: equal
-    texts get equal results, different ones get each other's removals too. Other columns play no part.
-    Ids are whole numbers; ``length`` is 32 at least.
+    null id is not compared and keeps everything. Rows that repeat an id are one document: they never count as earlier than
+    each other, and equal texts get equal results. An empty table gives no rows. Other columns play no part.
+    Ids are whole numbers; ``length`` is 9 at least. A task holds some 60 bytes for each byte of a chunk, or of one text that is longer.
     """
-    if length < 2 * SHORT:
-        raise ValueError(f"length must be at least {2 * SHORT}")
-    bits, width = range_bits(df), length - SHORT + 1
-    # Windows go from every chunk to every range: both are fewer and larger than the ranges of the first step.
-    later_bits = max(1, bits - 1)
-    chunks = 1 << later_bits
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    named = docs.filter("doc_id IS NOT NULL")
+    rounds = lengths(length)
+    docs = df.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).alias(text_col))
+    # A text that stands as a whole in a document of smaller id has nothing to ask, and nothing to tell that the other does not.
+    whole = docs.select(F.col(id_col).alias("_id"), F.md5(text_col).alias("_digest")).filter("_id IS NOT NULL AND _digest IS NOT NULL")
+    least = whole.groupBy("_digest").agg(F.min("_id").alias("_least"), F.max("_id").alias("_most")).filter("_least < _most").select("_digest", "_least")
+    copies = written(whole.join(least, "_digest").filter("_id > _least").select("_id", "_digest").distinct(), "copies")
+    marked = docs.join(broadcast_if_small(copies).withColumn("_copy", F.lit(True)), (F.col(id_col) == F.col("_id")) & (F.md5(text_col) == F.col("_digest")), "left").select(id_col, text_col, "_copy")
+    chunks = chunked(marked.filter("_copy IS NULL"), id_col, text_col, max_bytes=_CHUNK, by_id=True)
+    size = chunks.agg(F.sum("bytes")).first()[0] or 0
+    bits = range_bits(df, size)
+    width = min(56, max(bits + 16, size.bit_length() + 3))  # an eighth of the ranks looks shared by chance at most
+
+    def ready(row: dict, answers: pa.Table | None = None, rounds_: int = 0) -> Positions:
+        positions = Positions(row, length, bits, width)
+        for i in range(rounds_):
+            positions.answered(_bits(answers, i))
+        return positions
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text", 2 << 20):
-            ids = np.array(batch.column("doc_id").to_pylist(), np.int64)
-            text, place, key, around = anchors(utf8(batch.column("text")), length)
-            yield _with_planes(pack_ranges(bits, key, around=around, docs=ids[text], places=place.astype(np.int32)))
-
-    def decide(table: pa.Table) -> pa.Table:
-        key, around = unpack(table.column("keys"), "<u4"), unpack(table.column("around"), "<u8")
-        doc, place = from_planes(table.column("docs"), "<i8"), from_planes(table.column("places"), "<i4")
-        order = np.lexsort((doc, key))
-        key, around, doc, place = key[order], around[order], doc[order], place[order]
-        start = runs(key)
-        n = len(key)
-        earliest = _firsts(start, doc, n)
-        last = np.repeat(doc[np.r_[start[1:], n] - 1], np.diff(np.r_[start, n])) if n else doc
-        go = earliest < last
-        key, around, doc, place, earliest = key[go], around[go], doc[go], place[go], earliest[go]
-        order = np.lexsort((place, doc, around, key))
-        key, around, doc, place, earliest = key[order], around[order], doc[order], place[order], earliest[order]
-        n = len(key)
-        same = runs(key, around)
-        first_doc = _firsts(same, doc, n)
-        repeated = doc > first_doc
-        open_ = ~repeated & (first_doc > earliest)
-        start = runs(key)
-        asked_key = np.repeat(np.logical_or.reduceat(open_, start), np.diff(np.r_[start, n])) if n else open_
-        source = np.zeros(n, bool)
-        source[same] = True
-        asked = asked_key & (open_ | source)
-        return pa.concat_tables([_by_chunk(chunks, doc[repeated], place[repeated], _REPEATED), _by_chunk(chunks, doc[asked], place[asked], _ASKED)])
-
-    positions = named.mapInArrow(first, "range int, keys binary, around binary, docs binary, places binary").groupBy("range").applyInArrow(decide, _POSITIONS)
-    positions = written(positions, "positions")
-
-    def in_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = np.array(batch.column("doc_id").to_pylist(), np.int64)
-            chunk = (mixed(ids.astype(np.uint64)) % np.uint64(chunks)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(chunk)], ["doc_id", "text", "chunk"])
-
-    texts = _packed_texts(named.mapInArrow(in_chunk, "doc_id long, text string, chunk int"))
-
-    def asked_windows(texts: pa.Table, asked: pa.Table) -> pa.Table:
-        doc, place = from_planes(asked.column("docs"), "<i8"), from_planes(asked.column("places"), "<i4")
-        order = np.argsort(doc, kind="stable")
-        doc, place = doc[order], place[order].astype(np.int64)
-        bounds = _bounds(doc)
-        keys, owners, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
-        for d, text in _unpacked(texts):
-            if d not in bounds or len(text) < length:
-                continue
-            p = place[slice(*bounds[d])]
-            mark = np.zeros(len(text) + 2, np.int64)
-            np.add.at(mark, np.clip(p - width + 1, 0, len(text) - length), 1)
-            np.add.at(mark, np.clip(p, 0, len(text) - length) + 1, -1)
-            windows = np.flatnonzero(np.cumsum(mark) > 0)
-            keys.append(ranks(np.frombuffer(text, np.uint8), length)[1][windows])
-            owners.append(np.full(len(windows), d))
-            places.append(windows.astype(np.int32))
-        key = np.concatenate(keys)
-        packed = pack_ranges(later_bits, key, full=key, docs=np.concatenate(owners), places=np.concatenate(places))
-        return pa.Table.from_batches([_with_planes(packed)]).drop_columns("keys")
-
-    def later(table: pa.Table) -> pa.Table:
-        key, doc, place = unpack(table.column("full"), "<u8"), from_planes(table.column("docs"), "<i8"), from_planes(table.column("places"), "<i4")
-        order = np.lexsort((doc, key))
-        key, doc, place = key[order], doc[order], place[order]
-        repeated = doc > _firsts(runs(key), doc, len(key)) if len(key) else np.zeros(0, bool)
-        return _by_chunk(chunks, doc[repeated], place[repeated], _ASKED)
-
-    asked = positions.filter(f"kind = {_ASKED}")
-    windows = texts.groupBy("chunk").cogroup(asked.groupBy("chunk")).applyInArrow(asked_windows, "range int, full binary, docs binary, places binary")
-    windows = windows.groupBy("range").applyInArrow(later, _POSITIONS)
-    marks = positions.filter(f"kind = {_REPEATED}").unionByName(windows)
-
-    def cut(texts: pa.Table, marks: pa.Table) -> pa.Table:
-        doc, place = [np.zeros(0, np.int64)], [np.zeros((0, 2), np.int64)]
-        for kind, reach in ((_REPEATED, (1 - width, length)), (_ASKED, (0, length))):
-            own = marks.filter(pc.equal(marks.column("kind"), kind))
-            doc.append(from_planes(own.column("docs"), "<i8"))
-            p = from_planes(own.column("places"), "<i4").astype(np.int64)
-            place.append(np.stack([p + reach[0], p + reach[1]], 1))
-        doc, place = np.concatenate(doc), np.concatenate(place)
-        order = np.argsort(doc, kind="stable")
-        doc, place = doc[order], place[order]
-        bounds = _bounds(doc)
-        rows: list[list] = [[], [], [], [], []]
-        for d, text in _unpacked(texts):
-            removed = spans = 0
-            kept = text
-            if d in bounds:
-                span = np.clip(place[slice(*bounds[d])], 0, len(text))
-                mark = np.zeros(len(text) + 1, np.int64)
-                np.add.at(mark, span[:, 0], 1)
-                np.add.at(mark, span[:, 1], -1)
-                gone = np.cumsum(mark)[:-1] > 0
-                removed, spans = int(gone.sum()), int((gone & ~np.r_[False, gone[:-1]]).sum()) if len(gone) else 0
-                kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
-            for column, x in zip(rows, (d, len(text), removed, spans, kept), strict=True):
-                column.append(x)
-        return pa.table([pa.array(r, t) for r, t in zip(rows, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
-
-    done = texts.groupBy("chunk").cogroup(marks.groupBy("chunk")).applyInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
-    whole = F.coalesce(F.encode("text", "UTF-8"), F.lit(b""))
-    zero = F.lit(0).cast("long")
-    unnamed = docs.filter("doc_id IS NULL").select("doc_id", F.length(whole).cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), whole.alias("kept"))
-    return done.unionByName(unnamed).withColumnRenamed("doc_id", id_col)
+            for row in batch.to_pylist():
+                yield from _ask(ready(row), row["chunk"]).to_batches()
+
+    def later(k: int):
+        def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
+            row = rows.to_pylist()[0]
+            return _ask(ready(row, answers, k), row["chunk"])
+
+        return run
+
+    parts: list[DataFrame] = []
+    for k in range(len(rounds)):
+        asks = chunks.groupBy("chunk").cogroup(_union(parts).groupBy("chunk")).applyInArrow(later(k), _ASKS) if k else chunks.mapInArrow(first, _ASKS)
+        parts.append(written(asks.groupBy("range").applyInArrow(_answer(k, k == len(rounds) - 1), _ANSWERS), "answers"))
+
+    schema = T.StructType([T.StructField(id_col, T.LongType()), *[T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")], T.StructField("kept", T.BinaryType())])
+
+    def cut(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        row = rows.to_pylist()[0]
+        positions = ready(row, answers, len(rounds) - 1)
+        removed, spans, kept = _cut(positions, positions.repeated(_bits(answers, len(rounds) - 1)), length)
+        return pa.Table.from_arrays([rows.column("ids").combine_chunks().flatten(), pa.array(positions.sizes), pa.array(removed), pa.array(spans), pa.array(kept, pa.binary())], schema.names)
+
+    done = chunks.groupBy("chunk").cogroup(_union(parts).groupBy("chunk")).applyInArrow(cut, schema)
+    n, long = F.octet_length(text_col).cast("long"), F.octet_length(text_col) >= length
+    zero, none = F.lit(0).cast("long"), F.lit(b"")
+    removed = marked.filter("_copy").select(id_col, n.alias("n_bytes"), F.when(long, n).otherwise(zero).alias("n_removed"), F.when(long, 1).otherwise(0).cast("long").alias("n_spans"), F.when(long, none).otherwise(F.encode(text_col, "UTF-8")).alias("kept"))
+    return done.unionByName(removed)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def op7_suffix_dedup(spark, sf_dir: str) -> DataFrame:
+    """The contract's columns for every document, at 50 bytes; edge rows as in :func:`drop_repeats`."""
     out = drop_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
