@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ._shared import small_batches
+from ._shared import bounded, small_batches
 
 #: Pieces that a worker remembers, and the longest that it remembers; others are encoded anew each time.
 _REMEMBERED, _LONGEST = 400_000, 64
@@ -112,7 +112,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
                 arrays.append(pa.array([[{"start": s, "end": e} for s, e in own.offsets(t, i)] for t, i in zip(texts, ids, strict=True)], span))
             yield pa.RecordBatch.from_arrays(arrays, [f.name for f in fields])
 
-    return df.select(id_col, text_col).mapInArrow(run, T.StructType(fields))
+    return bounded(df).select(id_col, text_col).mapInArrow(run, T.StructType(fields))
 
 
 def decode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -128,7 +128,7 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
             raw = [own.decode(np.array(i or [], "<u4").tobytes()) for i in batch.column(ids_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(raw, pa.binary()), pa.array([r.decode(errors="replace") for r in raw], pa.string())], schema.names)
 
-    return df.select(id_col, ids_col).mapInArrow(run, schema)
+    return bounded(df).select(id_col, ids_col).mapInArrow(run, schema)
 
 
 def digests(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -141,10 +141,11 @@ def digests(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id"
             ids = own.encode([t or "" for t in batch.column(text_col).to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array([hashlib.sha256(i).hexdigest() for i in ids]), pa.array([hashlib.sha256(own.decode(i)).hexdigest() for i in ids])], schema.names)
 
-    return df.select(id_col, text_col).mapInArrow(run, schema)
+    return bounded(df).select(id_col, text_col).mapInArrow(run, schema)
 
 
 def op10_byte_bpe(spark, sf_dir: str) -> DataFrame:
+    """The contract's columns for every document: each match of the pattern is encoded by itself, the ids are decoded again. Null reads as empty; repeated rows stay repeated; an empty table gives no rows."""
     import public_tokenizers
 
     return digests(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import crc32_mod, small_batches, utf8
+from ._shared import bounded, crc32_mod, small_batches, utf8
 
 #: Hashed trigrams: the model has this many numbers for each language, whatever the size of the corpus.
 BUCKETS = 1 << 15
@@ -137,7 +137,7 @@ def predict(df: DataFrame, langs: list[str], model: np.ndarray, id_col: str = "d
             arrays = [pa.array(x, t) for x, t in zip(out, (pa.string(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.float64()), pa.float64()), strict=True)]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *arrays], schema.names)
 
-    return df.mapInArrow(run, schema)
+    return bounded(df).mapInArrow(run, schema)
 
 
 def held_out(id_col: str = "doc_id"):

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import small_batches
+from ._shared import bounded, small_batches
 
 BASE = ("email", "ip", "card", "phone")
 EXTRA = ("iban", "ssn", "secret")
@@ -187,7 +187,7 @@ def find_pii(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             spans = [[dict(zip(("kind", "start", "end", "score"), s, strict=True)) for s in find_spans(t or "")] for t in batch.column(text_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(spans, kind)], [id_col, "spans"])
 
-    return df.select(id_col, text_col).mapInArrow(run, schema)
+    return bounded(df).select(id_col, text_col).mapInArrow(run, schema)
 
 
 def redact(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -199,7 +199,7 @@ def redact(df: DataFrame, text_col: str = "text") -> DataFrame:
             texts = [t and redact_text(t, find_spans(t)) for t in batch.column(text_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == text_col else batch.column(n) for n in names], names)
 
-    return df.mapInArrow(run, df.schema)
+    return bounded(df).mapInArrow(run, df.schema)
 
 
 def _joined(spans):
