@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ._shared import small_batches, utf8
+from ._shared import bounded, small_batches, utf8
 
 # Fixed values of the public VP8L bitstream specification.
 _LENGTH_ORDER = (17, 18, 0, 1, 2, 3, 4, 5, 16, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15)
@@ -438,7 +438,10 @@ class _Writer:
         for s in range(0, len(values), 1 << 16):
             v, n = values[s : s + (1 << 16)], sizes[s : s + (1 << 16)]
             place = np.arange(int(n.max()))
-            bits = np.r_[rest, (v[:, None] >> place & 1).astype(np.uint8)[place < n[:, None]]]
+            bits = (v[:, None] >> place & 1).astype(np.uint8)[place < n[:, None]]
+            if len(values) <= 1 << 16:
+                return np.packbits(bits, bitorder="little").tobytes()
+            bits = np.r_[rest, bits]
             whole = len(bits) & ~7
             out.append(np.packbits(bits[:whole], bitorder="little").tobytes())
             rest = bits[whole:]
@@ -459,9 +462,9 @@ def _copies(data: bytes) -> list[tuple[int, int, int]]:
     return out
 
 
-def _bits_needed(symbols: np.ndarray) -> float:
-    n = np.bincount(symbols.ravel(), minlength=256)
-    n = n[n > 0]
+def _bits_needed(counts: np.ndarray) -> float:
+    """Bits of symbols that occur so often, each by its share."""
+    n = counts[counts > 0]
     return float(n.sum() * np.log2(n.sum()) - (n * np.log2(n)).sum())
 
 
@@ -481,7 +484,8 @@ def encode_grey(samples: bytes, width: int = _ROW) -> bytes:
     height = len(raw) // width
     out = _Writer()
     out.put((0x2F, 8), (width - 1, 14), (height - 1, 14), (0, 1), (0, 3))
-    values = np.flatnonzero(np.bincount(raw, minlength=256))
+    plain = np.bincount(raw, minlength=256)
+    values = np.flatnonzero(plain)
     symbols, copies, opaque = raw, [], 255
     if len(values) <= 16:
         n = len(values)
@@ -499,10 +503,12 @@ def encode_grey(samples: bytes, width: int = _ROW) -> bytes:
         symbols = (index << (np.arange(1 << bundle) * (8 >> bundle))).sum(1)
     else:
         out.put((1, 1), (_SUBTRACT_GREEN, 2))
-        guesses = _residuals(raw.reshape(height, width))
-        need = {mode: _bits_needed(x) for mode, x in guesses.items()}
-        mode = min(need, key=need.get)
-        if need[mode] < 0.95 * _bits_needed(raw):
+        whole = _bits_needed(plain)
+        # Under six bits a sample, as in prose, neighbours say little; then it is not tried.
+        guesses = _residuals(raw.reshape(height, width)) if whole > 6 * len(raw) else {}
+        need = {mode: _bits_needed(np.bincount(x.ravel(), minlength=256)) for mode, x in guesses.items()}
+        mode = min(need, key=need.get, default=0)
+        if need and need[mode] < 0.95 * whole:
             # One mode for all blocks: an image of modes that takes no bits for its pixels.
             out.put((1, 1), (_PREDICTOR, 2), (7, 3), (0, 1))
             for always in (mode, 0, 0, 255, 0):
@@ -588,7 +594,7 @@ def store_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             media = [encode_payload(b.ljust(payload_size(len(b)), b"\0")) for b in raw]
             yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array([len(b) for b in raw], pa.int64()), pa.array(media, pa.binary())], schema.names)
 
-    return df.select(id_col, text_col).mapInArrow(run, schema)
+    return bounded(df).select(id_col, text_col).mapInArrow(run, schema)
 
 
 def read_pixels(df: DataFrame, media_col: str = "media", id_col: str = "doc_id") -> DataFrame:
@@ -609,7 +615,7 @@ def read_pixels(df: DataFrame, media_col: str = "media", id_col: str = "doc_id")
                     yield pa.RecordBatch.from_arrays([batch.column(id_col).slice(row, 1), pa.array([frame], pa.int32()), pa.array([h], pa.int32()), pa.array([w], pa.int32()), pa.array([image.tobytes()], pa.binary())], schema.names)
                     at, frame = end, frame + 1
 
-    return df.select(id_col, media_col).mapInArrow(run, schema)
+    return bounded(df).select(id_col, media_col).mapInArrow(run, schema)
 
 
 def media_digests(df: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
@@ -629,7 +635,7 @@ def media_digests(df: DataFrame, id_col: str = "doc_id", media_col: str = "media
                 schema.names,
             )
 
-    return df.select(id_col, "n_bytes", media_col).mapInArrow(run, schema)
+    return bounded(df).select(id_col, "n_bytes", media_col).mapInArrow(run, schema)
 
 
 def op3_webp(spark, sf_dir: str) -> DataFrame:
