@@ -249,10 +249,11 @@ def slides_with_masks(spark, sf):
     return have.select("id", F.lit(True).alias("complete")).unionByName(lack.select("id", F.lit(False).alias("complete")))
 
 
-@query(f"SELECT {KEY} FROM tiles WHERE slide_id IN (SELECT slide_id FROM tissue GROUP BY slide_id HAVING avg(roi_tissue_coverage) > 0.5)", "tiles", "tissue")
+@query(f"SELECT {KEY} FROM tiles WHERE slide_id IN (SELECT slide_id FROM tissue GROUP BY slide_id HAVING avg(roi_tissue_coverage) > (SELECT avg(roi_tissue_coverage) FROM tissue))", "tiles", "tissue")
 def select_slides(spark, sf):
     t, tissue = _t(spark, sf, "tiles", "tissue")
-    chosen = tissue.groupBy("slide_id").agg(F.avg("roi_tissue_coverage").alias("mean")).filter("mean > 0.5")
+    all_of = tissue.agg(F.avg("roi_tissue_coverage").alias("of_all"))
+    chosen = tissue.groupBy("slide_id").agg(F.avg("roi_tissue_coverage").alias("mean")).join(F.broadcast(all_of)).filter("mean > of_all")
     return tiles.select_slides(t, chosen).select("slide_id", "x", "y")
 
 
@@ -464,6 +465,11 @@ def fold_size_cv(spark, sf):
     return folds.fold_size_cv(_folded(spark, sf))
 
 
+@query(f"{FOLDS}, r AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY label) < 3000 THEN 'background' ELSE label END AS stratify_label FROM f) SELECT g AS fold, " + ", ".join(f"count(*) FILTER (WHERE stratify_label = '{c}') AS \"{c}\"" for c in [*CLASSES, "background"]) + " FROM r GROUP BY g", "tiles")
+def fold_stratifying_distribution(spark, sf):
+    return folds.fold_label_distribution(folds.collapse_rare_labels(_folded(spark, sf), 3000), [*CLASSES, "background"], "stratify_label")
+
+
 @query(f"{FOLDS} SELECT g AS fold, " + ", ".join(f"count(*) FILTER (WHERE label = '{c}') AS \"{c}\"" for c in [*CLASSES, "background"]) + " FROM f GROUP BY g", "tiles")
 def fold_label_distribution(spark, sf):
     return folds.fold_label_distribution(_folded(spark, sf), [*CLASSES, "background"])
