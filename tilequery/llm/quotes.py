@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._shared import written
+from ._shared import broadcast_if_small, written
 
 _MARKS = r"^(?:[ \t]?>)+[ \t]?"
 _HAS_QUOTE = r"(?:^|\n)[ \t]?>"
@@ -71,19 +71,21 @@ def _latest_before(quoted: DataFrame, originals: DataFrame) -> DataFrame:
     return out.filter("in_turn IS NOT NULL")
 
 
-def _with_reply(out: DataFrame) -> DataFrame:
-    """``reply``: the place in the thread by depth, conversation and turn. Rows are ranked in parts of a depth, the parts by their sizes."""
+def _replies(keys: DataFrame) -> DataFrame:
+    """``(row, reply)``, written, of the rows that are not the first of their thread: the place by depth, conversation and turn.
+
+    ``keys`` is ``(row, conv_id, turn, thread_conv, thread_turn, depth)``, without texts. Rows are ranked in parts of a depth, the parts by their sizes.
+    """
     alone = F.when(F.col("conv_id").isNull() | F.col("turn").isNull(), F.col("row"))
-    out = out.withColumn("_alone", F.coalesce(alone, F.lit(-1)))
-    thread = ["thread_conv", "thread_turn", "_alone"]
-    out = out.withColumn("_part", F.shiftright("conv_id", _CONVERSATIONS))
-    key = [*thread, "depth", "_part"]
-    ranked = out.withColumn("_rank", F.row_number().over(W.partitionBy(*key).orderBy("conv_id", "turn", "row")))
-    sizes = out.groupBy(*key).agg(F.count("*").alias("_n"))
-    offsets = sizes.select(*[F.col(k).alias(f"o{k}") for k in key], (F.sum("_n").over(W.partitionBy(*thread).orderBy("depth", "_part")) - F.col("_n")).alias("_offset"))
-    same = [F.col(k).eqNullSafe(F.col(f"o{k}")) for k in key]
-    joined = ranked.join(offsets, same).withColumn("reply", (F.col("_offset") + F.col("_rank") - 1).cast("long"))
-    return joined.drop("_alone", "_part", "_rank", "_offset", *[f"o{k}" for k in key])
+    keys = keys.withColumn("alone", F.coalesce(alone, F.lit(-1))).withColumn("part", F.shiftright("conv_id", _CONVERSATIONS))
+    thread = ["thread_conv", "thread_turn", "alone"]
+    key = [*thread, "depth", "part"]
+    ranked = keys.withColumn("rank", F.row_number().over(W.partitionBy(*key).orderBy("conv_id", "turn", "row")))
+    sizes = keys.groupBy(*key).agg(F.count("*").alias("n"))
+    before = (F.sum("n").over(W.partitionBy(*thread).orderBy("depth", "part")) - F.col("n")).alias("before")
+    offsets = sizes.select(*[F.col(k).alias(f"o_{k}") for k in key], before)
+    joined = ranked.join(offsets, [F.col(k).eqNullSafe(F.col(f"o_{k}")) for k in key])
+    return written(joined.select("row", (F.col("before") + F.col("rank") - 1).cast("long").alias("reply")).filter("reply > 0"), "replies")
 
 
 def _climb(up: DataFrame) -> tuple[DataFrame, int]:
@@ -167,7 +169,10 @@ def link_quotes(df: DataFrame) -> DataFrame:
         at, _ = _climb(written(up.join(cut.select("conv_id", "turn"), ["conv_id", "turn"], "left_anti"), "up"))
     ends = at.select(F.col("conv_id").alias("e_conv"), F.col("turn").alias("e_turn"), "to_conv", "to_turn", "steps")
 
-    out = messages.join(per, "row", "left").join(ends, (F.col("conv_id") == F.col("e_conv")) & (F.col("turn") == F.col("e_turn")), "left")
+    placed = (F.col("conv_id") == F.col("e_conv")) & (F.col("turn") == F.col("e_turn"))
+    thread = [F.coalesce("to_conv", "conv_id").alias("thread_conv"), F.coalesce("to_turn", "turn").alias("thread_turn"), F.coalesce("steps", F.lit(0)).cast("long").alias("depth")]
+    replies = _replies(messages.select("row", "conv_id", "turn").join(ends, placed, "left").select("row", "conv_id", "turn", *thread))
+    out = messages.join(per, "row", "left").join(ends, placed, "left").join(broadcast_if_small(replies), "row", "left")
     lines = F.split("text", "\n")
 
     def quote(line: Column) -> Column:
@@ -183,11 +188,10 @@ def link_quotes(df: DataFrame) -> DataFrame:
         return in_code | ~(quote(line) | attributes(line, i))
 
     body = F.when(F.col("text").rlike(_HAS_QUOTE), F.array_join(F.filter(lines, stays), "\n")).otherwise(F.col("text"))
-    out = out.select(
-        "row", "conv_id", "turn", "role", body.alias("body"), F.coalesce("n_quotes", F.lit(0)).cast("long").alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"),
-        "parent_conv", "parent_turn", F.coalesce("to_conv", "conv_id").alias("thread_conv"), F.coalesce("to_turn", "turn").alias("thread_turn"), F.coalesce("steps", F.lit(0)).cast("long").alias("depth"),
+    return out.select(
+        "conv_id", "turn", "role", body.alias("body"), F.coalesce("n_quotes", F.lit(0)).cast("long").alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"),
+        "parent_conv", "parent_turn", *thread, F.coalesce("reply", F.lit(0)).cast("long").alias("reply"),
     )
-    return _with_reply(out).drop("row")
 
 
 def op6_quotes(spark, sf_dir: str) -> DataFrame:
