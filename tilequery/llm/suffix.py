@@ -7,8 +7,9 @@ document has are dropped, and the next round ranks the pairs of what is left, up
 
 Texts are packed into chunks in the order of their ids, so that chunks compare as their documents do. A chunk sends its distinct
 ranks, sorted, to their ranges, and gets a bit for each of them back. Rounds before the last only drop positions, so short ranks do: two ranks that look the same
-keep a position too long and lose nothing. The last round decides: there a rank is 96 bits, which two different strings of a
-petabyte share with a chance of less than one in a thousand.
+keep a position too long and lose nothing. The last round decides: there a rank of 64 bits goes with 48 bits of a second hash, which is
+taken from the string's bytes and not from ranks. Bytes are spread before the first pair is ranked, so strings that differ in a few bytes are no likelier to
+look the same than others: 1e15 strings hold a pair that does with a chance of 1e-4.
 """
 
 from __future__ import annotations
@@ -21,15 +22,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import broadcast_if_small, chunk_texts, chunked, range_bits, squeezed, unsqueezed, written
+from ._shared import broadcast_if_small, chunk_texts, chunked, mixed, range_bits, squeezed, unsqueezed, written
 
 #: Bytes of the first rank that leaves a task, where ``length`` allows.
 START = 32
 _CHUNK = 2 << 20
-_A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
+_A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
 def _pair(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Rank of a pair of ranks, which must be spread over 64 bits: of plain bytes, two differences could cancel."""
     z = x * _A + y
     z ^= z >> np.uint64(29)
     z *= _B
@@ -48,16 +50,26 @@ def lengths(length: int) -> list[int]:
 
 
 def first_ranks(raw: bytes, length: int) -> np.ndarray:
-    """Ranks of all positions at ``length``, a power of two from 8 on: eight bytes are their own rank, then ranks double."""
+    """Ranks of all positions at ``length``, a power of two from 8 on: eight bytes are their own rank, spread one to one, then ranks double."""
     n = len(raw)
     if n < length:
         return np.zeros(0, np.uint64)
-    rank, h = np.ndarray((n - 7,), "<u8", raw, strides=(1,)).copy(), 8
+    rank, h = mixed(np.ndarray((n - 7,), "<u8", raw, strides=(1,))), 8
     while h < length:
         rank, h = _pair(rank[:-h], rank[h:]), 2 * h
     return rank
 
 
+def second_hash(raw: bytes, at: np.ndarray, length: int) -> np.ndarray:
+    """48 bits of the ``length`` bytes from each position on, eight at a time; no ranks go into it."""
+    out = np.full(len(at), length, np.uint64)
+    if len(at):
+        words = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))
+        for offset in [*range(0, length - 8, 8), length - 8]:
+            out = mixed((out ^ words[at + offset]) + _C)
+    return out >> np.uint64(16)
+
+
 class Positions:
     """The positions of a chunk that are still in question, and their ranks; ``rounds`` are answered one by one."""
 
@@ -128,9 +140,9 @@ class Positions:
         further = at + (h - self.rounds[self.round - 1])
         second = dense[np.minimum(further, len(self.raw))]
         go = (second > 0) & (self.to_end[at] >= h)
-        x, y = rank[go], rank[second[go] - 1]
-        self.at, self.rank = at[go], _pair(x, y)
-        self.check = ((x ^ (y * _C)) * _A >> np.uint64(32)).astype(np.uint32)
+        self.at, self.rank = at[go], _pair(rank[go], rank[second[go] - 1])
+        if self.round == len(self.rounds) - 1:
+            self.check = second_hash(self.raw, self.at, self.length)
         self._group()
 
     def repeated(self, earlier: np.ndarray) -> np.ndarray:
@@ -170,7 +182,7 @@ def _answer(round_: int, last: bool):
         keys = np.concatenate([np.cumsum(unsqueezed(x, k, "<u8"), dtype=np.uint64) for x, k in zip(table.column("keys").to_pylist(), n, strict=True)])
         packed = table.column("rest").to_pylist()
         if last:
-            rest = np.concatenate([unsqueezed(x, k, "<u4") for x, k in zip(packed, n, strict=True)])
+            rest = np.concatenate([unsqueezed(x, k, "<u8") for x, k in zip(packed, n, strict=True)])
             chunk = np.repeat(table.column("chunk").to_numpy(), n)
             order = np.argsort(keys)
             same = keys[order[1:]] == keys[order[:-1]]
