@@ -39,7 +39,7 @@ def first_centroids(vectors: DataFrame, id_col: str, k: int, seed: int) -> np.nd
     """The ``k`` vectors of smallest sha256 of ``seed:id`` (ties by components; a null id reads as empty); fewer where there are fewer."""
     order = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))), 256)
     rows = vectors.select(order.alias("_order"), "v").orderBy("_order", "v").limit(k).collect()
-    return np.array([r.v for r in rows], np.int64).reshape(len(rows), -1)
+    return np.array([r.v for r in rows], np.int64)
 
 
 def approach(old: np.ndarray, new: np.ndarray, radius: np.ndarray) -> np.ndarray:
