@@ -100,55 +100,69 @@ def test_polygon_with_hole(spark):
     assert cells.filter("value = 0").count() == 12 and cells.filter("value = 255").count() == 4
 
 
-def clipped(ring, left, top, right, bottom):
-    """Area of a ring in a rectangle, by cutting off one half-plane after the other."""
-    for axis, bound, sign in ((0, left, 1), (0, right, -1), (1, top, 1), (1, bottom, -1)):
-        out = []
-        for p, q in zip(ring, [*ring[1:], *ring[:1]], strict=True):
-            d, e = sign * (p[axis] - bound), sign * (q[axis] - bound)
-            if d >= 0:
-                out.append(p)
-            if d * e < 0:
-                out.append([p[k] + (q[k] - p[k]) * d / (d - e) for k in (0, 1)])
-        ring = out
-        if not ring:
-            return 0.0
-    return abs(sum(p[0] * q[1] - p[1] * q[0] for p, q in zip(ring, [*ring[1:], *ring[:1]], strict=True))) / 2
+def holds(ring, x, y):
+    """Whether a ring goes round each point, by counting the edges above."""
+    ring = np.array(ring)
+    odd = np.zeros(x.shape, bool)
+    for (x0, y0), (x1, y1) in zip(ring, np.roll(ring, -1, axis=0), strict=True):
+        if x0 != x1:
+            odd ^= ((x0 <= x) != (x1 <= x)) & (y0 + (y1 - y0) * (x - x0) / (x1 - x0) < y)
+    return odd
 
 
 def test_polygons_of_slides_of_different_scale(spark):
+    """Union of overlapping stars with holes, also copies of one, against a fine grid of points; slides of three scales."""
     rng = np.random.default_rng(8)
     slides = [("s", 900, 900, 224, 200, 112, 100, 1.0), ("t", 450, 450, 150, 150, 100, 150, 2.0), ("u", 300, 300, 64, 64, 64, 64, 4.0)]
     polygons = []
     for i in range(40):
         # Stars around a middle: simple outlines that are not convex.
-        turn = np.sort(rng.random(12)) * 2 * np.pi
-        far = rng.uniform(20, 250, 12)
-        ring = (rng.uniform(0, 900, 2) + np.c_[np.cos(turn) * far, np.sin(turn) * far]).tolist()
-        polygons.append((slides[i % 3][0], "ab"[i % 2], i, [ring, *([[[p[0] / 1, p[1]] for p in ring[:3]]] if i % 5 == 0 else [])]))
+        corners = 40 if i == 7 else 12
+        turn = (np.arange(corners) + rng.random(corners)) / corners * 2 * np.pi
+        middle, far = rng.uniform(0, 900, 2), rng.uniform(20, 250, len(turn))
+        ring = middle + np.c_[np.cos(turn) * far, np.sin(turn) * far]
+        polygons.append((slides[i % 3][0], "ab"[i % 2], i, [ring.tolist(), *([(middle + (ring - middle) * 0.4).tolist()] if i % 2 == 0 else [])]))
+    polygons += [(*polygons[0][:2], 100, polygons[0][3]), (*polygons[0][:2], 101, [[[0.0, 0.0], [2000.0, 0.0], [2000.0, 150.0], [0.0, 150.0]]])]
     df = spark.createDataFrame(polygons, "slide_id string, class string, polygon long, rings array<array<array<double>>>")
     sdf = spark.createDataFrame(slides, SLIDES)
     tiles_ = geometry.grid_tiles(sdf, "keep")
     got = {(r.slide_id, r.x, r.y, r["class"]): (r.tile_coverage, r.roi_coverage) for r in geometry.polygon_coverage(tiles_, df, sdf).collect()}
-    seen = 0
+    seen, points = 0, (np.arange(150) + 0.5) / 150
     for sid, ex, ey, tw, th, sx, sy, down in slides:
         for x in range(0, ex, sx):
             for y in range(0, ey, sy):
                 for c in "ab":
                     want = []
                     for part in (0.0, 0.25):
-                        box = (x + tw * part, y + th * part, x + tw * (1 - part), y + th * (1 - part))
-                        total = 0.0
+                        px, py = np.meshgrid(x + tw * (part + (1 - 2 * part) * points), y + th * (part + (1 - 2 * part) * points))
+                        inside = np.zeros(px.shape, bool)
                         for s, k, _, rings in polygons:
                             if (s, k) == (sid, c):
-                                areas = [clipped([[p[0] / down, p[1] / down] for p in r], *box) for r in rings]
-                                total += max(0.0, areas[0] - sum(areas[1:]))
-                        want.append(min(1.0, total / ((box[2] - box[0]) * (box[3] - box[1]))))
-                    assert got.get((sid, x, y, c), (0.0, 0.0)) == pytest.approx(tuple(want), abs=1e-6), (sid, x, y, c)
-                    seen += want[0] > 0
+                                inside |= np.logical_xor.reduce([holds(np.array(r) / down, px, py) for r in rings])
+                        want.append(inside.mean())
+                    assert got.get((sid, x, y, c), (0.0, 0.0)) == pytest.approx(tuple(want), abs=0.012), (sid, x, y, c)
+                    seen += 0 < want[0] < 1
     assert seen > 60
 
 
+def test_union_of_shifted_shapes(spark):
+    """Two squares that overlap, one with a hole that the other covers in part; a null class and an upside-down box cover nothing; no shapes give no rows."""
+    slides = spark.createDataFrame([("s", 100, 100, 100, 100, 100, 100, 1.0)], SLIDES)
+    places = spark.createDataFrame([("s", 0, 0), ("s", 0, 0)], "slide_id string, x int, y int")
+
+    def square(x, y, side):
+        return [[x, y], [x + side, y], [x + side, y + side], [x, y + side]]
+
+    rows = [("s", "a", 1, [square(0.0, 0.0, 40.0), square(10.0, 10.0, 20.0)]), ("s", "a", 2, [square(20.0, 20.0, 40.0)])]
+    df = spark.createDataFrame(rows, "slide_id string, class string, polygon long, rings array<array<array<double>>>")
+    r = geometry.polygon_coverage(places, df, slides).collect()
+    assert len(r) == 1 and r[0].tile_coverage == pytest.approx((1600 - 400 + 1600 - (400 - 100)) / 1e4)
+    boxes = spark.createDataFrame([("s", "a", 0, 0, 40, 40), ("s", "a", 20, 20, 60, 60), ("s", "a", 20, 20, 60, 60), ("s", "b", 0, 0, 100, 100), ("s", "b", 5, 5, 9, 9), ("s", None, 0, 0, 9, 9), ("s", "c", 9, 9, 3, 3), ("s", "d", None, 0, 9, 9)], "slide_id string, class string, left int, top int, right int, bottom int")
+    got = {r["class"]: (r.tile_coverage, r.roi_coverage) for r in geometry.rectangle_coverage(places, boxes, slides).collect()}
+    assert got == {"a": (0.28, round((15 * 15 + 35 * 35 - 15 * 15) / 2500, 9)), "b": (1.0, 1.0)}
+    assert geometry.rectangle_coverage(places, boxes.limit(0), slides).collect() == []
+
+
 def test_annotation_documents_and_faults(spark):
     def path(points):
         return [{"x": x, "y": y} for x, y in points]

@@ -11,12 +11,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  used as pa.compute
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tilequery.functions.columns import half_even
 
 from .tiles import KEY
+from .union import edges_near, union_areas
 
 #: Tiles along a side of the blocks that a polygon is sent to at once.
 BLOCK = 16
@@ -146,30 +150,68 @@ def _touched(boxes: DataFrame, slides: DataFrame) -> DataFrame:
     return out.withColumn("x", (F.col("gx") * F.col("stride_x")).cast("int")).withColumn("y", (F.col("gy") * F.col("stride_y")).cast("int"))
 
 
+_PARTS = (0.0, 0.25)
+
+
+def _unite(rows: pa.Table) -> pa.Table:
+    """``(*KEY, class, tile_extent_x, tile_extent_y, area, roi)`` of all shapes of a class together, for the tiles of a block."""
+    x, y, w, h = (rows.column(c).to_numpy().astype(float) for c in ("x", "y", *_SCALE[:2]))
+    place, first, tile = np.unique(np.stack([x, y]), axis=1, return_index=True, return_inverse=True)[0:3]
+    w, h, n = w[first], h[first], len(first)
+    lists = rows.column("edges").combine_chunks()
+    size = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy() // 4
+    edges = lists.flatten().to_numpy().reshape(-1, 4).T
+    shape = np.repeat(np.arange(len(tile)), size)
+    out = []
+    for part, name in zip(_PARTS, ("area", "roi"), strict=True):
+        own = rows.column(name).to_numpy()
+        box = np.stack([place[0] + w * part, place[1] + h * part, place[0] + w * (1 - part), place[1] + h * (1 - part)])
+        whole = (box[2] - box[0]) * (box[3] - box[1])
+        most, several = np.zeros(n), np.bincount(tile[own > 0], minlength=n) > 1
+        np.maximum.at(most, tile, own)
+        open_ = several & (most < whole * (1 - 1e-12))  # a shape alone, or one that fills the box, is the union
+        use = open_[tile[shape]] & (own[shape] > 0)
+        found = union_areas(edges[:, use], shape[use], tile[shape[use]], box)
+        out.append(np.where(open_, np.maximum(found, most), np.minimum(most, whole)))
+    names = ["slide_id", "x", "y", "class", *_SCALE[:2]]
+    return pa.Table.from_arrays([*[rows.column(c).take(pa.array(first)) for c in names], *[pa.array(v) for v in out]], [*names, "area", "roi"])
+
+
 def _shares(rows: DataFrame) -> DataFrame:
-    """Sum areas by tile and class, as shares of the tile and of its central half, at most 1."""
+    """Unite the shapes of each tile and class, as shares of the tile and of its central half. ``rows`` has a row for each shape and tile: its own areas, its edges near the tile if other shapes may be there, and the block."""
+    schema = T.StructType([T.StructField("slide_id", T.StringType()), *[T.StructField(c, T.IntegerType()) for c in ("x", "y")], T.StructField("class", T.StringType()), *[T.StructField(c, T.IntegerType()) for c in _SCALE[:2]], *[T.StructField(c, T.DoubleType()) for c in ("area", "roi")]])
+    united = rows.filter("area > 0").groupBy("slide_id", "class", "bx", "by").applyInArrow(_unite, schema)
     whole = F.col("tile_extent_x") * F.col("tile_extent_y")
-    summed = rows.groupBy(*KEY, "class").agg(F.sum("area").alias("area"), F.sum("roi").alias("roi"), F.first(whole.cast("double")).alias("whole"))
-    share = {"tile_coverage": F.col("area") / F.col("whole"), "roi_coverage": 4 * F.col("roi") / F.col("whole")}
-    return summed.select(*KEY, "class", *[F.round(F.least(F.lit(1.0), v), 9).alias(k) for k, v in share.items()])
+    return united.select(*KEY, "class", F.round(F.col("area") / whole, 9).alias("tile_coverage"), F.round(4 * F.col("roi") / whole, 9).alias("roi_coverage"))
+
+
+def _several() -> Column:
+    return F.count("*").over(W.partitionBy(*KEY, "class")) > 1
 
 
 def rectangle_coverage(tiles: DataFrame, rectangles: DataFrame, slides: DataFrame) -> DataFrame:
     """``(slide_id, x, y, class, tile_coverage, roi_coverage)`` of axis-aligned rectangles ``(slide_id, class, left, top, right, bottom)`` at the slide's full resolution.
 
-    The ROI is the central half of the tile. Overlaps of one class are summed and capped at 1. A
+    The ROI is the central half of the tile. What several rectangles of a class cover counts once. A
     rectangle goes only to the tiles that its box touches; the join is on equal keys, for tiles that lie on the slide's
-    grid. Tiles that nothing touches have no row. Repeated tiles count once; no rectangles give no rows.
+    grid. Tiles that nothing covers have no row. Repeated tiles count once; a null class or side covers nothing; no rectangles give no rows.
+    Shapes meet by blocks of ``BLOCK`` by ``BLOCK`` tiles; a task holds the shapes of a class in one of them.
     """
 
     def overlap(axis: str, low: str, high: str, part: float) -> Column:
         tile = F.col(f"tile_extent_{axis}")
         return F.greatest(F.lit(0.0), F.least(F.col(high), F.col(axis) + tile * (1 - part)) - F.greatest(F.col(low), F.col(axis) + tile * part))
 
-    area = overlap("x", "left", "right", 0.0) * overlap("y", "top", "bottom", 0.0)
-    roi = overlap("x", "left", "right", 0.25) * overlap("y", "top", "bottom", 0.25)
-    touched = _touched(rectangles.select("slide_id", "class", *_SIDES), slides)
-    return _shares(touched.select(*KEY, "class", *_SCALE[:2], area.alias("area"), roi.alias("roi")).join(tiles.select(*KEY), KEY, "left_semi"))
+    area, roi = (overlap("x", "left", "right", part) * overlap("y", "top", "bottom", part) for part in _PARTS)
+    sound = F.col("class").isNotNull() & (F.col("left") < F.col("right")) & (F.col("top") < F.col("bottom"))
+    touched = _touched(rectangles.filter(sound).select("slide_id", "class", *_SIDES), slides).join(tiles.select(*KEY), KEY, "left_semi")
+    edges = F.array(*[F.col(c).cast("double") for side in ("top", "bottom") for c in ("left", side, "right", side)])
+    rows = touched.select(*KEY, "class", *_SCALE[:2], area.alias("area"), roi.alias("roi"), F.when(_several(), edges).alias("edges"), *_blocks())
+    return _shares(rows)
+
+
+def _blocks() -> list[Column]:
+    return [F.floor(F.col(f"g{a}") / BLOCK).alias(f"b{a}") for a in "xy"]
 
 
 def _under(y: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -191,29 +233,31 @@ def edge_areas(x0: np.ndarray, y0: np.ndarray, x1: np.ndarray, y1: np.ndarray, l
 
 
 def polygon_coverage(tiles: DataFrame, polygons: DataFrame, slides: DataFrame) -> DataFrame:
-    """As :func:`rectangle_coverage`, for ``(slide_id, class, polygon, rings)`` with the outer ring first; holes are taken off.
+    """As :func:`rectangle_coverage`, for ``(slide_id, class, polygon, rings)`` with the outer ring first; holes are left out of their own polygon.
 
     ``polygon`` names a shape of a slide and class. Which tiles a polygon's box touches is found without its
-    rings; these go to blocks of ``BLOCK`` by ``BLOCK`` tiles, once for each block. A ring that meets itself counts by how often it goes round.
+    rings; these go to blocks of ``BLOCK`` by ``BLOCK`` tiles, once for each block. A polygon that is alone in a tile needs its area there only; where
+    others of its class may be, its edges near the tile go along and :func:`union_areas` sweeps over them. A ring that meets itself counts by how often it
+    goes round where it is alone, and by even and odd among others.
     """
     outer = F.element_at("rings", 1)
     box = {"left": F.array_min(F.transform(outer, lambda p: p[0])), "right": F.array_max(F.transform(outer, lambda p: p[0])), "top": F.array_min(F.transform(outer, lambda p: p[1])), "bottom": F.array_max(F.transform(outer, lambda p: p[1]))}
     shape = ["slide_id", "class", "polygon"]
     touched = _touched(polygons.select(*shape, *[v.alias(k) for k, v in box.items()]), slides).join(tiles.select(*KEY), KEY, "left_semi")
-    blocks = touched.groupBy(*shape, *_SCALE[:2], "downsample", F.floor(F.col("gx") / BLOCK).alias("bx"), F.floor(F.col("gy") / BLOCK).alias("by"))
-    jobs = blocks.agg(F.collect_list("x").alias("xs"), F.collect_list("y").alias("ys")).drop("bx", "by").join(polygons.select(*shape, "rings"), shape)
+    blocks = touched.withColumn("several", _several()).groupBy(*shape, *_SCALE[:2], "downsample", *_blocks())
+    jobs = blocks.agg(F.collect_list(F.struct("x", "y", "several")).alias("at")).join(polygons.select(*shape, "rings"), shape)
 
     def clip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for job in batch.to_pylist():
-                xs, ys = np.array(job["xs"], float), np.array(job["ys"], float)
+                xs, ys = np.array([p["x"] for p in job["at"]], float), np.array([p["y"] for p in job["at"]], float)
                 w, h = float(job["tile_extent_x"]), float(job["tile_extent_y"])
+                rings = [np.array([p[:2] for p in r], float) / job["downsample"] for r in job["rings"]]
                 found = []
-                for part in (0.0, 0.25):
+                for part in _PARTS:
                     sides = [xs + w * part, ys + h * part, xs + w * (1 - part), ys + h * (1 - part)]
                     total = np.zeros(len(xs))
-                    for k, r in enumerate(job["rings"]):
-                        ring = np.array([p[:2] for p in r], float) / job["downsample"]
+                    for k, ring in enumerate(rings):
                         after = np.roll(ring, -1, axis=0)
                         own = np.zeros(len(xs))
                         for s in range(0, len(ring), 4096):
@@ -221,12 +265,17 @@ def polygon_coverage(tiles: DataFrame, polygons: DataFrame, slides: DataFrame) -
                             own += edge_areas(*edges, *[c[None] for c in sides]).sum(0)
                         total += np.abs(own) * (1 if k == 0 else -1)
                     found.append(np.maximum(0.0, total))
+                partial = (found[0] > 0) & (found[0] < w * h) & np.array([p["several"] for p in job["at"]])
+                whole = np.concatenate([np.concatenate([r, np.roll(r, -1, axis=0)], 1).ravel() for r in rings])
+                small = len(whole) <= 128  # then all edges are as good as those near the tile
+                near = [(whole if small else np.concatenate([edges_near(r, x, y, x + w, y + h) for r in rings], 1).T.ravel()) if p else None for x, y, p in zip(xs, ys, partial, strict=True)]
                 n = len(xs)
-                columns = [[job["slide_id"]] * n, job["xs"], job["ys"], [job["class"]] * n, [job["tile_extent_x"]] * n, [job["tile_extent_y"]] * n, *found]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [*KEY, "class", *_SCALE[:2], "area", "roi"])
+                columns = [[job["slide_id"]] * n, xs.astype(int), ys.astype(int), [job["class"]] * n, [job["tile_extent_x"]] * n, [job["tile_extent_y"]] * n, *found, near, [job["bx"]] * n, [job["by"]] * n]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
-    kinds = (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.float64())
-    return _shares(jobs.mapInArrow(clip, "slide_id string, x int, y int, class string, tile_extent_x int, tile_extent_y int, area double, roi double"))
+    names = [*KEY, "class", *_SCALE[:2], "area", "roi", "edges", "bx", "by"]
+    kinds = (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.list_(pa.float64()), pa.int64(), pa.int64())
+    return _shares(jobs.mapInArrow(clip, "slide_id string, x int, y int, class string, tile_extent_x int, tile_extent_y int, area double, roi double, edges array<double>, bx long, by long"))
 
 
 def rasterise_rectangles(rectangles: DataFrame, scale: float = 56.0) -> DataFrame:

@@ -535,11 +535,25 @@ def flatten_annotations(spark, sf):
     return flat.select("slide_id", "class", corner[0][0].alias("x0"), corner[0][1].alias("y0"), corner[2][0].alias("x1"), corner[2][1].alias("y1"))
 
 
-COVERED = f"""WITH p AS (SELECT t.slide_id, t.x, t.y, class,
-  sum(greatest(0.0::DOUBLE, least("right", t.x + 224) - greatest("left", t.x)) * greatest(0.0::DOUBLE, least(bottom, t.y + 224) - greatest(top, t.y))) AS area,
-  sum(greatest(0.0::DOUBLE, least("right", t.x + 168) - greatest("left", t.x + 56)) * greatest(0.0::DOUBLE, least(bottom, t.y + 168) - greatest(top, t.y + 56))) AS roi
-  FROM tiles t JOIN ({MAPPED}) m ON t.slide_id = m.slide_id AND t.x < "right" AND t.x + 224 > "left" AND t.y < bottom AND t.y + 224 > top GROUP BY ALL)
-SELECT slide_id, x, y, class, round(least(1.0::DOUBLE, area / 50176), 9) AS tile_coverage, round(least(1.0::DOUBLE, roi / 12544), 9) AS roi_coverage FROM p"""
+def _union_sql(tiles_and_shapes: str, whole: str) -> str:
+    """Coverage by the union of rectangles: ``tiles_and_shapes`` has slide_id, x, y, class, w, h, and l, o, r, b in the tile's scale.
+
+    Rectangles are cut to the tile and to its central half; strips between neighbouring sides are covered by the union of their rectangles' spans.
+    """
+    return f"""j AS ({tiles_and_shapes}),
+q AS (SELECT slide_id, x, y, class, part, w, h, greatest(l, x + w * part) AS l, greatest(o, y + h * part) AS o, least(r, x + w * (1 - part)) AS r, least(b, y + h * (1 - part)) AS b FROM j, (VALUES (0.0::DOUBLE), (0.25::DOUBLE)) k(part)),
+c AS (SELECT * FROM q WHERE l < r AND o < b),
+v AS (SELECT slide_id, x, y, class, part, l AS v FROM c UNION SELECT slide_id, x, y, class, part, r FROM c),
+s AS (SELECT *, lead(v) OVER (PARTITION BY slide_id, x, y, class, part ORDER BY v) AS u FROM v),
+d AS (SELECT slide_id, x, y, class, part, u - s.v AS width, s.v AS v, o, b, max(b) OVER (PARTITION BY slide_id, x, y, class, part, s.v ORDER BY o, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM s JOIN c USING (slide_id, x, y, class, part) WHERE c.l <= s.v AND c.r >= s.u),
+a AS (SELECT slide_id, x, y, class, part, sum(width * greatest(0.0::DOUBLE, b - greatest(o, coalesce(seen, o)))) AS area FROM d GROUP BY ALL),
+n AS (SELECT DISTINCT slide_id, x, y, class, w, h FROM c)
+SELECT n.slide_id, n.x, n.y, n.class, round(a.area / {whole}, 9) AS tile_coverage, round(coalesce(4 * e.area, 0.0::DOUBLE) / {whole}, 9) AS roi_coverage
+FROM n JOIN a ON a.slide_id = n.slide_id AND a.x = n.x AND a.y = n.y AND a.class = n.class AND a.part = 0 LEFT JOIN a e ON e.slide_id = n.slide_id AND e.x = n.x AND e.y = n.y AND e.class = n.class AND e.part = 0.25"""
+
+
+COVERED = "WITH " + _union_sql(f"""SELECT t.slide_id, t.x, t.y, class, 224 AS w, 224 AS h, "left" AS l, top AS o, "right" AS r, bottom AS b
+  FROM tiles t JOIN ({MAPPED}) m ON t.slide_id = m.slide_id AND t.x < "right" AND t.x + 224 > "left" AND t.y < bottom AND t.y + 224 > top""", "(w * h)")
 
 
 @query(COVERED, "tiles", "squares")
@@ -576,14 +590,9 @@ def grid_tiles_mixed(spark, sf):
     return _mixed(spark, sf)[1]
 
 
-def _overlap(axis: str, low: str, high: str, part: float) -> str:
-    return f"greatest(0.0::DOUBLE, least({high}, t.{axis} + tile_extent_{axis} * {1 - part}::DOUBLE) - greatest({low}, t.{axis} + tile_extent_{axis} * {part}::DOUBLE))"
-
-
-COVERED_MIXED = f"""{_mixed_sql("")}, m AS (SELECT q.slide_id, q.class, "left" / downsample AS l, top / downsample AS o, "right" / downsample AS r, bottom / downsample AS b, mixed.* FROM ({MAPPED}) q JOIN mixed ON id = q.slide_id),
-p AS (SELECT t.slide_id, t.x, t.y, class, any_value(tile_extent_x * tile_extent_y) AS whole, sum({_overlap('x', 'l', 'r', 0.0)} * {_overlap('y', 'o', 'b', 0.0)}) AS area, sum({_overlap('x', 'l', 'r', 0.25)} * {_overlap('y', 'o', 'b', 0.25)}) AS roi
-  FROM mt t JOIN m ON t.slide_id = m.slide_id AND t.x < r AND t.x + tile_extent_x > l AND t.y < b AND t.y + tile_extent_y > o GROUP BY t.slide_id, t.x, t.y, class)
-SELECT slide_id, x, y, class, round(least(1.0::DOUBLE, area / whole), 9) AS tile_coverage, round(least(1.0::DOUBLE, 4 * roi / whole), 9) AS roi_coverage FROM p"""
+COVERED_MIXED = _mixed_sql("") + f""", m AS (SELECT q.slide_id, q.class, "left" / downsample AS l, top / downsample AS o, "right" / downsample AS r, bottom / downsample AS b, mixed.* FROM ({MAPPED}) q JOIN mixed ON id = q.slide_id),
+""" + _union_sql("""SELECT t.slide_id, t.x, t.y, class, tile_extent_x AS w, tile_extent_y AS h, l, o, r, b
+  FROM mt t JOIN m ON t.slide_id = m.slide_id AND t.x < r AND t.x + tile_extent_x > l AND t.y < b AND t.y + tile_extent_y > o""", "(w * h)")
 
 
 @query(COVERED_MIXED, "slides", "squares")
