@@ -262,15 +262,20 @@ def test_checks_raise(spark):
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 10, 1000])
-def test_exact_quantiles(spark, n):
+def test_exact_quantiles(spark, n, monkeypatch):
+    """Outliers, values of both signs and all sizes, alike large ones, one value, a null group."""
     rng = np.random.default_rng(n)
-    values = {"a": rng.random(n), "b": np.round(rng.random(n), 1), "c": np.full(n, 0.25), "d": np.r_[rng.random(n), 1e6]}
+    values = {"a": rng.random(n), "b": np.round(rng.random(n), 1), "c": np.full(n, 0.25), "d": np.r_[rng.random(n), 1e6], "e": rng.normal(size=n) * 10.0 ** rng.integers(-12, 12, n), "f": 1e9 + rng.random(n), None: -rng.random(n), "g": np.zeros(n)}
     df = spark.createDataFrame([(k, float(x)) for k, v in values.items() for x in v], "k string, value double")
-    for buckets in (1, 7, 4096):
-        got = {r.k: r.q for r in tiles.exact_quantiles(df, "k", buckets=buckets).collect()}
+    for buckets in (1, 1 << 16):
+        monkeypatch.setattr(tiles, "_COARSE", buckets)
+        got = {r.k: r.q for r in tiles.exact_quantiles(tiles.frequencies(df, "k"), "k").collect()}
         assert got.keys() == values.keys()
         for k, v in values.items():
             assert got[k] == pytest.approx(np.quantile(v, tiles.QUANTILES).tolist(), abs=1e-9), (k, buckets)
+    for r in tiles.scalar_stats(df, "k").collect():
+        v = values[r.k]
+        assert (r.n, r.min, r.max) == (len(v), v.min(), v.max()) and (r["mean"], r["std"]) == pytest.approx((v.mean(), v.std()), rel=1e-9, abs=1e-6), r.k
     one = tiles.scalar_stats(df.filter("k = 'a'")).first()
     assert one.n == n and one.q50 == pytest.approx(np.median(values["a"]), abs=1e-6)
     assert tiles.scalar_stats(df.limit(0), "k").collect() == []

@@ -8,12 +8,17 @@ from pyspark.sql import functions as F
 
 from tilequery.functions.columns import file_name, group_id
 
+from .tiles import join_nulls
+
 
 def assign_organ(df: DataFrame, dictionary: DataFrame, path: str = "wsi_path") -> DataFrame:
-    """``organ`` by source: MUG from a dictionary on the stem, MOU and TCGA from the folder, FNBRNO fixed, else Unknown."""
+    """``organ`` by source: MUG from a dictionary on the stem, MOU and TCGA from the folder, FNBRNO fixed, else (also for a null source) Unknown.
+
+    A stem that the dictionary repeats takes the smallest of its organs, so slides are never doubled; a null path has no folder, and a null stem no entry.
+    """
     folder = F.lower(F.element_at(F.split(path, "/"), -2))
     source = F.upper("source")
-    known = dictionary.select(F.col("id_stem"), F.col("organ").alias("_known"))
+    known = dictionary.groupBy("id_stem").agg(F.min("organ").alias("_known"))
     organ = F.when(source == "MUG", F.coalesce("_known", F.lit("MUG_Unknown"))).when(source.isin("MOU", "TCGA"), folder).when(source == "FNBRNO", F.lit("pancreas")).otherwise(F.lit("Unknown"))
     return df.drop("organ").join(known, "id_stem", "left").withColumn("organ", organ).drop("_known")
 
@@ -41,9 +46,9 @@ def pair_annotations(slides: DataFrame, annotations: DataFrame) -> DataFrame:
 
 
 def dense_label_id(df: DataFrame, column: str = "organ") -> DataFrame:
-    """``label``: number of the organ among the sorted distinct ones; the window sees only those."""
-    ids = df.select(column).distinct().withColumn("label", (F.dense_rank().over(W.orderBy(column)) - 1).cast("int"))
-    return df.drop("label").join(ids, column)
+    """``label``: number of the organ among the sorted distinct ones, null for a null organ; the window sees only those. An empty table stays empty."""
+    ids = df.select(column).filter(F.col(column).isNotNull()).distinct().withColumn("label", (F.dense_rank().over(W.orderBy(column)) - 1).cast("int"))
+    return df.drop("label").join(ids, column, "left")
 
 
 def order_catalogue(df: DataFrame) -> DataFrame:
@@ -81,13 +86,13 @@ def grouped_stratified_split(df: DataFrame, test_size: float = 0.2, seed: int |
 
     A group's stratum is its most frequent target (ties by name). In hash order (``seed`` None:
     key order) groups go to test while their running size is within the share of the stratum's rows. The
-    window runs over groups, one row for each, not over slides.
+    window runs over groups, one row for each, not over slides. Rows without a group are one group; a null target is a target. An empty table stays empty.
     """
     by = df.groupBy("group_id", "stratify_target").agg(F.count("*").alias("n"))
     groups = by.groupBy("group_id").agg(F.sum("n").alias("n"), F.min(F.struct((-F.col("n")).alias("m"), "stratify_target")).alias("s")).select("group_id", "n", F.col("s.stratify_target").alias("stratum"))
     running = F.sum("n").over(W.partitionBy("stratum").orderBy(_order(seed, "group_id")))
     groups = groups.withColumn("split", F.when(running <= test_size * F.sum("n").over(W.partitionBy("stratum")), "test").otherwise("train"))
-    return df.join(groups.select("group_id", "split"), "group_id")
+    return join_nulls(df, groups.select("group_id", "split"), "group_id")
 
 
 def group_leakage(train: DataFrame, test: DataFrame) -> DataFrame:
@@ -128,7 +133,7 @@ def compare_distributions(train: DataFrame, test: DataFrame, column: str) -> Dat
 
 
 def missing_annotations(slides: DataFrame, polygons: DataFrame) -> DataFrame:
-    """Slides without a mapped polygon."""
+    """Slides without a mapped polygon; a null id has none. Repeated slides stay repeated, repeated polygons count once."""
     return slides.join(polygons.select(F.col("slide_id").alias("id")).distinct(), "id", "left_anti")
 
 

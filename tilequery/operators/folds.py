@@ -8,16 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .tiles import BACKGROUND, KEY, check_not_empty
+from .tiles import BACKGROUND, KEY, check_not_empty, join_nulls
 
 #: Buckets of the hash order; a rank is counted inside a bucket and shifted by the buckets before.
 _BUCKETS = 1024
 
 
 def collapse_rare_labels(df: DataFrame, n_folds: int) -> DataFrame:
-    """``stratify_label``: labels with fewer rows than folds count as background."""
+    """``stratify_label``: labels with fewer rows than folds count as background. Rows without a label are counted as one label; they stay without one, or become background."""
     counts = df.groupBy("label").agg(F.count("*").alias("_n"))
-    return df.join(counts, "label").withColumn("stratify_label", F.when(F.col("_n") < n_folds, BACKGROUND).otherwise(F.col("label"))).drop("_n")
+    return join_nulls(df, counts, "label").withColumn("stratify_label", F.when(F.col("_n") < n_folds, BACKGROUND).otherwise(F.col("label"))).drop("_n")
 
 
 def check_strata(df: DataFrame, n_folds: int) -> DataFrame:
@@ -39,7 +39,7 @@ def stratified_folds(df: DataFrame, n_folds: int = 5, seed: int | None = 0, labe
     """``fold``: rank in label order modulo the folds, so each label's rows differ by one at most between folds.
 
     Two-phase rank: counts of (label, bucket) give each bucket its offset, so no window holds
-    a whole label. ``seed`` None ranks in key order, with slides as buckets.
+    a whole label. ``seed`` None ranks in key order, with slides as buckets. A null label is a label, a null slide a slide; both come first. Repeated keys are ranked in any order; an empty table stays empty.
     """
     order = F.struct(*KEY) if seed is None else F.struct(F.xxhash64(F.lit(seed), *KEY), *KEY)
     bucket = F.col("slide_id") if seed is None else F.floor((F.xxhash64(F.lit(seed), *KEY) / (2.0**64) + 0.5) * _BUCKETS)
@@ -47,7 +47,7 @@ def stratified_folds(df: DataFrame, n_folds: int = 5, seed: int | None = 0, labe
     counts = df.groupBy(F.col(label).alias("_label"), F.col("_bucket").alias("_b")).agg(F.count("*").alias("_n"))
     offsets = counts.select("_label", "_b", (F.sum("_n").over(W.orderBy("_label", "_b")) - F.col("_n")).alias("_offset"))
     ranked = df.withColumn("_rank", F.row_number().over(W.partitionBy(label, "_bucket").orderBy("_order")) - 1)
-    joined = ranked.join(offsets, F.col(label).eqNullSafe(F.col("_label")) & (F.col("_bucket") == F.col("_b")))
+    joined = ranked.join(offsets, F.col(label).eqNullSafe(F.col("_label")) & F.col("_bucket").eqNullSafe(F.col("_b")))
     return joined.withColumn("fold", ((F.col("_rank") + F.col("_offset")) % n_folds).cast("int")).drop("_bucket", "_order", "_label", "_b", "_offset", "_rank")
 
 
@@ -55,7 +55,7 @@ def stratified_group_folds(df: DataFrame, n_folds: int = 5, seed: int | None = 0
     """``fold`` with all tiles of a slide in one fold.
 
     Slides of one majority label (ties by name) are dealt out by size, there and back, so folds
-    differ by at most one slide of each majority label. The window runs over slides.
+    differ by at most one slide of each majority label. The window runs over slides. Tiles without a slide are one slide; a null label comes first among equals.
     """
     by = df.groupBy("slide_id", label).agg(F.count("*").alias("n"))
     slides = by.groupBy("slide_id").agg(F.sum("n").alias("n"), F.min(F.struct((-F.col("n")).alias("m"), F.col(label).alias("l"))).alias("top")).select("slide_id", "n", F.col("top.l").alias("major"))
@@ -63,7 +63,7 @@ def stratified_group_folds(df: DataFrame, n_folds: int = 5, seed: int | None = 0
     rank = F.row_number().over(W.partitionBy("major").orderBy(F.col("n").desc(), *tie)) - 1
     place = rank % (2 * n_folds)
     slides = slides.withColumn("fold", F.when(place < n_folds, place).otherwise(2 * n_folds - 1 - place).cast("int"))
-    return df.join(slides.select("slide_id", "fold"), "slide_id")
+    return join_nulls(df, slides.select("slide_id", "fold"), "slide_id")
 
 
 def balanced_group_folds(df: DataFrame, n_folds: int = 5, seed: int = 0, label: str = "label", block: int = 1024) -> DataFrame:
@@ -71,7 +71,7 @@ def balanced_group_folds(df: DataFrame, n_folds: int = 5, seed: int = 0, label:
 
     Slides are dealt by hash into blocks of about ``block``. In each block, the largest slides first, a slide goes to the fold where it
     leaves the labels' shares of the block most even (ties: the fold with fewer tiles, then the lower one). Blocks are
-    balanced one by one, so their sum is, and no task holds more than a block of slides. A null label is a label of its own.
+    balanced one by one, so their sum is, and no task holds more than a block of slides. A null label is a label of its own, and tiles without a slide are one slide.
     """
     by = df.groupBy("slide_id", F.coalesce(F.col(label).cast("string"), F.lit("")).alias("_label")).agg(F.count("*").alias("n"))
     slides = by.groupBy("slide_id").agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("_label", "n"))).alias("by"))
@@ -94,11 +94,11 @@ def balanced_group_folds(df: DataFrame, n_folds: int = 5, seed: int = 0, label:
         return pd.DataFrame({"slide_id": rows["slide_id"], "fold": folds})
 
     assigned = dealt.groupBy("block").applyInPandas(assign, "slide_id string, fold int")
-    return df.join(assigned, "slide_id")
+    return join_nulls(df, assigned, "slide_id")
 
 
 def fold_statistics(df: DataFrame) -> DataFrame:
-    """Per fold: validation and training tiles, share, slides, tissue mean and population deviation."""
+    """Per fold: validation and training tiles, share, slides, tissue mean and population deviation. A null fold is a fold; null slides and proportions are left out of counts and means; no rows give no rows."""
     everywhere = W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     per = df.groupBy("fold").agg(F.count("*").alias("val_tiles"), F.countDistinct("slide_id").alias("slides"), F.round(F.avg("tissue_prop"), 4).alias("tissue_mean"), F.round(F.stddev_pop("tissue_prop"), 4).alias("tissue_std"))
     total = F.sum("val_tiles").over(everywhere)

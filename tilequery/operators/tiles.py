@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -100,47 +103,97 @@ def long_form(df: DataFrame, columns: list[str], *keys: str) -> DataFrame:
     return df.unpivot(list(keys), columns, "column", "value").filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
-def exact_quantiles(df: DataFrame, *keys: str, value: str = "value", buckets: int = 4096) -> DataFrame:
-    """``(*keys, q)``: the nine quantiles of each group, linear between neighbours, without a group's values in one task.
+def frequencies(df: DataFrame, *keys: str, value: str = "value") -> DataFrame:
+    """``(*keys, value, n)``: how often each group has each value. Null and NaN values are left out, a null key is a group of its own, and the two zeros are one value.
+
+    Statistics, quantiles, sweeps and histograms read this table, so the rows below are scanned once: all plans share its shuffle.
+    """
+    v = F.col(value).cast("double")
+    return df.filter(v.isNotNull() & ~F.isnan(v)).groupBy(*keys, (v + 0.0).alias("value")).agg(F.count("*").alias("n"))
+
+
+def same_keys(left: str, right: str, keys: list[str] | tuple[str, ...]) -> Column:
+    """Equal keys of two aliases, nulls equal."""
+    return reduce(and_, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys], F.lit(True))
+
+
+def join_nulls(df: DataFrame, other: DataFrame, *keys: str, how: str = "inner") -> DataFrame:
+    """``df`` with the other columns of ``other``; null keys meet null keys."""
+    named = other.select(*[F.col(k).alias(f"_key_{k}") if k in keys else F.col(k) for k in other.columns])
+    return df.join(named, reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]), how).drop(*[f"_key_{k}" for k in keys])
+
+
+#: Buckets of an octave: values of one bucket agree to five digits.
+_COARSE = 1 << 16
+
 
-    Values go to buckets between the group's extremes. Counts of buckets tell where each quantile's two neighbours lie, and by how
-    many values of their bucket; only values of these buckets, counted by value, are ranked, so a window holds the distinct values of one bucket.
+def _coarse(v: Column) -> Column:
+    """Bucket on a logarithmic scale, in the order of the values."""
+    return F.floor(F.when(v == 0, 0.0).otherwise(F.signum(v) * (F.log2(F.abs(v)) + 1075)) * _COARSE)
+
+
+def _holding(counts: DataFrame, within: list[str], bucket: str, wanted: str) -> DataFrame:
+    """Buckets (with ``_m`` rows each) that hold a rank wanted of their group; ranks are then counted from the bucket's first row."""
+    before = F.sum("_m").over(W.partitionBy(*within).orderBy(bucket)) - F.col("_m")
+    inside = F.filter(F.transform(F.col(wanted), lambda r: F.struct(r["i"].alias("i"), (r["rank"] - F.col("_before")).alias("rank"))), lambda r: (r["rank"] >= 0) & (r["rank"] < F.col("_m")))
+    return counts.withColumn("_before", before).withColumn("_w", inside).filter(F.size("_w") > 0)
+
+
+def _coarse_counts(freq: DataFrame, *keys: str) -> DataFrame:
+    """A row for each coarse bucket of :func:`frequencies`: rows, extremes, and sums of the differences to the bucket's own mark and of their squares; and of its group, rows and mean."""
+    v = F.col("value")
+    # Differences to a mark nearby keep their digits where all values are large and alike.
+    mark = F.when(F.abs(v) < float("inf"), F.signum("_a") * F.pow(F.lit(2.0), F.least(F.lit(1023.0), F.abs("_a") / _COARSE - 1075))).otherwise(v)
+    rows = freq.select(*keys, "value", "n", _coarse(v).alias("_a")).withColumn("_mark", mark)
+    off = F.when(v == F.col("_mark"), 0.0).otherwise(v - F.col("_mark"))
+    sums = [F.sum("n").alias("_m"), F.min("value").alias("_low"), F.max("value").alias("_high"), F.any_value("_mark").alias("_mark"), F.sum(off * F.col("n")).alias("_s1"), F.sum(off * off * F.col("n")).alias("_s2")]
+    by = W.partitionBy(*keys)
+    counts = rows.groupBy(*keys, "_a").agg(*sums).withColumn("_n", F.sum("_m").over(by))
+    return counts.withColumn("_mean", F.sum(F.col("_mark") * F.col("_m") + F.col("_s1")).over(by) / F.col("_n"))
+
+
+def exact_quantiles(freq: DataFrame, *keys: str, coarse: DataFrame | None = None) -> DataFrame:
+    """``(*keys, q)``: the nine quantiles of each group of :func:`frequencies`, linear between neighbours.
+
+    Counts of buckets tell which of them hold a quantile's neighbours, and only the different values of these are ranked. Buckets are
+    logarithmic, so neither a large group nor an outlier fills a window: one holds a group's buckets, or the values of a bucket.
     """
-    extremes = df.groupBy(*keys).agg(F.min(value).alias("_low"), F.max(value).alias("_high"), F.count("*").alias("_n"))
-    same = [F.col(f"d.{k}").eqNullSafe(F.col(f"e.{k}")) for k in keys]
-    rows = df.select(*keys, F.col(value).alias("_v")).alias("d").join(F.broadcast(extremes).alias("e"), same or F.lit(True)).select("d.*", "_low", "_high", "_n")
-    place = F.coalesce(F.least(F.lit(buckets - 1), F.floor(F.try_divide(F.col("_v") - F.col("_low"), F.col("_high") - F.col("_low")) * buckets)), F.lit(0)).cast("int")
-    counted = rows.groupBy(*keys, place.alias("_b"), "_v", "_n").agg(F.count("*").alias("_c"))
-    by = counted.groupBy(*keys, "_b", "_n").agg(F.sum("_c").alias("_m"))
-    before = by.withColumn("_before", F.sum("_m").over(W.partitionBy(*keys).orderBy("_b")) - F.col("_m"))
+    coarse = _coarse_counts(freq, *keys) if coarse is None else coarse
     ranks = F.array(*[F.struct(F.lit(i).alias("i"), (F.floor((F.col("_n") - 1) * q) + up).cast("long").alias("rank")) for i, q in enumerate(QUANTILES) for up in (0, 1)])
-    wanted = before.withColumn("_w", F.filter(ranks, lambda r: (r["rank"] >= F.col("_before")) & (r["rank"] < F.col("_before") + F.col("_m")))).filter(F.size("_w") > 0)
-    near = counted.alias("c").join(F.broadcast(wanted.drop("_n", "_m")).alias("w"), [F.col(f"c.{k}").eqNullSafe(F.col(f"w.{k}")) for k in keys] + [F.col("c._b") == F.col("w._b")]).select("c.*", "_before", "_w")
-    ranked = near.withColumn("_at", F.col("_before") + F.sum("_c").over(W.partitionBy(*keys, "_b").orderBy("_v")) - F.col("_c"))
-    hits = ranked.select(*keys, "_n", "_v", F.explode(F.filter("_w", lambda r: (r["rank"] >= F.col("_at")) & (r["rank"] < F.col("_at") + F.col("_c")))).alias("_r"))
-    both = hits.groupBy(*keys, "_n", F.col("_r.i").alias("_i")).agg(F.min("_v").alias("_x"), F.max("_v").alias("_y"))
+    held = _holding(coarse.select(*keys, "_a", "_m", "_n", ranks.alias("_ranks")), [*keys], "_a", "_ranks").select(*keys, "_a", "_n", F.col("_w").alias("_ranks"))
+    rows = freq.select(*keys, "value", F.col("n").alias("_m"), _coarse(F.col("value")).alias("_a"))
+    near = rows.alias("r").join(held.alias("c"), same_keys("r", "c", [*keys, "_a"])).select("r.*", "_n", "_ranks")
+    hits = _holding(near, [*keys, "_a"], "value", "_ranks").select(*keys, "_n", "value", F.explode("_w.i").alias("_i"))
+    both = hits.groupBy(*keys, "_n", "_i").agg(F.min("value").alias("_x"), F.max("value").alias("_y"))
     part = F.element_at(F.array(*map(F.lit, QUANTILES)), F.col("_i") + 1) * (F.col("_n") - 1)
-    q = both.withColumn("_q", F.col("_x") + (F.col("_y") - F.col("_x")) * (part - F.floor(part)))
-    return q.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_q"))), lambda s: s["_q"]).alias("q"))
+    q = F.when(F.col("_x") == F.col("_y"), F.col("_x")).otherwise(F.col("_x") + (F.col("_y") - F.col("_x")) * (part - F.floor(part)))
+    return both.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", q.alias("_q")))), lambda s: s["_q"]).alias("q"))
 
 
-def scalar_stats(df: DataFrame, *keys: str, value: str = "value", exact: bool = True) -> DataFrame:
-    """Count, mean, population deviation, extremes and nine quantiles (linear between neighbours) of each group; values must not be null.
+def frequency_stats(freq: DataFrame, *keys: str) -> DataFrame:
+    """Count, mean, population deviation, extremes and nine quantiles (linear between neighbours) of each group of :func:`frequencies`; all but the quantiles from counts of coarse buckets."""
+    coarse = _coarse_counts(freq, *keys)
+    far = F.col("_mark") - F.col("_mean")
+    squares = F.sum(F.col("_s2") + 2 * far * F.col("_s1") + far * far * F.col("_m"))
+    base = coarse.groupBy(*keys).agg(F.sum("_m").alias("n"), F.any_value("_mean").alias("mean"), F.sqrt(F.greatest(F.lit(0.0), squares / F.sum("_m"))).alias("std"), F.min("_low").alias("min"), F.max("_high").alias("max"))
+    out = base.alias("b").join(exact_quantiles(freq, *keys, coarse=coarse).alias("q"), same_keys("b", "q", keys)).select("b.*", F.col("q.q").alias("q"))
+    return _rounded_stats(out, keys)
 
-    Exact quantiles come from :func:`exact_quantiles`, which counts first and ranks few buckets; ``exact=False`` takes
-    the approximate ones, in one pass. An empty table gives no rows.
-    """
-    stats = [F.count("*").alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max")]
-    if exact:
-        out = df.groupBy(*keys).agg(*stats).alias("s")
-        q = exact_quantiles(df, *keys, value=value).alias("q")
-        out = out.join(F.broadcast(q), [F.col(f"s.{k}").eqNullSafe(F.col(f"q.{k}")) for k in keys] or F.lit(True)).select("s.*", F.col("q.q").alias("q"))
-    else:
-        out = df.groupBy(*keys).agg(*stats, F.percentile_approx(value, list(QUANTILES), 10000).alias("q"))
+
+def _rounded_stats(out: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     quantiles = [F.round(F.col("q")[i], 6).alias(f"q{int(p * 100):02d}") for i, p in enumerate(QUANTILES)]
     return out.select(*keys, "n", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "min", "max", *quantiles)
 
 
+def scalar_stats(df: DataFrame, *keys: str, value: str = "value", exact: bool = True) -> DataFrame:
+    """:func:`frequency_stats` of rows; ``exact=False`` takes approximate quantiles, in one pass. Null and NaN values are left out, a null key is a group; an empty table gives no rows."""
+    if exact:
+        return frequency_stats(frequencies(df, *keys, value=value), *keys)
+    sound = df.filter(F.col(value).isNotNull() & ~F.isnan(value))
+    stats = [F.count("*").alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max")]
+    return _rounded_stats(sound.groupBy(*keys).agg(*stats, F.percentile_approx(value, list(QUANTILES), 10000).alias("q")), keys).filter("n > 0")
+
+
 def histogram_bin(value: Column, bins: int = 20) -> Column:
     """0-based bin on [0, 1], half-open, the last closed; null outside. Edges are ``i / bins`` as ``i * (1 / bins)``."""
     guess = F.least(F.floor(value * bins).cast("int"), F.lit(bins - 1))
@@ -150,67 +203,90 @@ def histogram_bin(value: Column, bins: int = 20) -> Column:
     return F.when((value >= 0) & (value <= 1), fixed)
 
 
+def frequency_histogram(freq: DataFrame, *keys: str, bins: int = 20) -> DataFrame:
+    """``(*keys, bin, n)`` of :func:`frequencies`, empty bins as 0; a group whose values are all outside [0, 1] has empty bins only."""
+    places = F.array(*[F.sum(F.when(F.col("_bin") == i, F.col("n")).otherwise(0)).alias(f"_{i}") for i in range(bins)])
+    wide = freq.withColumn("_bin", histogram_bin(F.col("value"), bins)).groupBy(*keys).agg(places.alias("_n"))
+    return wide.select(*keys, F.posexplode("_n").alias("bin", "n")).withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
+
+
 def coverage_histogram(df: DataFrame, *keys: str, value: str = "value", bins: int = 20) -> DataFrame:
-    """``(*keys, bin, n)`` with empty bins as 0."""
-    counted = df.select(*keys, histogram_bin(F.col(value), bins).alias("bin")).filter("bin IS NOT NULL").groupBy(*keys, "bin").agg(F.count("*").alias("n"))
-    groups = df.select(*keys).distinct() if keys else df.sparkSession.range(1).select()
-    grid = groups.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    return grid.join(counted, [*keys, "bin"], "left").fillna(0, ["n"])
+    """:func:`frequency_histogram` of rows; null and NaN values are left out, a null key is a group. Without ``keys`` an empty table gives empty bins."""
+    return frequency_histogram(frequencies(df, *keys, value=value), *keys, bins=bins)
 
 
-def threshold_sweep(df: DataFrame, n: int = 1000, value: str = "value", keys: tuple[str, ...] = ()) -> DataFrame:
-    """``(*keys, i, threshold, above)``: rows of each group strictly above each of ``n`` evenly spaced thresholds on [0, 1].
+def frequency_sweep(freq: DataFrame, n: int = 1000, keys: tuple[str, ...] = ()) -> DataFrame:
+    """``(*keys, i, threshold, above)``: rows of each group of :func:`frequencies` strictly above each of ``n`` evenly spaced thresholds on [0, 1].
 
-    Values are put into buckets once; a reverse running sum over at most ``n + 1`` buckets gives all counts.
+    Values are put into buckets once; a reverse running sum over at most ``n + 1`` buckets of a group gives all counts.
     """
     step = F.lit(1.0) / (n - 1)
-    v = F.col(value)
-    guess = F.greatest(F.lit(0), F.least(F.ceil(v * (n - 1)).cast("int"), F.lit(n)))  # thresholds 0 .. guess - 1 are below v
+    v = F.col("value")
+    guess = F.greatest(F.lit(0), F.least(F.ceil(v * (n - 1)), F.lit(n))).cast("int")  # thresholds 0 .. guess - 1 are below v
     fixed = F.when((guess > 0) & ((guess - 1) * step >= v), guess - 1).when((guess < n) & (guess * step < v), guess + 1).otherwise(guess)
-    counts = df.filter(v.isNotNull() & ~F.isnan(v)).groupBy(*keys, fixed.cast("int").alias("bucket")).agg(F.count("*").alias("c"))
-    grid = df.sparkSession.range(0, n + 1, 1, 1).select(F.col("id").cast("int").alias("bucket"))
-    if keys:
-        # Groups are not counted beforehand, so they are not broadcast; one window holds the buckets of one group.
-        grid = counts.select(*keys).distinct().join(F.broadcast(grid))
-        filled = grid.join(counts, [*keys, "bucket"], "left").fillna(0, ["c"])
-    else:
-        filled = grid.join(F.broadcast(counts), "bucket", "left").fillna(0, ["c"])
-    above = F.sum("c").over(W.partitionBy(*keys).orderBy(F.col("bucket").desc())) - F.col("c")
-    out = filled.select(*keys, "bucket", (above + F.col("c")).alias("at_least"))
-    return out.filter("bucket > 0").select(*keys, (F.col("bucket") - 1).alias("i"), ((F.col("bucket") - 1) * step).alias("threshold"), F.col("at_least").alias("above"))
+    # A map of the filled buckets for each group, from which the empty ones are told: no join, so null keys stay.
+    held = freq.groupBy(*keys, fixed.cast("int").alias("_bucket")).agg(F.sum("n").alias("_c"))
+    if not keys:
+        held = held.unionByName(freq.sparkSession.range(1).select(F.lit(0).alias("_bucket"), F.lit(0).cast("long").alias("_c")))
+    per = held.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_bucket", "_c"))).alias("_map")) if keys else held.groupBy("_bucket").agg(F.sum("_c").alias("_c")).agg(F.map_from_entries(F.collect_list(F.struct("_bucket", "_c"))).alias("_map"))
+    filled = per.select(*keys, F.explode(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda b: F.struct(b.alias("b"), F.coalesce(F.try_element_at("_map", b), F.lit(0).cast("long")).alias("c")))).alias("_s"))
+    above = F.sum("_s.c").over(W.partitionBy(*keys).orderBy(F.col("_s.b").desc()))
+    out = filled.select(*keys, (F.col("_s.b") - 1).alias("i"), above.alias("above"))
+    return out.select(*keys, "i", (F.col("i") * step).alias("threshold"), "above")
+
+
+def threshold_sweep(df: DataFrame, n: int = 1000, value: str = "value", keys: tuple[str, ...] = ()) -> DataFrame:
+    """:func:`frequency_sweep` of rows; null and NaN values are left out, a null key is a group. Without ``keys`` an empty table gives zeros."""
+    return frequency_sweep(frequencies(df, *keys, value=value), n, keys)
+
+
+def _coverage_frequencies(tiles: DataFrame, tissue: DataFrame, classes: list[str], prefix: str, tissue_column: str) -> DataFrame:
+    """Frequencies by ``column`` and ``stratum`` of the joined tiles: class columns over all rows (``all``), tissue by dominant class."""
+    rows = dominant_class(join_tissue(tiles, tissue), classes, prefix)
+    values = [F.struct(F.lit(prefix + c).alias("column"), F.lit("all").alias("stratum"), F.col(prefix + c).cast("double").alias("value")) for c in classes]
+    values.append(F.struct(F.lit(tissue_column).alias("column"), F.col("stratum").alias("stratum"), F.col(tissue_column).cast("double").alias("value")))
+    return frequencies(rows.select(F.inline(F.array(*values))), "column", "stratum")
+
+
+def _restratified(freq: DataFrame, strata: Column) -> DataFrame:
+    """Frequencies with each row in all of the strata of an array, which may be empty; the filter stays above the counts, whose shuffle all readers then share."""
+    moved = freq.select("column", F.explode_outer(strata).alias("stratum"), "value", "n").filter("stratum IS NOT NULL")
+    return moved.groupBy("column", "stratum", "value").agg(F.sum("n").alias("n"))
 
 
 def threshold_report(tiles: DataFrame, tissue: DataFrame, classes: list[str], prefix: str = "roi_coverage_", tissue_column: str = "roi_tissue_coverage", exact: bool = True) -> DataFrame:
     """Statistics of the joined tiles: each class column over all rows (stratum ``all``), and tissue overall and by dominant class.
 
-    Strata without rows are absent; nulls and NaN are left out; no joined rows give no rows.
+    Strata without rows are absent; nulls and NaN are left out; no joined rows give no rows. All of it comes from one table of frequencies; ``exact=False`` scans the rows for approximate quantiles.
     """
-    rows = dominant_class(join_tissue(tiles, tissue), classes, prefix)
-    own = long_form(rows, [prefix + c for c in classes]).select("column", F.lit("all").alias("stratum"), "value")
-    tissue_rows = long_form(rows, [tissue_column], "stratum").select("column", F.explode(F.array("stratum", F.lit("all"))).alias("stratum"), "value")
-    return scalar_stats(own.unionByName(tissue_rows), "column", "stratum", exact=exact)
+    if not exact:
+        rows = dominant_class(join_tissue(tiles, tissue), classes, prefix)
+        own = long_form(rows, [prefix + c for c in classes]).select("column", F.lit("all").alias("stratum"), "value")
+        tissue_rows = long_form(rows, [tissue_column], "stratum").select("column", F.explode(F.array("stratum", F.lit("all"))).alias("stratum"), "value")
+        return scalar_stats(own.unionByName(tissue_rows), "column", "stratum", exact=False)
+    freq = _coverage_frequencies(tiles, tissue, classes, prefix, tissue_column)
+    both = F.when(F.col("column") == tissue_column, F.array("stratum", F.lit("all"))).otherwise(F.array("stratum"))
+    return frequency_stats(_restratified(freq, both), "column", "stratum")
 
 
 def threshold_curves(tiles: DataFrame, tissue: DataFrame, classes: list[str], prefix: str = "roi_coverage_", tissue_column: str = "roi_tissue_coverage", n: int = 1000) -> DataFrame:
-    """The whole threshold analysis of the joined tiles, as ``(column, stratum, kind, key, value)``.
+    """The whole threshold analysis of the joined tiles, as ``(column, stratum, kind, key, value)``, from one table of frequencies.
 
     Each class column over all rows, and tissue by dominant class (groups without rows are absent): ``stat``, ``sweep`` of ``n``
     thresholds, ``histogram`` of 20 bins. Tissue over all rows: ``stat``. Tissue of annotated and of background rows: ``histogram_binary``.
     """
-    rows = dominant_class(join_tissue(tiles, tissue), classes, prefix)
-    own = long_form(rows, [prefix + c for c in classes]).select("column", F.lit("all").alias("stratum"), "value")
-    tissue_rows = long_form(rows, [tissue_column], "stratum").select("column", "stratum", "value")
-    both = own.unionByName(tissue_rows)
-    group = ("column", "stratum")
-    stats = scalar_stats(both.unionByName(tissue_rows.withColumn("stratum", F.lit("all"))), *group)
+    freq = _coverage_frequencies(tiles, tissue, classes, prefix, tissue_column)
+    group, is_tissue = ("column", "stratum"), F.col("column") == tissue_column
+    stats = frequency_stats(_restratified(freq, F.when(is_tissue, F.array("stratum", F.lit("all"))).otherwise(F.array("stratum"))), *group)
     names = [c for c in stats.columns if c not in group]
     stats = stats.select(*group, *[F.col(c).cast("double") for c in names]).unpivot(list(group), names, "key", "value")
-    binary = tissue_rows.withColumn("stratum", F.when(F.col("stratum") == BACKGROUND, BACKGROUND).otherwise("annotated"))
+    side = F.when(F.col("stratum") == BACKGROUND, BACKGROUND).otherwise("annotated")
+    binary = _restratified(freq, F.when(is_tissue, F.array(side)))
     parts = [
         stats.select(*group, F.lit("stat").alias("kind"), "key", "value"),
-        threshold_sweep(both, n, keys=group).select(*group, F.lit("sweep").alias("kind"), F.col("i").cast("string").alias("key"), F.col("above").cast("double").alias("value")),
-        coverage_histogram(both, *group).select(*group, F.lit("histogram").alias("kind"), F.col("bin").cast("string").alias("key"), F.col("n").cast("double").alias("value")),
-        coverage_histogram(binary, *group).select(*group, F.lit("histogram_binary").alias("kind"), F.col("bin").cast("string").alias("key"), F.col("n").cast("double").alias("value")),
+        frequency_sweep(freq, n, keys=group).select(*group, F.lit("sweep").alias("kind"), F.col("i").cast("string").alias("key"), F.col("above").cast("double").alias("value")),
+        frequency_histogram(freq, *group).select(*group, F.lit("histogram").alias("kind"), F.col("bin").cast("string").alias("key"), F.col("n").cast("double").alias("value")),
+        frequency_histogram(binary, *group).select(*group, F.lit("histogram_binary").alias("kind"), F.col("bin").cast("string").alias("key"), F.col("n").cast("double").alias("value")),
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 

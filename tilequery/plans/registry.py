@@ -498,6 +498,59 @@ def first_slides(spark, sf):
     return folds.first_slides(_t(spark, sf, "tiles"), 2).select("slide_id", "x", "y")
 
 
+# --- null keys: every row stays -----------------------------------------------------------------------
+
+HOLED_LABEL = "SELECT *, CASE WHEN count(*) OVER (PARTITION BY label) < 3000 THEN 'background' ELSE label END AS stratify_label FROM holed"
+
+
+@query(f"SELECT {KEY}, stratify_label FROM ({HOLED_LABEL})", "holed")
+def collapse_rare_labels_nulls(spark, sf):
+    return folds.collapse_rare_labels(_t(spark, sf, "holed"), 3000).select("slide_id", "x", "y", "stratify_label")
+
+
+@query(f"SELECT {KEY}, label, CAST((row_number() OVER (ORDER BY label NULLS FIRST, slide_id NULLS FIRST, x, y) - 1) % 5 AS INT) AS fold FROM (SELECT DISTINCT {KEY}, label FROM holed WHERE slide_id IS NOT NULL OR x = 0)", "holed")
+def stratified_folds_nulls(spark, sf):
+    rows = _t(spark, sf, "holed").filter("slide_id IS NOT NULL OR x = 0").select("slide_id", "x", "y", "label").distinct()
+    return folds.stratified_folds(rows, 5, None).select("slide_id", "x", "y", "label", "fold")
+
+
+@query(f"""WITH b AS (SELECT slide_id, label, count(*) AS n FROM holed GROUP BY 1, 2),
+s AS (SELECT slide_id, sum(n) AS n, arg_min(coalesce(label, ''), (-n, coalesce(label, ''))) AS major FROM b GROUP BY 1),
+r AS (SELECT *, (row_number() OVER (PARTITION BY major ORDER BY n DESC, slide_id NULLS FIRST) - 1) % 10 AS p FROM s)
+SELECT h.slide_id, x, y, CAST(CASE WHEN p < 5 THEN p ELSE 9 - p END AS INT) AS fold FROM holed h JOIN r ON h.slide_id IS NOT DISTINCT FROM r.slide_id""", "holed")
+def stratified_group_folds_nulls(spark, sf):
+    return folds.stratified_group_folds(_t(spark, sf, "holed"), 5, None).select("slide_id", "x", "y", "fold")
+
+
+@query("""WITH w AS (SELECT group_id, stratify_target, count(*) AS n FROM holed_catalogue GROUP BY 1, 2),
+h AS (SELECT group_id, sum(n) AS n, min({'m': -n, 's': stratify_target}).s AS stratum FROM w GROUP BY 1),
+r AS (SELECT *, CASE WHEN sum(n) OVER (PARTITION BY stratum ORDER BY group_id NULLS FIRST) <= 0.2::DOUBLE * sum(n) OVER (PARTITION BY stratum) THEN 'test' ELSE 'train' END AS split FROM h)
+SELECT id_stem, c.group_id, split FROM holed_catalogue c JOIN r ON c.group_id IS NOT DISTINCT FROM r.group_id""", "holed_catalogue")
+def grouped_stratified_split_nulls(spark, sf):
+    return cat.grouped_stratified_split(_t(spark, sf, "holed_catalogue"), 0.2, None).select("id_stem", "group_id", "split")
+
+
+@query("SELECT id_stem, organ, CASE WHEN organ IS NOT NULL THEN CAST(dense_rank() OVER (ORDER BY organ NULLS LAST) - 1 AS INT) END AS label FROM holed_catalogue", "holed_catalogue")
+def dense_label_id_nulls(spark, sf):
+    return cat.dense_label_id(_t(spark, sf, "holed_catalogue")).select("id_stem", "organ", "label")
+
+
+@query("SELECT part, CAST(range AS INT) AS i, range * (1.0::DOUBLE / 99) AS threshold, count(*) FILTER (value > range * (1.0::DOUBLE / 99)) AS above FROM holed, range(100) WHERE value IS NOT NULL GROUP BY part, range", "holed")
+def threshold_sweep_nulls(spark, sf):
+    return tiles.threshold_sweep(_t(spark, sf, "holed"), 100, keys=("part",))
+
+
+@query("""WITH e AS (SELECT range AS bin, range * (1.0::DOUBLE / 20) AS low, CASE WHEN range = 19 THEN 2.0::DOUBLE ELSE (range + 1) * (1.0::DOUBLE / 20) END AS high FROM range(20))
+SELECT part, CAST(bin AS INT) AS bin, count(*) FILTER (value >= low AND value < high AND value <= 1) AS n FROM holed, e WHERE value IS NOT NULL GROUP BY part, bin""", "holed")
+def coverage_histogram_nulls(spark, sf):
+    return tiles.coverage_histogram(_t(spark, sf, "holed"), "part")
+
+
+@query(_stats_sql("part, ", "SELECT part, value FROM holed WHERE value IS NOT NULL"), "holed")
+def scalar_stats_nulls(spark, sf):
+    return tiles.scalar_stats(_t(spark, sf, "holed"), "part")
+
+
 # --- geometry and maps ----------------------------------------------------------------------------
 
 
