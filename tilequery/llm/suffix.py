@@ -7,9 +7,9 @@ document has are dropped, and the next round ranks the pairs of what is left, up
 
 Texts are packed into chunks in the order of their ids, so that chunks compare as their documents do. A chunk sends its distinct
 ranks, sorted, to their ranges, and gets a bit for each of them back. Rounds before the last only drop positions, so short ranks do: two ranks that look the same
-keep a position too long and lose nothing. The last round decides: there a rank of 64 bits goes with 48 bits of a second hash, which is
+keep a position too long and lose nothing. The last round decides: there a rank of 64 bits goes with 32 bits of a second hash, which is
 taken from the string's bytes and not from ranks. Bytes are spread before the first pair is ranked, so strings that differ in a few bytes are no likelier to
-look the same than others: 1e15 strings hold a pair that does with a chance of 1e-4.
+look the same than others: 1e13 different strings that come as far as the last round (most of them are dropped before) hold a pair that does with a chance of 1e-3.
 """
 
 from __future__ import annotations
@@ -61,13 +61,13 @@ def first_ranks(raw: bytes, length: int) -> np.ndarray:
 
 
 def second_hash(raw: bytes, at: np.ndarray, length: int) -> np.ndarray:
-    """48 bits of the ``length`` bytes from each position on, eight at a time; no ranks go into it."""
+    """32 bits of the ``length`` bytes from each position on, eight at a time; no ranks go into it."""
     out = np.full(len(at), length, np.uint64)
     if len(at):
         words = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))
         for offset in [*range(0, length - 8, 8), length - 8]:
             out = mixed((out ^ words[at + offset]) + _C)
-    return out >> np.uint64(16)
+    return (out >> np.uint64(32)).astype(np.uint32)
 
 
 class Positions:
@@ -182,7 +182,7 @@ def _answer(round_: int, last: bool):
         keys = np.concatenate([np.cumsum(unsqueezed(x, k, "<u8"), dtype=np.uint64) for x, k in zip(table.column("keys").to_pylist(), n, strict=True)])
         packed = table.column("rest").to_pylist()
         if last:
-            rest = np.concatenate([unsqueezed(x, k, "<u8") for x, k in zip(packed, n, strict=True)])
+            rest = np.concatenate([unsqueezed(x, k, "<u4") for x, k in zip(packed, n, strict=True)])
             chunk = np.repeat(table.column("chunk").to_numpy(), n)
             order = np.argsort(keys)
             same = keys[order[1:]] == keys[order[:-1]]
