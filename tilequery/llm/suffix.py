@@ -26,7 +26,7 @@ from ._shared import broadcast_if_small, chunk_texts, chunked, mixed, range_bits
 
 #: Bytes of the first rank that leaves a task, where ``length`` allows.
 START = 32
-_CHUNK = 2 << 20
+_CHUNK = 3 << 19
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
@@ -62,12 +62,15 @@ def first_ranks(raw: bytes, length: int) -> np.ndarray:
 
 def second_hash(raw: bytes, at: np.ndarray, length: int) -> np.ndarray:
     """32 bits of the ``length`` bytes from each position on, eight at a time; no ranks go into it."""
-    out = np.full(len(at), length, np.uint64)
-    if len(at):
-        words = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))
+    found = np.empty(len(at), np.uint32)
+    words = np.ndarray((max(0, len(raw) - 7),), "<u8", raw, strides=(1,))
+    for s in range(0, len(at), 1 << 17):
+        own = at[s : s + (1 << 17)]
+        out = np.full(len(own), length, np.uint64)
         for offset in [*range(0, length - 8, 8), length - 8]:
-            out = mixed((out ^ words[at + offset]) + _C)
-    return (out >> np.uint64(32)).astype(np.uint32)
+            out = mixed((out ^ words[own + offset]) + _C)
+        found[s : s + len(own)] = out >> np.uint64(32)
+    return found
 
 
 class Positions:
