@@ -226,6 +226,8 @@ def test_errors_and_retries(spark):
         return [[1.0]] * len(batch)
 
     assert modelling.embed_tiles(df, flaky, pause=lambda s: None).first().embedding == [1.0]
+    with pytest.raises(ValueError, match="fn or setup"):
+        modelling.embed_tiles(df)
 
 
 def test_checks_raise(spark):
@@ -251,8 +253,8 @@ def test_checks_raise(spark):
         folds.drop_rare_class_slides(labelled, 5, check=True)
     with pytest.raises(ValueError, match="no rows left"):
         tiles.slides_with_masks(spark.createDataFrame([("s",)], "id string"), spark.createDataFrame([("s", "a")], "slide_id string, mask string"), ["a", "b"], check=True)
-    with pytest.raises(Exception, match="no tiles to sample from"):
-        folds.slide_budget(some.limit(0), 5).collect()
+    with pytest.raises(ValueError, match="no tiles to sample from"):
+        folds.slide_budget(some.limit(0), 5)
     few = spark.createDataFrame([("a", "background")] * 2 + [("b", "b")] * 9, "label string, stratify_label string")
     with pytest.raises(ValueError, match="background has 2 rows"):
         folds.check_strata(few, 3)
@@ -272,7 +274,7 @@ def test_exact_quantiles(spark, n, monkeypatch):
         got = {r.k: r.q for r in tiles.exact_quantiles(tiles.frequencies(df, "k"), "k").collect()}
         assert got.keys() == values.keys()
         for k, v in values.items():
-            assert got[k] == pytest.approx(np.quantile(v, tiles.QUANTILES).tolist(), abs=1e-9), (k, buckets)
+            assert got[k] == pytest.approx(np.quantile(v, tiles.QUANTILES).tolist(), rel=1e-9, abs=1e-9), (k, buckets)
     for r in tiles.scalar_stats(df, "k").collect():
         v = values[r.k]
         assert (r.n, r.min, r.max) == (len(v), v.min(), v.max()) and (r["mean"], r["std"]) == pytest.approx((v.mean(), v.std()), rel=1e-9, abs=1e-6), r.k

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -120,29 +121,60 @@ def tiles_per_slide(df: DataFrame) -> DataFrame:
     return df.groupBy("slide_id").agg(F.count("*").alias("n"))
 
 
+#: So few slides are looked at one by one on the driver.
+_FEW = 10_000
+
+
 def slide_budget(df: DataFrame, max_tiles: int, seed: int | None = 0) -> DataFrame:
     """Slides in random order (``seed`` None: by id): each is taken if it still fits the budget, else skipped; if none fits, the smallest is taken.
 
-    The fold runs over one row that lists all slides, not tiles: meant for up to some hundred thousand slides. A table without
-    tiles raises when the result is read.
+    Slides are dealt into ranges of the order once. A round takes the longest run of slides that fits, whose end is found from the sums of the ranges
+    and the running sum of one of them; what is larger than the rest of the budget goes, and the next round begins behind the slide that was skipped. The
+    last few slides, ``_FEW`` at most, are looked at on the driver; before, no task holds more than a range. Tiles without a slide are one slide.
+    A budget that is not positive and a table without tiles raise at once.
     """
     if max_tiles <= 0:
         raise ValueError("the budget must be positive")
-    order = F.struct(F.lit(0).cast("long").alias("h"), "slide_id", "n") if seed is None else F.struct(F.xxhash64(F.lit(seed), "slide_id").alias("h"), "slide_id", "n")
-    listed = tiles_per_slide(df).agg(F.array_sort(F.collect_list(order)).alias("slides"), F.min(F.struct("n", "slide_id")).alias("least"))
-    start = F.struct(F.lit(0).cast("long").alias("used"), F.array().cast("array<struct<slide_id:string,n:bigint>>").alias("taken"))
-
-    def step(acc: Column, s: Column) -> Column:
-        fits = acc["used"] + s["n"] <= max_tiles
-        return F.struct(
-            F.when(fits, acc["used"] + s["n"]).otherwise(acc["used"]).alias("used"),
-            F.when(fits, F.concat(acc["taken"], F.array(F.struct(s["slide_id"].alias("slide_id"), s["n"].alias("n"))))).otherwise(acc["taken"]).alias("taken"),
-        )
-
-    taken = listed.select(F.aggregate("slides", start, step)["taken"].alias("taken"), "least")
-    some = F.when(F.col("least").isNotNull(), F.col("least.n")).otherwise(F.raise_error(F.lit("no tiles to sample from")).cast("long"))
-    fallback = F.array(F.struct(F.col("least.slide_id").alias("slide_id"), some.alias("n")))
-    return taken.select(F.inline(F.when(F.size("taken") > 0, F.col("taken")).otherwise(fallback)))
+    spark = df.sparkSession
+    hashed = F.lit(0).cast("long") if seed is None else F.xxhash64(F.lit(seed), "slide_id")
+    slides = tiles_per_slide(df).select(F.struct(hashed.alias("h"), "slide_id").alias("at"), "slide_id", "n")
+    ranged = slides.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "at").withColumn("part", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rest, taken, last, many = max_tiles, F.lit(False), None, False
+        few: list[tuple[str | None, int]] = []
+        while True:
+            behind = F.lit(True) if last is None else F.col("at") > last
+            left = ranged.filter(behind & (F.col("n") <= rest))
+            sums = left.groupBy("part").agg(F.sum("n").alias("n"), F.count("*").alias("k")).orderBy("part").collect()  # a row for each range
+            if sum(r.k for r in sums) <= _FEW:
+                for r in left.orderBy("at").select("slide_id", "n").collect():
+                    if r.n <= rest:
+                        few.append((r.slide_id, r.n))
+                        rest -= r.n
+                break
+            before, part, many = 0, None, True
+            for r in sums:
+                if before + r.n > rest:
+                    part = r.part
+                    break
+                before += r.n
+            if part is None:
+                taken, rest = taken | (behind & (F.col("n") <= rest)), rest - before
+                break
+            running = left.filter(F.col("part") == part).withColumn("sum", F.sum("n").over(W.partitionBy("part").orderBy("at")) + before)
+            over = running.filter(F.col("sum") > rest).agg(F.min(F.struct("at", "sum", "n")).alias("first")).first()["first"]
+            skipped = F.struct(F.lit(over["at"]["h"]).cast("long").alias("h"), F.lit(over["at"]["slide_id"]).cast("string").alias("slide_id"))
+            taken = taken | (behind & (F.col("n") <= rest) & (F.col("at") < skipped))
+            rest, last = rest - (over["sum"] - over["n"]), skipped
+        if not few and rest == max_tiles:
+            least = ranged.agg(F.min(F.struct("n", "slide_id")).alias("s")).first()["s"]
+            if least is None:
+                raise ValueError("no tiles to sample from")
+            few = [(least["slide_id"], least["n"])]
+    finally:
+        ranged.unpersist()
+    out = spark.createDataFrame(few, "slide_id string, n long")
+    return slides.filter(taken).select("slide_id", "n").unionByName(out) if many else out
 
 
 def smallest_slide(df: DataFrame) -> DataFrame:

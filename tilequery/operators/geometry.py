@@ -20,10 +20,12 @@ from pyspark.sql import types as T
 from tilequery.functions.columns import half_even
 
 from .tiles import KEY
-from .union import edges_near, union_areas
+from .union import edges_near, ranges, union_areas
 
 #: Tiles along a side of the blocks that a polygon is sent to at once.
 BLOCK = 16
+#: Cells along a side of the blocks in which windows and maps are summed, and rows of a band of runs.
+SIDE, BAND = 256, 64
 NO_CLASS = 255
 
 
@@ -279,7 +281,7 @@ def polygon_coverage(tiles: DataFrame, polygons: DataFrame, slides: DataFrame) -
 
 
 def rasterise_rectangles(rectangles: DataFrame, scale: float = 56.0) -> DataFrame:
-    """``(slide_id, cell_x, cell_y, value)`` from ``(slide_id, class_index, left, top, right, bottom)``: the largest class index of a cell wins."""
+    """``(slide_id, cell_x, cell_y, value)`` from ``(slide_id, class_index, left, top, right, bottom)``: the largest class index of a cell wins. A side that is null, or of no length, gives the one cell where it begins, or none; repeated rectangles change nothing."""
 
     def cells(low: str, high: str) -> Column:
         return F.explode(F.sequence(F.floor(F.col(low) / scale).cast("int"), F.greatest(F.floor(F.col(low) / scale), F.ceil(F.col(high) / scale) - 1).cast("int")))
@@ -287,77 +289,134 @@ def rasterise_rectangles(rectangles: DataFrame, scale: float = 56.0) -> DataFram
     return rectangles.withColumn("cell_x", cells("left", "right")).withColumn("cell_y", cells("top", "bottom")).groupBy("slide_id", "cell_x", "cell_y").agg(F.max("class_index").alias("value"))
 
 
-def _inside(ring: np.ndarray, y: float) -> list[tuple[float, float]]:
-    """Where a horizontal line is inside a ring."""
-    a, b = ring, np.roll(ring, -1, axis=0)
-    crosses = (a[:, 1] <= y) != (b[:, 1] <= y)
-    a, b = a[crosses], b[crosses]
-    at = np.sort(a[:, 0] + (y - a[:, 1]) * (b[:, 0] - a[:, 0]) / (b[:, 1] - a[:, 1]))
-    return list(zip(at[::2].tolist(), at[1::2].tolist(), strict=True))
+def _spans(rings: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(ring, row, first, last) of the cells whose centre lies inside each ring, for all rows of all rings at once."""
+    size = np.array([len(r) for r in rings], np.int64)
+    a = np.concatenate(rings) if rings else np.zeros((0, 2))
+    start = np.cumsum(size) - size
+    after = np.arange(len(a)) + 1
+    after[(start + size - 1)[size > 0]] = start[size > 0]
+    b, ring = a[after], np.repeat(np.arange(len(size)), size)
+    low, high = np.minimum(a[:, 1], b[:, 1]), np.maximum(a[:, 1], b[:, 1])
+    edge, row = ranges(np.ceil(low - 0.5).astype(np.int64), np.ceil(high - 0.5).astype(np.int64))  # rows whose middle is in [low, high)
+    y = row + 0.5
+    x = a[edge, 0] + (y - a[edge, 1]) * (b[edge, 0] - a[edge, 0]) / (b[edge, 1] - a[edge, 1])
+    order = np.lexsort((x, row, ring[edge]))  # a ring meets a line an even number of times: from a crossing to the next is inside
+    ring, row, x = ring[edge][order][::2], row[order][::2], x[order]
+    first, last = np.ceil(x[::2] - 0.5).astype(np.int64), np.ceil(x[1::2] - 0.5).astype(np.int64) - 1
+    some = last >= first
+    return ring[some], row[some], first[some], last[some]
+
+
+def _topmost(spans: pa.Table) -> pa.Table:
+    """Of the spans of some rows of a slide the runs of cells with one value, where the span drawn last is seen."""
+    row, first, last = (spans.column(c).to_numpy().astype(np.int64) for c in ("cell_y", "first", "last"))
+    drawn = np.lexsort(tuple(spans.column(c).to_numpy() for c in ("hole", "polygon", "class_index")))
+    rank = np.empty(len(drawn), np.int64)
+    rank[drawn] = np.arange(len(drawn))
+    # Between two neighbouring ends of spans in a row nothing changes; each span covers a range of these pieces.
+    rows, ends = np.tile(row, 2), np.r_[first, last + 1]
+    order = np.lexsort((ends, rows))
+    new = np.r_[True, (np.diff(rows[order]) != 0) | (np.diff(ends[order]) != 0)]
+    place = np.empty(len(ends), np.int64)
+    place[order] = np.cumsum(new) - 1
+    at, of = ends[order][new], rows[order][new]
+    span, piece = ranges(place[: len(row)], place[len(row) :])
+    top = np.full(len(at), -1)
+    np.maximum.at(top, piece, rank[span])
+    held = np.flatnonzero(top >= 0)
+    value = np.where(spans.column("hole").to_numpy() == 1, NO_CLASS, spans.column("class_index").to_numpy())[drawn][top[held]]
+    begin, end, of = at[held], at[held + 1], of[held]
+    joint = np.r_[False, (of[1:] == of[:-1]) & (begin[1:] == end[:-1]) & (value[1:] == value[:-1])]
+    s = np.flatnonzero(~joint)
+    e = np.r_[s[1:], len(end)] - 1
+    slide = spans.column("slide_id").take(pa.array(np.zeros(len(s), np.int64)))
+    return pa.Table.from_arrays([slide, *[pa.array(v, pa.int32()) for v in (of[s], begin[s], end[e] - 1, value[s])]], ["slide_id", "cell_y", "first", "last", "value"])
+
+
+def label_runs(polygons: DataFrame, scale: float = 1.0) -> DataFrame:
+    """``(slide_id, cell_y, first, last, value)``: runs of cells of one value in a row, whose centres polygons hold.
+
+    Classes are drawn by index, then by polygon, later over earlier; a hole sets its cells to ``NO_CLASS`` even over another
+    class. Spans meet by slide and band of ``BAND`` rows, as spans: no cell is made. A shape without points, or of no
+    height or width, has none; a null class or polygon is drawn first; equal shapes draw the same. No polygons give no rows.
+    """
+    names = ["slide_id", "class_index", "polygon", "hole", "cell_y", "first", "last"]
+
+    def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of, hole, rings = [], [], []
+            for i, shape in enumerate(batch.column("rings").to_pylist()):
+                for k, r in enumerate(shape or []):
+                    of.append(i)
+                    hole.append(min(k, 1))
+                    rings.append(np.array([p[:2] for p in r], float).reshape(-1, 2) / scale)
+            ring, *columns = _spans(rings)
+            own = pa.array(np.array(of, np.int64)[ring])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(own) for c in names[:3]], pa.array(np.array(hole, np.int64)[ring], pa.int32()), *[pa.array(c, pa.int32()) for c in columns]], names)
+
+    rows = polygons.select("slide_id", F.coalesce("class_index", F.lit(-1)).cast("int").alias("class_index"), F.coalesce("polygon", F.lit(-1)).cast("long").alias("polygon"), "rings")
+    drawn = rows.mapInArrow(spans, "slide_id string, class_index int, polygon long, hole int, cell_y int, first int, last int")
+    return drawn.groupBy("slide_id", F.floor(F.col("cell_y") / BAND).alias("band")).applyInArrow(_topmost, "slide_id string, cell_y int, first int, last int, value int")
 
 
 def rasterise_labels(polygons: DataFrame, scale: float = 1.0) -> DataFrame:
-    """Cells ``(slide_id, cell_x, cell_y, value)`` whose centre a polygon holds.
+    """:func:`label_runs` as cells ``(slide_id, cell_x, cell_y, value)``, each once."""
+    return label_runs(polygons, scale).select("slide_id", F.explode(F.sequence("first", "last")).alias("cell_x"), "cell_y", "value")
 
-    Classes are drawn by index, later over earlier; a hole sets its cells to ``NO_CLASS`` even over
-    another class. Spans of rows are found for each polygon by itself; the winner of a cell is an aggregate.
-    """
 
-    def spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for slide, index, polygon, rings in zip(batch["slide_id"], batch["class_index"], batch["polygon"], batch["rings"], strict=True):
-                for k, r in enumerate(rings):
-                    ring = np.array([list(p) for p in r], float) / scale
-                    for y in range(int(np.floor(ring[:, 1].min())), int(np.ceil(ring[:, 1].max()))):
-                        for low, high in _inside(ring, y + 0.5):
-                            first, last = int(np.ceil(low - 0.5)), int(np.ceil(high - 0.5)) - 1
-                            if last >= first:
-                                rows.append((slide, y, first, last, index, polygon, min(k, 1)))
-            yield pd.DataFrame(rows, columns=["slide_id", "cell_y", "first", "last", "class_index", "polygon", "hole"])
+def _summed(grid: np.ndarray) -> np.ndarray:
+    """Summed-area table with a first row and column of zeros."""
+    return np.pad(grid.cumsum(0).cumsum(1), ((1, 0), (1, 0)))
+
 
-    drawn = polygons.select("slide_id", "class_index", "polygon", "rings").mapInPandas(spans, "slide_id string, cell_y int, first int, last int, class_index int, polygon long, hole int")
-    cells = drawn.withColumn("cell_x", F.explode(F.sequence("first", "last")))
-    value = F.when(F.col("hole") == 1, NO_CLASS).otherwise(F.col("class_index"))
-    return cells.groupBy("slide_id", "cell_x", "cell_y").agg(F.max_by(value, F.struct("class_index", "polygon", "hole")).alias("value"))
+def _corners(table: np.ndarray, x: np.ndarray, y: np.ndarray, w: int, h: int) -> np.ndarray:
+    return table[x + w, y + h] - table[x, y + h] - table[x + w, y] + table[x, y]
+
+
+def _read_windows(keys: tuple, windows: pa.Table, cells: pa.Table) -> pa.Table:
+    """Coverage of the windows that begin in a block, from four corners of its summed-area table each."""
+    names = [*KEY, "mask", "tile_coverage", "roi_coverage"]
+    if not windows.num_rows:
+        return pa.table({c: pa.array([], t) for c, t in zip(names, (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.float64(), pa.float64()), strict=True)})
+    w, h, side_x, side_y = (windows.column(c)[0].as_py() for c in ("wx", "wy", "side_x", "side_y"))
+    left, top = keys[2].as_py() * side_x, keys[3].as_py() * side_y
+    grid = np.zeros((side_x + w, side_y + h), np.int64)
+    if cells.num_rows:
+        np.add.at(grid, (cells.column("cell_x").to_numpy() - left, cells.column("cell_y").to_numpy() - top), 1)
+    table, x, y = _summed(grid), windows.column("ox").to_numpy() - left, windows.column("oy").to_numpy() - top
+    hw, hh = max(1, w // 2), max(1, h // 2)
+    found = _corners(table, x, y, w, h) / (w * h), _corners(table, x + w // 4, y + h // 4, hw, hh) / (hw * hh)
+    return pa.Table.from_arrays([*[windows.column(c) for c in names[:4]], *[pa.array(v) for v in found]], names)
 
 
 def mask_coverage(tiles: DataFrame, slides: DataFrame, sizes: DataFrame, cells: DataFrame) -> DataFrame:
     """``(slide_id, x, y, mask, tile_coverage, roi_coverage)``: share of a window's cells above 0, for each mask of the slide.
 
     Scale is mask size over slide extent, for each mask and axis. Windows are cut at the mask's edge but
-    divided by their whole area. Windows and cells meet by blocks as large as the windows of their slide and mask, so a window meets four blocks at
-    most and the join is on equal keys. Tiles of slides without masks have no row; cells that repeat count as often.
+    divided by their whole area. A block of the mask (``SIDE`` cells, or a window if that is larger) holds the windows that begin in it and the cells up to a
+    window beyond it, so a window needs one block; there it reads four corners of a summed-area table. Tiles of slides without masks have no
+    row; cells that repeat count as often, null cells never; repeated tiles stay repeated.
     """
     info = slides.select(F.col("id").alias("slide_id"), "extent_x", "extent_y", "tile_extent_x", "tile_extent_y").join(sizes, "slide_id")
     for a, m in (("x", "mask_w"), ("y", "mask_h")):
         info = info.withColumn(f"scale_{a}", F.col(m) / F.col(f"extent_{a}"))
         info = info.withColumn(f"w{a}", F.greatest(F.lit(1), half_even(F.col(f"tile_extent_{a}") * F.col(f"scale_{a}")).cast("int")))
-    info = info.select("slide_id", "mask", "mask_w", "mask_h", "scale_x", "scale_y", "wx", "wy")
-    t = tiles.select(*KEY).join(info, "slide_id")
-    for a in ("x", "y"):
-        t = t.withColumn(f"o{a}", half_even(F.col(a) * F.col(f"scale_{a}")).cast("int"))
-    size, half = {a: F.col(f"w{a}") for a in "xy"}, {a: F.greatest(F.lit(1), F.floor(F.col(f"w{a}") / 2)) for a in "xy"}
-    lit = cells.filter("value > 0").join(info.select("slide_id", "mask", "mask_w", "mask_h", "wx", "wy"), ["slide_id", "mask"]).filter("cell_x < mask_w AND cell_y < mask_h")
-    lit = lit.select("slide_id", "mask", "cell_x", "cell_y", *[F.floor(F.col(f"cell_{a}") / size[a]).cast("int").alias(f"b{a}") for a in "xy"])
-    first = {a: F.floor(F.col(f"o{a}") / size[a]).cast("int") for a in "xy"}
-    windows = t.select(*KEY, "mask", "wx", "wy", "ox", "oy", *[F.array_distinct(F.array(first[a], F.floor((F.col(f"o{a}") + size[a] - 1) / size[a]).cast("int"))).alias(f"b{a}") for a in "xy"])
-    windows = windows.withColumn("bx", F.explode("bx")).withColumn("by", F.explode("by"))
-
-    def within(start: dict[str, Column], width: dict[str, Column]) -> Column:
-        x, y = ((F.col(f"cell_{a}") >= start[a]) & (F.col(f"cell_{a}") < start[a] + width[a]) for a in "xy")
-        return x & y
-
-    roi = {a: F.col(f"o{a}") + F.floor(size[a] / 4) for a in "xy"}
-    hits = windows.join(lit, ["slide_id", "mask", "bx", "by"]).filter(within({a: F.col(f"o{a}") for a in "xy"}, size))
-    counted = hits.groupBy(*KEY, "mask").agg(F.count("*").alias("n"), F.count_if(within(roi, half)).alias("rn"))
-    area = t.select(*KEY, "mask", (size["x"] * size["y"]).alias("area"), (half["x"] * half["y"]).alias("roi_area"))
-    out = area.join(counted, [*KEY, "mask"], "left").fillna(0, ["n", "rn"])
-    return out.select(*KEY, "mask", (F.col("n") / F.col("area")).alias("tile_coverage"), (F.col("rn") / F.col("roi_area")).alias("roi_coverage"))
+        info = info.withColumn(f"side_{a}", F.greatest(F.lit(SIDE), F.col(f"w{a}")))
+    info = info.select("slide_id", "mask", "mask_w", "mask_h", "scale_x", "scale_y", "wx", "wy", "side_x", "side_y")
+    windows, lit = tiles.select(*KEY).join(info, "slide_id"), cells.filter("value > 0").join(info, ["slide_id", "mask"]).filter("cell_x BETWEEN 0 AND mask_w - 1 AND cell_y BETWEEN 0 AND mask_h - 1")
+    for a in "xy":
+        side, cell = F.col(f"side_{a}"), F.col(f"cell_{a}")
+        windows = windows.withColumn(f"o{a}", half_even(F.col(a) * F.col(f"scale_{a}")).cast("int")).withColumn(f"b{a}", F.floor(F.col(f"o{a}") / side).cast("int"))
+        lit = lit.withColumn(f"b{a}", F.explode(F.sequence(F.floor((cell - F.col(f"w{a}") + 1) / side).cast("int"), F.floor(cell / side).cast("int"))))
+    block = ["slide_id", "mask", "bx", "by"]
+    windows = windows.select(*KEY, "mask", "wx", "wy", "side_x", "side_y", "ox", "oy", "bx", "by")
+    met = windows.groupBy(*block).cogroup(lit.select(*block, "cell_x", "cell_y").groupBy(*block))
+    return met.applyInArrow(_read_windows, "slide_id string, x int, y int, mask string, tile_coverage double, roi_coverage double")
 
 
 def mask_coverage_multi(coverage: DataFrame, masks: list[str]) -> DataFrame:
-    """A pair of columns for each mask, from the long form."""
+    """A pair of columns for each mask, from the long form; nulls where a tile has no row of a mask. Other masks and repeated rows (of which any is taken) add nothing; no rows give none."""
     wide = coverage.groupBy(*KEY).pivot("mask", masks).agg(F.first("tile_coverage").alias("t"), F.first("roi_coverage").alias("r"))
     return wide.select(*KEY, *[F.col(f"{m}_{k}").alias(f"{name}_{m}_coverage") for m in masks for k, name in (("t", "tile"), ("r", "roi"))])
 
@@ -378,40 +437,103 @@ def _gcd(a: Column, b: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(46)), pair, lambda acc, _: F.when(acc["b"] == 0, acc).otherwise(F.struct(acc["b"].alias("a"), (acc["a"] % F.nullif(acc["b"], F.lit(0))).alias("b"))))["a"].cast("int")
 
 
-def covered_cells(tiles: DataFrame, slides: DataFrame) -> DataFrame:
-    """Each tile once for each map cell under it. A cell's sides are the gcd of the slide's stride and tile; a last strip of the extent that is narrower than a cell is left out."""
+def _map_blocks(tiles: DataFrame, slides: DataFrame, columns: list[Column], names: list[str]) -> DataFrame:
+    """Each tile once for each block of ``SIDE`` by ``SIDE`` map cells it touches, most often one: its range of cells there.
+
+    A cell's sides are the gcd of the slide's stride and tile; a last strip of the extent that is narrower than a cell is left out.
+    """
     sides = slides.select(F.col("id").alias("slide_id"), *[_gcd(F.col(f"stride_{a}"), F.col(f"tile_extent_{a}")).alias(f"_side_{a}") for a in "xy"], *[F.col(f"{c}_{a}").alias(f"_{c}_{a}") for c in ("tile_extent", "extent") for a in "xy"])
-    out = tiles.join(sides, "slide_id")
+    out = tiles.select(*KEY, *[c.alias(n) for c, n in zip(columns, names, strict=True)]).join(sides, "slide_id")
     for a in "xy":
         side = F.col(f"_side_{a}")
-        first = F.floor(F.col(a) / side).cast("int")
-        last = F.least(first + (F.col(f"_tile_extent_{a}") / side).cast("int"), F.floor(F.col(f"_extent_{a}") / side).cast("int")) - 1
-        out = out.withColumn(f"cell_{a}", F.explode(F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))))
-    return out.drop(*[c for c in sides.columns if c != "slide_id"])
+        first = F.greatest(F.lit(0), F.floor(F.col(a) / side)).cast("int")
+        end = F.least(F.floor(F.col(a) / side) + F.col(f"_tile_extent_{a}") / side, F.floor(F.col(f"_extent_{a}") / side)).cast("int")
+        out = out.withColumn(f"first_{a}", first).withColumn(f"end_{a}", end).filter(F.col(f"end_{a}") > F.col(f"first_{a}"))
+    for a in "xy":
+        out = out.withColumn(f"b{a}", F.explode(F.sequence(F.floor(F.col(f"first_{a}") / SIDE).cast("int"), F.floor((F.col(f"end_{a}") - 1) / SIDE).cast("int"))))
+    return out.select("slide_id", "bx", "by", "first_x", "end_x", "first_y", "end_y", *names)
+
+
+def _fused(rows: pa.Table, keys: tuple, names: list[str], side: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(cell_x, cell_y, sums of the columns) of a block's cells under a tile: a tile adds at its first corner and takes away behind its sides; running sums both ways give the cells."""
+    corner = [int(k.as_py()) * side for k in keys[1:3]]
+    at = [np.clip(rows.column(c).to_numpy() - corner[i], 0, side) for i, c in enumerate(("first_x", "first_y"))]
+    to = [np.clip(rows.column(c).to_numpy() - corner[i], 0, side) for i, c in enumerate(("end_x", "end_y"))]
+
+    def spread(v: np.ndarray) -> np.ndarray:
+        d = np.zeros((side + 1, side + 1), v.dtype)
+        for x, y, sign in ((at[0], at[1], 1), (to[0], at[1], -1), (at[0], to[1], -1), (to[0], to[1], 1)):
+            np.add.at(d, (x, y), sign * v)
+        return d.cumsum(0).cumsum(1)
+
+    tiles = spread(np.ones(rows.num_rows, np.int64))
+    x, y = np.nonzero(tiles[:side, :side] > 0)
+    return x + corner[0], y + corner[1], [spread(rows.column(c).to_numpy())[x, y] for c in names]
+
+
+#: Shares are added up as whole multiples of 2**-40: exact, whatever the order of tiles, and nothing is left over where they are taken away again.
+_UNIT = 1 << 40
+
+
+def _units(column: str) -> Column:
+    return F.coalesce(F.round(F.nanvl(F.col(column).cast("double"), F.lit(0.0)) * _UNIT), F.lit(0)).cast("long")
+
+
+def _present(column: str) -> Column:
+    return (F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double"))).cast("long")
+
+
+def _cells_of(keys: tuple, x: np.ndarray, y: np.ndarray, **values: pa.Array) -> pa.Table:
+    return pa.table({"slide_id": pa.array([keys[0].as_py()] * len(x), pa.string()), "cell_x": pa.array(x, pa.int32()), "cell_y": pa.array(y, pa.int32()), **values})
 
 
 def vote_map(predictions: DataFrame, classes: list[str], slides: DataFrame) -> DataFrame:
     """Per cell the class whose summed probability is largest (first of equals), coded by :func:`spread_lut`; cells without a tile have no row.
 
-    Sums are compared to nine places, so that their order does not decide between equals.
+    Probabilities count in units of 2**-40, null and NaN as 0; a cell whose sums are all 0 gets the first class. Repeated tiles vote as often. A tile is one row
+    in the shuffle for each block of cells it touches, however many cells it has.
     """
-    votes = covered_cells(predictions, slides)
-    sums = F.array(*[F.round(F.sum(f"prob_{c}"), 9) for c in classes])
-    best = votes.groupBy("slide_id", "cell_x", "cell_y").agg(sums.alias("s"))
-    lut = F.array(*map(F.lit, spread_lut(len(classes))))
-    return best.select("slide_id", "cell_x", "cell_y", F.element_at(lut, F.array_position("s", F.array_max("s")).cast("int")).alias("value"))
+    names, lut, side = [f"p{i}" for i in range(len(classes))], np.array(spread_lut(len(classes))), SIDE
+
+    def fuse(keys: tuple, rows: pa.Table) -> pa.Table:
+        x, y, sums = _fused(rows, keys, names, side)
+        return _cells_of(keys, x, y, value=pa.array(lut[np.argmax(sums, 0)], pa.int32()))
+
+    blocks = _map_blocks(predictions, slides, [_units(f"prob_{c}") for c in classes], names)
+    return blocks.groupBy("slide_id", "bx", "by").applyInArrow(fuse, "slide_id string, cell_x int, cell_y int, value int")
 
 
 def probability_map(predictions: DataFrame, classes: list[str], slides: DataFrame) -> DataFrame:
-    """Per cell and class the mean probability of its tiles times 255, clipped and cut to a whole number; nulls are left out of the mean."""
-    votes = covered_cells(predictions, slides)
-    level = [F.floor(F.greatest(F.lit(0.0), F.least(F.lit(255.0), F.round(F.avg(f"prob_{c}") * 255, 6)))).cast("int").alias(f"map_{c}") for c in classes]
-    return votes.groupBy("slide_id", "cell_x", "cell_y").agg(*level)
+    """Per cell and class the mean probability of its tiles times 255, clipped and cut to a whole number; null and NaN are left out of the mean, which is null without others.
+
+    Sums count in units of 2**-40 (half a unit above counts as reached), and cells have at most 2**15 tiles.
+    """
+    names, side = [f"{k}{i}" for i in range(len(classes)) for k in "pn"], SIDE
+
+    def fuse(keys: tuple, rows: pa.Table) -> pa.Table:
+        x, y, sums = _fused(rows, keys, names, side)
+        levels = {}
+        for c, total, n in zip(classes, sums[::2], sums[1::2], strict=True):
+            some = np.maximum(n, 1)
+            levels[f"map_{c}"] = pa.array(np.clip((255 * total + 128 * some) // (some * _UNIT), 0, 255), pa.int32(), mask=n == 0)
+        return _cells_of(keys, x, y, **levels)
+
+    blocks = _map_blocks(predictions, slides, [f(f"prob_{c}") for c in classes for f in (_units, _present)], names)
+    return blocks.groupBy("slide_id", "bx", "by").applyInArrow(fuse, f"slide_id string, cell_x int, cell_y int, {', '.join(f'`map_{c}` int' for c in classes)}")
 
 
 def scalar_map(tiles: DataFrame, column: str, slides: DataFrame) -> DataFrame:
-    """Per cell the mean of a column over its tiles."""
-    return covered_cells(tiles, slides).groupBy("slide_id", "cell_x", "cell_y").agg(F.round(F.avg(column), 9).alias("value"))
+    """Per cell the mean of a column over its tiles, to nine places; null and NaN are left out, and a cell without other values is null."""
+    side = SIDE
+
+    def fuse(keys: tuple, rows: pa.Table) -> pa.Table:
+        x, y, (total, n) = _fused(rows, keys, ["v", "n"], side)
+        return _cells_of(keys, x, y, value=pa.array(total / np.maximum(n, 1), pa.float64(), mask=n == 0))
+
+    value = F.coalesce(F.nanvl(F.col(column).cast("double"), F.lit(0.0)), F.lit(0.0))
+    blocks = _map_blocks(tiles, slides, [value, _present(column)], ["v", "n"])
+    cells = blocks.groupBy("slide_id", "bx", "by").applyInArrow(fuse, "slide_id string, cell_x int, cell_y int, value double")
+    return cells.withColumn("value", F.round("value", 9))
 
 
 def nearest_level(levels: DataFrame, target: float, doubled: DataFrame | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ import numpy as np
 _PAIRS = 1 << 21
 
 
-def _ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(which range, value) of all whole numbers in the half-open ranges."""
     n = np.maximum(end - start, 0)
     which = np.repeat(np.arange(len(n)), n)
@@ -31,7 +31,7 @@ def _crossings(e: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray
     cuts = np.searchsorted(np.cumsum(end - at - 1), np.arange(0, (end - at - 1).sum() + _PAIRS, _PAIRS))
     found = [np.zeros(0, np.int64)], [np.zeros(0)]
     for s, t in zip(cuts[:-1], cuts[1:], strict=True):
-        which, j = _ranges(at[s : t + 1] + 1, end[s : t + 1])
+        which, j = ranges(at[s : t + 1] + 1, end[s : t + 1])
         i = which + s
         low, high = np.maximum(e[0, i], e[0, j]), np.minimum(e[2, i], e[2, j])
         i, j, low, high = (v[low < high] for v in (i, j, low, high))
@@ -73,7 +73,7 @@ def union_areas(edges: np.ndarray, shape: np.ndarray, owner: np.ndarray, boxes:
     place = np.empty(len(xs), np.int64)
     place[order] = np.cumsum(new) - 1
     at, of = xs[order][new], owners[order][new]
-    edge, slab = _ranges(place[:m], place[m : 2 * m])
+    edge, slab = ranges(place[:m], place[m : 2 * m])
     y = np.clip(_height(e[:, edge], (at[slab] + at[slab + 1]) / 2), box[1, edge], box[3, edge])
     order = np.lexsort((y, shape[edge], slab))
     edge, slab, y = edge[order], slab[order], y[order]

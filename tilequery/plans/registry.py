@@ -677,8 +677,16 @@ def rasterise_rectangles(spark, sf):
     return geometry.rasterise_rectangles(_t(spark, sf, "squares").withColumn("class_index", F.when(F.lower("name") == "nerve", 0).otherwise(1)))
 
 
-@query(f"""SELECT slide_id, CAST(cx AS INT) AS cell_x, CAST(cy AS INT) AS cell_y, max(class_index) AS value FROM (SELECT slide_id, class_index, cx, unnest(range(CAST(ceil(top / 56.0 - 0.5) AS BIGINT), CAST(ceil(bottom / 56.0 - 0.5) AS BIGINT))) AS cy FROM
-(SELECT *, unnest(range(CAST(ceil("left" / 56.0 - 0.5) AS BIGINT), CAST(ceil("right" / 56.0 - 0.5) AS BIGINT))) AS cx FROM ({MAPPED}))) GROUP BY ALL""", "squares")
+LABEL_CELLS = f"""SELECT slide_id, CAST(cx AS INT) AS cell_x, CAST(cy AS INT) AS cell_y, max(class_index) AS value FROM (SELECT slide_id, class_index, cx, unnest(range(CAST(ceil(top / 56.0 - 0.5) AS BIGINT), CAST(ceil(bottom / 56.0 - 0.5) AS BIGINT))) AS cy FROM
+(SELECT *, unnest(range(CAST(ceil("left" / 56.0 - 0.5) AS BIGINT), CAST(ceil("right" / 56.0 - 0.5) AS BIGINT))) AS cx FROM ({MAPPED}))) GROUP BY ALL"""
+
+
+@query(f"SELECT slide_id, cell_y, min(cell_x) AS first, max(cell_x) AS last, value FROM (SELECT *, cell_x - row_number() OVER (PARTITION BY slide_id, cell_y, value ORDER BY cell_x) AS run FROM ({LABEL_CELLS})) GROUP BY slide_id, cell_y, value, run", "squares")
+def label_runs(spark, sf):
+    return geometry.label_runs(geometry.flatten_annotations(_documents(spark, sf), _mapping(spark)), 56.0)
+
+
+@query(LABEL_CELLS, "squares")
 def rasterise_labels(spark, sf):
     return geometry.rasterise_labels(geometry.flatten_annotations(_documents(spark, sf), _mapping(spark)), 56.0)
 
@@ -707,12 +715,12 @@ def remap_cells(spark, sf):
 CELLS = "SELECT slide_id, CAST(x // 112 AS INT) + dx AS cell_x, CAST(y // 112 AS INT) + dy AS cell_y, p.* EXCLUDE (slide_id, x, y) FROM {t} p, (VALUES (0), (1)) a(dx), (VALUES (0), (1)) b(dy) WHERE x // 112 + dx < 8 AND y // 112 + dy < 257"
 
 
-@query("WITH c AS (" + CELLS.format(t="predictions") + "), v AS (SELECT slide_id, cell_x, cell_y, round(sum(prob_A), 9) AS a, round(sum(prob_N), 9) AS n, round(sum(prob_R), 9) AS r FROM c GROUP BY ALL) SELECT slide_id, cell_x, cell_y, CASE WHEN a >= n AND a >= r THEN 85 WHEN n >= r THEN 170 ELSE 255 END AS value FROM v", "predictions")
+@query("WITH c AS (" + CELLS.format(t="predictions") + "), v AS (SELECT slide_id, cell_x, cell_y, sum(round(prob_A * 1099511627776)) AS a, sum(round(prob_N * 1099511627776)) AS n, sum(round(prob_R * 1099511627776)) AS r FROM c GROUP BY ALL) SELECT slide_id, cell_x, cell_y, CASE WHEN a >= n AND a >= r THEN 85 WHEN n >= r THEN 170 ELSE 255 END AS value FROM v", "predictions")
 def vote_map(spark, sf):
     return geometry.vote_map(_t(spark, sf, "predictions"), CLASSES, _t(spark, sf, "slides"))
 
 
-@query("WITH c AS (" + CELLS.format(t="predictions") + ") SELECT slide_id, cell_x, cell_y, " + ", ".join(f"CAST(floor(round(avg(prob_{c}) * 255, 6)) AS INT) AS map_{c}" for c in CLASSES) + " FROM c GROUP BY ALL", "predictions")
+@query("WITH c AS (" + CELLS.format(t="predictions") + ") SELECT slide_id, cell_x, cell_y, " + ", ".join(f"CAST((255 * sum(CAST(round(prob_{c} * 1099511627776) AS BIGINT)) + 128 * count(*)) // (count(*) * 1099511627776) AS INT) AS map_{c}" for c in CLASSES) + " FROM c GROUP BY ALL", "predictions")
 def probability_map(spark, sf):
     return geometry.probability_map(_t(spark, sf, "predictions"), CLASSES, _t(spark, sf, "slides"))
 
