@@ -10,11 +10,12 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
-from tilequery.llm import clusters, spelling, suffix, token_files
+from tilequery.llm import clusters, lm, spelling, suffix, token_files
 
 SF = "/root/testdata/sf0.001"
 JSON = P.path("byte_bpe_50k.json")
@@ -217,3 +218,41 @@ def test_near_equal_windows_stay(spark):
     df = spark.createDataFrame(list(enumerate(sorted(rows))) + [(20_000, base)], "doc_id long, text string")
     got = {r.doc_id: r.n_removed for r in suffix.drop_repeats(df).collect()}
     assert got.pop(20_000) == 50 and set(got.values()) == {0} and len(got) == len(rows)
+
+
+def test_counts_beyond_32_bits():
+    """A range adds up what chunks count, also above 2**32."""
+    keys, counts = np.array([5, 9], "<u8"), np.array([4_000_000_000, 1], "<u4")
+    asked = pa.table({"range": [3] * 3, "chunk": [1, 2, 3], "keys": [lm.planes(keys)] * 3, "n": [2] * 3, "counts": [lm.squeezed(counts)] * 3})
+    told = lm._answer(asked)
+    assert all(lm.unsqueezed(c, 2, "<u8").tolist() == [12_000_000_000, 3] for c in told.column("counts").to_pylist())
+    assert sum(told.column("tokens").to_pylist()) == 12_000_000_003 and sum(told.column("types").to_pylist()) == 2
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_automaton_step_by_step(order):
+    """Each token's probability by following arcs one text at a time, and pieces of any length read as whole texts do."""
+    draw = random.Random(order)
+    texts = [" ".join(draw.choice("abcdef") for _ in range(draw.choice([0, 1, 3, 40]))) for _ in range(30)]
+    train = [[*t.split(), ""] for t in texts[:20]]
+    seen = Counter()
+    for t in train:
+        line = ["", *t]
+        for n in range(1, order + 1):
+            for i in range(1, len(line)):
+                if i - n + 1 >= 0:
+                    seen[tuple(line[i - n + 1 : i + 1])] += 1
+    tokens, types = sum(map(len, train)), len({w for t in train for w in t})
+
+    def p(history, word):
+        if not history:
+            return (seen[(word,)] + 0.5) / (tokens + 0.5 * (types + 1))
+        return (seen[(*history, word)] + 2.0 * p(history[1:], word)) / (seen[history] + 2.0)
+
+    grams = lm.Grams([t.encode() for t in texts], order)
+    own = lm.Grams([t.encode() for t in texts[:20]], order)
+    counts = [np.array([dict(zip(own.keys[n].tolist(), np.bincount(own.which[n]).tolist(), strict=True)).get(k, 0) for k in grams.keys[n].tolist()], "<u8") for n in range(order)]
+    automaton = lm.Automaton(grams, counts, tokens, types, 2.0)
+    want = [np.log10(p(tuple(["", *t.split(), ""][max(0, i - order + 2) : i + 1]) if order > 1 else (), [*t.split(), ""][i])) for t in texts for i in range(len(t.split()) + 1)]
+    for piece in (1, 2, 7, 256):
+        assert automaton.read(grams.sizes, piece) == pytest.approx(np.array(want), rel=1e-9)

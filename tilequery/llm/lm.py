@@ -115,8 +115,8 @@ def _answer(table: pa.Table) -> pa.Table:
     new = np.r_[True, keys[order[1:]] != keys[order[:-1]]]
     group = np.cumsum(new) - 1
     total = np.bincount(group, counts[order])
-    whole = np.empty(len(keys), "<u4")
-    whole[order] = np.minimum(total[group], 2**32 - 1)
+    whole = np.empty(len(keys), "<u8")
+    whole[order] = total[group].astype(np.uint64)
     cuts = np.cumsum([0, *n]).tolist()
     first = [1] + [0] * (len(n) - 1)
     return pa.table({
@@ -125,22 +125,92 @@ def _answer(table: pa.Table) -> pa.Table:
     })
 
 
+class Automaton:
+    """States, arcs and failure arcs for the n-grams of some texts.
+
+    An n-gram that training has is the arc of its last word from the state of the words before; below the highest order it is a state too. State 0 has no
+    words. ``arcs[n, i]`` is the arc that token i could take from a state of n words, the last number (never seen) where there is none.
+    """
+
+    def __init__(self, grams: Grams, counts: list[np.ndarray], tokens: int, types: int, strength: float) -> None:
+        order, sizes = len(counts), [len(k) for k in grams.keys]
+        offset = np.r_[0, np.cumsum(sizes)]
+        none, length = int(offset[-1]), len(grams.which[0])
+        count = np.concatenate([*[c.astype(float) for c in counts], [0.0]])
+        self.seen = count > 0
+        self.arcs = np.full((order, length), none, np.int64)
+        for n in range(order):
+            self.arcs[n, grams.places[n]] = offset[n] + grams.which[n]
+        #: Before a text stands an end token, seen as often as the one after it.
+        self.begin = int(self.arcs[0, grams.sizes[0] - 1]) if length else none
+        z = tokens + 0.5 * (types + 1)
+        p = np.full(none + 1, 0.5 / z)
+        p[: sizes[0]] = (count[: sizes[0]] + 0.5) / z
+        after, fail = np.zeros(none + 1, np.int64), np.zeros(none + 1, np.int64)
+        starts = np.cumsum(grams.sizes) - grams.sizes
+        for n in range(order):
+            own = np.arange(offset[n], offset[n + 1])
+            if n:
+                place = np.empty(sizes[n], np.int64)
+                place[grams.which[n]] = grams.places[n]
+                shorter = self.arcs[n - 1, place]  # without the first word; what training has, it has without a word too
+                history = self.arcs[n - 1, np.maximum(place - 1, 0)]
+                if n == 1:
+                    history[np.isin(place, starts)] = self.begin
+                p[own] = (count[own] + strength * p[shorter]) / (count[history] + strength)
+            after[own] = own + 1 if n < order - 1 else shorter + 1 if n else 0
+            if 0 < n < order - 1:
+                fail[own + 1] = shorter + 1
+        self.weight, self.after, self.fail = np.log10(p), after, fail
+        self.words = np.r_[0, np.repeat(np.arange(1, order), sizes[: order - 1])]  # of each state
+        self.loss = np.r_[0.0, np.log10(strength / (count[: len(self.words) - 1] + strength))]
+
+    def read(self, sizes: np.ndarray, piece: int = 256) -> np.ndarray:
+        """log10 probability of each token, the texts read from left to right."""
+        order = len(self.arcs)
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
+        text, k = ranges(np.zeros(len(sizes), np.int64), -(-sizes // piece))
+        first = starts[text] + k * piece
+        last = np.minimum(first + piece, ends[text])
+        at = np.maximum(first - (order - 1), starts[text])
+        begin = self.begin + 1 if order > 1 and self.seen[self.begin] else 0
+        state = np.where(at == starts[text], begin, 0)
+        out = np.zeros(self.arcs.shape[1])
+        while len(at):
+            arc = self.arcs[self.words[state], at]
+            for _ in range(order):
+                lost = np.flatnonzero(~self.seen[arc] & (state > 0))
+                if not len(lost):
+                    break
+                own = lost[at[lost] >= first[lost]]  # each token is read for its score once
+                out[at[own]] += self.loss[state[own]]
+                state[lost] = self.fail[state[lost]]
+                arc[lost] = self.arcs[self.words[state[lost]], at[lost]]
+            own = at >= first
+            out[at[own]] += self.weight[arc[own]]
+            state = np.where(self.seen[arc], self.after[arc], 0)
+            at = at + 1
+            if (at == last).any():
+                go = at < last
+                at, state, first, last = at[go], state[go], first[go], last[go]
+        return out
+
+
+def ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which range, value) of all whole numbers in the half-open ranges."""
+    n = end - start
+    which = np.repeat(np.arange(len(n)), n)
+    return which, np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + start[which]
+
+
 def text_scores(grams: Grams, counts: list[np.ndarray], tokens: int, types: int, strength: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(known tokens, base score, score) of each text, given how often training has the distinct n-grams."""
     text = np.repeat(np.arange(len(grams.sizes)), grams.sizes)
-    z = tokens + 0.5 * (types + 1)
     seen = counts[0][grams.which[0]].astype(float)
-    p = (seen + 0.5) / z
-    base = np.log10(p)
-    state = np.roll(seen, 1)
-    state[np.cumsum(grams.sizes) - grams.sizes] = seen[grams.sizes[0] - 1]  # the end token before a text was seen as often as the one after it
-    for n in range(1, len(counts)):
-        at = grams.places[n]
-        arc = np.zeros(len(p))
-        arc[at] = counts[n][grams.which[n]]
-        p[at] = (arc[at] + strength * p[at]) / (state[at] + strength)
-        state = np.roll(arc, 1)
-    return tuple(np.bincount(text, x, len(grams.sizes)) for x in (seen > 0, base, np.log10(p)))
+    base = np.log10((seen + 0.5) / (tokens + 0.5 * (types + 1)))
+    whole = Automaton(grams, counts, tokens, types, strength).read(grams.sizes)
+    return tuple(np.bincount(text, x, len(grams.sizes)) for x in (seen > 0, base, whole))
 
 
 def score(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, strength: float = STRENGTH) -> DataFrame:
@@ -164,8 +234,8 @@ def score(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str =
         grams = Grams(chunk_texts(row), order)
         found: list[list[np.ndarray]] = [[] for _ in range(order)]
         for r, n, packed in sorted(zip(*[answers.column(c).to_pylist() for c in ("range", "n", "counts")], strict=True)):
-            found[r >> bits].append(unsqueezed(packed, n, "<u4"))
-        counts = [np.concatenate([np.zeros(0, "<u4"), *x]) for x in found]
+            found[r >> bits].append(unsqueezed(packed, n, "<u8"))
+        counts = [np.concatenate([np.zeros(0, "<u8"), *x]) for x in found]
         known, base, whole = text_scores(grams, counts, tokens, types, strength)
         ids = rows.column("ids").combine_chunks().flatten()
         return pa.Table.from_arrays([ids, pa.array(grams.sizes.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array([tokens] * len(ids), pa.int64()), pa.array(base), pa.array(whole)], schema.names)
