@@ -387,7 +387,7 @@ def test_quotes(spark):
     out = {(r.conv_id, r.turn): r for r in quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
     assert out[1, 1].body == "Hi!" and (out[1, 1].parent_conv, out[1, 1].parent_turn) == (1, 0)
     assert (out[1, 2].n_quotes, out[1, 2].n_linked, out[1, 2].parent_turn, out[1, 2].thread_turn) == (2, 2, 1, 0)
-    assert (out[1, 3].n_quotes, out[1, 3].n_linked, out[1, 3].body) == (1, 0, "ok")
+    assert (out[1, 3].n_quotes, out[1, 3].n_linked, out[1, 3].body) == (1, 0, "> never said\nok")
     assert (out[2, 0].parent_conv, out[2, 0].thread_conv) == (1, 1)
     assert out[3, 0].body is None and out[3, 1].body == "" and len(out) == len(rows)
 

@@ -15,7 +15,7 @@ import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
-from tilequery.llm import clusters, lm, spelling, suffix, token_files
+from tilequery.llm import clusters, lm, quotes, spelling, suffix, token_files
 
 SF = "/root/testdata/sf0.001"
 JSON = P.path("byte_bpe_50k.json")
@@ -256,3 +256,11 @@ def test_automaton_step_by_step(order):
     want = [np.log10(p(tuple(["", *t.split(), ""][max(0, i - order + 2) : i + 1]) if order > 1 else (), [*t.split(), ""][i])) for t in texts for i in range(len(t.split()) + 1)]
     for piece in (1, 2, 7, 256):
         assert automaton.read(grams.sizes, piece) == pytest.approx(np.array(want), rel=1e-9)
+
+
+def test_lines_that_quote_nothing_stay(spark):
+    """Comparisons and redirections; but not what an attribution introduces, nor old levels below a quote that links."""
+    texts = ["Set x to > 3.\n> 5 is more than 4\nend", "$ ls\n> out.txt", "Ann wrote:\n> long lost words\nyes", "the original words", "> > older words\n> the original words\nreply", "> the original words\nok\n\n> a > b\nso"]
+    df = spark.createDataFrame([(1, i, "user", t) for i, t in enumerate(texts)], "conv_id long, turn int, role string, text string")
+    got = {r.turn: (r.body, r.n_linked, r.n_unlinked) for r in quotes.link_quotes(df).collect()}
+    assert got == {0: (texts[0], 0, 1), 1: (texts[1], 0, 1), 2: ("yes", 0, 1), 3: (texts[3], 0, 0), 4: ("reply", 1, 1), 5: ("ok\n\n> a > b\nso", 1, 1)}

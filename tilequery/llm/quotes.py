@@ -120,11 +120,11 @@ def link_quotes(df: DataFrame) -> DataFrame:
     number of parents up to it. A thread ordered by ``reply`` (0, 1, ...: by depth, conversation and turn) is the
     reply-ordered conversation: each parent comes before its replies.
 
-    Returns ``conv_id, turn, role, body, n_quotes, n_linked, parent_conv, parent_turn, thread_conv, thread_turn, depth, reply``,
+    Returns ``conv_id, turn, role, body, n_quotes, n_linked, n_unlinked, parent_conv, parent_turn, thread_conv, thread_turn, depth, reply``,
     one row for each row. Null text: null body, no quotes. Null id or turn: never linked, its own
-    thread. Repeated rows link alike; an empty table gives no rows. A quote of something unknown stays unlinked and is still
-    removed, but for lines of an interactive session (``>>>``), which are then no quotes. A line like "X wrote:" goes with the
-    quotation that it stands before. Other columns play no part. Ids and turns are whole numbers.
+    thread. Repeated rows link alike; an empty table gives no rows. Lines with ``>`` that link to nothing may be no quotes (a comparison, a shell's
+    redirection, an interactive session's ``>>>``), and no other message holds their words: they stay, but for deeper levels of a message that has a link, and for those that
+    a line like "X wrote:" introduces; such a line goes with its quotation. ``n_unlinked`` counts passages without a link. Other columns play no part. Ids and turns are whole numbers.
     """
     messages = df.select("conv_id", "turn", "role", "text").withColumn("row", F.monotonically_increasing_id())
     messages = written(messages, "messages")
@@ -155,7 +155,7 @@ def link_quotes(df: DataFrame) -> DataFrame:
     code = F.col("prompt") & F.col("parent").isNull()
     per = linked.groupBy("row").agg(
         F.count_if(~code).alias("n_quotes"), F.count("parent").alias("n_linked"), F.min(F.when((F.col("level") == 1) & F.col("parent").isNotNull(), F.struct("at", "parent"))).alias("up"),
-        F.collect_list(F.when(code, F.struct("at", "last"))).alias("code"),
+        F.collect_list(F.when(F.col("parent").isNull(), F.struct("at", "last", "level", "prompt"))).alias("code"),
     )
     per = written(per.select("row", "n_quotes", "n_linked", F.col("up.parent.conv_id").alias("parent_conv"), F.col("up.parent.turn").alias("parent_turn"), "code"), "parents")
 
@@ -183,13 +183,19 @@ def link_quotes(df: DataFrame) -> DataFrame:
         then = quote(after) | (F.coalesce(F.trim(after) == "", F.lit(False)) & quote(F.get(lines, i + 2)))
         return line.rlike(_ATTRIBUTION) & then & (F.coalesce("n_quotes", F.lit(0)) > 0)
 
+    loose = F.coalesce("code", F.array().cast("array<struct<at:int,last:int,level:int,prompt:boolean>>"))
+
+    def introduced(at: Column) -> Column:
+        before = F.get(lines, at - 1)
+        return F.coalesce(before.rlike(_ATTRIBUTION) | ((F.trim(before) == "") & F.get(lines, at - 2).rlike(_ATTRIBUTION)), F.lit(False))
+
     def stays(line: Column, i: Column) -> Column:
-        in_code = F.exists(F.coalesce("code", F.array().cast("array<struct<at:int,last:int>>")), lambda c: (i >= c["at"]) & (i <= c["last"]))
-        return in_code | ~(quote(line) | attributes(line, i))
+        kept = F.exists(loose, lambda c: (i >= c["at"]) & (i <= c["last"]) & (c["prompt"] | (((c["level"] == 1) | (F.col("n_linked") == 0)) & ~introduced(c["at"]))))
+        return kept | ~(quote(line) | attributes(line, i))
 
     body = F.when(F.col("text").rlike(_HAS_QUOTE), F.array_join(F.filter(lines, stays), "\n")).otherwise(F.col("text"))
     return out.select(
-        "conv_id", "turn", "role", body.alias("body"), F.coalesce("n_quotes", F.lit(0)).cast("long").alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"),
+        "conv_id", "turn", "role", body.alias("body"), F.coalesce("n_quotes", F.lit(0)).cast("long").alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"), F.size(loose).cast("long").alias("n_unlinked"),
         "parent_conv", "parent_turn", *thread, F.coalesce("reply", F.lit(0)).cast("long").alias("reply"),
     )
 
