@@ -33,7 +33,7 @@ def prediction_set(vectors: DataFrame, tissue: DataFrame, floor: float = 0.0) ->
 
 
 def class_weights(df: DataFrame, n_classes: int) -> DataFrame:
-    """``(target, n, weight)``: N / (K * max(n, 1)) for every class."""
+    """``(target, n, weight)``: N / (K * max(n, 1)) for every class. Null targets and those beyond the classes count in N only; an empty table gives null weights."""
     grid = df.sparkSession.range(0, n_classes, 1, 1).select(F.col("id").cast("int").alias("target"))
     counts = df.groupBy("target").agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n").alias("total"))
@@ -53,7 +53,7 @@ def fit_linear_probe(train: DataFrame, weight_decay: float, n_classes: int, max_
 
 
 def predict_probe(model, df: DataFrame, classes: list[str]) -> DataFrame:
-    """``slide_id, x, y, target, pred, prob_<class>``; classes behind the largest label seen have probability 0."""
+    """``slide_id, x, y, target, pred, prob_<class>``; classes behind the largest label seen have probability 0, of equals the first is predicted. A null vector raises; repeated rows stay repeated; no rows give none."""
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
     out = model.transform(df.withColumn("features", array_to_vector(F.col("embedding").cast("array<double>"))))
@@ -67,7 +67,7 @@ def predictions_table(df: DataFrame, classes: list[str], n: int) -> DataFrame:
 
 
 def confusion_matrix(df: DataFrame, n_classes: int) -> DataFrame:
-    """``(target, pred, n, share)`` of all K x K cells; shares are of the row, 0 in an empty row."""
+    """``(target, pred, n, share)`` of all K x K cells; shares are of the row, 0 in an empty row. Pairs with a null or another class are in no cell, but a null prediction counts in its row's share."""
     k = df.sparkSession.range(0, n_classes, 1, 1)
     grid = k.select(F.col("id").cast("int").alias("target")).withColumn("pred", F.explode(F.sequence(F.lit(0), F.lit(n_classes - 1))))
     counts = df.groupBy("target", "pred").agg(F.count("*").alias("n"))
@@ -77,7 +77,7 @@ def confusion_matrix(df: DataFrame, n_classes: int) -> DataFrame:
 
 
 def per_class_metrics(df: DataFrame, n_classes: int) -> DataFrame:
-    """``(class_index, accuracy, f1, support, predicted)``; accuracy is recall."""
+    """``(class_index, accuracy, f1, support, predicted)``; accuracy is recall. Pairs with a null or another class play no part; a class without any has zeros."""
     m = confusion_matrix(df, n_classes)
     hit = F.sum(F.when(F.col("target") == F.col("pred"), F.col("n")).otherwise(0))
     rows = m.groupBy("target").agg(hit.alias("tp"), F.sum("n").alias("support"))
@@ -104,7 +104,7 @@ def slide_accuracy_summary(df: DataFrame) -> DataFrame:
 
 
 def weighted_log_loss(df: DataFrame, classes: list[str]) -> DataFrame:
-    """Class-weighted cross-entropy over all rows: sum(w * loss) / sum(w)."""
+    """Class-weighted cross-entropy over all rows: sum(w * loss) / sum(w). Rows without a target, or of another class, play no part; a probability of 0 or null leaves its loss out; an empty table gives null."""
     weights = class_weights(df, len(classes)).select(F.col("target").alias("_t"), "weight")
     p = F.element_at(F.array(*[F.col(f"prob_{c}") for c in classes]), F.col("target") + 1)
     rows = df.join(F.broadcast(weights), F.col("target") == F.col("_t"))

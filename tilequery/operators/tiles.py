@@ -70,7 +70,7 @@ def select_folds(df: DataFrame, include: list[int] | None = None, exclude: list[
 
 
 def join_tissue(tiles: DataFrame, tissue: DataFrame) -> DataFrame:
-    """Annotated tiles with their tissue; both sides are filtered before the join."""
+    """Annotated tiles with their tissue; both sides are filtered before the join. A null in a key meets nothing; repeated keys multiply; no rows on a side give none."""
     return any_annotation(tiles).join(on_tissue(tissue), KEY)
 
 
@@ -292,7 +292,7 @@ def threshold_curves(tiles: DataFrame, tissue: DataFrame, classes: list[str], pr
 
 
 def metrics_table(df: DataFrame, split: str, metric: str) -> DataFrame:
-    """A one-row table of numbers as ``(split, metric, key, value)``."""
+    """A one-row table of numbers as ``(split, metric, key, value)``; a null number stays as a null value, further rows give further rows, an empty table none."""
     wide = df.select(*[F.col(c).cast("double") for c in df.columns])
     return wide.unpivot([], wide.columns, "key", "value").select(F.lit(split).alias("split"), F.lit(metric).alias("metric"), "key", "value")
 

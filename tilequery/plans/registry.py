@@ -99,6 +99,20 @@ def count_rows(spark, sf):
     return tiles.count_rows(_t(spark, sf, "tiles"), annotated=C.any_above(ROI))
 
 
+@query(f'SELECT slide_id, lower(name) AS name, CAST("left" AS DOUBLE) AS x0, CAST(top AS DOUBLE) AS y0, "right" AS x1, bottom AS y1, q.format FROM (SELECT s.*, CASE WHEN "left" % 3 = 0 THEN \'darwin\' ELSE \'geojson\' END AS format FROM squares s) q', "squares")
+def read_annotation_documents(spark, sf):
+    """Texts of both formats, parsed: a document for each grid column of a slide."""
+    darwin = F.struct("name", F.struct(F.array(*[F.struct(F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for a, b in _CORNERS]).alias("path")).alias("polygon"))
+    squares = _t(spark, sf, "squares").withColumn("format", F.when(F.col("left") % 3 == 0, "darwin").otherwise("geojson"))
+    other = squares.filter("format = 'darwin'").groupBy("slide_id", "left", "format").agg(F.to_json(F.struct(F.collect_list(darwin).alias("annotations"))).alias("doc"))
+    docs = _documents(spark, sf, squares.filter("format = 'geojson'")).withColumn("format", F.lit("geojson")).unionByName(other.select("slide_id", "doc", "format"))
+    names = spark.createDataFrame([("nerve", "NERVE", 0), ("fat", "Fat", 1)], "class string, raw_name string, class_index int")
+    flat = geometry.flatten_annotations(docs, names)
+    corner = F.col("rings")[0]
+    read_as = F.when(corner[0][0] % 3 == 0, "darwin").otherwise("geojson")
+    return flat.select("slide_id", F.col("class").alias("name"), corner[0][0].alias("x0"), corner[0][1].alias("y0"), corner[2][0].alias("x1"), corner[2][1].alias("y1"), read_as.alias("format"))
+
+
 @query("SELECT annotation_path AS path, CASE WHEN lower(annotation_path) LIKE '%.geo.json' OR lower(annotation_path) LIKE '%.geojson' THEN 'geojson' WHEN lower(annotation_path) LIKE '%.json' THEN 'darwin' END AS format FROM catalogue", "catalogue")
 def read_annotations(spark, sf):
     return annotation_format(_t(spark, sf, "catalogue").select(F.col("annotation_path").alias("path")))
@@ -559,11 +573,14 @@ def grid_tiles(spark, sf):
     return geometry.grid_tiles(_t(spark, sf, "slides"))
 
 
-def _documents(spark, sf):
+_CORNERS = (("left", "top"), ("right", "top"), ("right", "bottom"), ("left", "bottom"), ("left", "top"))
+
+
+def _documents(spark, sf, squares=None):
     """The squares as one GeoJSON text for each grid column of a slide."""
-    corners = F.array(*[F.array(F.col(a).cast("double"), F.col(b).cast("double")) for a, b in (("left", "top"), ("right", "top"), ("right", "bottom"), ("left", "bottom"), ("left", "top"))])
+    corners = F.array(*[F.array(F.col(a).cast("double"), F.col(b).cast("double")) for a, b in _CORNERS])
     feature = F.struct(F.lit("Feature").alias("type"), F.struct("name").alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(corners).alias("coordinates")).alias("geometry"))
-    squares = _t(spark, sf, "squares")
+    squares = _t(spark, sf, "squares") if squares is None else squares
     return squares.groupBy("slide_id", "left").agg(F.to_json(F.struct(F.collect_list(feature).alias("features"))).alias("doc")).select("slide_id", "doc")
 
 
