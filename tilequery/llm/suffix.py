@@ -26,17 +26,22 @@ from ._shared import broadcast_if_small, chunk_texts, chunked, mixed, range_bits
 
 #: Bytes of the first rank that leaves a task, where ``length`` allows.
 START = 32
-_CHUNK = 3 << 19
+_CHUNK = 2 << 20
+#: Positions whose ranks are worked out together, so that what is needed on the way stays small.
+_SLICE = 1 << 15
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
 def _pair(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Rank of a pair of ranks, which must be spread over 64 bits: of plain bytes, two differences could cancel."""
-    z = x * _A + y
-    z ^= z >> np.uint64(29)
-    z *= _B
-    z ^= z >> np.uint64(32)
-    return z
+    out = np.empty(len(x), np.uint64)
+    for s in range(0, len(x), _SLICE):
+        z = x[s : s + _SLICE] * _A + y[s : s + _SLICE]
+        z ^= z >> np.uint64(29)
+        z *= _B
+        z ^= z >> np.uint64(32)
+        out[s : s + len(z)] = z
+    return out
 
 
 def lengths(length: int) -> list[int]:
@@ -54,7 +59,9 @@ def first_ranks(raw: bytes, length: int) -> np.ndarray:
     n = len(raw)
     if n < length:
         return np.zeros(0, np.uint64)
-    rank, h = mixed(np.ndarray((n - 7,), "<u8", raw, strides=(1,))), 8
+    words, rank, h = np.ndarray((n - 7,), "<u8", raw, strides=(1,)), np.empty(n - 7, np.uint64), 8
+    for s in range(0, n - 7, _SLICE):
+        rank[s : s + _SLICE] = mixed(words[s : s + _SLICE])
     while h < length:
         rank, h = _pair(rank[:-h], rank[h:]), 2 * h
     return rank
@@ -64,8 +71,8 @@ def second_hash(raw: bytes, at: np.ndarray, length: int) -> np.ndarray:
     """32 bits of the ``length`` bytes from each position on, eight at a time; no ranks go into it."""
     found = np.empty(len(at), np.uint32)
     words = np.ndarray((max(0, len(raw) - 7),), "<u8", raw, strides=(1,))
-    for s in range(0, len(at), 1 << 17):
-        own = at[s : s + (1 << 17)]
+    for s in range(0, len(at), _SLICE):
+        own = at[s : s + _SLICE]
         out = np.full(len(own), length, np.uint64)
         for offset in [*range(0, length - 8, 8), length - 8]:
             out = mixed((out ^ words[own + offset]) + _C)
