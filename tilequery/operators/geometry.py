@@ -6,7 +6,7 @@ tile_extent_y, stride_x, stride_y, downsample``, ids once and nothing null. Tile
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -22,8 +22,8 @@ from tilequery.functions.columns import half_even
 from .tiles import KEY
 from .union import edges_near, ranges, union_areas
 
-#: Tiles along a side of the blocks that a polygon is sent to at once.
-BLOCK = 16
+#: Tiles along a side of the blocks that a polygon is sent to at once, and blocks along a side of those whose shapes are united in one task.
+BLOCK, UNITED = 16, 4
 #: Cells along a side of the blocks in which windows and maps are summed, and rows of a band of runs.
 SIDE, BAND = 256, 64
 NO_CLASS = 255
@@ -155,36 +155,52 @@ def _touched(boxes: DataFrame, slides: DataFrame) -> DataFrame:
 _PARTS = (0.0, 0.25)
 
 
-def _unite(rows: pa.Table) -> pa.Table:
-    """``(*KEY, class, tile_extent_x, tile_extent_y, area, roi)`` of all shapes of a class together, for the tiles of a block."""
+def _unite(rows: pa.Table, own: list[np.ndarray], edges: np.ndarray, shape: np.ndarray) -> pa.Table:
+    """``(*KEY, class, tile_extent_x, tile_extent_y, area, roi)`` of all shapes of a class together, for the tiles and classes of some blocks: each row's own areas, and edges (4 x m) with their row."""
     x, y, w, h = (rows.column(c).to_numpy().astype(float) for c in ("x", "y", *_SCALE[:2]))
-    place, first, tile = np.unique(np.stack([x, y]), axis=1, return_index=True, return_inverse=True)[0:3]
-    w, h, n = w[first], h[first], len(first)
-    lists = rows.column("edges").combine_chunks()
-    size = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy() // 4
-    edges = lists.flatten().to_numpy().reshape(-1, 4).T
-    shape = np.repeat(np.arange(len(tile)), size)
+    kind = rows.column("class").combine_chunks().dictionary_encode().indices.to_numpy()
+    columns = [(v - v.min()).astype(np.int64) for v in (x, y)]
+    number = (kind * (columns[0].max() + 1) + columns[0]) * (columns[1].max() + 1) + columns[1]
+    _, first, tile = np.unique(number, return_index=True, return_inverse=True)
+    x, y, w, h, n = x[first], y[first], w[first], h[first], len(first)
     out = []
-    for part, name in zip(_PARTS, ("area", "roi"), strict=True):
-        own = rows.column(name).to_numpy()
-        box = np.stack([place[0] + w * part, place[1] + h * part, place[0] + w * (1 - part), place[1] + h * (1 - part)])
+    for part, area in zip(_PARTS, own, strict=True):
+        box = np.stack([x + w * part, y + h * part, x + w * (1 - part), y + h * (1 - part)])
         whole = (box[2] - box[0]) * (box[3] - box[1])
-        most, several = np.zeros(n), np.bincount(tile[own > 0], minlength=n) > 1
-        np.maximum.at(most, tile, own)
+        most, several = np.zeros(n), np.bincount(tile[area > 0], minlength=n) > 1
+        np.maximum.at(most, tile, area)
         open_ = several & (most < whole * (1 - 1e-12))  # a shape alone, or one that fills the box, is the union
-        use = open_[tile[shape]] & (own[shape] > 0)
+        use = open_[tile[shape]] & (area[shape] > 0)
         found = union_areas(edges[:, use], shape[use], tile[shape[use]], box)
         out.append(np.where(open_, np.maximum(found, most), np.minimum(most, whole)))
     names = ["slide_id", "x", "y", "class", *_SCALE[:2]]
     return pa.Table.from_arrays([*[rows.column(c).take(pa.array(first)) for c in names], *[pa.array(v) for v in out]], [*names, "area", "roi"])
 
 
-def _shares(rows: DataFrame) -> DataFrame:
-    """Unite the shapes of each tile and class, as shares of the tile and of its central half. ``rows`` has a row for each shape and tile: its own areas, its edges near the tile if other shapes may be there, and the block."""
+def _unite_polygons(rows: pa.Table) -> pa.Table:
+    lists = rows.column("edges").combine_chunks()
+    size = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy() // 4
+    own = [rows.column(c).to_numpy() for c in ("area", "roi")]
+    return _unite(rows, own, lists.flatten().to_numpy().reshape(-1, 4).T, np.repeat(np.arange(len(size)), size))
+
+
+def _unite_boxes(rows: pa.Table) -> pa.Table:
+    x, y, w, h, left, top, right, bottom = (rows.column(c).to_numpy().astype(float) for c in ("x", "y", *_SCALE[:2], *_SIDES))
+
+    def overlap(at: np.ndarray, size: np.ndarray, low: np.ndarray, high: np.ndarray, part: float) -> np.ndarray:
+        return np.maximum(0.0, np.minimum(high, at + size * (1 - part)) - np.maximum(low, at + size * part))
+
+    own = [overlap(x, w, left, right, part) * overlap(y, h, top, bottom, part) for part in _PARTS]
+    edges = np.stack([np.stack([left, side, right, side]) for side in (top, bottom)], 2).reshape(4, -1)
+    return _unite(rows, own, edges, np.repeat(np.arange(len(x)), 2))
+
+
+def _shares(rows: DataFrame, unite: Callable[[pa.Table], pa.Table]) -> DataFrame:
+    """Unite the shapes of each tile and class, as shares of the tile and of its central half. ``rows`` has a row for each shape and tile, with the block ``bx, by``."""
     schema = T.StructType([T.StructField("slide_id", T.StringType()), *[T.StructField(c, T.IntegerType()) for c in ("x", "y")], T.StructField("class", T.StringType()), *[T.StructField(c, T.IntegerType()) for c in _SCALE[:2]], *[T.StructField(c, T.DoubleType()) for c in ("area", "roi")]])
-    united = rows.filter("area > 0").groupBy("slide_id", "class", "bx", "by").applyInArrow(_unite, schema)
+    united = rows.groupBy("slide_id", F.floor(F.col("bx") / UNITED), F.floor(F.col("by") / UNITED)).applyInArrow(unite, schema)
     whole = F.col("tile_extent_x") * F.col("tile_extent_y")
-    return united.select(*KEY, "class", F.round(F.col("area") / whole, 9).alias("tile_coverage"), F.round(4 * F.col("roi") / whole, 9).alias("roi_coverage"))
+    return united.filter("area > 0").select(*KEY, "class", F.round(F.col("area") / whole, 9).alias("tile_coverage"), F.round(4 * F.col("roi") / whole, 9).alias("roi_coverage"))
 
 
 def _several() -> Column:
@@ -197,19 +213,12 @@ def rectangle_coverage(tiles: DataFrame, rectangles: DataFrame, slides: DataFram
     The ROI is the central half of the tile. What several rectangles of a class cover counts once. A
     rectangle goes only to the tiles that its box touches; the join is on equal keys, for tiles that lie on the slide's
     grid. Tiles that nothing covers have no row. Repeated tiles count once; a null class or side covers nothing; no rectangles give no rows.
-    Shapes meet by blocks of ``BLOCK`` by ``BLOCK`` tiles; a task holds the shapes of a class in one of them.
+    Shapes meet by blocks of tiles (``BLOCK`` times ``UNITED`` along a side); a task holds the shapes of one of them.
     """
 
-    def overlap(axis: str, low: str, high: str, part: float) -> Column:
-        tile = F.col(f"tile_extent_{axis}")
-        return F.greatest(F.lit(0.0), F.least(F.col(high), F.col(axis) + tile * (1 - part)) - F.greatest(F.col(low), F.col(axis) + tile * part))
-
-    area, roi = (overlap("x", "left", "right", part) * overlap("y", "top", "bottom", part) for part in _PARTS)
     sound = F.col("class").isNotNull() & (F.col("left") < F.col("right")) & (F.col("top") < F.col("bottom"))
     touched = _touched(rectangles.filter(sound).select("slide_id", "class", *_SIDES), slides).join(tiles.select(*KEY), KEY, "left_semi")
-    edges = F.array(*[F.col(c).cast("double") for side in ("top", "bottom") for c in ("left", side, "right", side)])
-    rows = touched.select(*KEY, "class", *_SCALE[:2], area.alias("area"), roi.alias("roi"), F.when(_several(), edges).alias("edges"), *_blocks())
-    return _shares(rows)
+    return _shares(touched.select(*KEY, "class", *_SCALE[:2], *_SIDES, *_blocks()), _unite_boxes)
 
 
 def _blocks() -> list[Column]:
@@ -277,7 +286,7 @@ def polygon_coverage(tiles: DataFrame, polygons: DataFrame, slides: DataFrame) -
 
     names = [*KEY, "class", *_SCALE[:2], "area", "roi", "edges", "bx", "by"]
     kinds = (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.list_(pa.float64()), pa.int64(), pa.int64())
-    return _shares(jobs.mapInArrow(clip, "slide_id string, x int, y int, class string, tile_extent_x int, tile_extent_y int, area double, roi double, edges array<double>, bx long, by long"))
+    return _shares(jobs.mapInArrow(clip, "slide_id string, x int, y int, class string, tile_extent_x int, tile_extent_y int, area double, roi double, edges array<double>, bx long, by long").filter("area > 0"), _unite_polygons)
 
 
 def rasterise_rectangles(rectangles: DataFrame, scale: float = 56.0) -> DataFrame:

@@ -43,6 +43,12 @@ def _crossings(e: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.concatenate(found[0]), np.concatenate(found[1])
 
 
+def _boxes(e: np.ndarray, shape: np.ndarray) -> bool:
+    """Whether flat edges come in pairs of one shape each, over the same stretch."""
+    pairs = len(shape) % 2 == 0 and bool((shape[::2] == shape[1::2]).all() and (e[[0, 2], ::2] == e[[0, 2], 1::2]).all())
+    return pairs and not (shape[2::2] == shape[1:-1:2]).any()
+
+
 def union_areas(edges: np.ndarray, shape: np.ndarray, owner: np.ndarray, boxes: np.ndarray) -> np.ndarray:
     """Area of the union of shapes inside each of ``boxes`` (4 x n: left, top, right, bottom).
 
@@ -66,7 +72,8 @@ def union_areas(edges: np.ndarray, shape: np.ndarray, owner: np.ndarray, boxes:
         leaves = (e[1] - side) * (e[3] - side) < 0
         owners.append(owner[leaves])
         xs.append((e[0] + (e[2] - e[0]) * (side - e[1]) / np.where(leaves, e[3] - e[1], 1.0))[leaves])
-    more = _crossings(e, owner)
+    flat = bool((e[1] == e[3]).all())  # then no edges cross
+    more = (np.zeros(0, np.int64), np.zeros(0)) if flat else _crossings(e, owner)
     owners, xs = np.concatenate([*owners, more[0]]), np.concatenate([*xs, more[1]])
     order = np.lexsort((xs, owners))
     new = np.r_[True, (np.diff(owners[order]) != 0) | (np.diff(xs[order]) > 0)]
@@ -74,11 +81,16 @@ def union_areas(edges: np.ndarray, shape: np.ndarray, owner: np.ndarray, boxes:
     place[order] = np.cumsum(new) - 1
     at, of = xs[order][new], owners[order][new]
     edge, slab = ranges(place[:m], place[m : 2 * m])
-    y = np.clip(_height(e[:, edge], (at[slab] + at[slab + 1]) / 2), box[1, edge], box[3, edge])
-    order = np.lexsort((y, shape[edge], slab))
-    edge, slab, y = edge[order], slab[order], y[order]
-    start = np.r_[True, (np.diff(slab) != 0) | (np.diff(shape[edge]) != 0)]
-    turn = (np.arange(len(y)) - np.flatnonzero(start)[np.cumsum(start) - 1]) % 2
+    if flat and _boxes(e, shape):
+        # Boxes: of the two edges the upper one opens.
+        y = np.clip(e[1], box[1], box[3])[edge]
+        turn = (np.arange(m) % 2 ^ np.repeat(e[1, ::2] > e[1, 1::2], 2))[edge]
+    else:
+        y = np.clip(_height(e[:, edge], (at[slab] + at[slab + 1]) / 2), box[1, edge], box[3, edge])
+        order = np.lexsort((y, shape[edge], slab))
+        edge, slab, y = edge[order], slab[order], y[order]
+        start = np.r_[True, (np.diff(slab) != 0) | (np.diff(shape[edge]) != 0)]
+        turn = (np.arange(len(y)) - np.flatnonzero(start)[np.cumsum(start) - 1]) % 2
     order = np.lexsort((y, slab))
     slab, y, opened = slab[order], y[order], np.cumsum(1 - 2 * turn[order])
     inside = (opened[:-1] > 0) & (slab[1:] == slab[:-1])
