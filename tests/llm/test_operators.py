@@ -558,6 +558,30 @@ def test_jaccard(spark, docs, k, percent):
     assert jaccard.near_duplicates(docs.limit(0), k, percent).collect() == []
 
 
+def test_jaccard_hot_fragment(spark, monkeypatch):
+    """A fragment that very many different documents share is met in several groups, and the result is the same."""
+    base = [f"v{i}" for i in range(60)]
+    same = [(i, " ".join([*base, f"end{i}"])) for i in range(600)]
+    other = [(1000 + i, " ".join(f"o{i // 2}.{j}" for j in range(40 + i % 2))) for i in range(20)]
+    alone = [(2000 + i, " ".join(f"a{i}.{j}" for j in range(50))) for i in range(20)] + [(3000, None), (3001, ""), (None, same[0][1])]
+    df = spark.createDataFrame(same + other + alone, "doc_id long, text string")
+    groups = []
+
+    def watched(packed, hot):
+        out = dealt(packed, hot)
+        groups.extend(out.groupBy("range", "salt").agg(F.max("salts").alias("salts"), F.sum(F.octet_length("keys") / 4).alias("n")).collect())
+        return out
+
+    dealt = jaccard._dealt
+    for name, value in (("_dealt", watched), ("MOST", 100), ("PROBE", 1), ("_BATCH", 4000)):
+        monkeypatch.setattr(jaccard, name, value)
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(df).collect()}
+    assert got == {**{d: 0 for d, _ in same}, **{d: d - d % 2 for d, _ in other}, **{d: d for d, _ in alone}}
+    hot = [r for r in groups if r.salts is not None]
+    assert max(r.salts for r in hot) >= 6 and max(r.n for r in hot) < 300
+    assert {r.range for r in groups if r.salts is None}
+
+
 def test_jaccard_sketch_and_fragments():
     """The sketch never overstates a difference, and linked sets have as many fragments alike as the filter demands."""
     rng = np.random.default_rng(4)

@@ -28,6 +28,9 @@ from ._shared import broadcast_if_small, components, discard, from_planes, mixed
 FRAGMENTS, GROUP = 4, 500
 #: Documents and bytes of sketches in a block of those that are compared around a centre.
 BLOCK, BLOCK_BYTES = 1024, 8 << 20
+#: Fragments that meet in one group, about. Of one set in ``PROBE`` (by its digest) the fragments are counted beforehand: a range
+#: of hashes that gets over four times as many is dealt out in parts. That decides how the work is cut, not what is found.
+MOST, PROBE = 1 << 20, 16
 _BATCH = 900_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -142,9 +145,10 @@ _UP = (0, 1)
 
 
 def _described(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """``(doc_id, n_shingles, digest, own, sketch, keys0, need0, keys1, need1)`` for every row; no digest, own (see ``_node``) and sketch where the set is empty."""
+    """``(doc_id, n_shingles, digest, own, sketch, probe, keys0, need0, keys1, need1)`` for every row; no digest, own (see ``_node``) and
+    sketch where the set is empty. ``probe``, for one set in ``PROBE``: the upper 32 bits of the keys of its fragments."""
     counts = [f"{c}{u}" for u in _UP for c in ("keys", "need")]
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("n_shingles", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("own", T.LongType()), T.StructField("sketch", T.BinaryType()), *[T.StructField(c, T.IntegerType()) for c in counts]])
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("n_shingles", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("own", T.LongType()), T.StructField("sketch", T.BinaryType()), T.StructField("probe", T.ArrayType(T.IntegerType())), *[T.StructField(c, T.IntegerType()) for c in counts]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", _BATCH):
@@ -155,20 +159,41 @@ def _described(docs: DataFrame, words: int, percent: int) -> DataFrame:
             ends = np.cumsum(size).tolist()
             for i, x, e, m in zip(which.tolist(), digest, ends, size.tolist(), strict=True):
                 d[i], s[i] = x, parity(h[e - m : e]).tobytes()
+            own = [x and _node(x) for x in d]
+            probe = [[] if x is not None and x % PROBE == 0 else None for x in own]
+            asked = np.array([x is not None for x in probe], bool)
             numbers = []
             for u in _UP:
-                _, _, sets, keys, need = fragments(owner, h, percent, u)
+                holder, key, sets, keys, need = fragments(owner, h, percent, u)
+                for i, k in zip(holder[asked[holder]].tolist(), (key[asked[holder]] >> np.uint64(32)).astype(np.uint32).view(np.int32).tolist(), strict=True):
+                    probe[i].append(k)
                 for x in (keys, need):
                     whole = np.zeros(batch.num_rows, np.int32)
                     whole[sets] = x
                     numbers.append(pa.array(whole))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(d, pa.binary()), pa.array([x and _node(x) for x in d], pa.int64()), pa.array(s, pa.binary()), *numbers], schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(d, pa.binary()), pa.array(own, pa.int64()), pa.array(s, pa.binary()), pa.array(probe, pa.list_(pa.int32())), *numbers], schema.names)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def _shared_keys(docs: DataFrame, words: int, percent: int, bits: int) -> DataFrame:
-    """``(key, node, up)``: the fragments of ``docs (doc_id, text, several)`` that several documents have alike."""
+def _hot_ranges(nodes: DataFrame, bits: int) -> DataFrame:
+    """``(range, salts)``, written: the ranges of hashes that hold many more fragments than others, and in how many parts they are dealt out."""
+    found = nodes.select(F.explode("probe").alias("k")).groupBy(F.shiftrightunsigned("k", 32 - bits).alias("range")).agg((F.count("*") * PROBE).alias("n"))
+    return written(found.filter(F.col("n") > 4 * MOST).select("range", F.ceil(F.col("n") / MOST).cast("int").alias("salts")), "hot")
+
+
+def _dealt(packed: DataFrame, hot: DataFrame) -> DataFrame:
+    """``packed`` with ``salts`` (null where the range is not hot) and ``salt``, the part of a hot range that a row goes to."""
+    rows = packed.join(broadcast_if_small(hot), "range", "left")
+    return rows.withColumn("salt", F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.xxhash64("keys", "nodes"), F.col("salts"))).cast("int"))
+
+
+def _shared_keys(docs: DataFrame, hot: DataFrame, words: int, percent: int, bits: int) -> DataFrame:
+    """``(key, node, up)``, written: the fragments of ``docs (doc_id, text, several)`` that several documents have alike.
+
+    The fragments of a range meet in one group. Those of a hot range meet in several, which say only
+    what they hold; documents of each fragment are counted afterwards.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", _BATCH):
@@ -189,11 +214,21 @@ def _shared_keys(docs: DataFrame, words: int, percent: int, bits: int) -> DataFr
         keys, nodes, up = keys[keep], nodes[keep], up[keep]
         start = runs(keys)
         many = np.repeat(np.diff(np.r_[start, len(keys)]) > 1, np.diff(np.r_[start, len(keys)])) if len(keys) else np.zeros(0, bool)
+        part = table.column("salts")[0].as_py() is not None
+        many |= part
         whole = (np.int64(table.column("range")[0].as_py()) << 32) | keys[many].astype(np.int64)
-        return pa.table({"key": whole, "node": nodes[many], "up": up[many].astype(np.int32)})
+        return pa.table({"key": whole, "node": nodes[many], "up": up[many].astype(np.int32), "part": np.full(len(whole), part)})
 
     packed = docs.filter("doc_id IS NOT NULL").mapInArrow(cut, "range int, keys binary, up binary, nodes binary")
-    return packed.groupBy("range").applyInArrow(meet, "key long, node long, up int")
+    if hot.isEmpty():
+        rows = packed.withColumn("salts", F.lit(None).cast("int"))
+        return written(rows.groupBy("range").applyInArrow(meet, "key long, node long, up int, part boolean").drop("part"), "keys")
+    met = written(_dealt(packed, hot).groupBy("range", "salt").applyInArrow(meet, "key long, node long, up int, part boolean"), "met")
+    parts = met.filter("part").select("key", "node", "up").distinct()
+    several = parts.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key")
+    keys = written(met.filter("NOT part").select("key", "node", "up").unionByName(parts.join(several, "key", "left_semi")), "keys")
+    discard(met)
+    return keys
 
 
 def _nodes(batch: pa.RecordBatch, owner: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -384,7 +419,10 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: st
     nodes = nodes.withColumn("n", F.col("n_shingles"))
 
     total = described.agg(F.sum(F.col("keys0") + F.col("keys1"))).first()[0] or 0
-    keys = written(_shared_keys(docs, words, percent, range_bits(df, total)), "keys")
+    bits = range_bits(df, total, MOST)
+    hot = _hot_ranges(nodes, bits)
+    keys = _shared_keys(docs, hot, words, percent, bits)
+    discard(hot)
     # A linked set has as many keys in common as the class demands: documents with fewer shared keys cannot be linked.
     asked = nodes.select("node", F.expr("stack(2, 0, keys0, need0, 1, keys1, need1) AS (up, have, need)"))
     enough = keys.groupBy("node", "up").agg(F.count("*").alias("shared")).join(asked, ["node", "up"]).filter("shared >= need").select("node", "up", (F.col("have") - F.col("shared")).alias("alone"))
