@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import random
 
 import numpy as np
 import pytest
@@ -145,6 +146,20 @@ def test_polygons_of_slides_of_different_scale(spark):
     assert seen > 60
 
 
+def test_polygons_whose_numbers_change(spark):
+    """Numbers that come out otherwise each time they are read: rings and boxes belong together all the same. Documents do not hang on the order of their rows."""
+    slides = spark.createDataFrame([("s", 20000, 300, 100, 100, 100, 100, 1.0)], SLIDES)
+    number = F.udf(lambda: random.getrandbits(40), "long").asNondeterministic()
+    rows = [("s", "a", [[[x, 0.0], [x + 50, 0.0], [x + 50, 100.0], [x, 100.0]]]) for x in (100.0 * i for i in range(200))]
+    df = spark.createDataFrame([*rows, ("s", "a", [[[120.0, 0.0], [180.0, 0.0], [180.0, 100.0], [120.0, 100.0]]]), ("s", None, rows[0][2]), ("s", "a", None)], "slide_id string, class string, rings array<array<array<double>>>")
+    places = geometry.grid_tiles(slides).unionAll(spark.createDataFrame([("s", 7, 0), ("s", 0, 0)], "slide_id string, x int, y int"))  # off the grid, and a tile again
+    got = {(r.x, r.y): r.tile_coverage for r in geometry.polygon_coverage(places, df.withColumn("polygon", number()), slides).collect()}
+    assert got == {(100 * i, 0): 0.8 if i == 1 else 0.5 for i in range(200)}
+    squares = spark.createDataFrame([("s", 50, 50 + 112 * i, 200.0, 300.0 + i, "Fat") for i in range(9)], "slide_id string, left int, top int, right double, bottom double, name string").coalesce(1)
+    docs = [registry._documents(spark, "", squares.sortWithinPartitions(order)).collect() for order in (F.asc("top"), F.desc("top"))]
+    assert docs[0] == docs[1]
+
+
 def test_union_of_shifted_shapes(spark):
     """Two squares that overlap, one with a hole that the other covers in part; a null class and an upside-down box cover nothing; no shapes give no rows."""
     slides = spark.createDataFrame([("s", 100, 100, 100, 100, 100, 100, 1.0)], SLIDES)

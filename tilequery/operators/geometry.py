@@ -19,11 +19,14 @@ from pyspark.sql import types as T
 
 from tilequery.functions.columns import half_even
 
+from .groups import in_groups, starts
 from .tiles import KEY
 from .union import edges_near, ranges, union_areas
 
-#: Tiles along a side of the blocks that a polygon is sent to at once, and blocks along a side of those whose shapes are united in one task.
-BLOCK, UNITED = 16, 4
+#: Grid places along a side of the blocks whose shapes and tiles meet.
+UNITED = 64
+#: Edges that are looked at together.
+_EDGES = 1 << 21
 #: Cells along a side of the blocks in which windows and maps are summed, and rows of a band of runs.
 SIDE, BAND = 256, 64
 NO_CLASS = 255
@@ -132,97 +135,109 @@ def ring_faults(polygons: DataFrame) -> DataFrame:
     return polygons.mapInPandas(check, schema)
 
 
-def _tile_places(low: Column, high: Column, tile: Column, stride: Column) -> Column:
-    """Grid places whose tile meets the open interval (low, high)."""
-    first = F.greatest(F.lit(0), F.floor((low - tile) / stride) + 1)
-    last = F.ceil(high / stride) - 1
-    return F.when(last >= first, F.sequence(first.cast("int"), last.cast("int"))).otherwise(F.array().cast("array<int>"))
-
-
 _SIDES = ("left", "top", "right", "bottom")
 _SCALE = [f"{c}_{a}" for c in ("tile_extent", "stride") for a in ("x", "y")]
-
-
-def _touched(boxes: DataFrame, slides: DataFrame) -> DataFrame:
-    """A row of ``boxes`` for each grid place whose tile its box touches; sides and places in the slide's tiling level."""
-    info = slides.select(F.col("id").alias("slide_id"), *_SCALE, "downsample")
-    scaled = boxes.join(info, "slide_id").withColumns({c: F.col(c) / F.col("downsample") for c in _SIDES})
-    places = {a: _tile_places(F.col(low), F.col(high), F.col(f"tile_extent_{a}"), F.col(f"stride_{a}")) for a, low, high in (("x", "left", "right"), ("y", "top", "bottom"))}
-    out = scaled.withColumn("gx", F.explode(places["x"])).withColumn("gy", F.explode(places["y"]))
-    return out.withColumn("x", (F.col("gx") * F.col("stride_x")).cast("int")).withColumn("y", (F.col("gy") * F.col("stride_y")).cast("int"))
-
-
 _PARTS = (0.0, 0.25)
 
 
-def _unite(rows: pa.Table, own: list[np.ndarray], edges: np.ndarray, shape: np.ndarray) -> pa.Table:
-    """``(*KEY, class, tile_extent_x, tile_extent_y, area, roi)`` of all shapes of a class together, for the tiles and classes of some blocks: each row's own areas, and edges (4 x m) with their row."""
-    x, y, w, h = (rows.column(c).to_numpy().astype(float) for c in ("x", "y", *_SCALE[:2]))
-    kind = rows.column("class").combine_chunks().dictionary_encode().indices.to_numpy()
-    columns = [(v - v.min()).astype(np.int64) for v in (x, y)]
-    number = (kind * (columns[0].max() + 1) + columns[0]) * (columns[1].max() + 1) + columns[1]
-    _, first, tile = np.unique(number, return_index=True, return_inverse=True)
-    x, y, w, h, n = x[first], y[first], w[first], h[first], len(first)
-    out = []
-    for part, area in zip(_PARTS, own, strict=True):
-        box = np.stack([x + w * part, y + h * part, x + w * (1 - part), y + h * (1 - part)])
+def _met(shapes: DataFrame, tiles: DataFrame, slides: DataFrame, more: list[str]) -> DataFrame:
+    """Shapes and tiles side by side: a row of ``shapes`` for each block of ``UNITED`` by ``UNITED`` grid places that its box touches, and one (with ``x`` and ``y``) for each tile on the grid.
+
+    ``first`` and ``last`` are the grid places whose tile meets the open box; sides are in the slide's tiling level.
+    """
+    info = slides.select(F.col("id").alias("slide_id"), *_SCALE, "downsample")
+    boxed = shapes.join(info, "slide_id").withColumns({c: F.col(c) / F.col("downsample") for c in _SIDES})
+    placed = tiles.select(*KEY).join(info, "slide_id")
+    for a, low, high in (("x", "left", "right"), ("y", "top", "bottom")):
+        stride = F.col(f"stride_{a}")
+        boxed = boxed.withColumn(f"first_{a}", F.greatest(F.lit(0), F.floor((F.col(low) - F.col(f"tile_extent_{a}")) / stride) + 1).cast("int")).withColumn(f"last_{a}", (F.ceil(F.col(high) / stride) - 1).cast("int"))
+        boxed = boxed.filter(F.col(f"last_{a}") >= F.col(f"first_{a}")).withColumn(f"b{a}", F.explode(F.sequence(*[F.floor(F.col(f"{k}_{a}") / UNITED).cast("int") for k in ("first", "last")])))
+        place = F.ceil(F.col(a) / stride).cast("int")
+        placed = placed.withColumn(f"first_{a}", place).filter((place >= 0) & ((place * stride).cast("int") == F.col(a))).withColumn(f"b{a}", F.floor(place / UNITED).cast("int"))
+    names = ["slide_id", "bx", "by", "first_x", "first_y", *_SCALE[:2]]
+    own = ["last_x", "last_y", "class", *more]
+    kinds = dict(boxed.select(*own).dtypes)
+    shape_rows = boxed.select(*names, F.lit(None).cast("int").alias("x"), F.lit(None).cast("int").alias("y"), *own)
+    return shape_rows.unionAll(placed.select(*names, F.col("x").cast("int"), F.col("y").cast("int"), *[F.lit(None).cast(kinds[c]).alias(c) for c in own]))
+
+
+def _pairs(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(row of the shape, row of the tile) wherever the box of a shape touches a tile, for the rows of some blocks; repeated tiles count once."""
+    block = np.cumsum(starts(rows, _BLOCK)) - 1
+    bx, by, first_x, first_y = (rows.column(c).to_numpy().astype(np.int64) for c in ("bx", "by", "first_x", "first_y"))
+    is_tile = rows.column("x").is_valid().to_numpy()
+    tile, shape = np.flatnonzero(is_tile), np.flatnonzero(~is_tile)
+    known, at = np.unique((block[tile] * UNITED + first_x[tile] % UNITED) * UNITED + first_y[tile] % UNITED, return_index=True)
+    tile = tile[at]
+    if not len(tile) or not len(shape):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    last_x, last_y = (rows.column(c).take(pa.array(shape)).to_numpy().astype(np.int64) for c in ("last_x", "last_y"))
+    i, gx = ranges(np.maximum(first_x, bx * UNITED)[shape], np.minimum(last_x, bx[shape] * UNITED + UNITED - 1) + 1)
+    j, gy = ranges(np.maximum(first_y, by * UNITED)[shape][i], np.minimum(last_y, by[shape] * UNITED + UNITED - 1)[i] + 1)
+    i, gx = i[j], gx[j]
+    number = (block[shape[i]] * UNITED + gx % UNITED) * UNITED + gy % UNITED
+    place = np.minimum(np.searchsorted(known, number), len(known) - 1)
+    there = known[place] == number
+    return shape[i[there]], tile[place[there]]
+
+
+def _parts(rows: pa.Table, tile: np.ndarray) -> list[np.ndarray]:
+    """The whole of tiles and their central half, each as 4 x n: left, top, right, bottom."""
+    x, y, w, h = (rows.column(c).take(pa.array(tile)).to_numpy().astype(float) for c in ("x", "y", *_SCALE[:2]))
+    return [np.stack([x + w * part, y + h * part, x + w * (1 - part), y + h * (1 - part)]) for part in _PARTS]
+
+
+def _unite(rows: pa.Table, shape: np.ndarray, tile: np.ndarray, own: list[np.ndarray], edges: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]) -> pa.Table:
+    """``(*KEY, class, tile_extent_x, tile_extent_y, area, roi)`` of all shapes of a class together, from the pairs of shape and tile and their areas; ``edges`` gives (4 x m, pair) of some pairs."""
+    kind = rows.column("class").combine_chunks().dictionary_encode().indices.fill_null(0).to_numpy().astype(np.int64)[shape]
+    _, first, of = np.unique(kind * rows.num_rows + tile, return_index=True, return_inverse=True)
+    n, out = len(first), []
+    for box, area in zip(_parts(rows, tile[first]), own, strict=True):
         whole = (box[2] - box[0]) * (box[3] - box[1])
-        most, several = np.zeros(n), np.bincount(tile[area > 0], minlength=n) > 1
-        np.maximum.at(most, tile, area)
+        most, several = np.zeros(n), np.bincount(of[area > 0], minlength=n) > 1
+        np.maximum.at(most, of, area)
         open_ = several & (most < whole * (1 - 1e-12))  # a shape alone, or one that fills the box, is the union
-        use = open_[tile[shape]] & (area[shape] > 0)
-        found = union_areas(edges[:, use], shape[use], tile[shape[use]], box)
+        sides, pair = edges(np.flatnonzero(open_[of] & (area > 0)))
+        found = union_areas(sides, pair, of[pair], box)
         out.append(np.where(open_, np.maximum(found, most), np.minimum(most, whole)))
-    names = ["slide_id", "x", "y", "class", *_SCALE[:2]]
-    return pa.Table.from_arrays([*[rows.column(c).take(pa.array(first)) for c in names], *[pa.array(v) for v in out]], [*names, "area", "roi"])
+    names = ["slide_id", "x", "y", *_SCALE[:2]]
+    at = pa.array(tile[first])
+    return pa.Table.from_arrays([*[rows.column(c).take(at) for c in names], rows.column("class").take(pa.array(shape[first])), *[pa.array(v) for v in out]], [*names, "class", "area", "roi"])
 
 
-def _unite_polygons(rows: pa.Table) -> pa.Table:
-    lists = rows.column("edges").combine_chunks()
-    size = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy() // 4
-    own = [rows.column(c).to_numpy() for c in ("area", "roi")]
-    return _unite(rows, own, lists.flatten().to_numpy().reshape(-1, 4).T, np.repeat(np.arange(len(size)), size))
+def _unite_boxes(rows: pa.Table) -> pa.Table:
+    shape, tile = _pairs(rows)
+    side = np.stack([rows.column(c).take(pa.array(shape)).to_numpy().astype(float) for c in _SIDES])
+    cut = [(np.maximum(side[:2], box[:2]), np.minimum(side[2:], box[2:])) for box in _parts(rows, tile)]
+    own = [np.maximum(0.0, high - low).prod(0) for low, high in cut]
 
+    def edges(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        left, top, right, bottom = side[:, pairs]
+        return np.stack([np.stack([left, y, right, y]) for y in (top, bottom)], 2).reshape(4, -1), np.repeat(pairs, 2)
 
-def _unite_boxes(rows: pa.Table) -> pa.Table:
-    x, y, w, h, left, top, right, bottom = (rows.column(c).to_numpy().astype(float) for c in ("x", "y", *_SCALE[:2], *_SIDES))
+    return _unite(rows, shape, tile, own, edges)
 
-    def overlap(at: np.ndarray, size: np.ndarray, low: np.ndarray, high: np.ndarray, part: float) -> np.ndarray:
-        return np.maximum(0.0, np.minimum(high, at + size * (1 - part)) - np.maximum(low, at + size * part))
 
-    own = [overlap(x, w, left, right, part) * overlap(y, h, top, bottom, part) for part in _PARTS]
-    edges = np.stack([np.stack([left, side, right, side]) for side in (top, bottom)], 2).reshape(4, -1)
-    return _unite(rows, own, edges, np.repeat(np.arange(len(x)), 2))
+_BLOCK = ["slide_id", "bx", "by"]
 
 
 def _shares(rows: DataFrame, unite: Callable[[pa.Table], pa.Table]) -> DataFrame:
-    """Unite the shapes of each tile and class, as shares of the tile and of its central half. ``rows`` has a row for each shape and tile, with the block ``bx, by``."""
-    schema = T.StructType([T.StructField("slide_id", T.StringType()), *[T.StructField(c, T.IntegerType()) for c in ("x", "y")], T.StructField("class", T.StringType()), *[T.StructField(c, T.IntegerType()) for c in _SCALE[:2]], *[T.StructField(c, T.DoubleType()) for c in ("area", "roi")]])
-    united = rows.groupBy("slide_id", F.floor(F.col("bx") / UNITED), F.floor(F.col("by") / UNITED)).applyInArrow(unite, schema)
+    """Unite the shapes of each tile and class, as shares of the tile and of its central half."""
+    united = in_groups(rows, _BLOCK, unite, "slide_id string, x int, y int, tile_extent_x int, tile_extent_y int, class string, area double, roi double")
     whole = F.col("tile_extent_x") * F.col("tile_extent_y")
     return united.filter("area > 0").select(*KEY, "class", F.round(F.col("area") / whole, 9).alias("tile_coverage"), F.round(4 * F.col("roi") / whole, 9).alias("roi_coverage"))
 
 
-def _several() -> Column:
-    return F.count("*").over(W.partitionBy(*KEY, "class")) > 1
-
-
 def rectangle_coverage(tiles: DataFrame, rectangles: DataFrame, slides: DataFrame) -> DataFrame:
     """``(slide_id, x, y, class, tile_coverage, roi_coverage)`` of axis-aligned rectangles ``(slide_id, class, left, top, right, bottom)`` at the slide's full resolution.
 
-    The ROI is the central half of the tile. What several rectangles of a class cover counts once. A
-    rectangle goes only to the tiles that its box touches; the join is on equal keys, for tiles that lie on the slide's
-    grid. Tiles that nothing covers have no row. Repeated tiles count once; a null class or side covers nothing; no rectangles give no rows.
-    Shapes meet by blocks of tiles (``BLOCK`` times ``UNITED`` along a side); a task holds the shapes of one of them.
+    The ROI is the central half of the tile. What several rectangles of a class cover counts once. Rectangles and tiles meet by
+    blocks of ``UNITED`` by ``UNITED`` grid places, a rectangle once for each block its box touches; a task holds the shapes of one block, or of several small ones.
+    Tiles off the slide's grid and those that nothing covers have no row. Repeated tiles count once; a null class or side covers nothing; no rectangles give no rows.
     """
 
     sound = F.col("class").isNotNull() & (F.col("left") < F.col("right")) & (F.col("top") < F.col("bottom"))
-    touched = _touched(rectangles.filter(sound).select("slide_id", "class", *_SIDES), slides).join(tiles.select(*KEY), KEY, "left_semi")
-    return _shares(touched.select(*KEY, "class", *_SCALE[:2], *_SIDES, *_blocks()), _unite_boxes)
-
-
-def _blocks() -> list[Column]:
-    return [F.floor(F.col(f"g{a}") / BLOCK).alias(f"b{a}") for a in "xy"]
+    return _shares(_met(rectangles.filter(sound).select("slide_id", "class", *_SIDES), tiles, slides, list(_SIDES)), _unite_boxes)
 
 
 def _under(y: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -243,50 +258,78 @@ def edge_areas(x0: np.ndarray, y0: np.ndarray, x1: np.ndarray, y1: np.ndarray, l
     return np.where(dx == 0, 0.0, mean * (xb - xa))
 
 
+def _points(rings: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rings of each shape, points of each ring, 2 x n: x and y) of a column of rings; nulls hold nothing."""
+
+    def split(lists: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        return pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64), lists.flatten()
+
+    rings_of, rings = split(rings)
+    points_of, points = split(rings)
+    size, values = split(points)
+    start = np.cumsum(size) - size
+    values = values.to_numpy(zero_copy_only=False).astype(float)
+    return rings_of, points_of, np.stack([values[start], values[start + 1]])
+
+
+def _after(size: np.ndarray) -> np.ndarray:
+    """The point that follows each in its closed ring."""
+    start = np.cumsum(size) - size
+    after = np.arange(size.sum()) + 1
+    after[(start + size - 1)[size > 0]] = start[size > 0]
+    return after
+
+
+def _unite_polygons(rows: pa.Table) -> pa.Table:
+    shape, tile = _pairs(rows)
+    rings_of, points_of, xy = _points(rows.column("rings").combine_chunks())
+    ring_row = np.repeat(np.arange(rows.num_rows), rings_of)
+    row = np.repeat(ring_row, points_of)
+    xy = xy / rows.column("downsample").combine_chunks().to_numpy(zero_copy_only=False).astype(float)[row]
+    e = np.concatenate([xy, xy[:, _after(points_of)]])
+    ring = np.repeat(np.arange(len(points_of)), points_of)
+    outer = np.r_[True, np.diff(ring_row) != 0][: len(points_of)]
+    size = np.bincount(row, minlength=rows.num_rows)
+    end = np.cumsum(size)
+    start, most = end - size, np.cumsum(size[shape])
+    own = [np.zeros(len(shape)) for _ in _PARTS]
+    boxes = _parts(rows, tile)
+    cuts = np.unique(np.r_[np.searchsorted(most, np.arange(0, most[-1] if len(most) else 0, _EDGES), side="left"), len(shape)])
+    for s, t in zip(cuts[:-1], cuts[1:], strict=True):
+        pair, k = ranges(start[shape[s:t]], end[shape[s:t]])
+        pair += s
+        new = np.flatnonzero(np.r_[True, (np.diff(pair) != 0) | (np.diff(ring[k]) != 0)][: len(pair)])
+        for area, box in zip(own, boxes, strict=True):
+            rings = np.add.reduceat(edge_areas(*e[:, k], *box[:, pair]), new) if len(new) else np.zeros(0)
+            area += np.bincount(pair[new], np.abs(rings) * np.where(outer[ring[k[new]]], 1, -1), len(shape))
+    own = [np.maximum(0.0, area) for area in own]
+
+    def edges(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        large = size[shape[pairs]] > 32  # all edges of others are as good as those near the tile
+        pair, k = ranges(start[shape[pairs[~large]]], end[shape[pairs[~large]]])
+        found, of = [e[:, k]], [pairs[~large][pair]]
+        for p in pairs[large]:
+            i = shape[p]
+            near = [edges_near(r, *boxes[0][:, p]) for r in np.split(xy[:, start[i] : end[i]].T, np.flatnonzero(np.diff(ring[start[i] : end[i]])) + 1)]
+            found += near
+            of += [np.full(n.shape[1], p) for n in near]
+        return np.concatenate(found, 1), np.concatenate(of)
+
+    return _unite(rows, shape, tile, own, edges)
+
+
 def polygon_coverage(tiles: DataFrame, polygons: DataFrame, slides: DataFrame) -> DataFrame:
     """As :func:`rectangle_coverage`, for ``(slide_id, class, polygon, rings)`` with the outer ring first; holes are left out of their own polygon.
 
-    ``polygon`` names a shape of a slide and class. Which tiles a polygon's box touches is found without its
-    rings; these go to blocks of ``BLOCK`` by ``BLOCK`` tiles, once for each block. A polygon that is alone in a tile needs its area there only; where
-    others of its class may be, its edges near the tile go along and :func:`union_areas` sweeps over them. A ring that meets itself counts by how often it
+    A row is a shape: ``polygons`` is read once and never joined to itself, so its numbers may come out otherwise in another run. Rings go along
+    to each block that the box touches. A polygon that is alone in a tile needs its area there only; where
+    others of its class are, :func:`union_areas` sweeps over the edges near the tile. A ring that meets itself counts by how often it
     goes round where it is alone, and by even and odd among others.
     """
     outer = F.element_at("rings", 1)
     box = {"left": F.array_min(F.transform(outer, lambda p: p[0])), "right": F.array_max(F.transform(outer, lambda p: p[0])), "top": F.array_min(F.transform(outer, lambda p: p[1])), "bottom": F.array_max(F.transform(outer, lambda p: p[1]))}
-    shape = ["slide_id", "class", "polygon"]
-    touched = _touched(polygons.select(*shape, *[v.alias(k) for k, v in box.items()]), slides).join(tiles.select(*KEY), KEY, "left_semi")
-    blocks = touched.withColumn("several", _several()).groupBy(*shape, *_SCALE[:2], "downsample", *_blocks())
-    jobs = blocks.agg(F.collect_list(F.struct("x", "y", "several")).alias("at")).join(polygons.select(*shape, "rings"), shape)
-
-    def clip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for job in batch.to_pylist():
-                xs, ys = np.array([p["x"] for p in job["at"]], float), np.array([p["y"] for p in job["at"]], float)
-                w, h = float(job["tile_extent_x"]), float(job["tile_extent_y"])
-                rings = [np.array([p[:2] for p in r], float) / job["downsample"] for r in job["rings"]]
-                found = []
-                for part in _PARTS:
-                    sides = [xs + w * part, ys + h * part, xs + w * (1 - part), ys + h * (1 - part)]
-                    total = np.zeros(len(xs))
-                    for k, ring in enumerate(rings):
-                        after = np.roll(ring, -1, axis=0)
-                        own = np.zeros(len(xs))
-                        for s in range(0, len(ring), 4096):
-                            edges = [c[s : s + 4096, None] for c in (*ring.T, *after.T)]
-                            own += edge_areas(*edges, *[c[None] for c in sides]).sum(0)
-                        total += np.abs(own) * (1 if k == 0 else -1)
-                    found.append(np.maximum(0.0, total))
-                partial = (found[0] > 0) & (found[0] < w * h) & np.array([p["several"] for p in job["at"]])
-                whole = np.concatenate([np.concatenate([r, np.roll(r, -1, axis=0)], 1).ravel() for r in rings])
-                small = len(whole) <= 128  # then all edges are as good as those near the tile
-                near = [(whole if small else np.concatenate([edges_near(r, x, y, x + w, y + h) for r in rings], 1).T.ravel()) if p else None for x, y, p in zip(xs, ys, partial, strict=True)]
-                n = len(xs)
-                columns = [[job["slide_id"]] * n, xs.astype(int), ys.astype(int), [job["class"]] * n, [job["tile_extent_x"]] * n, [job["tile_extent_y"]] * n, *found, near, [job["bx"]] * n, [job["by"]] * n]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
-
-    names = [*KEY, "class", *_SCALE[:2], "area", "roi", "edges", "bx", "by"]
-    kinds = (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.list_(pa.float64()), pa.int64(), pa.int64())
-    return _shares(jobs.mapInArrow(clip, "slide_id string, x int, y int, class string, tile_extent_x int, tile_extent_y int, area double, roi double, edges array<double>, bx long, by long").filter("area > 0"), _unite_polygons)
+    shapes = polygons.filter("class IS NOT NULL AND size(rings) > 0").select("slide_id", "class", "rings", *[v.alias(k) for k, v in box.items()])
+    return _shares(_met(shapes, tiles, slides, ["rings", "downsample"]), _unite_polygons)
 
 
 def rasterise_rectangles(rectangles: DataFrame, scale: float = 56.0) -> DataFrame:

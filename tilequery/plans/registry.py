@@ -577,11 +577,11 @@ _CORNERS = (("left", "top"), ("right", "top"), ("right", "bottom"), ("left", "bo
 
 
 def _documents(spark, sf, squares=None):
-    """The squares as one GeoJSON text for each grid column of a slide."""
+    """The squares as one GeoJSON text for each grid column of a slide, in an order that does not hang on how rows arrive."""
     corners = F.array(*[F.array(F.col(a).cast("double"), F.col(b).cast("double")) for a, b in _CORNERS])
     feature = F.struct(F.lit("Feature").alias("type"), F.struct("name").alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(corners).alias("coordinates")).alias("geometry"))
     squares = _t(spark, sf, "squares") if squares is None else squares
-    return squares.groupBy("slide_id", "left").agg(F.to_json(F.struct(F.collect_list(feature).alias("features"))).alias("doc")).select("slide_id", "doc")
+    return squares.groupBy("slide_id", "left").agg(F.to_json(F.struct(F.sort_array(F.collect_list(feature)).alias("features"))).alias("doc")).select("slide_id", "doc")
 
 
 def _polygons(spark, sf):
