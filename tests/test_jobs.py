@@ -8,8 +8,10 @@ import threading
 import time
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tilequery.operators import folds, geometry, jobs, modelling, tiles
 from tilequery.sources import files
@@ -152,6 +154,19 @@ def test_calls_in_flight(spark):
     assert modelling.embed_tiles(df.limit(0), lambda rows: 1 / 0).collect() == []
 
 
+def test_calls_come_back_by_batch():
+    """Small calls, but a frame for each batch: one for each call takes longer to send back than the call."""
+
+    class Batches:
+        schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("tile", T.LongType())])
+
+        def mapInPandas(self, run, schema):  # noqa: N802
+            return list(run(pd.DataFrame({"id": range(n), "tile": range(n)}) for n in (50, 0, 33)))
+
+    out = modelling.embed_tiles(Batches(), lambda rows: [[float(t)] for t in rows["tile"]], rows_per_call=4, in_flight=3)
+    assert [len(f) for f in out] == [50, 33] and [v[0] for f in out for v in f["embedding"]] == [*range(50), *range(33)]
+
+
 def test_all_fits_at_once(spark):
     """Each model is what it would be by itself, with balanced classes and free intercepts."""
     draw = np.random.default_rng(2)

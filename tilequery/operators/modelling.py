@@ -276,7 +276,7 @@ def embed_tiles(
 ) -> DataFrame:
     """``df`` without the input column and with ``embedding`` from ``fn``, which gets ``rows_per_call`` rows and returns as many vectors.
 
-    A task keeps up to ``in_flight`` calls open side by side, also across Arrow batches, and gives rows out in their order. A call that fails is made again
+    A task keeps up to ``in_flight`` calls open side by side, also across Arrow batches, and gives rows out in their order, a batch at a time: a frame for each call would take far longer to send back than a small call. A call that fails is made again
     for each of its rows; a row's call is tried ``attempts`` times, after min(60, 2**attempt) seconds each time, and then raises. Instead of ``fn``, ``setup`` makes the function once in each worker
     process, which keeps it under ``name`` (a client, a loaded model). A null input is handed over as it is; no rows make no calls.
     """
@@ -301,7 +301,7 @@ def embed_tiles(
                         raise
             raise ValueError("attempts must be positive")
 
-        def some(rows: pd.DataFrame) -> pd.DataFrame:
+        def some(rows: pd.DataFrame) -> list:
             try:
                 vectors = list(call(rows))
                 if len(vectors) != len(rows):
@@ -310,16 +310,30 @@ def embed_tiles(
                 if attempts == 1 and len(rows) == 1:
                     raise
                 vectors = [v for i in range(len(rows)) for v in one(rows.iloc[i : i + 1], int(len(rows) == 1))]
-            return rows[[f.name for f in kept]].assign(embedding=vectors)
+            return vectors
+
+        def whole(batch: pd.DataFrame, vectors: list) -> pd.DataFrame:
+            return batch[[f.name for f in kept]].assign(embedding=vectors)
 
-        pieces = (b.iloc[s : s + rows_per_call] for b in batches for s in range(0, len(b), rows_per_call))
         with ThreadPoolExecutor(in_flight) as pool:
-            open_: deque[Future] = deque()
-            for piece in pieces:
-                if len(open_) == in_flight:
-                    yield open_.popleft().result()
-                open_.append(pool.submit(some, piece))
-            while open_:
-                yield open_.popleft().result()
+            calls: deque[Future] = deque()
+            waiting: deque[tuple[pd.DataFrame, list]] = deque()  # batches with calls still open, and the vectors so far
+
+            def take() -> Iterator[pd.DataFrame]:
+                batch, vectors = waiting[0]
+                vectors += calls.popleft().result()
+                if len(vectors) == len(batch):
+                    waiting.popleft()
+                    yield whole(batch, vectors)
+
+            for batch in batches:
+                if len(batch):
+                    waiting.append((batch, []))
+                for s in range(0, len(batch), rows_per_call):
+                    if len(calls) == in_flight:
+                        yield from take()
+                    calls.append(pool.submit(some, batch.iloc[s : s + rows_per_call]))
+            while calls:
+                yield from take()
 
     return df.mapInPandas(run, schema)
