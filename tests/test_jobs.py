@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import itertools
+import math
 import re
 import threading
 import time
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tilequery.operators import folds, geometry, jobs, modelling, tiles
+from tilequery.operators import folds, geometry, groups, jobs, modelling, tiles
 from tilequery.sources import files
 
 TILES = "slide_id string, x int, y int, roi_coverage_A double, roi_coverage_B double"
@@ -248,6 +250,43 @@ def test_label_runs_by_painting(spark):
     assert geometry.label_runs(df.limit(0)).collect() == []
 
 
+def test_rectangles_by_painting(spark):
+    """Boxes over several bands, also left of and above the first cell; null sides and classes, flat and repeated boxes."""
+    draw = np.random.default_rng(5)
+    boxes = [("st"[i % 2], int(draw.integers(0, 4)), *(float(v) for v in (x, y, x + draw.integers(0, 300), y + draw.integers(0, 3000)))) for i, (x, y) in enumerate(draw.integers(-200, 900, (40, 2)))]
+    boxes += [boxes[0], ("s", None, 5000.0, 0.0, 5020.0, 10.0), ("s", 2, 7000.0, 0.0, None, 10.0), ("s", 2, None, 0.0, 9.0, 9.0), (None, 1, 0.0, 0.0, 9.0, 9.0)]
+    df = spark.createDataFrame(boxes, "slide_id string, class_index int, left double, top double, right double, bottom double")
+    want = {}
+    for s, c, left, top, right, bottom in boxes:
+        if left is not None:
+            x, y = int(left // 10), int(top // 10)
+            for cx in range(x, max(x, math.ceil(right / 10) - 1 if right is not None else x) + 1):
+                for cy in range(y, max(y, math.ceil(bottom / 10) - 1) + 1):
+                    want[s, cx, cy] = c if want.get((s, cx, cy)) is None else max(want[s, cx, cy], -1 if c is None else c)
+    out = geometry.rasterise_rectangles(df, 10.0)
+    rows = out.collect()
+    assert {(r.slide_id, r.cell_x, r.cell_y): r.value for r in rows} == want and len(rows) == len(want)
+    assert dict(out.dtypes)["value"] == "int"
+
+
+def test_many_groups_in_a_call(spark, monkeypatch):
+    """Groups are whole wherever batches end, many small ones share a call, and spans of several slides and bands keep apart in it."""
+    monkeypatch.setattr(groups, "ROWS", 100)
+    df = spark.range(0, 3000, 1, 3).select((F.col("id") % 700).cast("string").alias("k"), F.when(F.col("id") % 3 > 0, 1).alias("j")).unionAll(spark.range(900).selectExpr("'x' AS k", "2 AS j"))
+    least = 100
+
+    def count(rows):
+        new = np.flatnonzero(groups.starts(rows, ["k", "j"]))
+        return pa.table({"k": rows.column("k").take(pa.array(new)), "n": pa.array(np.diff(np.r_[new, rows.num_rows])), "call": pa.array([min(rows.num_rows, least)] * len(new))})
+
+    got = groups.in_groups(df.repartition(3), ["k", "j"], count, "k string, n long, call long").collect()
+    want = df.groupBy("k", "j").count().collect()
+    assert sorted((r.k, r.n) for r in got) == sorted((r.k, r["count"]) for r in want) and sum(r.call == least for r in got) > len(got) / 2
+    ints = [pa.array(v, pa.int32()) for v in ([0, 0, 63, 64], [0, 0, 63, 64], [0, 0, 5, 5], [4, 4, 8, 8], [1, 2, 1, 1], [0] * 4, [0] * 4)]
+    spans = pa.table([pa.array(["a", "b", "b", "b"]), pa.array([0, 0, 0, 1], pa.int32()), *ints[1:]], ["slide_id", "band", "cell_y", "first", "last", "class_index", "polygon", "hole"])
+    assert [tuple(r.values()) for r in geometry._topmost(spans).to_pylist()] == [("a", 0, 0, 4, 1), ("b", 0, 0, 4, 2), ("b", 63, 5, 8, 1), ("b", 64, 5, 8, 1)]
+
+
 def test_maps_and_windows_across_blocks(spark, monkeypatch):
     """Small blocks, so that tiles and windows cross them; nulls, repeated tiles, and cells that repeat."""
     monkeypatch.setattr(geometry, "SIDE", 5)

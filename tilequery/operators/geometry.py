@@ -332,23 +332,34 @@ def polygon_coverage(tiles: DataFrame, polygons: DataFrame, slides: DataFrame) -
     return _shares(_met(shapes, tiles, slides, ["rings", "downsample"]), _unite_polygons)
 
 
+def _topmost_boxes(boxes: pa.Table) -> pa.Table:
+    low, high, band = (boxes.column(c).to_numpy().astype(np.int64) for c in ("low", "high", "band"))
+    of, row = ranges(np.maximum(low, band * BAND), np.minimum(high, band * BAND + BAND - 1) + 1)
+    spans = boxes.select(["slide_id", "band", "class_index", "first", "last"]).take(pa.array(of))
+    none = pa.array(np.zeros(len(of), np.int32))
+    return _topmost(spans.append_column("cell_y", pa.array(row, pa.int32())).append_column("polygon", none).append_column("hole", none))
+
+
 def rasterise_rectangles(rectangles: DataFrame, scale: float = 56.0) -> DataFrame:
-    """``(slide_id, cell_x, cell_y, value)`` from ``(slide_id, class_index, left, top, right, bottom)``: the largest class index of a cell wins. A side that is null, or of no length, gives the one cell where it begins, or none; repeated rectangles change nothing."""
+    """``(slide_id, cell_x, cell_y, value)`` from ``(slide_id, class_index, left, top, right, bottom)``: the largest class index of a cell wins. A side that is null, or of no length, gives the one cell where it begins, or none; repeated rectangles change nothing.
 
-    def cells(low: str, high: str) -> Column:
-        return F.explode(F.sequence(F.floor(F.col(low) / scale).cast("int"), F.greatest(F.floor(F.col(low) / scale), F.ceil(F.col(high) / scale) - 1).cast("int")))
+    Rectangles meet by slide and band of ``BAND`` rows; cells are made of the runs that are seen at last, so that no task holds the cells of its rectangles."""
+    begin = {c: F.floor(F.col(low) / scale).cast("int") for c, low in (("first", "left"), ("low", "top"))}
+    end = {c: F.greatest(F.floor(F.col(low) / scale), F.ceil(F.col(high) / scale) - 1).cast("int") for c, low, high in (("last", "left", "right"), ("high", "top", "bottom"))}
+    least, kind = -(2**63), rectangles.schema["class_index"].dataType
+    sides = rectangles.select("slide_id", F.coalesce(F.col("class_index").cast("long"), F.lit(least)).alias("class_index"), *[v.alias(k) for k, v in (begin | end).items()]).dropna(subset=list(begin | end))
+    banded = sides.withColumn("band", F.explode(F.sequence(F.floor(F.col("low") / BAND).cast("int"), F.floor(F.col("high") / BAND).cast("int"))))
+    runs = in_groups(banded, ["slide_id", "band"], _topmost_boxes, "slide_id string, cell_y int, first int, last int, value long")
+    return _cells(runs).withColumn("value", F.when(F.col("value") != least, F.col("value")).cast(kind))
 
-    return rectangles.withColumn("cell_x", cells("left", "right")).withColumn("cell_y", cells("top", "bottom")).groupBy("slide_id", "cell_x", "cell_y").agg(F.max("class_index").alias("value"))
 
+def _cells(runs: DataFrame) -> DataFrame:
+    return runs.select("slide_id", F.explode(F.sequence("first", "last")).alias("cell_x"), "cell_y", "value")
 
-def _spans(rings: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(ring, row, first, last) of the cells whose centre lies inside each ring, for all rows of all rings at once."""
-    size = np.array([len(r) for r in rings], np.int64)
-    a = np.concatenate(rings) if rings else np.zeros((0, 2))
-    start = np.cumsum(size) - size
-    after = np.arange(len(a)) + 1
-    after[(start + size - 1)[size > 0]] = start[size > 0]
-    b, ring = a[after], np.repeat(np.arange(len(size)), size)
+
+def _spans(size: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(ring, row, first, last) of the cells whose centre lies inside each ring, for all rows of all rings at once; ``a`` has the points (n x 2) of rings of these sizes."""
+    b, ring = a[_after(size)], np.repeat(np.arange(len(size)), size)
     low, high = np.minimum(a[:, 1], b[:, 1]), np.maximum(a[:, 1], b[:, 1])
     edge, row = ranges(np.ceil(low - 0.5).astype(np.int64), np.ceil(high - 0.5).astype(np.int64))  # rows whose middle is in [low, high)
     y = row + 0.5
@@ -361,18 +372,25 @@ def _spans(rings: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 
 
 def _topmost(spans: pa.Table) -> pa.Table:
-    """Of the spans of some rows of a slide the runs of cells with one value, where the span drawn last is seen."""
+    """Of the spans of some slides and bands of rows the runs of cells with one value, where the span drawn last is seen."""
+    names = ["slide_id", "cell_y", "first", "last", "value"]
+    value_type = spans.schema.field("class_index").type
+    if not spans.num_rows:
+        return pa.table({c: pa.array([], t) for c, t in zip(names, (pa.string(), pa.int32(), pa.int32(), pa.int32(), value_type), strict=True)})
+    band = np.cumsum(starts(spans, ["slide_id", "band"])) - 1
     row, first, last = (spans.column(c).to_numpy().astype(np.int64) for c in ("cell_y", "first", "last"))
     drawn = np.lexsort(tuple(spans.column(c).to_numpy() for c in ("hole", "polygon", "class_index")))
     rank = np.empty(len(drawn), np.int64)
     rank[drawn] = np.arange(len(drawn))
     # Between two neighbouring ends of spans in a row nothing changes; each span covers a range of these pieces.
-    rows, ends = np.tile(row, 2), np.r_[first, last + 1]
-    order = np.lexsort((ends, rows))
-    new = np.r_[True, (np.diff(rows[order]) != 0) | (np.diff(ends[order]) != 0)]
+    line = band * BAND + row % BAND
+    lines, ends = np.tile(line, 2), np.r_[first, last + 1]
+    order = np.lexsort((ends, lines))
+    new = np.r_[True, (np.diff(lines[order]) != 0) | (np.diff(ends[order]) != 0)]
     place = np.empty(len(ends), np.int64)
     place[order] = np.cumsum(new) - 1
-    at, of = ends[order][new], rows[order][new]
+    source = order[new] % len(row)
+    at, of = ends[order][new], lines[order][new]
     span, piece = ranges(place[: len(row)], place[len(row) :])
     top = np.full(len(at), -1)
     np.maximum.at(top, piece, rank[span])
@@ -382,8 +400,9 @@ def _topmost(spans: pa.Table) -> pa.Table:
     joint = np.r_[False, (of[1:] == of[:-1]) & (begin[1:] == end[:-1]) & (value[1:] == value[:-1])]
     s = np.flatnonzero(~joint)
     e = np.r_[s[1:], len(end)] - 1
-    slide = spans.column("slide_id").take(pa.array(np.zeros(len(s), np.int64)))
-    return pa.Table.from_arrays([slide, *[pa.array(v, pa.int32()) for v in (of[s], begin[s], end[e] - 1, value[s])]], ["slide_id", "cell_y", "first", "last", "value"])
+    from_ = source[held][s]
+    slide = spans.column("slide_id").take(pa.array(from_))
+    return pa.Table.from_arrays([slide, *[pa.array(v, pa.int32()) for v in (row[from_], begin[s], end[e] - 1)], pa.array(value[s], value_type)], names)
 
 
 def label_runs(polygons: DataFrame, scale: float = 1.0) -> DataFrame:
@@ -397,24 +416,21 @@ def label_runs(polygons: DataFrame, scale: float = 1.0) -> DataFrame:
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            of, hole, rings = [], [], []
-            for i, shape in enumerate(batch.column("rings").to_pylist()):
-                for k, r in enumerate(shape or []):
-                    of.append(i)
-                    hole.append(min(k, 1))
-                    rings.append(np.array([p[:2] for p in r], float).reshape(-1, 2) / scale)
-            ring, *columns = _spans(rings)
-            own = pa.array(np.array(of, np.int64)[ring])
-            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(own) for c in names[:3]], pa.array(np.array(hole, np.int64)[ring], pa.int32()), *[pa.array(c, pa.int32()) for c in columns]], names)
+            rings_of, points_of, xy = _points(batch.column("rings"))
+            of = np.repeat(np.arange(len(rings_of)), rings_of)
+            hole = np.minimum(np.arange(len(of)) - np.repeat(np.cumsum(rings_of) - rings_of, rings_of), 1)
+            ring, *columns = _spans(points_of, xy.T / scale)
+            own = pa.array(of[ring])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(own) for c in names[:3]], pa.array(hole[ring], pa.int32()), *[pa.array(c, pa.int32()) for c in columns]], names)
 
     rows = polygons.select("slide_id", F.coalesce("class_index", F.lit(-1)).cast("int").alias("class_index"), F.coalesce("polygon", F.lit(-1)).cast("long").alias("polygon"), "rings")
     drawn = rows.mapInArrow(spans, "slide_id string, class_index int, polygon long, hole int, cell_y int, first int, last int")
-    return drawn.groupBy("slide_id", F.floor(F.col("cell_y") / BAND).alias("band")).applyInArrow(_topmost, "slide_id string, cell_y int, first int, last int, value int")
+    return in_groups(drawn.withColumn("band", F.floor(F.col("cell_y") / BAND).cast("int")), ["slide_id", "band"], _topmost, "slide_id string, cell_y int, first int, last int, value int")
 
 
 def rasterise_labels(polygons: DataFrame, scale: float = 1.0) -> DataFrame:
     """:func:`label_runs` as cells ``(slide_id, cell_x, cell_y, value)``, each once."""
-    return label_runs(polygons, scale).select("slide_id", F.explode(F.sequence("first", "last")).alias("cell_x"), "cell_y", "value")
+    return _cells(label_runs(polygons, scale))
 
 
 def _summed(grid: np.ndarray) -> np.ndarray:

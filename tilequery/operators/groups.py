@@ -26,8 +26,10 @@ def starts(rows: pa.Table, keys: list[str]) -> np.ndarray:
 def in_groups(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
     """``fn`` over whole groups, which it gets sorted by ``keys``: as many as fill ``ROWS`` rows, or one larger. A call costs milliseconds, which a group of a few rows is not worth."""
 
+    least = ROWS
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n, enough = [], 0, ROWS
+        held, n, enough = [], 0, least
         for batch in batches:
             held.append(batch)
             n += batch.num_rows
@@ -36,11 +38,11 @@ def in_groups(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], pa.Table]
             rows = pa.Table.from_batches(held)
             cut = int(np.flatnonzero(starts(rows, keys))[-1])
             if cut:
-                yield from fn(rows.slice(0, cut).combine_chunks()).to_batches(ROWS)
+                yield from fn(rows.slice(0, cut).combine_chunks()).to_batches(least)
             held = rows.slice(cut).to_batches()
             n -= cut
-            enough = max(ROWS, 2 * n)  # a large group is looked at again only when it has doubled
+            enough = max(least, 2 * n)  # a large group is looked at again only when it has doubled
         if n:
-            yield from fn(pa.Table.from_batches(held).combine_chunks()).to_batches(ROWS)
+            yield from fn(pa.Table.from_batches(held).combine_chunks()).to_batches(least)
 
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
