@@ -442,20 +442,30 @@ def _corners(table: np.ndarray, x: np.ndarray, y: np.ndarray, w: int, h: int) ->
     return table[x + w, y + h] - table[x, y + h] - table[x + w, y] + table[x, y]
 
 
-def _read_windows(keys: tuple, windows: pa.Table, cells: pa.Table) -> pa.Table:
-    """Coverage of the windows that begin in a block, from four corners of its summed-area table each."""
-    names = [*KEY, "mask", "tile_coverage", "roi_coverage"]
-    if not windows.num_rows:
-        return pa.table({c: pa.array([], t) for c, t in zip(names, (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.float64(), pa.float64()), strict=True)})
-    w, h, side_x, side_y = (windows.column(c)[0].as_py() for c in ("wx", "wy", "side_x", "side_y"))
-    left, top = keys[2].as_py() * side_x, keys[3].as_py() * side_y
-    grid = np.zeros((side_x + w, side_y + h), np.int64)
-    if cells.num_rows:
-        np.add.at(grid, (cells.column("cell_x").to_numpy() - left, cells.column("cell_y").to_numpy() - top), 1)
-    table, x, y = _summed(grid), windows.column("ox").to_numpy() - left, windows.column("oy").to_numpy() - top
-    hw, hh = max(1, w // 2), max(1, h // 2)
-    found = _corners(table, x, y, w, h) / (w * h), _corners(table, x + w // 4, y + h // 4, hw, hh) / (hw * hh)
-    return pa.Table.from_arrays([*[windows.column(c) for c in names[:4]], *[pa.array(v) for v in found]], names)
+def _read_windows(rows: pa.Table) -> pa.Table:
+    """Coverage of the windows that begin in some blocks, from four corners of a block's summed-area table each; ``at_x, at_y`` is where a window begins, or a cell."""
+    begin = np.flatnonzero(starts(rows, _MASK_BLOCK))
+    at = np.stack([rows.column(c).to_numpy() for c in ("at_x", "at_y")]).astype(np.int64)
+    size, side, block = (np.stack([rows.column(f"{c}{a}").to_numpy() for a in "xy"]).astype(np.int64) for c in ("w", "side_", "b"))
+    is_window = rows.column("window").to_numpy()
+    at -= block * side
+    found = np.zeros((2, rows.num_rows))
+    for s, e in zip(begin, np.r_[begin[1:], rows.num_rows], strict=True):
+        windows = s + np.flatnonzero(is_window[s:e])
+        if not len(windows):
+            continue
+        (w, h), (x, y) = size[:, s], at[:, windows]
+        cells = at[:, s:e][:, ~is_window[s:e]]
+        end = x.max() + w, y.max() + h  # as far as windows reach
+        cells = cells[:, (cells[0] < end[0]) & (cells[1] < end[1])]
+        table = _summed(np.bincount(cells[0] * end[1] + cells[1], minlength=end[0] * end[1]).reshape(end))
+        hw, hh = max(1, w // 2), max(1, h // 2)
+        found[0, windows], found[1, windows] = _corners(table, x, y, w, h) / (w * h), _corners(table, x + w // 4, y + h // 4, hw, hh) / (hw * hh)
+    out = rows.select([*KEY, "mask"]).append_column("tile_coverage", pa.array(found[0])).append_column("roi_coverage", pa.array(found[1]))
+    return out.filter(pa.array(is_window))
+
+
+_MASK_BLOCK = ["slide_id", "mask", "bx", "by"]
 
 
 def mask_coverage(tiles: DataFrame, slides: DataFrame, sizes: DataFrame, cells: DataFrame) -> DataFrame:
@@ -477,10 +487,10 @@ def mask_coverage(tiles: DataFrame, slides: DataFrame, sizes: DataFrame, cells:
         side, cell = F.col(f"side_{a}"), F.col(f"cell_{a}")
         windows = windows.withColumn(f"o{a}", half_even(F.col(a) * F.col(f"scale_{a}")).cast("int")).withColumn(f"b{a}", F.floor(F.col(f"o{a}") / side).cast("int"))
         lit = lit.withColumn(f"b{a}", F.explode(F.sequence(F.floor((cell - F.col(f"w{a}") + 1) / side).cast("int"), F.floor(cell / side).cast("int"))))
-    block = ["slide_id", "mask", "bx", "by"]
-    windows = windows.select(*KEY, "mask", "wx", "wy", "side_x", "side_y", "ox", "oy", "bx", "by")
-    met = windows.groupBy(*block).cogroup(lit.select(*block, "cell_x", "cell_y").groupBy(*block))
-    return met.applyInArrow(_read_windows, "slide_id string, x int, y int, mask string, tile_coverage double, roi_coverage double")
+    sides = ["wx", "wy", "side_x", "side_y"]
+    windows = windows.select(*_MASK_BLOCK, F.lit(True).alias("window"), "x", "y", F.col("ox").alias("at_x"), F.col("oy").alias("at_y"), *sides)
+    lit = lit.select(*_MASK_BLOCK, F.lit(False).alias("window"), F.lit(None).cast("int").alias("x"), F.lit(None).cast("int").alias("y"), F.col("cell_x").alias("at_x"), F.col("cell_y").alias("at_y"), *sides)
+    return in_groups(windows.unionAll(lit), _MASK_BLOCK, _read_windows, "slide_id string, x int, y int, mask string, tile_coverage double, roi_coverage double")
 
 
 def mask_coverage_multi(coverage: DataFrame, masks: list[str]) -> DataFrame:
