@@ -325,3 +325,13 @@ def test_maps_and_windows_across_blocks(spark, monkeypatch):
         hx, hy = max(1, wx // 2), max(1, wy // 2)
         middle = sum(wx // 4 <= x < wx // 4 + hx and wy // 4 <= y < wy // 4 + hy for x, y in own)
         assert (r.tile_coverage, r.roi_coverage) == pytest.approx((inside / (wx * wy), middle / (hx * hy)), abs=1e-12)
+
+
+def test_flattening_keeps_partitions(spark):
+    """Shapes meet the few names where they are, not in a task for each name."""
+    doc = '{"features": [{"properties": {"name": "fat"}, "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [9, 0], [9, 9]]]}}, 5]}'
+    docs = spark.range(64).repartition(8).select(F.concat(F.lit("s"), "id").alias("slide_id"), F.lit(doc).alias("doc"))
+    mapping = spark.createDataFrame([("Fat", "FAT", 0), ("Nerve", "nerve", 1)], "class string, raw_name string, class_index int")
+    flat = geometry.flatten_annotations(docs, mapping)
+    parts = flat.groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == 8 and sum(r["count"] for r in parts) == 64

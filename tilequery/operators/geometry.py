@@ -6,6 +6,7 @@ tile_extent_y, stride_x, stride_y, downsample``, ids once and nothing null. Tile
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -49,39 +50,51 @@ def flatten_annotations(docs: DataFrame, mapping: DataFrame, name_path: str = "p
 
     A document is GeoJSON, or Darwin JSON where a column ``format`` says so (see ``annotation_format``). Names match as whole
     strings in any case. A raw name of two classes gives two rows; null and empty shapes and broken documents are left out;
-    multi-polygons give a row for each part. ``polygon`` numbers the shapes of a document. Rings that are no
-    simple outlines stay in; :func:`ring_faults` tells which.
+    multi-polygons give a row for each part; of a key that repeats in an object the last counts. ``polygon`` numbers the shapes of a document. Rings that are no
+    simple outlines stay in; :func:`ring_faults` tells which. ``mapping`` is broadcast: it is a table of names that people write, and
+    by name all shapes of a class would meet in one task.
     """
     shapes = _geojson_shapes(docs.filter("format = 'geojson'") if "format" in docs.columns else docs, name_path)
     if "format" in docs.columns:
         shapes = shapes.unionByName(_darwin_shapes(docs.filter("format = 'darwin'")))
     flat = shapes.filter("rings IS NOT NULL AND size(rings) > 0 AND size(rings[0]) > 2")
-    names = mapping.select("class", F.lower("raw_name").alias("_raw"), "class_index")
+    names = F.broadcast(mapping.select("class", F.lower("raw_name").alias("_raw"), "class_index"))
     joined = flat.join(names, F.lower("name") == F.col("_raw"))
     number = F.shiftleft(F.col("feature").cast("long"), 32) + F.col("part")
     return joined.select("slide_id", "class", "class_index", number.alias("polygon"), "rings")
 
 
 def _geojson_shapes(docs: DataFrame, name_path: str) -> DataFrame:
+    """Names and rings of features. Outer generators read a text once: others put a filter with the whole expression below themselves."""
     collection = F.from_json("doc", "features array<string>")["features"]
-    features = docs.select("slide_id", F.posexplode(collection).alias("feature", "f"))
-    kind = F.get_json_object("f", "$.geometry.type")
-    shape = F.get_json_object("f", "$.geometry.coordinates")
+    features = docs.select("slide_id", F.posexplode_outer(collection).alias("feature", "f"))
+    field = "geometry struct<type: string, coordinates: string>"
+    plain = re.fullmatch(r"(?!geometry\b)\w+(\.\w+)*", name_path)
+    if plain:
+        first, *rest = name_path.split(".")
+        kind = "string"
+        for k in reversed(rest):
+            kind = f"struct<`{k}`: {kind}>"
+        field += f", `{first}` {kind}"
+    read = features.select("slide_id", "feature", "f", F.inline_outer(F.array(F.from_json("f", field))))
+    name = F.col(name_path) if plain else F.get_json_object("f", f"$.{name_path}")
+    kind, shape = F.col("geometry.type"), F.col("geometry.coordinates")
     rings = "array<array<array<double>>>"
     parts = F.when(kind == "Polygon", F.array(F.from_json(shape, rings))).when(kind == "MultiPolygon", F.from_json(shape, f"array<{rings}>"))
-    return features.select("slide_id", "feature", F.get_json_object("f", f"$.{name_path}").alias("name"), F.posexplode(parts).alias("part", "rings"))
+    return read.select("slide_id", "feature", name.alias("name"), F.posexplode_outer(parts).alias("part", "rings"))
 
 
 def _darwin_shapes(docs: DataFrame) -> DataFrame:
     """Annotations with a name and a polygon, whose ``path`` is one outline or whose ``paths`` are an outline and its holes."""
     annotations = F.from_json("doc", "annotations array<string>")["annotations"]
-    found = docs.select("slide_id", F.posexplode(annotations).alias("feature", "f"))
-    point, line = "struct<x:double,y:double>", "$.polygon.path"
-    many = F.coalesce(F.from_json(F.get_json_object("f", "$.polygon.paths"), f"array<array<{point}>>"), F.from_json(F.get_json_object("f", "$.complex_polygon.path"), f"array<array<{point}>>"))
-    single = F.from_json(F.get_json_object("f", line), f"array<{point}>")
+    found = docs.select("slide_id", F.posexplode_outer(annotations).alias("feature", "f"))
+    read = found.select("slide_id", "feature", F.inline_outer(F.array(F.from_json("f", "name string, polygon struct<path: string, paths: string>, complex_polygon struct<path: string>"))))
+    line = "array<struct<x: double, y: double>>"
+    many = F.coalesce(F.from_json("polygon.paths", f"array<{line}>"), F.from_json("complex_polygon.path", f"array<{line}>"))
+    single = F.from_json("polygon.path", line)
     paths = F.coalesce(many, F.when(single.isNotNull(), F.array(single)))
     rings = F.transform(paths, lambda ring: F.transform(ring, lambda p: F.array(p["x"], p["y"])))
-    return found.select("slide_id", "feature", F.get_json_object("f", "$.name").alias("name"), F.lit(0).alias("part"), rings.alias("rings"))
+    return read.select("slide_id", "feature", "name", F.lit(0).alias("part"), F.explode_outer(F.array(rings)).alias("rings"))
 
 
 def _crosses(ring: np.ndarray) -> bool:
