@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tilequery.operators import folds, geometry, groups, jobs, modelling, tiles
+from tilequery.plans import registry
 from tilequery.sources import files
 
 TILES = "slide_id string, x int, y int, roi_coverage_A double, roi_coverage_B double"
@@ -335,3 +336,10 @@ def test_flattening_keeps_partitions(spark):
     flat = geometry.flatten_annotations(docs, mapping)
     parts = flat.groupBy(F.spark_partition_id()).count().collect()
     assert len(parts) == 8 and sum(r["count"] for r in parts) == 64
+
+
+def test_documents_gather_sides(spark):
+    """Squares are shuffled as their sides; the text is written where they have been gathered."""
+    plan = registry._documents(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    gathered = plan[plan.index("collect_list(") :].split(", 0, 0)")[0]
+    assert "Feature" not in gathered and "top" in gathered

@@ -576,12 +576,31 @@ def grid_tiles(spark, sf):
 _CORNERS = (("left", "top"), ("right", "top"), ("right", "bottom"), ("left", "bottom"), ("left", "top"))
 
 
-def _documents(spark, sf, squares=None):
-    """The squares as one GeoJSON text for each grid column of a slide, in an order that does not hang on how rows arrive."""
-    corners = F.array(*[F.array(F.col(a).cast("double"), F.col(b).cast("double")) for a, b in _CORNERS])
-    feature = F.struct(F.lit("Feature").alias("type"), F.struct("name").alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(corners).alias("coordinates")).alias("geometry"))
+def _corners(square):
+    return [(square[a].cast("double") if a != "left" else F.col(a).cast("double"), square[b].cast("double")) for a, b in _CORNERS]
+
+
+def _geojson(squares):
+    def feature(square):
+        ring = F.array(*[F.array(x, y) for x, y in _corners(square)])
+        return F.struct(F.lit("Feature").alias("type"), F.struct(square["name"].alias("name")).alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
+
+    return F.struct(F.transform(squares, feature).alias("features"))
+
+
+def _darwin(squares):
+    def annotation(square):
+        path = F.array(*[F.struct(x.alias("x"), y.alias("y")) for x, y in _corners(square)])
+        return F.struct(square["name"].alias("name"), F.struct(path.alias("path")).alias("polygon"))
+
+    return F.struct(F.transform(squares, annotation).alias("annotations"))
+
+
+def _documents(spark, sf, squares=None, written=_geojson):
+    """The squares as one text for each grid column of a slide, in an order that does not hang on how rows arrive. Squares are gathered as their sides: written out they take ten times the room."""
     squares = _t(spark, sf, "squares") if squares is None else squares
-    return squares.groupBy("slide_id", "left").agg(F.to_json(F.struct(F.sort_array(F.collect_list(feature)).alias("features"))).alias("doc")).select("slide_id", "doc")
+    gathered = F.sort_array(F.collect_list(F.struct("name", "top", "right", "bottom")))
+    return squares.groupBy("slide_id", "left").agg(F.to_json(written(gathered)).alias("doc")).select("slide_id", "doc")
 
 
 def _polygons(spark, sf):
