@@ -343,3 +343,9 @@ def test_documents_gather_sides(spark):
     plan = registry._documents(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     gathered = plan[plan.index("collect_list(") :].split(", 0, 0)")[0]
     assert "Feature" not in gathered and "top" in gathered
+
+
+def test_both_formats_gather_sides(spark):
+    plan = registry.QUERIES["read_annotation_documents"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    gathered = [p.split(", 0, 0)")[0] for p in plan.split("collect_list(")[1:]]
+    assert len(gathered) == 2 and not any("polygon" in g or "Feature" in g for g in gathered)

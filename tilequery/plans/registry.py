@@ -102,10 +102,9 @@ def count_rows(spark, sf):
 @query(f'SELECT slide_id, lower(name) AS name, CAST("left" AS DOUBLE) AS x0, CAST(top AS DOUBLE) AS y0, "right" AS x1, bottom AS y1, q.format FROM (SELECT s.*, CASE WHEN "left" % 3 = 0 THEN \'darwin\' ELSE \'geojson\' END AS format FROM squares s) q', "squares")
 def read_annotation_documents(spark, sf):
     """Texts of both formats, parsed: a document for each grid column of a slide."""
-    darwin = F.struct("name", F.struct(F.array(*[F.struct(F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for a, b in _CORNERS]).alias("path")).alias("polygon"))
     squares = _t(spark, sf, "squares").withColumn("format", F.when(F.col("left") % 3 == 0, "darwin").otherwise("geojson"))
-    other = squares.filter("format = 'darwin'").groupBy("slide_id", "left", "format").agg(F.to_json(F.struct(F.collect_list(darwin).alias("annotations"))).alias("doc"))
-    docs = _documents(spark, sf, squares.filter("format = 'geojson'")).withColumn("format", F.lit("geojson")).unionByName(other.select("slide_id", "doc", "format"))
+    docs = _documents(spark, sf, squares.filter("format = 'geojson'")).withColumn("format", F.lit("geojson"))
+    docs = docs.unionByName(_documents(spark, sf, squares.filter("format = 'darwin'"), _darwin).withColumn("format", F.lit("darwin")))
     names = spark.createDataFrame([("nerve", "NERVE", 0), ("fat", "Fat", 1)], "class string, raw_name string, class_index int")
     flat = geometry.flatten_annotations(docs, names)
     corner = F.col("rings")[0]
