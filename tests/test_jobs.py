@@ -338,6 +338,29 @@ def test_flattening_keeps_partitions(spark):
     assert len(parts) == 8 and sum(r["count"] for r in parts) == 64
 
 
+def test_tiles_meet_as_columns(spark):
+    """Tiles of a block are a row for each column of grid places, up to the 64th bit, and need no sort by slide to find their scale."""
+    slides = spark.createDataFrame([("s", 300, 9000, 20, 20, 10, 10, 1.0)], "id string, extent_x int, extent_y int, tile_extent_x int, tile_extent_y int, stride_x int, stride_y int, downsample double")
+    places = geometry.grid_tiles(slides).filter("NOT (x = 10 AND y = 640)")
+    places = places.unionAll(places).unionAll(spark.createDataFrame([("s", 11, 640), ("t", 0, 0), (None, 0, 0)], "slide_id string, x int, y int"))
+    boxes = spark.createDataFrame([("s", "a", 15, 625, 25, 655), ("s", "a", 15, 640, 25, 645), ("s", "b", 295, 8995, 400, 9999)], "slide_id string, class string, left int, top int, right int, bottom int")
+    rows = geometry._met(boxes, places, slides, ["left", "top", "right", "bottom"])
+    assert rows.filter("tiles IS NOT NULL").count() == 29 * 15  # 29 columns of 899 places
+    assert rows.filter("tiles IS NOT NULL").agg(F.sum(F.bit_count("tiles.places"))).first()[0] == 29 * 899 - 1
+    assert "SortMergeJoin" not in rows._jdf.queryExecution().executedPlan().toString()
+    got = {(r["class"], r.x, r.y): r.tile_coverage for r in geometry.rectangle_coverage(places, boxes, slides).collect()}
+    sides = {"a": [(15, 625, 25, 655)], "b": [(295, 8995, 400, 9999)]}
+    want = {}
+    for k, own in sides.items():
+        for left, top, right, bottom in own:
+            for x in range(0, 281, 10):
+                for y in range(0, 8981, 10):
+                    w, h = min(right, x + 20) - max(left, x), min(bottom, y + 20) - max(top, y)
+                    if w > 0 and h > 0 and (x, y) != (10, 640):
+                        want[k, x, y] = w * h / 400
+    assert got == want
+
+
 def test_documents_gather_sides(spark):
     """Squares are shuffled as their sides; the text is written where they have been gathered."""
     plan = registry._documents(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()

@@ -154,11 +154,12 @@ _PARTS = (0.0, 0.25)
 
 
 def _met(shapes: DataFrame, tiles: DataFrame, slides: DataFrame, more: list[str]) -> DataFrame:
-    """Shapes and tiles side by side: a row of ``shapes`` for each block of ``UNITED`` by ``UNITED`` grid places that its box touches, and one (with ``x`` and ``y``) for each tile on the grid.
+    """Shapes and tiles side by side: a row of ``shapes`` for each block of ``UNITED`` by ``UNITED`` grid places that its box touches, and one (with ``tiles``) for each column of a block that has tiles on the grid.
 
-    ``first`` and ``last`` are the grid places whose tile meets the open box; sides are in the slide's tiling level.
+    ``first`` and ``last`` are the grid places whose tile meets the open box; sides are in the slide's tiling level. ``tiles.places`` has a bit for each
+    place of the column, so that the tiles of a slide are a few rows, not thousands.
     """
-    info = slides.select(F.col("id").alias("slide_id"), *_SCALE, "downsample")
+    info = slides.select(F.col("id").alias("slide_id"), *_SCALE, "downsample").hint("shuffle_hash")  # a row for each slide; nothing else needs to be sorted by it
     boxed = shapes.join(info, "slide_id").withColumns({c: F.col(c) / F.col("downsample") for c in _SIDES})
     placed = tiles.select(*KEY).join(info, "slide_id")
     for a, low, high in (("x", "left", "right"), ("y", "top", "bottom")):
@@ -167,45 +168,59 @@ def _met(shapes: DataFrame, tiles: DataFrame, slides: DataFrame, more: list[str]
         boxed = boxed.filter(F.col(f"last_{a}") >= F.col(f"first_{a}")).withColumn(f"b{a}", F.explode(F.sequence(*[F.floor(F.col(f"{k}_{a}") / UNITED).cast("int") for k in ("first", "last")])))
         place = F.ceil(F.col(a) / stride).cast("int")
         placed = placed.withColumn(f"first_{a}", place).filter((place >= 0) & ((place * stride).cast("int") == F.col(a))).withColumn(f"b{a}", F.floor(place / UNITED).cast("int"))
-    names = ["slide_id", "bx", "by", "first_x", "first_y", *_SCALE[:2]]
-    own = ["last_x", "last_y", "class", *more]
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("first_y") % UNITED)
+    columns = placed.groupBy(*_BLOCK, "first_x", *_SCALE).agg(F.bit_or(bit).alias("places"))
+    column = F.struct("places", *_SCALE)
+    column = column.cast(columns.select(column.alias("tiles")).schema["tiles"].dataType.simpleString())  # with fields that may be null, as in rows of shapes
+    own = ["first_y", "last_x", "last_y", "class", *more]
     kinds = dict(boxed.select(*own).dtypes)
-    shape_rows = boxed.select(*names, F.lit(None).cast("int").alias("x"), F.lit(None).cast("int").alias("y"), *own)
-    return shape_rows.unionAll(placed.select(*names, F.col("x").cast("int"), F.col("y").cast("int"), *[F.lit(None).cast(kinds[c]).alias(c) for c in own]))
+    no_tiles = F.lit(None).cast(columns.select(column.alias("tiles")).schema["tiles"].dataType).alias("tiles")
+    shape_rows = boxed.select(*_BLOCK, "first_x", no_tiles, *own)
+    return shape_rows.unionAll(columns.select(*_BLOCK, "first_x", column.alias("tiles"), *[F.lit(None).cast(kinds[c]).alias(c) for c in own]))
 
 
-def _pairs(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """(row of the shape, row of the tile) wherever the box of a shape touches a tile, for the rows of some blocks; repeated tiles count once."""
+def _pairs(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, pa.Table]:
+    """(row of the shape, row in ``tiles``) wherever the box of a shape touches a tile, for the rows of some blocks, and the ``tiles`` that are touched, each once."""
     block = np.cumsum(starts(rows, _BLOCK)) - 1
-    bx, by, first_x, first_y = (rows.column(c).to_numpy().astype(np.int64) for c in ("bx", "by", "first_x", "first_y"))
-    is_tile = rows.column("x").is_valid().to_numpy()
-    tile, shape = np.flatnonzero(is_tile), np.flatnonzero(~is_tile)
-    known, at = np.unique((block[tile] * UNITED + first_x[tile] % UNITED) * UNITED + first_y[tile] % UNITED, return_index=True)
-    tile = tile[at]
-    if not len(tile) or not len(shape):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    last_x, last_y = (rows.column(c).take(pa.array(shape)).to_numpy().astype(np.int64) for c in ("last_x", "last_y"))
-    i, gx = ranges(np.maximum(first_x, bx * UNITED)[shape], np.minimum(last_x, bx[shape] * UNITED + UNITED - 1) + 1)
-    j, gy = ranges(np.maximum(first_y, by * UNITED)[shape][i], np.minimum(last_y, by[shape] * UNITED + UNITED - 1)[i] + 1)
-    i, gx = i[j], gx[j]
-    number = (block[shape[i]] * UNITED + gx % UNITED) * UNITED + gy % UNITED
-    place = np.minimum(np.searchsorted(known, number), len(known) - 1)
-    there = known[place] == number
-    return shape[i[there]], tile[place[there]]
-
-
-def _parts(rows: pa.Table, tile: np.ndarray) -> list[np.ndarray]:
+    bx, by, first_x = (rows.column(c).to_numpy().astype(np.int64) for c in ("bx", "by", "first_x"))
+    is_tile = rows.column("tiles").is_valid().to_numpy()
+    column, shape = np.flatnonzero(is_tile), np.flatnonzero(~is_tile)
+    known = block[column] * UNITED + first_x[column] % UNITED
+    order = np.argsort(known)
+    column, known = column[order], known[order]
+    of = rows.column("tiles").combine_chunks().take(pa.array(column))
+    places = of.field("places").to_numpy(zero_copy_only=False).astype(np.int64)
+    first_y, last_x, last_y = (rows.column(c).take(pa.array(shape)).to_numpy().astype(np.int64) for c in ("first_y", "last_x", "last_y"))
+    left, top = bx[shape] * UNITED, by[shape] * UNITED
+    i, gx = ranges(np.maximum(first_x[shape], left), np.minimum(last_x, left + UNITED - 1) + 1)
+    number = block[shape[i]] * UNITED + gx % UNITED
+    at = np.searchsorted(known, number)
+    there = np.r_[known, -1][at] == number
+    i, at = i[there], at[there]
+    j, gy = ranges(np.maximum(first_y, top)[i], np.minimum(last_y, top + UNITED - 1)[i] + 1)
+    i, at = i[j], at[j]
+    there = (places[at] >> gy % UNITED) & 1 == 1
+    touched, tile = np.unique(at[there] * UNITED + gy[there] % UNITED, return_inverse=True)
+    at = touched // UNITED
+    row = column[at]
+    grid = {"x": first_x[row], "y": by[row] * UNITED + touched % UNITED}
+    of = {c: of.field(c).to_numpy(zero_copy_only=False)[at] for c in _SCALE}
+    names = {a: pa.array(np.trunc(g * of[f"stride_{a}"].astype(float)).astype(np.int32)) for a, g in grid.items()} | {c: pa.array(of[c]) for c in _SCALE[:2]}
+    return shape[i[there]], tile, pa.table({"slide_id": rows.column("slide_id").take(pa.array(row)), **names})
+
+
+def _parts(tiles: pa.Table, tile: np.ndarray) -> list[np.ndarray]:
     """The whole of tiles and their central half, each as 4 x n: left, top, right, bottom."""
-    x, y, w, h = (rows.column(c).take(pa.array(tile)).to_numpy().astype(float) for c in ("x", "y", *_SCALE[:2]))
+    x, y, w, h = (tiles.column(c).to_numpy().astype(float)[tile] for c in ("x", "y", *_SCALE[:2]))
     return [np.stack([x + w * part, y + h * part, x + w * (1 - part), y + h * (1 - part)]) for part in _PARTS]
 
 
-def _unite(rows: pa.Table, shape: np.ndarray, tile: np.ndarray, own: list[np.ndarray], edges: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]) -> pa.Table:
+def _unite(rows: pa.Table, tiles: pa.Table, shape: np.ndarray, tile: np.ndarray, own: list[np.ndarray], edges: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]) -> pa.Table:
     """``(*KEY, class, tile_extent_x, tile_extent_y, area, roi)`` of all shapes of a class together, from the pairs of shape and tile and their areas; ``edges`` gives (4 x m, pair) of some pairs."""
     kind = rows.column("class").combine_chunks().dictionary_encode().indices.fill_null(0).to_numpy().astype(np.int64)[shape]
-    _, first, of = np.unique(kind * rows.num_rows + tile, return_index=True, return_inverse=True)
+    _, first, of = np.unique(kind * tiles.num_rows + tile, return_index=True, return_inverse=True)
     n, out = len(first), []
-    for box, area in zip(_parts(rows, tile[first]), own, strict=True):
+    for box, area in zip(_parts(tiles, tile[first]), own, strict=True):
         whole = (box[2] - box[0]) * (box[3] - box[1])
         most, several = np.zeros(n), np.bincount(of[area > 0], minlength=n) > 1
         np.maximum.at(most, of, area)
@@ -215,20 +230,20 @@ def _unite(rows: pa.Table, shape: np.ndarray, tile: np.ndarray, own: list[np.nda
         out.append(np.where(open_, np.maximum(found, most), np.minimum(most, whole)))
     names = ["slide_id", "x", "y", *_SCALE[:2]]
     at = pa.array(tile[first])
-    return pa.Table.from_arrays([*[rows.column(c).take(at) for c in names], rows.column("class").take(pa.array(shape[first])), *[pa.array(v) for v in out]], [*names, "class", "area", "roi"])
+    return pa.Table.from_arrays([*[tiles.column(c).take(at) for c in names], rows.column("class").take(pa.array(shape[first])), *[pa.array(v) for v in out]], [*names, "class", "area", "roi"])
 
 
 def _unite_boxes(rows: pa.Table) -> pa.Table:
-    shape, tile = _pairs(rows)
+    shape, tile, tiles = _pairs(rows)
     side = np.stack([rows.column(c).take(pa.array(shape)).to_numpy().astype(float) for c in _SIDES])
-    cut = [(np.maximum(side[:2], box[:2]), np.minimum(side[2:], box[2:])) for box in _parts(rows, tile)]
+    cut = [(np.maximum(side[:2], box[:2]), np.minimum(side[2:], box[2:])) for box in _parts(tiles, tile)]
     own = [np.maximum(0.0, high - low).prod(0) for low, high in cut]
 
     def edges(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         left, top, right, bottom = side[:, pairs]
         return np.stack([np.stack([left, y, right, y]) for y in (top, bottom)], 2).reshape(4, -1), np.repeat(pairs, 2)
 
-    return _unite(rows, shape, tile, own, edges)
+    return _unite(rows, tiles, shape, tile, own, edges)
 
 
 _BLOCK = ["slide_id", "bx", "by"]
@@ -294,7 +309,7 @@ def _after(size: np.ndarray) -> np.ndarray:
 
 
 def _unite_polygons(rows: pa.Table) -> pa.Table:
-    shape, tile = _pairs(rows)
+    shape, tile, tiles = _pairs(rows)
     rings_of, points_of, xy = _points(rows.column("rings").combine_chunks())
     ring_row = np.repeat(np.arange(rows.num_rows), rings_of)
     row = np.repeat(ring_row, points_of)
@@ -306,7 +321,7 @@ def _unite_polygons(rows: pa.Table) -> pa.Table:
     end = np.cumsum(size)
     start, most = end - size, np.cumsum(size[shape])
     own = [np.zeros(len(shape)) for _ in _PARTS]
-    boxes = _parts(rows, tile)
+    boxes = _parts(tiles, tile)
     cuts = np.unique(np.r_[np.searchsorted(most, np.arange(0, most[-1] if len(most) else 0, _EDGES), side="left"), len(shape)])
     for s, t in zip(cuts[:-1], cuts[1:], strict=True):
         pair, k = ranges(start[shape[s:t]], end[shape[s:t]])
@@ -328,7 +343,7 @@ def _unite_polygons(rows: pa.Table) -> pa.Table:
             of += [np.full(n.shape[1], p) for n in near]
         return np.concatenate(found, 1), np.concatenate(of)
 
-    return _unite(rows, shape, tile, own, edges)
+    return _unite(rows, tiles, shape, tile, own, edges)
 
 
 def polygon_coverage(tiles: DataFrame, polygons: DataFrame, slides: DataFrame) -> DataFrame:

@@ -647,7 +647,7 @@ COVERED = "WITH " + _union_sql(f"""SELECT t.slide_id, t.x, t.y, class, 224 AS w,
 @query(COVERED, "tiles", "squares")
 def rectangle_coverage(spark, sf):
     t, squares = _t(spark, sf, "tiles", "squares")
-    named = squares.join(_mapping(spark), F.lower("name") == F.lower("raw_name"))
+    named = squares.join(F.broadcast(_mapping(spark)), F.lower("name") == F.lower("raw_name"))
     return geometry.rectangle_coverage(t, named, _t(spark, sf, "slides"))
 
 
@@ -686,7 +686,7 @@ COVERED_MIXED = _mixed_sql("") + f""", m AS (SELECT q.slide_id, q.class, "left"
 @query(COVERED_MIXED, "slides", "squares")
 def rectangle_coverage_mixed(spark, sf):
     slides, t = _mixed(spark, sf)
-    named = _t(spark, sf, "squares").join(_mapping(spark), F.lower("name") == F.lower("raw_name"))
+    named = _t(spark, sf, "squares").join(F.broadcast(_mapping(spark)), F.lower("name") == F.lower("raw_name"))
     return geometry.rectangle_coverage(t, named, slides)
 
 
