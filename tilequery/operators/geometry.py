@@ -26,6 +26,8 @@ from .union import edges_near, ranges, union_areas
 
 #: Grid places along a side of the blocks whose shapes and tiles meet.
 UNITED = 64
+#: Rows of shapes and tiles that are looked at together: a shape meets ten tiles, and each of these several sides.
+_TOGETHER = 1 << 14
 #: Edges that are looked at together.
 _EDGES = 1 << 21
 #: Cells along a side of the blocks in which windows and maps are summed, and rows of a band of runs.
@@ -251,7 +253,7 @@ _BLOCK = ["slide_id", "bx", "by"]
 
 def _shares(rows: DataFrame, unite: Callable[[pa.Table], pa.Table]) -> DataFrame:
     """Unite the shapes of each tile and class, as shares of the tile and of its central half."""
-    united = in_groups(rows, _BLOCK, unite, "slide_id string, x int, y int, tile_extent_x int, tile_extent_y int, class string, area double, roi double")
+    united = in_groups(rows, _BLOCK, unite, "slide_id string, x int, y int, tile_extent_x int, tile_extent_y int, class string, area double, roi double", _TOGETHER)
     whole = F.col("tile_extent_x") * F.col("tile_extent_y")
     return united.filter("area > 0").select(*KEY, "class", F.round(F.col("area") / whole, 9).alias("tile_coverage"), F.round(4 * F.col("roi") / whole, 9).alias("roi_coverage"))
 

@@ -23,10 +23,10 @@ def starts(rows: pa.Table, keys: list[str]) -> np.ndarray:
     return new
 
 
-def in_groups(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
-    """``fn`` over whole groups, which it gets sorted by ``keys``: as many as fill ``ROWS`` rows, or one larger. A call costs milliseconds, which a group of a few rows is not worth."""
+def in_groups(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], pa.Table], schema: str, most: int | None = None) -> DataFrame:
+    """``fn`` over whole groups, which it gets sorted by ``keys``: as many as fill ``ROWS`` rows (or ``most``, if that is less), or one larger. A call costs milliseconds, which a group of a few rows is not worth."""
 
-    least = ROWS
+    least = min(ROWS, most or ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n, enough = [], 0, least
