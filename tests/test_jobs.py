@@ -361,6 +361,13 @@ def test_tiles_meet_as_columns(spark):
     assert got == want
 
 
+def test_maps_need_no_order_by_slide(spark):
+    slides = spark.createDataFrame([("s", 40, 20, 20, 20, 10, 10)], "id string, extent_x int, extent_y int, tile_extent_x int, tile_extent_y int, stride_x int, stride_y int")
+    cells = geometry.scalar_map(geometry.grid_tiles(slides.withColumn("id", F.col("id"))).withColumn("v", F.col("x") / 10), "v", slides)
+    assert "SortMergeJoin" not in cells._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.cell_x, r.value) for r in cells.filter("cell_y = 0").collect()) == [(0, 0.0), (1, 0.5), (2, 1.5), (3, 2.0)]
+
+
 def test_documents_gather_sides(spark):
     """Squares are shuffled as their sides; the text is written where they have been gathered."""
     plan = registry._documents(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()

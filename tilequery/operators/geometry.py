@@ -551,7 +551,7 @@ def _map_blocks(tiles: DataFrame, slides: DataFrame, columns: list[Column], name
     A cell's sides are the gcd of the slide's stride and tile; a last strip of the extent that is narrower than a cell is left out.
     """
     sides = slides.select(F.col("id").alias("slide_id"), *[_gcd(F.col(f"stride_{a}"), F.col(f"tile_extent_{a}")).alias(f"_side_{a}") for a in "xy"], *[F.col(f"{c}_{a}").alias(f"_{c}_{a}") for c in ("tile_extent", "extent") for a in "xy"])
-    out = tiles.select(*KEY, *[c.alias(n) for c, n in zip(columns, names, strict=True)]).join(sides, "slide_id")
+    out = tiles.select(*KEY, *[c.alias(n) for c, n in zip(columns, names, strict=True)]).join(sides.hint("shuffle_hash"), "slide_id")  # tiles are not sorted by slide: they are by block, afterwards
     for a in "xy":
         side = F.col(f"_side_{a}")
         first = F.greatest(F.lit(0), F.floor(F.col(a) / side)).cast("int")
